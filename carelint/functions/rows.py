@@ -49,6 +49,12 @@ def emit(df: DataFrame, rows: Iterable[Column]) -> DataFrame:
     return df.select(F.inline(F.array(*rows)))
 
 
+def cells(df: DataFrame, items: Iterable[dict[str, Any]]) -> DataFrame:
+    """One short row per cell of a wide aggregate, so that metrics are spelt out once for all."""
+    structs = [F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in item.items()]) for item in items]
+    return df.select(F.inline(F.array(*structs)))
+
+
 def one_row(spark: SparkSession) -> DataFrame:
     return spark.range(1).select()
 

@@ -11,6 +11,7 @@ from carelint import model
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
+from carelint.operators.tally import Tests, tally
 
 _REFRESH = re.compile(r"REFRESH_.*_DATE")
 ENCOUNTER_SLACK_DAYS = 5
@@ -32,29 +33,25 @@ def future_dates(ctx: Context) -> DataFrame:
         R.row("MAX_REFRESH_DATE", None, source="HARVEST", code_type="REFRESH_MAX", exc=day.isNull(),
               text=F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit("NULL")), details=R.details(max_refresh_date=day))])]
     newest_day = refreshed.scalar()
+    tables = []
     for table, columns in model.FUTURE_DATE_COLUMNS.items():
         live = [c for c in columns if ctx.wants(table) and ctx.has(table, c)]
-        if not live:
-            continue
-        df = ctx.frame(table)
-        counts = df.agg(*[
-            a for i, c in enumerate(live) for a in (
-                F.count(E.date_of(df, c)).alias(f"n{i}"),
-                E.n_where(E.date_of(df, c) > newest_day).alias(f"f{i}"))])
-        metrics = []
-        for i, column in enumerate(live):
-            n, late = F.col(f"n{i}"), F.col(f"f{i}")
-            share = E.percent(late, n, empty=0.0)
-            at = {"source": table, "code_type": column, "threshold": limit, "details": R.details(
-                date_field=column, date_populated_n=n, future_date_n=late, future_date_pct=share, threshold_pct=limit)}
-            metrics += [
-                R.row("DATE_POPULATED_N", n, **at),
-                R.row("FUTURE_DATE_N", late, **at),
-                R.row("FUTURE_DATE_PCT", share, **at),
-                R.row("FUTURE_DATE_FLAG", E.flag(share > limit), exc=share > limit, **at),
-            ]
+        if live:
+            df = ctx.frame(table)
+            tables.append(Tests(table, df, [
+                (c, [E.date_of(df, c).isNotNull(), E.date_of(df, c) > newest_day]) for c in live]))
+    if tables:
+        n, late = F.col("dated"), F.col("late")
+        share = E.percent(late, n, empty=0.0)
+        at = {"source": F.col("tbl"), "code_type": F.col("fld"), "threshold": limit, "details": R.details(
+            date_field=F.col("fld"), date_populated_n=n, future_date_n=late, future_date_pct=share, threshold_pct=limit)}
         # Without a refresh date there is nothing to compare with.
-        parts.append(R.emit(counts.filter(newest_day.isNotNull()), metrics))
+        parts.append(R.emit(tally(ctx.spark, ["dated", "late"], tables).filter(newest_day.isNotNull()), [
+            R.row("DATE_POPULATED_N", n, **at),
+            R.row("FUTURE_DATE_N", late, **at),
+            R.row("FUTURE_DATE_PCT", share, **at),
+            R.row("FUTURE_DATE_FLAG", E.flag(share > limit), exc=share > limit, **at),
+        ]))
     return R.union_all(parts)
 
 
@@ -179,17 +176,16 @@ def _outside_encounter(ctx: Context, limit: float) -> list[DataFrame]:
 
 
 def _stop_before_start(ctx: Context, limit: float) -> list[DataFrame]:
-    parts = []
+    tables = []
     for table, start, stop in model.START_STOP_COLUMNS:
-        if not (ctx.wants(table) and ctx.has(table, start, stop)):
-            continue
-        df = ctx.frame(table)
-        a, b = E.date_of(df, start), E.date_of(df, stop)
-        counts = df.agg(E.n_where(a.isNotNull() & b.isNotNull()).alias("n"), E.n_where(b < a).alias("bad"))
-        parts.append(R.emit(counts, _illogical(
-            limit, table, f"STOP_BEFORE_START:{start}:{stop}", F.col("n"), F.col("bad"),
-            rule="STOP_BEFORE_START", table=table, start_field=start, stop_field=stop)))
-    return parts
+        if ctx.wants(table) and ctx.has(table, start, stop):
+            df = ctx.frame(table)
+            a, b = E.date_of(df, start), E.date_of(df, stop)
+            tables.append(Tests(table, df, [(f"STOP_BEFORE_START:{start}:{stop}", [a.isNotNull() & b.isNotNull(), b < a])]))
+    if not tables:
+        return []
+    return [R.emit(tally(ctx.spark, ["n", "bad"], tables), _illogical(
+        limit, F.col("tbl"), F.col("fld"), F.col("n"), F.col("bad"), rule="STOP_BEFORE_START", table=F.col("tbl")))]
 
 
 def illogical_dates(ctx: Context) -> DataFrame:

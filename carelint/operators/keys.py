@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelint import model
@@ -15,39 +13,45 @@ from carelint.functions import rows as R
 from carelint.operators.presence import id_masks, in_set
 
 
+def _key_text(columns: Iterable[str]) -> Column:
+    """The key as one text, null when a part is null; lengths keep parts from running together."""
+    columns = [E.text(F.col(c)) for c in columns]
+    if len(columns) == 1:
+        return columns[0]
+    return F.concat(*[p for c in columns for p in (E.text(F.length(c)), F.lit(":"), c)])
+
+
 def primary_key_uniqueness(ctx: Context) -> DataFrame:
     """1.05  Rows, rows with a complete key, distinct complete keys, and their difference.
 
-    ``count(distinct a, b, ...)`` skips keys with a null part, which is the wanted rule.
-    Spark plans it as a map-combined grouping on the key followed by a count, so repeated
-    keys do not gather in one task.
+    Rows of all tables are counted per (table, key), combined on the map side, so a key that
+    repeats a billion times is one row per task; the counts are then added up per table.
     """
     ctx.require_target(model.PRIMARY_KEYS)
-    parts = []
-    for table, key in model.PRIMARY_KEYS.items():
-        if not ctx.wants(table):
-            continue
-        names = ",".join(key)
-        if not ctx.has(table):
-            parts.append(R.status(ctx.spark, "SKIPPED", source=table, code_type=None,
-                                  table_exists=False, pk_columns=names))
-            continue
-        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-        counts = ctx.frame(table).agg(
-            F.count(F.lit(1)).alias("rows"),
-            E.n_where(complete).alias("complete"),
-            F.count_distinct(*[F.col(c) for c in key]).alias("keys"),
-        )
-        dup = F.col("complete") - F.col("keys")
-        info = R.details(table_exists=True, pk_columns=names, row_count=F.col("rows"),
-                         pk_non_null_count=F.col("complete"), pk_distinct_count=F.col("keys"),
-                         pk_duplicate_row_count=dup)
-        parts.append(R.emit(counts, [
-            R.row("ROW_COUNT", F.col("rows"), source=table, details=info),
-            R.row("PK_NON_NULL_COUNT", F.col("complete"), source=table, details=info),
-            R.row("PK_DISTINCT_COUNT", F.col("keys"), source=table, details=info),
-            R.row("PK_DUPLICATE_ROW_COUNT", dup, source=table, details=info),
-            R.row("PK_DUPLICATE_FLAG", E.flag(dup > 0), source=table, exc=dup > 0, details=info),
+    wanted = {t: k for t, k in model.PRIMARY_KEYS.items() if ctx.wants(t)}
+    parts = [R.status(ctx.spark, "SKIPPED", source=t, code_type=None, table_exists=False, pk_columns=",".join(k))
+             for t, k in wanted.items() if not ctx.has(t)]
+    live = {t: k for t, k in wanted.items() if ctx.has(t)}
+    if live:
+        per_key = R.union_all([
+            ctx.frame(t).select(F.lit(i).alias("t"), _key_text(k).alias("key"), F.lit(1).cast("long").alias("n"))
+            for i, (t, k) in enumerate(live.items())]).groupBy("t", "key").agg(F.sum("n").alias("n"))
+        sums = per_key.groupBy("t").agg(
+            F.sum("n").alias("n"), F.sum(F.when(F.col("key").isNotNull(), F.col("n"))).alias("complete"), F.count("key").alias("keys"))
+        grid = R.literal_table(ctx.spark, ["t", "tbl", "pk"], [(i, t, ",".join(k)) for i, (t, k) in enumerate(live.items())],
+                               ["int", "string", "string"])
+        wide = grid.join(sums, "t", "left").na.fill(0)
+        n, complete, keys, tbl = F.col("n"), F.col("complete"), F.col("keys"), F.col("tbl")
+        dup = complete - keys
+        at = {"source": tbl, "details": R.details(
+            table_exists=True, pk_columns=F.col("pk"), row_count=n, pk_non_null_count=complete, pk_distinct_count=keys,
+            pk_duplicate_row_count=dup)}
+        parts.append(R.emit(wide, [
+            R.row("ROW_COUNT", n, **at),
+            R.row("PK_NON_NULL_COUNT", complete, **at),
+            R.row("PK_DISTINCT_COUNT", keys, **at),
+            R.row("PK_DUPLICATE_ROW_COUNT", dup, **at),
+            R.row("PK_DUPLICATE_FLAG", E.flag(dup > 0), exc=dup > 0, **at),
         ]))
     return R.union_all(parts)
 
@@ -55,7 +59,6 @@ def primary_key_uniqueness(ctx: Context) -> DataFrame:
 def _orphans(
     ctx: Context, parent: str, parent_column: str, children: Iterable[tuple[str, str]], *, label: str,
     threshold: float = 0, at_least: bool = False, window_parent: bool = False,
-    only_flag_threshold: bool = False,
 ) -> DataFrame:
     """Distinct child ids that the parent lacks, for all children in one shuffle."""
     children = list(children)
@@ -85,22 +88,18 @@ def _orphans(
             agg for i in range(1, len(sets))
             for agg in (E.n_where(in_set(i)).alias(f"n{i}"), E.n_where(in_set(i) & ~in_set(0)).alias(f"o{i}"))
         ])
-        metrics = []
-        for i, (table, column) in enumerate(live, start=1):
-            n, o = F.col(f"n{i}"), F.col(f"o{i}")
-            share = E.percent(o, n, empty=0.0)
-            bad = (share >= threshold) if at_least else (o > 0)
-            info = R.details(field=column, distinct_n=n, orphan_distinct_n=o, orphan_pct=share,
-                             threshold=float(threshold))
-            limit = 0 if only_flag_threshold else threshold
-            metrics += [
-                R.row(f"TABLE_{label}_DISTINCT_N", n, source=table, code_type=column, threshold=limit, details=info),
-                R.row(f"ORPHAN_{label}_DISTINCT_N", o, source=table, code_type=column, threshold=limit, details=info),
-                R.row(f"ORPHAN_{label}_PCT", share, source=table, code_type=column, threshold=limit, details=info),
-                R.row(f"ORPHAN_{label}_FLAG", E.flag(bad), source=table, code_type=column,
-                      threshold=threshold, exc=bad, details=info),
-            ]
-        parts.append(R.emit(counts, metrics))
+        wide = R.cells(counts, [{"tbl": t, "fld": c, "n": F.col(f"n{i}"), "o": F.col(f"o{i}")} for i, (t, c) in enumerate(live, start=1)])
+        n, o = F.col("n"), F.col("o")
+        share = E.percent(o, n, empty=0.0)
+        bad = (share >= threshold) if at_least else (o > 0)
+        at = {"source": F.col("tbl"), "code_type": F.col("fld"), "details": R.details(
+            field=F.col("fld"), distinct_n=n, orphan_distinct_n=o, orphan_pct=share, threshold=float(threshold))}
+        parts.append(R.emit(wide, [
+            R.row(f"TABLE_{label}_DISTINCT_N", n, **at),
+            R.row(f"ORPHAN_{label}_DISTINCT_N", o, **at),
+            R.row(f"ORPHAN_{label}_PCT", share, **at),
+            R.row(f"ORPHAN_{label}_FLAG", E.flag(bad), threshold=threshold, exc=bad, **at),
+        ]))
     return R.union_all(parts)
 
 
@@ -112,7 +111,7 @@ def orphan_patid(ctx: Context) -> DataFrame:
 def orphan_encounterid(ctx: Context) -> DataFrame:
     """1.09  Encounter ids of 11 tables that ENCOUNTER (within the window) does not hold."""
     return _orphans(ctx, "ENCOUNTER", "ENCOUNTERID", model.ENCOUNTER_CHILDREN, label="ENCOUNTERID",
-                    threshold=5, at_least=True, window_parent=True, only_flag_threshold=True)
+                    threshold=5, at_least=True, window_parent=True)
 
 
 def orphan_providerid(ctx: Context) -> DataFrame:
@@ -199,22 +198,20 @@ def replication_mismatch(ctx: Context) -> DataFrame:
                 (pairs(by_id, j) - pairs(by_type, j)).alias(f"type{j}"),
                 (pairs(by_id, j) - pairs(by_date, j)).alias(f"date{j}"),
             )])
-        metrics = []
-        for j, table in enumerate(live, start=1):
-            n, bad, t, d = (F.col(f"{x}{j}") for x in ("rows", "any", "type", "date"))
-            share = E.percent(bad, n, empty=0.0)
-            at = {"source": table, "details": R.details(
-                source_table=table, total_records_with_encounterid=n, replication_error_records=bad,
-                enc_type_mismatch_records=t, admit_date_mismatch_records=d, replication_error_pct=share)}
-            metrics += [
-                R.row("TOTAL_RECORDS_WITH_ENCOUNTERID", n, **at),
-                R.row("REPLICATION_ERROR_RECORDS", bad, **at),
-                R.row("ENC_TYPE_MISMATCH_RECORDS", t, **at),
-                R.row("ADMIT_DATE_MISMATCH_RECORDS", d, **at),
-                R.row("REPLICATION_ERROR_PCT", share, **at),
-                R.row("REPLICATION_ERROR_FLAG", E.flag(bad > 0), exc=bad > 0, **at),
-            ]
-        parts.append(R.emit(totals, metrics))
+        wide = R.cells(totals, [{"tbl": t, **{x: F.col(f"{x}{j}") for x in ("rows", "any", "type", "date")}} for j, t in enumerate(live, start=1)])
+        n, bad, t, d = (F.col(x) for x in ("rows", "any", "type", "date"))
+        share = E.percent(bad, n, empty=0.0)
+        at = {"source": F.col("tbl"), "details": R.details(
+            source_table=F.col("tbl"), total_records_with_encounterid=n, replication_error_records=bad,
+            enc_type_mismatch_records=t, admit_date_mismatch_records=d, replication_error_pct=share)}
+        parts.append(R.emit(wide, [
+            R.row("TOTAL_RECORDS_WITH_ENCOUNTERID", n, **at),
+            R.row("REPLICATION_ERROR_RECORDS", bad, **at),
+            R.row("ENC_TYPE_MISMATCH_RECORDS", t, **at),
+            R.row("ADMIT_DATE_MISMATCH_RECORDS", d, **at),
+            R.row("REPLICATION_ERROR_PCT", share, **at),
+            R.row("REPLICATION_ERROR_FLAG", E.flag(bad > 0), exc=bad > 0, **at),
+        ]))
     return R.union_all(parts)
 
 
@@ -248,20 +245,18 @@ def multi_parent_encounter(ctx: Context) -> DataFrame:
         counts = per_enc.agg(*[
             a for i in range(len(live))
             for a in (E.n_where(in_set(i)).alias(f"n{i}"), E.n_where(F.col(f"p{i}") > 1).alias(f"m{i}"))])
-        metrics = []
-        for i, table in enumerate(live):
-            n, m = F.col(f"n{i}"), F.col(f"m{i}")
-            share = E.percent(m, n, empty=0.0)
-            at = {"source": table, "threshold": 5, "details": R.details(
-                source_table=table, encounterid_distinct_n=n, multi_patid_encounterid_n=m,
-                multi_patid_encounterid_pct=share, threshold_pct=5)}
-            metrics += [
-                R.row("ENCOUNTERID_DISTINCT_N", n, **at),
-                R.row("MULTI_PATID_ENCOUNTERID_N", m, **at),
-                R.row("MULTI_PATID_ENCOUNTERID_PCT", share, **at),
-                R.row("MULTI_PATID_ENCOUNTERID_FLAG", E.flag(share > 5), exc=share > 5, **at),
-            ]
-        parts.append(R.emit(counts, metrics))
+        wide = R.cells(counts, [{"tbl": t, "n": F.col(f"n{i}"), "m": F.col(f"m{i}")} for i, t in enumerate(live)])
+        n, m = F.col("n"), F.col("m")
+        share = E.percent(m, n, empty=0.0)
+        at = {"source": F.col("tbl"), "threshold": 5, "details": R.details(
+            source_table=F.col("tbl"), encounterid_distinct_n=n, multi_patid_encounterid_n=m,
+            multi_patid_encounterid_pct=share, threshold_pct=5)}
+        parts.append(R.emit(wide, [
+            R.row("ENCOUNTERID_DISTINCT_N", n, **at),
+            R.row("MULTI_PATID_ENCOUNTERID_N", m, **at),
+            R.row("MULTI_PATID_ENCOUNTERID_PCT", share, **at),
+            R.row("MULTI_PATID_ENCOUNTERID_FLAG", E.flag(share > 5), exc=share > 5, **at),
+        ]))
     return R.union_all(parts)
 
 
@@ -288,23 +283,18 @@ def token_multi_patient(ctx: Context) -> DataFrame:
     )
     per_pair = long.groupBy("col", "token", "pat").agg(F.count(F.lit(1)).alias("n"))
     per_token = per_pair.groupBy("col", "token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pats"))
-    counts = per_token.agg(*[
-        a for i in range(len(columns)) for a in (
-            F.coalesce(F.sum(F.when(F.col("col") == i, F.col("n"))), F.lit(0)).alias(f"v{i}"),
-            E.n_where(F.col("col") == i).alias(f"d{i}"),
-            E.n_where((F.col("col") == i) & (F.col("pats") > 1)).alias(f"m{i}"))])
-    metrics = []
-    for i, column in enumerate(columns):
-        v, d, m = F.col(f"v{i}"), F.col(f"d{i}"), F.col(f"m{i}")
-        share = E.percent(m, d, empty=0.0)
-        at = {"source": "HASH_TOKEN", "code_type": column, "threshold": 10, "details": R.details(
-            token_field=column, valid_n=v, valid_distinct_n=d, valid_multi_patid_token_n=m,
-            valid_multi_patid_token_pct=share, threshold_pct=10)}
-        metrics += [
-            R.row("VALID_N", v, **at),
-            R.row("VALID_DISTINCT_N", d, **at),
-            R.row("VALID_MULTI_PATID_TOKEN_N", m, **at),
-            R.row("VALID_MULTI_PATID_TOKEN_PCT", share, **at),
-            R.row("TOKEN_MULTI_PATID_FLAG", E.flag(share > 10), exc=share > 10, **at),
-        ]
-    return head.unionByName(R.emit(counts, metrics))
+    sums = per_token.groupBy("col").agg(F.sum("n").alias("v"), F.count(F.lit(1)).alias("d"), E.n_where(F.col("pats") > 1).alias("m"))
+    grid = R.literal_table(ctx.spark, ["col", "fld"], list(enumerate(columns)), ["int", "string"])
+    wide = grid.join(sums, "col", "left").na.fill(0)
+    v, d, m = F.col("v"), F.col("d"), F.col("m")
+    share = E.percent(m, d, empty=0.0)
+    at = {"source": "HASH_TOKEN", "code_type": F.col("fld"), "threshold": 10, "details": R.details(
+        token_field=F.col("fld"), valid_n=v, valid_distinct_n=d, valid_multi_patid_token_n=m,
+        valid_multi_patid_token_pct=share, threshold_pct=10)}
+    return head.unionByName(R.emit(wide, [
+        R.row("VALID_N", v, **at),
+        R.row("VALID_DISTINCT_N", d, **at),
+        R.row("VALID_MULTI_PATID_TOKEN_N", m, **at),
+        R.row("VALID_MULTI_PATID_TOKEN_PCT", share, **at),
+        R.row("TOKEN_MULTI_PATID_FLAG", E.flag(share > 10), exc=share > 10, **at),
+    ]))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
+from carelint.operators.tally import Tests, tally
 
 LAB = "LAB_RESULT_CM"
 CRITERIA = "TBL_IVI_REF_RAW"
@@ -58,29 +59,26 @@ def lab_known_result_funnel(ctx: Context) -> DataFrame:
                         message=f"{LAB} table does not exist")
     test = E.known(F.col("LAB_LOINC"))
     numeric = _numeric()
-    counts = ctx.frame(LAB).agg(
-        F.count(F.lit(1)).alias("n"),
-        E.n_where(test).alias("KNOWN_TEST"),
-        E.n_where(test & (numeric | E.known(F.col("RESULT_QUAL")) | E.present(F.col("RAW_RESULT")))).alias("KNOWN_TEST_RESULT"),
-        E.n_where(test & numeric).alias("KNOWN_TEST_RESULT_NUM"),
-        E.n_where(test & numeric & E.known(F.col("RESULT_UNIT"))).alias("KNOWN_TEST_RESULT_NUM_UNIT"),
-        E.n_where(test & numeric & _full_range()).alias("KNOWN_TEST_NUM_RESULT_RANGE"),
-    ).withColumn("labels", _labels(ctx))
-    n = F.col("n")
-    metrics = []
-    for category, judged in CATEGORIES:
-        value = F.col(category)
-        share = E.percent(value, n, empty=0.0)
-        low = ((n > 0) & (share < limit)) if judged else F.lit(False)
-        at = {"source": LAB, "code_type": category, "threshold": limit if judged else None, "details": R.details(
-            source_table_row=category, criteria=F.col("labels")[category], records_n=n, category_n=value, category_pct=share)}
-        metrics += [
-            R.row("RECORDS_N", n, **at),
-            R.row("CATEGORY_N", value, **at),
-            R.row("CATEGORY_PCT", share, **at),
-            R.row("CATEGORY_FLAG", E.flag(low), exc=low, **at),
-        ]
-    return R.emit(counts, metrics)
+    tests = {
+        "KNOWN_TEST": test,
+        "KNOWN_TEST_RESULT": test & (numeric | E.known(F.col("RESULT_QUAL")) | E.present(F.col("RAW_RESULT"))),
+        "KNOWN_TEST_RESULT_NUM": test & numeric,
+        "KNOWN_TEST_RESULT_NUM_UNIT": test & numeric & E.known(F.col("RESULT_UNIT")),
+        "KNOWN_TEST_NUM_RESULT_RANGE": test & numeric & _full_range(),
+    }
+    counts = tally(ctx.spark, ["hits"], [Tests(LAB, ctx.frame(LAB), [(c, [tests[c]]) for c, _ in CATEGORIES])])
+    wide = counts.withColumn("judged", F.col("fld").isin(*[c for c, judged in CATEGORIES if judged])).withColumn("labels", _labels(ctx))
+    n, hits, judged = F.col("total"), F.col("hits"), F.col("judged")
+    share = E.percent(hits, n, empty=0.0)
+    low = judged & (n > 0) & (share < limit)
+    at = {"source": LAB, "code_type": F.col("fld"), "threshold": F.when(judged, F.lit(limit)), "details": R.details(
+        source_table_row=F.col("fld"), criteria=F.col("labels")[F.col("fld")], records_n=n, category_n=hits, category_pct=share)}
+    return R.emit(wide, [
+        R.row("RECORDS_N", n, **at),
+        R.row("CATEGORY_N", hits, **at),
+        R.row("CATEGORY_PCT", share, **at),
+        R.row("CATEGORY_FLAG", E.flag(low), exc=low, **at),
+    ])
 
 
 def lab_full_range_pct(ctx: Context) -> DataFrame:

@@ -133,30 +133,25 @@ def dx_per_encounter(ctx: Context) -> DataFrame:
             _total(F.col(f"e{i}")).alias(f"e{i}"),
             _total(F.col(f"e{i}") * F.col("dx")).alias(f"d{i}"),
             _total(F.col(f"e{i}") * F.col("known")).alias(f"k{i}"))])
-    total = {x: sum((F.col(f"{x}{i}") for i in range(1, len(groups))), F.col(f"{x}0")) for x in "edk"}
-    metrics = []
-    cells = [(g, F.col(f"e{i}"), F.col(f"d{i}"), F.col(f"k{i}")) for i, g in enumerate(groups)]
-    for group, e, d, k in [*cells, ("Total", total["e"], total["d"], total["k"])]:
-        known_rate = E.ratio(k, e)
-        low = known_rate < limit
-        at = {**base, "code_type": group, "details": R.details(
-            enc_type_group=group, dx_records_n=d, enc_records_n=e, dx_per_encounter=E.ratio(d, e),
-            dx_known_dxtype_n=k, dx_known_dxtype_per_encounter=known_rate, threshold_avg_lt=limit)}
-        # A group without encounters has no rows; the total always has.
-        shown = F.lit(True) if group == "Total" else e > 0
-
-        def name(metric, shown=shown):
-            return F.when(shown, F.lit(metric))
-
-        metrics += [
-            R.row(name("DX_RECORDS_N"), d, **at),
-            R.row(name("ENC_RECORDS_N"), e, **at),
-            R.row(name("DX_PER_ENCOUNTER"), E.ratio(d, e), **at),
-            R.row(name("DX_KNOWN_DXTYPE_N"), k, **at),
-            R.row(name("DX_KNOWN_DXTYPE_PER_ENCOUNTER"), known_rate, **at),
-            R.row(name("DX_KNOWN_DXTYPE_PER_ENC_FLAG"), E.flag(low), exc=low, **at),
-        ]
-    return R.emit(sums, metrics).filter(F.col("metric").isNotNull()).unionByName(R.status(ctx.spark, "OK", **base))
+    total = [sum((F.col(f"{x}{i}") for i in range(1, len(groups))), F.col(f"{x}0")) for x in "edk"]
+    cells = [(g, F.col(f"e{i}"), F.col(f"d{i}"), F.col(f"k{i}")) for i, g in enumerate(groups)] + [("Total", *total)]
+    # A group without encounters has no rows; the total always has.
+    wide = R.cells(sums, [{"grp": g, "e": e, "d": d, "k": k} for g, e, d, k in cells]).filter(
+        (F.col("e") > 0) | (F.col("grp") == "Total"))
+    e, d, k = F.col("e"), F.col("d"), F.col("k")
+    known_rate = E.ratio(k, e)
+    low = known_rate < limit
+    at = {**base, "code_type": F.col("grp"), "details": R.details(
+        enc_type_group=F.col("grp"), dx_records_n=d, enc_records_n=e, dx_per_encounter=E.ratio(d, e),
+        dx_known_dxtype_n=k, dx_known_dxtype_per_encounter=known_rate, threshold_avg_lt=limit)}
+    return R.emit(wide, [
+        R.row("DX_RECORDS_N", d, **at),
+        R.row("ENC_RECORDS_N", e, **at),
+        R.row("DX_PER_ENCOUNTER", E.ratio(d, e), **at),
+        R.row("DX_KNOWN_DXTYPE_N", k, **at),
+        R.row("DX_KNOWN_DXTYPE_PER_ENCOUNTER", known_rate, **at),
+        R.row("DX_KNOWN_DXTYPE_PER_ENC_FLAG", E.flag(low), exc=low, **at),
+    ]).unionByName(R.status(ctx.spark, "OK", **base))
 
 
 def px_per_encounter(ctx: Context) -> DataFrame:
@@ -174,20 +169,19 @@ def px_per_encounter(ctx: Context) -> DataFrame:
     sums = ids.agg(*[
         a for i in range(len(kinds)) for a in (
             E.n_where(F.col(f"e{i}") > 0).alias(f"e{i}"), _total(F.col(f"e{i}") * F.col("px")).alias(f"p{i}"))])
-    metrics = []
-    for i, (kind, minimum) in enumerate(model.PX_PER_ENCOUNTER_MINIMUM.items()):
-        e, p = F.col(f"e{i}"), F.col(f"p{i}")
-        mean = E.ratio(p, e)
-        low = (mean < minimum) if minimum is not None else F.lit(False)
-        at = {"source": "PROCEDURES", "code_type": kind, "threshold": minimum, "details": R.details(
-            enc_type=kind, px_records_known_pxtype_n=p, encounter_distinct_n=e, avg_px_per_encounter=mean)}
-        metrics += [
-            R.row("PX_RECORDS_KNOWN_PXTYPE_N", p, **at),
-            R.row("ENCOUNTER_DISTINCT_N", e, **at),
-            R.row("AVG_PX_PER_ENCOUNTER", mean, text=F.when(mean.isNull(), F.lit("NULL")), **at),
-            R.row("AVG_BELOW_THRESHOLD_FLAG", E.flag(low), exc=low, **at),
-        ]
-    return R.emit(sums, metrics)
+    wide = R.cells(sums, [{"kind": t, "least": F.lit(least).cast("double"), "e": F.col(f"e{i}"), "p": F.col(f"p{i}")}
+                          for i, (t, least) in enumerate(model.PX_PER_ENCOUNTER_MINIMUM.items())])
+    e, p = F.col("e"), F.col("p")
+    mean = E.ratio(p, e)
+    low = mean < F.col("least")
+    at = {"source": "PROCEDURES", "code_type": F.col("kind"), "threshold": F.col("least"), "details": R.details(
+        enc_type=F.col("kind"), px_records_known_pxtype_n=p, encounter_distinct_n=e, avg_px_per_encounter=mean)}
+    return R.emit(wide, [
+        R.row("PX_RECORDS_KNOWN_PXTYPE_N", p, **at),
+        R.row("ENCOUNTER_DISTINCT_N", e, **at),
+        R.row("AVG_PX_PER_ENCOUNTER", mean, text=F.when(mean.isNull(), F.lit("NULL")), **at),
+        R.row("AVG_BELOW_THRESHOLD_FLAG", E.flag(low), exc=low, **at),
+    ])
 
 
 def principal_dx_coverage(ctx: Context) -> DataFrame:
@@ -213,10 +207,8 @@ def principal_dx_coverage(ctx: Context) -> DataFrame:
             E.n_where((F.col(f"e{i}") > 0) & (F.col(f"d{j}") > 0)).alias(f"n{i}{j}"),
             E.n_where((F.col(f"e{i}") > 0) & (F.col(f"p{j}") > 0)).alias(f"w{i}{j}"),
             _total(F.col(f"e{i}") * F.col(f"p{j}")).alias(f"t{i}{j}"))])
-    # One small struct per cell keeps the generated code short.
-    wide = sums.select(F.inline(F.array(*[
-        F.struct(F.lit(f"{kinds[i]}:{origins[j]}").alias("cell"), F.col(f"n{i}{j}").alias("n"),
-                 F.col(f"w{i}{j}").alias("with_pdx"), F.col(f"t{i}{j}").alias("pdx")) for i, j in cells])))
+    wide = R.cells(sums, [{"cell": f"{kinds[i]}:{origins[j]}", "n": F.col(f"n{i}{j}"), "with_pdx": F.col(f"w{i}{j}"),
+                           "pdx": F.col(f"t{i}{j}")} for i, j in cells])
     n, w, p = F.col("n"), F.col("with_pdx"), F.col("pdx")
     share = E.percent(n - w, n, empty=0.0)
     high = (n > 0) & (share > limit)

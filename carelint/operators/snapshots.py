@@ -14,6 +14,7 @@ from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
 from carelint.operators.presence import id_masks, in_set
+from carelint.operators.tally import row_counts
 
 LIMIT = -5.0
 
@@ -50,9 +51,8 @@ def snapshot_table_change(ctx: Context) -> DataFrame:
     if not live:
         return R.literal_rows(ctx.spark, _tail(ctx, None))
     with_ids = [t for t in live if all(s.has(t, model.SNAPSHOT_ID_COLUMNS[t]) for s in sides.values())]
-    facts = [
-        side.frame(t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("tbl"), F.lit(f"{name}_n").alias("fact"), "n")
-        for t in live for name, side in sides.items()]
+    facts = [row_counts(ctx.spark, [(f"{t}:{name}_n", side.frame(t)) for t in live for name, side in sides.items()]).select(
+        F.split_part("tbl", F.lit(":"), F.lit(1)).alias("tbl"), F.split_part("tbl", F.lit(":"), F.lit(2)).alias("fact"), "n")]
     if with_ids:
         cells = [(t, name) for t in with_ids for name in sides]
         masks = id_masks([(sides[name].frame(t), F.col(model.SNAPSHOT_ID_COLUMNS[t])) for t, name in cells])

@@ -9,6 +9,7 @@ from carelint import model
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
+from carelint.operators.tally import row_counts
 
 STRUCTURE = "REQUIRED_STRUCTURE_RAW"
 COLUMN_LISTING = "INFORMATION_SCHEMA.COLUMNS"
@@ -29,19 +30,14 @@ def looks_like_ehr(ctx: Context) -> Column:
     )
 
 
-def _tier(table: str) -> str:
-    return "CORE" if table in model.CORE_TABLES else "EHR" if table in model.EHR_TABLES else "CDM"
-
-
 def _counted(ctx: Context, tables) -> DataFrame:
-    """(tbl, tier, here, n) per table; row counts come from file metadata where the format has it."""
-    parts = []
-    for table in tables:
-        here = ctx.has(table)
-        counts = ctx.frame(table, windowed=False).agg(F.count(F.lit(1)).alias("n")) if here else R.one_row(ctx.spark).select(
-            F.lit(0).cast("long").alias("n"))
-        parts.append(counts.select(F.lit(table).alias("tbl"), F.lit(_tier(table)).alias("tier"), F.lit(here).alias("here"), "n"))
-    return R.union_all(parts)
+    """(tbl, tier, here, n) per table, absent ones with zero rows."""
+    none = ctx.spark.range(0).select()
+    counts = row_counts(ctx.spark, [(t, ctx.frame(t, windowed=False) if ctx.has(t) else none) for t in tables])
+    tbl = F.col("tbl")
+    tier = (F.when(tbl.isin(*model.CORE_TABLES), F.lit("CORE")).when(tbl.isin(*model.EHR_TABLES), F.lit("EHR"))
+            .otherwise(F.lit("CDM")))
+    return counts.withColumn("tier", tier).withColumn("here", tbl.isin(*ctx.source.names()))
 
 
 def table_presence(ctx: Context) -> DataFrame:

@@ -14,36 +14,33 @@ from carelint import model
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
+from carelint.operators.tally import Tests, tally
 
 TOP_VALUES = 100
 
 
 # ------------------------------------------------------------------------ missing values
 def _missing_rates(ctx: Context, fields: Mapping[str, Sequence[str]], *, field_source: str) -> list[DataFrame]:
-    """Per field: rows, missing rows, percent.  One wide aggregate per table."""
-    parts = []
+    """Per field: rows, missing rows, percent."""
+    tables = []
     for table, columns in fields.items():
         live = [c for c in columns if ctx.wants(table) and ctx.has(table, c)]
-        if not live:
-            continue
-        df = ctx.frame(table)
-        counts = df.agg(F.count(F.lit(1)).alias("n"), *[
-            E.n_where(~E.present(F.col(c)) if E.is_string(df, c) else F.col(c).isNull()).alias(f"m{i}")
-            for i, c in enumerate(live)])
-        metrics = []
-        for i, column in enumerate(live):
-            n, m = F.col("n"), F.col(f"m{i}")
-            share = E.percent(m, n)
-            at = {"source": table, "edc": table, "code_type": column, "details": R.details(
-                table=table, column=column, denom_n=n, missing_n=m, missing_pct=share, key_field_source=field_source)}
-            metrics += [
-                R.row("DENOM_N", n, **at),
-                R.row("MISSING_N", m, **at),
-                R.row("MISSING_PCT", share, **at),
-                R.row("MISSING_FLAG", E.flag(m > 0), exc=m > 0, **at),
-            ]
-        parts.append(R.emit(counts, metrics))
-    return parts
+        if live:
+            df = ctx.frame(table)
+            tables.append(Tests(table, df, [
+                (c, [~E.present(F.col(c)) if E.is_string(df, c) else F.col(c).isNull()]) for c in live]))
+    if not tables:
+        return []
+    n, m, tbl, fld = F.col("total"), F.col("missing"), F.col("tbl"), F.col("fld")
+    share = E.percent(m, n)
+    at = {"source": tbl, "edc": tbl, "code_type": fld, "details": R.details(
+        table=tbl, column=fld, denom_n=n, missing_n=m, missing_pct=share, key_field_source=field_source)}
+    return [R.emit(tally(ctx.spark, ["missing"], tables), [
+        R.row("DENOM_N", n, **at),
+        R.row("MISSING_N", m, **at),
+        R.row("MISSING_PCT", share, **at),
+        R.row("MISSING_FLAG", E.flag(m > 0), exc=m > 0, **at),
+    ])]
 
 
 def _field_status(ctx: Context, fields: Mapping[str, Sequence[str]], parts: list[DataFrame], **more) -> DataFrame:
@@ -173,25 +170,21 @@ def zip_format(ctx: Context) -> DataFrame:
     specs = [s for s in model.ZIP_COLUMNS if ctx.wants(s[0])]
     live = [s for s in specs if ctx.has(s[0], s[1]) and E.is_string(ctx.source.frame(s[0]), s[1])]
     parts = []
-    for table in dict.fromkeys(t for t, _, _ in live):
-        mine = [s for s in live if s[0] == table]
-        counts = ctx.frame(table).agg(*[
-            a for i, (_, c, length) in enumerate(mine) for a in (
-                E.n_where(E.present(F.col(c))).alias(f"n{i}"),
-                E.n_where(E.present(F.col(c)) & ~_digits(F.col(c), length)).alias(f"b{i}"))])
-        metrics = []
-        for i, (_, column, length) in enumerate(mine):
-            n, bad = F.col(f"n{i}"), F.col(f"b{i}")
-            share = E.percent(bad, n)
-            at = {"source": table, "edc": table, "code_type": column, "details": R.details(
-                table=table, column=column, expected_len=length, non_missing_n=n, bad_n=bad, bad_pct=share)}
-            metrics += [
-                R.row("NON_MISSING_N", n, **at),
-                R.row("BAD_ZIP_N", bad, **at),
-                R.row("BAD_ZIP_PCT", share, **at),
-                R.row("BAD_ZIP_FLAG", E.flag(bad > 0), exc=bad > 0, **at),
-            ]
-        parts.append(R.emit(counts, metrics))
+    if live:
+        counts = tally(ctx.spark, ["n", "bad"], [
+            Tests(table, ctx.frame(table), [
+                (c, [E.present(F.col(c)), E.present(F.col(c)) & ~_digits(F.col(c), length)]) for t, c, length in live if t == table])
+            for table in dict.fromkeys(t for t, _, _ in live)])
+        n, bad, tbl, fld = F.col("n"), F.col("bad"), F.col("tbl"), F.col("fld")
+        share = E.percent(bad, n)
+        at = {"source": tbl, "edc": tbl, "code_type": fld, "details": R.details(
+            table=tbl, column=fld, non_missing_n=n, bad_n=bad, bad_pct=share)}
+        parts.append(R.emit(counts, [
+            R.row("NON_MISSING_N", n, **at),
+            R.row("BAD_ZIP_N", bad, **at),
+            R.row("BAD_ZIP_PCT", share, **at),
+            R.row("BAD_ZIP_FLAG", E.flag(bad > 0), exc=bad > 0, **at),
+        ]))
     skipped = [f"{t}.{c}" for t, c, n in specs if (t, c, n) not in live]
     tail = R.status(ctx.spark, "OK" if parts else "ERROR", edc=ctx.scope, target_table=ctx.scope,
                     evaluated_fields_n=len(live), skipped=R.json_list(skipped))
@@ -236,27 +229,25 @@ def numeric_range_outliers(ctx: Context) -> DataFrame:
     limit = 10
     ctx.require_target({t for t, *_ in model.NUMERIC_BOUNDS})
     live = [s for s in model.NUMERIC_BOUNDS if ctx.wants(s[0]) and ctx.has(s[0], s[1])]
-    parts = []
-    for table in dict.fromkeys(t for t, *_ in live):
-        mine = [s for s in live if s[0] == table]
-        df = ctx.frame(table)
-        numbers = [(F.col(c).try_cast("double"), low, high) for _, c, low, high in mine]
-        counts = df.agg(*[
-            a for i, (x, low, high) in enumerate(numbers) for a in (
-                F.count(x).alias(f"n{i}"), E.n_where(x < low).alias(f"l{i}"), E.n_where(x > high).alias(f"h{i}"))])
-        metrics = []
-        for i, (_, column, low, high) in enumerate(mine):
-            n, lo, hi = F.col(f"n{i}"), F.col(f"l{i}"), F.col(f"h{i}")
-            share = E.percent(lo + hi, n, empty=0.0)
-            at = {"source": table, "code_type": column, "threshold": limit, "details": R.details(
-                table=table, field=column, low_rule=f"x < {low}", high_rule=f"x > {high}", threshold_pct=limit)}
-            metrics += [
-                R.row("RECORDS_EVAL_N", n, **at),
-                R.row("LOW_EXTREME_N", lo, **at),
-                R.row("HIGH_EXTREME_N", hi, **at),
-                R.row("EXTREME_N", lo + hi, **at),
-                R.row("EXTREME_PCT", share, **at),
-                R.row("EXTREME_FLAG", E.flag(share > limit), exc=share > limit, **at),
-            ]
-        parts.append(R.emit(counts, metrics))
-    return R.union_all(parts) if parts else R.no_rows(ctx.spark)
+    if not live:
+        return R.no_rows(ctx.spark)
+
+    def tests(column: str, low: float, high: float):
+        x = F.col(column).try_cast("double")
+        return column, [x.isNotNull(), x < low, x > high]
+
+    counts = tally(ctx.spark, ["n", "low", "high"], [
+        Tests(table, ctx.frame(table), [tests(*s[1:]) for s in live if s[0] == table])
+        for table in dict.fromkeys(t for t, *_ in live)])
+    n, lo, hi = F.col("n"), F.col("low"), F.col("high")
+    share = E.percent(lo + hi, n, empty=0.0)
+    at = {"source": F.col("tbl"), "code_type": F.col("fld"), "threshold": limit, "details": R.details(
+        table=F.col("tbl"), field=F.col("fld"), low_n=lo, high_n=hi, threshold_pct=limit)}
+    return R.emit(counts, [
+        R.row("RECORDS_EVAL_N", n, **at),
+        R.row("LOW_EXTREME_N", lo, **at),
+        R.row("HIGH_EXTREME_N", hi, **at),
+        R.row("EXTREME_N", lo + hi, **at),
+        R.row("EXTREME_PCT", share, **at),
+        R.row("EXTREME_FLAG", E.flag(share > limit), exc=share > limit, **at),
+    ])

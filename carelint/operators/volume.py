@@ -11,6 +11,7 @@ from carelint import model
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
+from carelint.operators.tally import Tests, tally
 
 
 def month_start(day: dt.date, months_back: int = 0) -> dt.date:
@@ -49,13 +50,8 @@ def _volume_drop(ctx: Context, series: list[tuple[str, DataFrame]], months_back:
     low, high = month_start(at, months_back), month_start(at, months_back - 1)
     bench_low, bench_high = month_start(at, 23), month_start(at, 11)
     day, n = F.col("day"), F.col("n")
-    counts = []
-    for name, df in series:
-        near = df.filter((day >= F.lit(bench_low)) & (day < F.lit(high)))
-        counts.append(near.agg(
-            F.coalesce(F.sum(F.when(day >= F.lit(low), n)), F.lit(0)).alias("now"),
-            F.coalesce(F.sum(F.when(day < F.lit(bench_high), n)), F.lit(0)).alias("bench"),
-        ).select(F.lit(name).alias("tbl"), "now", "bench"))
+    near = (day >= F.lit(bench_low)) & (day < F.lit(high))
+    tables = [Tests(name, df.filter(near), [("", [day >= F.lit(low), day < F.lit(bench_high)])], n) for name, df in series]
     tail_at = {"source": "ALL", "edc": ctx.scope, "code_type": "ALL", "threshold": limit}
     info = R.details(target_table=ctx.scope, anchor_date=at.isoformat(), evaluated_series=",".join(s for s, _ in series))
 
@@ -81,9 +77,9 @@ def _volume_drop(ctx: Context, series: list[tuple[str, DataFrame]], months_back:
         return [R.row("ANY_DECREASE_FLAG", E.flag(any_drop), exc=any_drop, details=info, **tail_at),
                 R.row("STATUS", None, text="OK", details=info, **tail_at)]
 
-    if not counts:
+    if not tables:
         return R.literal_rows(ctx.spark, summary(F.array().cast("array<struct<tbl:string,now:bigint,bench:bigint>>")))
-    return R.emit_with_summary(R.union_all(counts), rows, summary)
+    return R.emit_with_summary(tally(ctx.spark, ["now", "bench"], tables), rows, summary)
 
 
 def encounter_volume_drop(ctx: Context) -> DataFrame:
