@@ -8,9 +8,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelint.context import Context
 from carelint.operators import CHECKS, codes
+from carelint.plans import views
+from carelint.plans.registry import select_checks
+from carelint.plans.run import result_rows
+from carelint.sources.reference import constraints_view, valuesets_view
 from verify import fixtures as fx
 from verify import oracles as sql
 
@@ -45,7 +50,7 @@ def _check(name: str, number: str, oracle: Callable[[], str], **kw: Any) -> None
 
 def _presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = CHECKS["1.01"](fx.context(spark, sf_dir))
-    counts = F.get_json_object("details", "$.row_count").cast("long").alias("row_count")
+    counts = F.get_json_object("details", "$.row_count").cast("double").alias("row_count")
     return rows.select("edc_table", "source_table", "code_type", "metric", "value_num", "value_str", "threshold_num", "exception_flag", counts)
 
 
@@ -100,7 +105,63 @@ _check("dc_4_02_snapshot_enctype_change", "4.02", sql.snapshot_enctype_change)
 _check("dc_4_03_snapshot_code_change", "4.03", sql.snapshot_code_change)
 
 QUERIES["pce_code_validation"] = Query(lambda s, d: codes.code_validation(fx.context(s, d)), sql.code_validation)
-QUERIES["pce_bad_code_rows"] = Query(lambda s, d: codes.bad_code_rows(fx.context(s, d)), sql.bad_code_rows)
+QUERIES["pce_bad_code_rows"] = Query(
+    lambda s, d: codes.bad_code_rows(fx.context(s, d)).withColumns({f: F.col(f).cast("double") for f in codes.FLAGS}), sql.bad_code_rows)
 QUERIES["pce_code_summary"] = Query(
     lambda s, d: codes.code_summary(fx.context(s, d)).withColumn("bad_record_pct", F.round("bad_record_pct", 6)), sql.code_summary)
 QUERIES["pce_code_issue_count"] = Query(lambda s, d: codes.code_issue_count(codes.code_summary(fx.context(s, d))), sql.code_issue_count)
+
+
+# ------------------------------------------------------------------------- stored results
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two checks as a run stores them."""
+    ctx = fx.context(spark, sf_dir)
+    return result_rows(CHECKS["1.08"](ctx), "R1", "CHECK_1_08", "orphan_patid", "1.08", None).unionByName(
+        result_rows(CHECKS["2.02"](ctx), "R1", "CHECK_2_02", "numeric_range_outliers", "2.02", None))
+
+
+PIVOTED = ["TABLE_PATID_DISTINCT_N", "ORPHAN_PATID_DISTINCT_N", "ORPHAN_PATID_PCT", "ORPHAN_PATID_FLAG", "RECORDS_EVAL_N",
+           "LOW_EXTREME_N", "HIGH_EXTREME_N", "EXTREME_N", "EXTREME_PCT", "EXTREME_FLAG", "STATUS"]
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return _plain(df.withColumns({c: F.round(c, 6) for c in columns}))
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, arrays and timestamps as text, so that any client compares them alike."""
+    plain = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.DecimalType):
+            plain[f.name] = F.col(f.name).cast("double")
+        elif isinstance(f.dataType, T.ArrayType):
+            plain[f.name] = F.array_join(f.name, ",")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            plain[f.name] = F.date_format(f.name, "yyyy-MM-dd HH:mm:ss")
+    return df.withColumns(plain) if plain else df
+
+
+def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = views.results_details_flat(stored(spark, sf_dir))
+    wanted = {"details.field": "field", "details.distinct_n": "distinct_n", "details.low_n": "low_n", "details.high_n": "high_n"}
+    return flat.select(F.col("row_num").cast("double").alias("row_num"), "check_name", "source_table", "code_type", "metric", F.round("value_num", 6).alias("value_num"),
+                       "exception_flag", *[F.col(f"`{c}`").cast("string").alias(a) for c, a in wanted.items()])
+
+
+QUERIES["results_pivot"] = Query(
+    lambda s, d: _rounded(views.results_pivot(stored(s, d), PIVOTED), "ORPHAN_PATID_PCT", "EXTREME_PCT"), sql.results_pivot)
+QUERIES["results_filtered"] = Query(
+    lambda s, d: _rounded(views.results_filtered(stored(s, d), "R1", "2.02"), "value_num").drop("value_str", "details"), sql.results_filtered)
+QUERIES["run_checks_list"] = Query(lambda s, d: _plain(views.run_checks_list(stored(s, d), "R1")), sql.run_checks_list)
+QUERIES["results_details_flat"] = Query(_flat, sql.results_details_flat)
+QUERIES["recent_runs"] = Query(lambda s, d: _plain(views.recent_runs(fx.runs(s, d))), sql.recent_runs)
+QUERIES["run_status_counts"] = Query(lambda s, d: views.run_status_counts(fx.check_log(s, d), "R2"), sql.run_status_counts)
+QUERIES["failed_checks"] = Query(lambda s, d: _plain(views.failed_checks(fx.check_log(s, d), "R2")), sql.failed_checks)
+for _mode, _selector, _part in (("CHECK_NUM", " 1.05, 2.5 ,x", "all"), ("SOURCE_TABLE", "brand#1,Encounter", "PART2"), ("ALL", None, "part3")):
+    QUERIES[f"select_checks_{_mode.lower()}"] = Query(
+        lambda s, d, m=_mode, w=_selector, p=_part: _plain(select_checks(fx.registry(s, d), m, w, p)), lambda m=_mode: sql.select_checks(m))
+QUERIES["registry_listing"] = Query(lambda s, d: _plain(views.registry_listing(fx.registry(s, d))), sql.registry_listing)
+QUERIES["code_summary_listing"] = Query(
+    lambda s, d: views.code_summary_listing(_rounded(codes.code_summary(fx.context(s, d)), "bad_record_pct")), sql.code_summary)
+QUERIES["valuesets_view"] = Query(lambda s, d: _plain(valuesets_view(fx.part_workbook(s, d))), sql.valuesets_view)
+QUERIES["constraints_view"] = Query(lambda s, d: _plain(constraints_view(fx.part_workbook(s, d))), sql.constraints_view)

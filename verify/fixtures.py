@@ -331,9 +331,16 @@ def _frame(given: dict[str, DataFrame], spec: tuple[str, str | None, dict[str, s
     return df.selectExpr(*[f"{x} AS {c}" for c, x in columns.items()])
 
 
-def given_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
-            for n in ("customer", "orders", "lineitem", "part", "supplier", "region", "events")}
+class Given(dict):
+    """The given tables, each opened when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self[name]
 
 
 def workbook(spark: SparkSession) -> DataFrame:
@@ -350,12 +357,12 @@ def workbook(spark: SparkSession) -> DataFrame:
 
 def source(spark: SparkSession, sf_dir: str) -> TableSource:
     """The derived tables as a source; PCORNET_TRIAL is left out to test absence."""
-    given = given_tables(spark, sf_dir)
+    given = Given(spark, sf_dir)
     return TableSource.from_frames(spark, {n: (lambda s=s: _frame(given, s)) for n, s in TABLES.items()})
 
 
 def references(spark: SparkSession, sf_dir: str) -> TableSource:
-    given = given_tables(spark, sf_dir)
+    given = Given(spark, sf_dir)
     frames = {n: (lambda s=s: _frame(given, s)) for n, s in REFERENCES.items()}
     frames["CDM_VALUESETS"] = lambda: valuesets_view(workbook(spark))
     frames["CDM_CONSTRAINTS"] = lambda: constraints_view(workbook(spark))
@@ -379,10 +386,60 @@ def context(spark: SparkSession, sf_dir: str, **kw) -> Context:
     return Context(source=kw.pop("source", None) or source(spark, sf_dir), refs=references(spark, sf_dir), **kw)
 
 
+# Runs, a check log, a registry and a workbook in the shapes of the stored tables, so that
+# the views on them are exercised on tables that grow with the data.
+STORED: dict[str, tuple[str, str | None, dict[str, str]]] = {
+    "runs": ("orders", None, {
+        "run_id": _id("R", "o_orderkey"), "status": "CASE o_orderstatus WHEN 'F' THEN 'SUCCEEDED' WHEN 'O' THEN 'RUNNING' ELSE 'PARTIAL' END",
+        "started_at": "o_orderdate", "ended_at": "CASE WHEN o_orderstatus = 'F' THEN o_orderdate ELSE NULL END",
+    }),
+    "check_log": ("lineitem", None, {
+        "run_id": _id("R", "l_linenumber"), "check_id": _id("C", "l_partkey", "l_orderkey"), "check_name": _id("check_", "l_suppkey"),
+        "row_num": "CAST(l_quantity AS DECIMAL(10,2))", "proc_name": _id("f", "l_suppkey"),
+        "status": "CASE l_returnflag WHEN 'A' THEN 'SUCCEEDED' WHEN 'N' THEN 'FAILED' ELSE 'PENDING' END",
+        "error_message": "CASE WHEN l_returnflag = 'N' THEN 'broken' ELSE NULL END",
+    }),
+    "registry": ("part", None, {
+        "CHECK_ID": _id("K", "p_partkey"), "CHECK_NAME": "p_name", "ROW_NUM": "CAST((p_partkey % 400) / 100.0 AS DECIMAL(10,2))",
+        "PART": _id("Part", "1 + p_size % 4"), "EDC_TABLE": "p_type", "DESCRIPTION": "p_name", "PROC_NAME": "p_brand",
+        "SOURCE_TABLES": "{array}(upper(p_brand), CASE WHEN p_size % 2 = 0 THEN 'ENCOUNTER' ELSE 'VITAL' END)",
+        "ENABLED": "CASE p_size % 5 WHEN 0 THEN FALSE WHEN 1 THEN NULL ELSE TRUE END",
+    }),
+    "workbook": ("part", None, {
+        "SHEET_NAME": "CASE WHEN p_size % 2 = 0 THEN 'ValueSets' ELSE 'Constraints' END", "ROW_NUM": "p_partkey",
+        "TABLE_NAME": "CASE WHEN p_size % 7 = 0 THEN NULL ELSE concat(' ', p_type) END", "FIELD_NAME": "lower(p_brand)",
+        "CONSTRAINT_TEXT": "CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_name END", "CONSTRAINT_ORDER": _s("p_size"),
+        "VALUESET_ITEM": "CASE WHEN p_size % 6 = 0 THEN NULL ELSE concat(p_name, ' ') END", "VALUESET_ITEM_DESCRIPTOR": "p_type",
+        "VALUESET_ITEM_ORDER": f"CASE WHEN p_size % 4 = 0 THEN 'x' ELSE {_s('p_size')} END", "CHANGED_IN_THIS_VERSION": "'N'",
+    }),
+}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    base, where, columns = STORED[name]
+    return _frame(Given(spark, sf_dir), (base, where, {c: x.replace("{array}", "array") for c, x in columns.items()}))
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "runs")
+
+
+def check_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "check_log")
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "registry")
+
+
+def part_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "workbook")
+
+
 # ------------------------------------------------------------------------------ SQL side
 def sql_table(name: str, spec: tuple[str, str | None, dict[str, str]] | None = None) -> str:
-    base, where, columns = spec or TABLES.get(name) or REFERENCES[name]
-    picks = ", ".join(f"{x} AS {c}" for c, x in columns.items())
+    base, where, columns = spec or TABLES.get(name) or REFERENCES.get(name) or STORED[name]
+    picks = ", ".join(f"{x.replace('{array}', 'list_value')} AS {c}" for c, x in columns.items())
     return f"SELECT {picks} FROM {base}" + (f" WHERE {where}" if where else "")
 
 

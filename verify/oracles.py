@@ -79,7 +79,7 @@ def table_presence():
         row("w", "TABLE_EXISTS_FLAG", "CASE WHEN here THEN 1 ELSE 0 END", source="tbl"),
         row("w", "MISSING_REQUIRED_TABLE_FLAG", "CASE WHEN here THEN 0 ELSE 1 END", source="tbl", exc=bad)])
     head, body = base.split("\nSELECT", 1)
-    return f"{head}\nSELECT r.*, CASE WHEN w.here THEN w.n END AS row_count FROM (SELECT{body}) r JOIN w ON r.source_table = w.tbl"
+    return f"{head}\nSELECT r.*, CAST(CASE WHEN w.here THEN w.n END AS DOUBLE) AS row_count FROM (SELECT{body}) r JOIN w ON r.source_table = w.tbl"
 
 
 def table_populated():
@@ -397,7 +397,7 @@ def code_validation():
 def bad_code_rows():
     live, ctes = _validated()
     return query(live, ctes, ["SELECT table_name, record_id, code, code_type, clean AS code_clean, CAST(len AS INT) AS code_length, "
-                              "unexp_length, unexp_alpha, unexp_string, unexp_numeric FROM judged WHERE bad"])
+                              + LIST(f"CAST({c} AS DOUBLE) AS {c}" for c in ("unexp_length", "unexp_alpha", "unexp_string", "unexp_numeric")) + " FROM judged WHERE bad"])
 
 
 def _summary() -> tuple[list[str], dict[str, str]]:
@@ -824,3 +824,77 @@ def snapshot_code_change():
         *rows, flagrow("w", "ANY_DECREASE_FLAG", f"{rec} OR {cod}", **at),
         flagrow(f"(SELECT bool_or({rec} OR {cod}) AS f FROM w)", "ANY_DECREASE_FLAG", "f", source="'ALL'", edc="'ALL'", code="'ALL'", thr="-5"),
         status(thr="-5", edc="'ALL'")])
+
+
+# ----------------------------------------------------------------- stored results and views
+def _stored() -> str:
+    """The two checks' oracle rows with their number and name."""
+    parts = [(orphan_patid(), "1.08", "orphan_patid"), (numeric_range_outliers(), "2.02", "numeric_range_outliers")]
+    return " UNION ALL ".join(f"SELECT CAST({n} AS DOUBLE) AS row_num, '{c}' AS check_name, * FROM ({body}) AS r{i}"
+                              for i, (body, n, c) in enumerate(parts))
+
+
+def results_pivot():
+    from verify.catalog import PIVOTED
+
+    cols = LIST(f"max(value_num) FILTER (metric = '{m}') AS {m}" for m in PIVOTED)
+    return f"SELECT row_num, check_name, source_table, code_type, {cols} FROM ({_stored()}) GROUP BY 1, 2, 3, 4"
+
+
+def results_filtered():
+    return ("SELECT row_num, check_name, source_table, code_type, metric, value_num, threshold_num, exception_flag "
+            f"FROM ({_stored()}) WHERE row_num = 2.02")
+
+
+def run_checks_list():
+    return f"SELECT DISTINCT row_num, check_name FROM ({_stored()})"
+
+
+def results_details_flat():
+    """The details repeat what other metrics of the same cell say."""
+    def other(metric):
+        return f"CAST(CAST(max(value_num) FILTER (metric = '{metric}') OVER (PARTITION BY row_num, source_table, code_type) AS BIGINT) AS VARCHAR)"
+    return ("SELECT row_num, check_name, source_table, code_type, metric, value_num, exception_flag, "
+            "CASE WHEN metric <> 'STATUS' AND row_num = 1.08 OR row_num = 2.02 THEN code_type END AS field, "
+            f"{other('TABLE_PATID_DISTINCT_N')} AS distinct_n, {other('LOW_EXTREME_N')} AS low_n, {other('HIGH_EXTREME_N')} AS high_n FROM ({_stored()})")
+
+
+def recent_runs():
+    return query(["runs"], {}, [
+        "SELECT run_id, status, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS started_at, strftime(ended_at, '%Y-%m-%d %H:%M:%S') AS ended_at FROM ("
+        "SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 20)"])
+
+
+def run_status_counts():
+    return query(["check_log"], {}, ["SELECT status, count(*) AS cnt FROM check_log WHERE run_id = 'R2' GROUP BY 1"])
+
+
+def failed_checks():
+    return query(["check_log"], {}, ["SELECT check_id, check_name, CAST(row_num AS DOUBLE) AS row_num, proc_name, status, error_message FROM check_log "
+                                     "WHERE run_id = 'R2' AND status <> 'SUCCEEDED'"])
+
+
+def select_checks(mode):
+    test = {"CHECK_NUM": "ROW_NUM IN (1.05, 2.50)",
+            "SOURCE_TABLE": "lower(PART) = 'part2' AND list_has_any(SOURCE_TABLES, ['BRAND#1', 'ENCOUNTER'])",
+            "ALL": "lower(PART) = 'part3'"}[mode]
+    return query(["registry"], {}, ["SELECT CHECK_ID, CHECK_NAME, CAST(ROW_NUM AS DOUBLE) AS CHECK_NUM, EDC_TABLE, PROC_NAME, array_to_string(SOURCE_TABLES, ',') AS SOURCE_TABLES, PART FROM registry "
+                                    f"WHERE coalesce(ENABLED, TRUE) AND {test}"])
+
+
+def registry_listing():
+    return query(["registry"], {}, ["SELECT CAST(ROW_NUM AS DOUBLE) AS ROW_NUM, PART, EDC_TABLE, DESCRIPTION, PROC_NAME, array_to_string(SOURCE_TABLES, ',') AS SOURCE_TABLES, ENABLED FROM registry"])
+
+
+def valuesets_view():
+    return query(["workbook"], {}, [
+        f"SELECT {norm('TABLE_NAME')} AS TABLE_NAME, {norm('FIELD_NAME')} AS FIELD_NAME, trim(VALUESET_ITEM) AS VALUESET_ITEM, VALUESET_ITEM_DESCRIPTOR, "
+        "CAST(TRY_CAST(VALUESET_ITEM_ORDER AS DECIMAL(38,0)) AS DOUBLE) AS VALUESET_ITEM_ORDER, CHANGED_IN_THIS_VERSION, SHEET_NAME AS SOURCE_SHEET, ROW_NUM AS SOURCE_ROW_NUM "
+        "FROM workbook WHERE upper(SHEET_NAME) = 'VALUESETS' AND TABLE_NAME IS NOT NULL AND FIELD_NAME IS NOT NULL AND VALUESET_ITEM IS NOT NULL"])
+
+
+def constraints_view():
+    return query(["workbook"], {}, [
+        f"SELECT {norm('TABLE_NAME')} AS TABLE_NAME, {norm('FIELD_NAME')} AS FIELD_NAME, CONSTRAINT_TEXT, CONSTRAINT_ORDER, CHANGED_IN_THIS_VERSION, "
+        "SHEET_NAME AS SOURCE_SHEET, ROW_NUM AS SOURCE_ROW_NUM FROM workbook WHERE upper(SHEET_NAME) = 'CONSTRAINTS' AND TABLE_NAME IS NOT NULL "
+        "AND FIELD_NAME IS NOT NULL AND CONSTRAINT_TEXT IS NOT NULL"])
