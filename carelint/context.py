@@ -101,7 +101,7 @@ class Context:
         """The table, restricted to the date window on its (or the given) date column."""
         df = self.source.frame(table)
         column = date_column or model.DATE_COLUMN.get(table)
-        if not windowed or column is None:
+        if not windowed or column is None or (self.start is None and self.end is None):
             return df
         return df.filter(self.window(df, column))
 

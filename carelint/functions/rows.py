@@ -7,7 +7,6 @@ A check aggregates once into a wide row per group and then spells out its metric
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +54,15 @@ def cells(df: DataFrame, items: Iterable[dict[str, Any]]) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
+def staged(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row, whatever refers to them.
+
+    The optimizer folds projections into each other and into filters, which repeats an
+    expression wherever its column is used; a one-element ``inline`` keeps it in one place.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def one_row(spark: SparkSession) -> DataFrame:
     return spark.range(1).select()
 
@@ -64,20 +72,29 @@ def literal_rows(spark: SparkSession, rows: Iterable[Column]) -> DataFrame:
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, list(frames))
+    """Union by name, built as a balanced tree: planning dozens of branches stays cheap."""
+    frames = list(frames)
+    while len(frames) > 1:
+        frames = [frames[i].unionByName(frames[i + 1]) if i + 1 < len(frames) else frames[i] for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
+def _literal(value: Any, kind: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {kind})"
+    if kind == "string":
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
+    return f"CAST({value} AS {kind})"
 
 
 def literal_table(spark: SparkSession, names: list[str], data: Iterable[tuple], types: list[str] | None = None) -> DataFrame:
-    """A small table of constants that Spark can size (and so may broadcast by itself)."""
+    """A small table of constants.  Spark knows its size, and so may broadcast it by itself."""
     types = types or ["string"] * len(names)
-    structs = [
-        F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(values, names, types, strict=True)])
-        for values in data
-    ]
-    if not structs:
-        schema = ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True))
-        return spark.createDataFrame([], schema)
-    return one_row(spark).select(F.inline(F.array(*structs)))
+    rows = ["(" + ", ".join(_literal(v, t) for v, t in zip(values, types, strict=True)) + ")" for values in data]
+    if not rows:
+        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True)))
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)})")
 
 
 def status(spark: SparkSession, value: str, *, source: str = "ALL", code_type: str | None = "ALL",

@@ -91,19 +91,15 @@ def _features(df: DataFrame) -> DataFrame:
 
     Positions are of the full clean code; CH codes are cut for length and comparison only.
     """
-    full = E.clean_code(F.col("code"))
-    cut = full
+    cut = F.col("full_code")
     for kind, width in CUT_TYPES.items():
-        cut = F.when(F.col("code_type") == kind, F.substring(full, 1, width)).otherwise(cut)
-    return (
-        df.withColumn("full_code", full).withColumn("code_clean", cut)
-        .withColumn("code_length", F.length("code_clean"))
-        .withColumn("alpha_pos", F.regexp_instr("full_code", F.lit("[A-Z]")))
-        .withColumn("digit_pos", F.regexp_instr("full_code", F.lit("[0-9]")))
-        .withColumn("has_alpha", E.flag(F.col("alpha_pos") > 0))
-        .withColumn("has_digit", E.flag(F.col("digit_pos") > 0))
-        .drop("full_code")
-    )
+        cut = F.when(F.col("code_type") == kind, F.substring("full_code", 1, width)).otherwise(cut)
+    df = R.staged(df, full_code=E.clean_code(F.col("code")))
+    df = R.staged(df, code_clean=cut, alpha_pos=F.regexp_instr("full_code", F.lit("[A-Z]")),
+                  digit_pos=F.regexp_instr("full_code", F.lit("[0-9]")))
+    return df.drop("full_code").withColumns({
+        "code_length": F.length("code_clean"), "has_alpha": E.flag(F.col("alpha_pos") > 0),
+        "has_digit": E.flag(F.col("digit_pos") > 0)})
 
 
 def _tests(rule: Rule) -> dict[str, Column | None]:
@@ -131,18 +127,29 @@ def _tests(rule: Rule) -> dict[str, Column | None]:
     return {"unexp_length": size, "unexp_alpha": alpha, "unexp_string": filler, "unexp_numeric": digit}
 
 
+# The distinct rules, and which (table, code type) pairs each one governs.
+_BY_RULE: dict[Rule, list[str]] = {}
+for _table, _types in RULES.items():
+    for _kind, _rule in _types.items():
+        _BY_RULE.setdefault(_rule, []).append(f"{_table}:{_kind}")
+
+
 def _judge(df: DataFrame) -> DataFrame:
     """Adds the four flags (null where a type has no such test) and ``bad``."""
+    pair = F.concat("table_name", F.lit(":"), "code_type")
+    number = None
+    for i, pairs in enumerate(_BY_RULE.values()):
+        number = F.when(pair.isin(*pairs), F.lit(i)) if number is None else number.when(pair.isin(*pairs), F.lit(i))
+    flags = {}
     for name in FLAGS:
         chain = None
-        for table, by_type in RULES.items():
-            for kind, rule in by_type.items():
-                test = _tests(rule)[name]
-                if test is None:
-                    continue
-                where = (F.col("table_name") == table) & (F.col("code_type") == kind)
-                chain = F.when(where, E.flag(test)) if chain is None else chain.when(where, E.flag(test))
-        df = df.withColumn(name, chain)
+        for i, rule in enumerate(_BY_RULE):
+            test = _tests(rule)[name]
+            if test is not None:
+                here = F.col("rule") == i
+                chain = F.when(here, E.flag(test)) if chain is None else chain.when(here, E.flag(test))
+        flags[name] = chain
+    df = R.staged(R.staged(df, rule=number), **flags).drop("rule")
     return df.withColumn("bad", F.greatest(*[F.coalesce(F.col(f), F.lit(0)) for f in FLAGS]))
 
 
