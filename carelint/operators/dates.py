@@ -11,7 +11,7 @@ from carelint import model
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
-from carelint.operators.tally import Tests, tally
+from carelint.operators.tally import Probe, tally
 
 _REFRESH = re.compile(r"REFRESH_.*_DATE")
 ENCOUNTER_SLACK_DAYS = 5
@@ -38,7 +38,7 @@ def future_dates(ctx: Context) -> DataFrame:
         live = [c for c in columns if ctx.wants(table) and ctx.has(table, c)]
         if live:
             df = ctx.frame(table)
-            tables.append(Tests(table, df, [
+            tables.append(Probe(table, df, [
                 (c, [E.date_of(df, c).isNotNull(), E.date_of(df, c) > newest_day]) for c in live]))
     if tables:
         n, late = F.col("dated"), F.col("late")
@@ -181,7 +181,7 @@ def _stop_before_start(ctx: Context, limit: float) -> list[DataFrame]:
         if ctx.wants(table) and ctx.has(table, start, stop):
             df = ctx.frame(table)
             a, b = E.date_of(df, start), E.date_of(df, stop)
-            tables.append(Tests(table, df, [(f"STOP_BEFORE_START:{start}:{stop}", [a.isNotNull() & b.isNotNull(), b < a])]))
+            tables.append(Probe(table, df, [(f"STOP_BEFORE_START:{start}:{stop}", [a.isNotNull() & b.isNotNull(), b < a])]))
     if not tables:
         return []
     return [R.emit(tally(ctx.spark, ["n", "bad"], tables), _illogical(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
-from carelint.operators.tally import Tests, tally
+from carelint.operators.tally import Probe, tally
 
 LAB = "LAB_RESULT_CM"
 CRITERIA = "TBL_IVI_REF_RAW"
@@ -66,7 +66,7 @@ def lab_known_result_funnel(ctx: Context) -> DataFrame:
         "KNOWN_TEST_RESULT_NUM_UNIT": test & numeric & E.known(F.col("RESULT_UNIT")),
         "KNOWN_TEST_NUM_RESULT_RANGE": test & numeric & _full_range(),
     }
-    counts = tally(ctx.spark, ["hits"], [Tests(LAB, ctx.frame(LAB), [(c, [tests[c]]) for c, _ in CATEGORIES])])
+    counts = tally(ctx.spark, ["hits"], [Probe(LAB, ctx.frame(LAB), [(c, [tests[c]]) for c, _ in CATEGORIES])])
     wide = counts.withColumn("judged", F.col("fld").isin(*[c for c, judged in CATEGORIES if judged])).withColumn("labels", _labels(ctx))
     n, hits, judged = F.col("total"), F.col("hits"), F.col("judged")
     share = E.percent(hits, n, empty=0.0)

@@ -20,8 +20,8 @@ BITS = 60
 
 
 @dataclass(frozen=True)
-class Tests:
-    """Tests of one table: per field (any label), one test for each fact."""
+class Probe:
+    """The tests of one table: per field (any label), one test for each fact."""
 
     table: str
     df: DataFrame
@@ -29,28 +29,28 @@ class Tests:
     weight: Column | None = None  # rows count as this many
 
 
-def _chunks(tests: Tests, width: int) -> list[Tests]:
-    size = max(1, BITS // width) if width else max(1, len(tests.fields))
-    fields = list(tests.fields)
-    return [Tests(tests.table, tests.df, fields[i:i + size], tests.weight) for i in range(0, len(fields), size)]
+def _chunks(probe: Probe, width: int) -> list[Probe]:
+    size = max(1, BITS // width) if width else max(1, len(probe.fields))
+    fields = list(probe.fields)
+    return [Probe(probe.table, probe.df, fields[i:i + size], probe.weight) for i in range(0, len(fields), size)]
 
 
-def tally(spark: SparkSession, facts: Sequence[str], tables: Sequence[Tests]) -> DataFrame:
+def tally(spark: SparkSession, facts: Sequence[str], tables: Sequence[Probe]) -> DataFrame:
     """(tbl, fld, total, <facts>): rows of the table, and rows that pass each fact's test.
 
     Every (table, field) has a row, also for an empty table.
     """
     width = len(facts)
     parts, grid = [], []
-    for t, tests in enumerate(c for whole in tables for c in _chunks(whole, width)):
+    for t, probe in enumerate(c for whole in tables for c in _chunks(whole, width)):
         mask = F.lit(0).cast("long")
-        for i, (field, columns) in enumerate(tests.fields):
-            grid.append((t, tests.table, field, *[i * width + j for j in range(width)]))
+        for i, (field, columns) in enumerate(probe.fields):
+            grid.append((t, probe.table, field, *[i * width + j for j in range(width)]))
             for j, test in enumerate(columns):
                 bit = F.lit(1 << (i * width + j)).cast("long")
                 mask = mask.bitwiseOR(F.when(test, bit).otherwise(F.lit(0).cast("long")))
-        weight = tests.weight if tests.weight is not None else F.lit(1)
-        parts.append(tests.df.select(F.lit(t).alias("t"), mask.alias("mask"), weight.cast("long").alias("n")))
+        weight = probe.weight if probe.weight is not None else F.lit(1)
+        parts.append(probe.df.select(F.lit(t).alias("t"), mask.alias("mask"), weight.cast("long").alias("n")))
     names = ["t", "tbl", "fld", *[f"bit_{f}" for f in facts]]
     layout = R.literal_table(spark, names, grid, ["int", "string", "string"] + ["int"] * width)
     # A zero row per table keeps empty tables in the result.
@@ -63,4 +63,4 @@ def tally(spark: SparkSession, facts: Sequence[str], tables: Sequence[Tests]) ->
 
 def row_counts(spark: SparkSession, tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(tbl, n): no column is read, so columnar formats answer from their footers."""
-    return tally(spark, (), [Tests(name, df, [("", ())]) for name, df in tables]).select("tbl", F.col("total").alias("n"))
+    return tally(spark, (), [Probe(name, df, [("", ())]) for name, df in tables]).select("tbl", F.col("total").alias("n"))

@@ -14,7 +14,7 @@ from carelint import model
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
-from carelint.operators.tally import Tests, tally
+from carelint.operators.tally import Probe, tally
 
 TOP_VALUES = 100
 
@@ -27,7 +27,7 @@ def _missing_rates(ctx: Context, fields: Mapping[str, Sequence[str]], *, field_s
         live = [c for c in columns if ctx.wants(table) and ctx.has(table, c)]
         if live:
             df = ctx.frame(table)
-            tables.append(Tests(table, df, [
+            tables.append(Probe(table, df, [
                 (c, [~E.present(F.col(c)) if E.is_string(df, c) else F.col(c).isNull()]) for c in live]))
     if not tables:
         return []
@@ -172,7 +172,7 @@ def zip_format(ctx: Context) -> DataFrame:
     parts = []
     if live:
         counts = tally(ctx.spark, ["n", "bad"], [
-            Tests(table, ctx.frame(table), [
+            Probe(table, ctx.frame(table), [
                 (c, [E.present(F.col(c)), E.present(F.col(c)) & ~_digits(F.col(c), length)]) for t, c, length in live if t == table])
             for table in dict.fromkeys(t for t, _, _ in live)])
         n, bad, tbl, fld = F.col("n"), F.col("bad"), F.col("tbl"), F.col("fld")
@@ -237,7 +237,7 @@ def numeric_range_outliers(ctx: Context) -> DataFrame:
         return column, [x.isNotNull(), x < low, x > high]
 
     counts = tally(ctx.spark, ["n", "low", "high"], [
-        Tests(table, ctx.frame(table), [tests(*s[1:]) for s in live if s[0] == table])
+        Probe(table, ctx.frame(table), [tests(*s[1:]) for s in live if s[0] == table])
         for table in dict.fromkeys(t for t, *_ in live)])
     n, lo, hi = F.col("n"), F.col("low"), F.col("high")
     share = E.percent(lo + hi, n, empty=0.0)

@@ -11,7 +11,7 @@ from carelint import model
 from carelint.context import Context
 from carelint.functions import expr as E
 from carelint.functions import rows as R
-from carelint.operators.tally import Tests, tally
+from carelint.operators.tally import Probe, tally
 
 
 def month_start(day: dt.date, months_back: int = 0) -> dt.date:
@@ -51,7 +51,7 @@ def _volume_drop(ctx: Context, series: list[tuple[str, DataFrame]], months_back:
     bench_low, bench_high = month_start(at, 23), month_start(at, 11)
     day, n = F.col("day"), F.col("n")
     near = (day >= F.lit(bench_low)) & (day < F.lit(high))
-    tables = [Tests(name, df.filter(near), [("", [day >= F.lit(low), day < F.lit(bench_high)])], n) for name, df in series]
+    tables = [Probe(name, df.filter(near), [("", [day >= F.lit(low), day < F.lit(bench_high)])], n) for name, df in series]
     tail_at = {"source": "ALL", "edc": ctx.scope, "code_type": "ALL", "threshold": limit}
     info = R.details(target_table=ctx.scope, anchor_date=at.isoformat(), evaluated_series=",".join(s for s, _ in series))
 

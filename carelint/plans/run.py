@@ -99,7 +99,8 @@ class Store:
         body.coalesce(1).write.mode("overwrite").parquet(where)
 
     def _append(self, name: str, schema: str, values: list[tuple]) -> None:
-        self.spark.createDataFrame(values, schema + EVENT).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+        # A folder of its own per append: concurrent checks (and drivers) never share a commit.
+        self.spark.createDataFrame(values, schema + EVENT).coalesce(1).write.parquet(f"{self.path}/{name}/batch={uuid.uuid4()}")
 
     def _latest(self, name: str, schema: str, *key: str) -> DataFrame:
         events = self._read(name, schema + EVENT)

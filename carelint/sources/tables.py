@@ -55,10 +55,11 @@ class TableSource:
                 continue
             full = f"{schema}.`{table.name}`"
             openers[table.name] = lambda full=full: spark.table(full)
-            for column in spark.catalog.listColumns(full):
-                found = _LENGTH.search(column.dataType) if "char" in column.dataType.lower() else None
+            # DESCRIBE is where the declared char and varchar types are still visible.
+            for column in spark.sql(f"DESCRIBE TABLE {full}").collect():
+                found = _LENGTH.search(column.data_type) if "char" in column.data_type.lower() else None
                 if found:
-                    lengths[(table.name, column.name)] = int(found.group(1))
+                    lengths[(table.name, column.col_name)] = int(found.group(1))
         return cls(spark, openers, lengths)
 
     def with_frames(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame] | None]) -> TableSource:
