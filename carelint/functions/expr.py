@@ -57,12 +57,8 @@ def date_of(df: DataFrame, column: str, formats: tuple[str, ...] = ()) -> Column
     return F.coalesce(iso, *[F.try_to_date(text(c), f) for f in formats]) if formats else iso
 
 
-def comparable(df: DataFrame, column: str) -> Column:
-    """Text under which equal values of differently typed columns (date, timestamp) are equal."""
-    kind = df.schema[_real_name(df, column)].dataType
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return text(F.col(column).cast("timestamp_ntz"))
-    return text(F.col(column))
+def is_dated(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[_real_name(df, column)].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
 def month(c: Column) -> Column:

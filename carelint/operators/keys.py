@@ -172,12 +172,15 @@ def replication_mismatch(ctx: Context) -> DataFrame:
             live.append(table)
     if live:
         sides = ["ENCOUNTER", *live]
+        # Dates and timestamps compare as points in time; any text column makes it a text comparison.
+        dated = all(E.is_dated(ctx.source.frame(t), "ADMIT_DATE") for t in sides)
+        admitted = F.col("ADMIT_DATE").cast("timestamp_ntz" if dated else "string")
 
         def side(i: int, table: str) -> DataFrame:
             # This check has no date window: a copy is compared whatever its date.
             df = ctx.frame(table, windowed=False).filter(F.col("ENCOUNTERID").isNotNull())
             return df.select(E.text(F.col("ENCOUNTERID")).alias("id"), E.text(F.col("ENC_TYPE")).alias("typ"),
-                             E.comparable(df, "ADMIT_DATE").alias("adm"),
+                             admitted.alias("adm"),
                              *[F.lit(1 if j == i else 0).cast("long").alias(f"s{j}") for j in range(len(sides))])
 
         rows = R.union_all([side(i, t) for i, t in enumerate(sides)])

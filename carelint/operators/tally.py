@@ -54,7 +54,7 @@ def tally(spark: SparkSession, facts: Sequence[str], tables: Sequence[Probe]) ->
     names = ["t", "tbl", "fld", *[f"bit_{f}" for f in facts]]
     layout = R.literal_table(spark, names, grid, ["int", "string", "string"] + ["int"] * width)
     # A zero row per table keeps empty tables in the result.
-    parts.append(layout.select("t", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("n")).distinct())
+    parts.append(R.literal_table(spark, ["t", "mask", "n"], [(t, 0, 0) for t in sorted({g[0] for g in grid})], ["int", "bigint", "bigint"]))
     counts = R.union_all(parts).groupBy("t", "mask").agg(F.sum("n").alias("n"))
     return counts.join(layout, "t").groupBy("tbl", "fld").agg(
         F.sum("n").alias("total"),

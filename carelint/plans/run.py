@@ -94,9 +94,10 @@ class Store:
                 about = (F.upper("source_table") == target) | ((F.col("source_table") == "ALL") & (F.upper("edc_table") == target))
                 # The partition cannot be read and replaced at once: merge beside it first.
                 beside = f"{self.path}/_merge/{run_id}/{row_num}/{uuid.uuid4()}"
-                old.filter(~F.coalesce(about, F.lit(False))).unionByName(body).coalesce(1).write.parquet(beside)
+                old.filter(~F.coalesce(about, F.lit(False))).unionByName(body).hint("rebalance").write.parquet(beside)
                 body = self.spark.read.schema(schema).parquet(beside)
-        body.coalesce(1).write.mode("overwrite").parquet(where)
+        # Rebalancing writes few files for few rows and keeps big results spread out.
+        body.hint("rebalance").write.mode("overwrite").parquet(where)
 
     def _append(self, name: str, schema: str, values: list[tuple]) -> None:
         # A folder of its own per append: concurrent checks (and drivers) never share a commit.

@@ -15,6 +15,7 @@ def spark():
     session = (SparkSession.builder.master("local[8]").appName("carelint-tests")
                .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.maxMetadataStringLength", "10000")
                .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
