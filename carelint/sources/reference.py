@@ -29,7 +29,7 @@ SCHEMAS = {
                           "OBS_CLIN decimal(38,0), MED_ADMIN decimal(38,0), PRESCRIBING decimal(38,0), DISPENSING decimal(38,0)",
     "TBL_IVI_REF_RAW": "DESCRIPTION string, SOURCE_TABLE_ROW string, CODE_CRITERIA string, RESULT_NUM_CRITERIA string, "
                        "RESULT_MODIFIER_CRITERIA string, OTHER_CRITERIA string, QUERY_PACKAGE string",
-    "DCQ_CHECK_REGISTRY": "CHECK_ID string, CHECK_NAME string, ROW_NUM decimal(10,2), ROW_NUM_STR string, PART string, "
+    "CHECK_REGISTRY": "CHECK_ID string, CHECK_NAME string, ROW_NUM decimal(10,2), ROW_NUM_STR string, PART string, "
                           "EDC_TABLE string, DESCRIPTION string, PROC_NAME string, SOURCE_TABLES array<string>, ENABLED boolean, "
                           "ROW_NUM_CANON string, DOC_SUMMARY string, DOC_RUN string, DOC_OUTPUT string, "
                           "DOC_INTERPRETATION string, METRICS array<string>, EXCEPTION_METRICS array<string>, THRESHOLDS variant",

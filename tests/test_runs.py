@@ -107,7 +107,7 @@ def test_reference_json_round_trip(spark, tmp_path):
     data = [{"CHECK_ID": "A", "ROW_NUM": 1.08, "SOURCE_TABLES": ["X", "Y"], "ENABLED": True, "THRESHOLDS": {"pct": 5}}, {"CHECK_ID": "B"}]
     path = tmp_path / "registry.json.gz"
     path.write_bytes(gzip.compress(json.dumps(data).encode()))
-    df = ref.load_reference_json(spark, str(path), "DCQ_CHECK_REGISTRY")
+    df = ref.load_reference_json(spark, str(path), "CHECK_REGISTRY")
     got = {r.CHECK_ID: r for r in df.withColumn("pct", F.variant_get("THRESHOLDS", "$.pct", "int")).collect()}
     assert got["A"].SOURCE_TABLES == ["X", "Y"] and str(got["A"].ROW_NUM) == "1.08" and got["A"].pct == 5 and got["B"].ENABLED is None
     loinc = tmp_path / "loinc.json"
