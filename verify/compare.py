@@ -21,6 +21,7 @@ def spark_session(cores: int = 8):
     spark = (SparkSession.builder.master(f"local[{cores}]").appName("carelint")
              .config("spark.sql.shuffle.partitions", str(cores)).config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # several times faster plan building
              .config("spark.sql.adaptive.enabled", "true").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,7 +15,7 @@ from carelint.functions import rows as R
 from carelint.sources.reference import SCHEMAS, constraints_view, valuesets_view
 
 ANCHOR = "2001-08-15"
-LINES = "lineitem JOIN orders ON l_orderkey = o_orderkey"
+LINES = "lineitem"
 
 
 def _s(x: str) -> str:
@@ -45,10 +45,23 @@ def _enctype(k: str) -> str:
 
 
 _DX = ("250.00", "E11.9", "000", "V70.0", "Z", "999.1", "1A2", " e11.65 ", "ABCD")
-_PAT = _id("P", "o_custkey")
+
+
+def _patient(order: str) -> str:
+    """Ten orders in a row belong to one patient (there are ten orders per customer)."""
+    return _id("P", f"CAST(floor({order} / 10) AS BIGINT)")
+
+
+def _admitted(order: str) -> str:
+    """The admission date is a function of the order, so that lines can carry copies of it."""
+    return f"{_dt(chr(39) + '1995-01-01' + chr(39))} + {_int(f'({order} * 37) % 2400')}"
+
+
+_PAT = _patient("l_orderkey")
 _ENC = _id("E", "l_orderkey")
 _SHIP = _dt("l_shipdate")
-_ORDER = _dt("o_orderdate")
+_ORDER = f"({_admitted('l_orderkey')})"
+_ADMIT = f"({_admitted('o_orderkey')})"
 
 # name -> (from, where, {column: expression})
 TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
@@ -78,10 +91,10 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "PROVIDER": ("supplier", None, {"PROVIDERID": _id("V", "s_suppkey")}),
     "ENCOUNTER": ("orders", None, {
         "ENCOUNTERID": f"CASE WHEN o_orderkey % 400 = 3 THEN NULL WHEN o_orderkey % 401 = 5 THEN 'E1' ELSE {_id('E', 'o_orderkey')} END",
-        "PATID": _PAT,
-        "ADMIT_DATE": f"CASE WHEN o_orderkey % 97 = 1 THEN NULL ELSE {_ORDER} END",
-        "DISCHARGE_DATE": f"CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 301 = 2 THEN {_ORDER} - 30 "
-                          f"ELSE {_ORDER} + {_int('o_orderkey % 6')} END",
+        "PATID": _patient("o_orderkey"),
+        "ADMIT_DATE": f"CASE WHEN o_orderkey % 97 = 1 THEN NULL ELSE {_ADMIT} END",
+        "DISCHARGE_DATE": f"CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 301 = 2 THEN {_ADMIT} - 30 "
+                          f"ELSE {_ADMIT} + {_int('o_orderkey % 6')} END",
         "ENC_TYPE": _enctype("o_orderkey"),
         "PROVIDERID": "CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN 'V9999' WHEN o_orderkey % 31 = 0 THEN ' ' "
                       f"ELSE {_id('V', 'o_custkey % 100')} END",
@@ -317,15 +330,9 @@ CONSTRAINTS = [
 ]
 
 
-def _base(tables: dict[str, DataFrame], source: str) -> DataFrame:
-    if source == LINES:
-        return tables["lineitem"].join(tables["orders"], tables["lineitem"]["l_orderkey"] == tables["orders"]["o_orderkey"])
-    return tables[source]
-
-
-def _frame(given: dict[str, DataFrame], spec: tuple[str, str | None, dict[str, str]]) -> DataFrame:
+def _frame(given: Given, spec: tuple[str, str | None, dict[str, str]]) -> DataFrame:
     source, where, columns = spec
-    df = _base(given, source)
+    df = given[source]
     if where:
         df = df.filter(where)
     return df.selectExpr(*[f"{x} AS {c}" for c, x in columns.items()])
