@@ -315,3 +315,9 @@ CODE_DOMAINS = (
     ("OBS_GEN", "OBSGENID", "OBSGEN_CODE", "OBSGEN_TYPE", None, ("LC", "SM")),
     ("OBS_CLIN", "OBSCLINID", "OBSCLIN_CODE", "OBSCLIN_TYPE", None, ("LC", "SM")),
 )
+
+# Every column that some check reads as a date.
+ALL_DATE_COLUMNS = frozenset(
+    {"BIRTH_DATE", "DEATH_DATE", "ADMIT_DATE", "DISCHARGE_DATE"} | set(DATE_COLUMN.values()) | set(REFRESH_COLUMNS.values())
+    | {c for cs in (*FUTURE_DATE_COLUMNS.values(), *SERVICE_DATE_COLUMNS.values()) for c in cs}
+    | {c for _, a, b in START_STOP_COLUMNS for c in (a, b)})

@@ -180,7 +180,9 @@ def code_summary(ctx: Context, tables=None) -> DataFrame:
         F.count(F.lit(1)).alias("total_codes"),
         F.sum("bad_n").alias("bad_records"),
         E.n_where(F.col("bad_n") > 0).alias("bad_codes"),
-    ).withColumn("bad_record_pct", E.percent(F.col("bad_records"), F.col("total_records"), empty=0.0))
+    ).withColumns({
+        "bad_record_pct": E.percent(F.col("bad_records"), F.col("total_records"), empty=0.0),
+        "datamartid": F.lit(ctx.option("datamartid", None)).cast("string"), "query_date": F.lit(ctx.as_of)})
 
 
 def code_error_summary(ctx: Context) -> DataFrame:
@@ -192,8 +194,9 @@ def code_error_summary(ctx: Context) -> DataFrame:
     summary = code_summary(ctx)
     bad = F.col("bad_record_pct") > limit
     names = ("total_records", "total_codes", "bad_records", "bad_codes", "bad_record_pct")
+    info = (*names, "datamartid", "query_date")
     at = {"source": F.col("table_name"), "code_type": F.col("code_type"), "threshold": limit, "exc": bad,
-          "details": R.details(**{n: F.col(n) for n in names})}
+          "details": R.details(**{n: F.col(n) for n in info})}
     return R.emit(summary, [R.row(n.upper(), F.col(n), **at) for n in names])
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelint import model
+from carelint.functions import expr as E
 from carelint.functions import rows as R
 
 _LENGTH = re.compile(r"\((\d+)\)")
@@ -74,6 +76,19 @@ class TableSource:
                 openers[name.upper()] = lambda frame=frame: frame
         return TableSource(self.spark, openers, self._lengths)
 
+    def with_parsed_dates(self, formats: tuple[str, ...]) -> TableSource:
+        """A copy whose text columns that the checks read as dates are parsed.
+
+        ISO dates are read anyway; this is for sources that store other formats.  Structure
+        checks should look at the source as it is.
+        """
+        def parsed(table: str) -> DataFrame:
+            df = self.frame(table)
+            texts = [c for c in df.columns if c.upper() in model.ALL_DATE_COLUMNS and E.is_string(df, c)]
+            return df.withColumns({c: E.date_of(df, c, formats) for c in texts}) if texts else df
+
+        return self.with_frames({t: (lambda t=t: parsed(t)) for t in self.names()})
+
     # ------------------------------------------------------------------------ lookup
     def names(self) -> list[str]:
         return sorted(self._openers)

@@ -273,3 +273,29 @@ def test_invariants(spark, sf):
     f = values(CHECKS["3.09"](ctx), "code_type")
     chain = [f[(c, "CATEGORY_N")] for c in ("KNOWN_TEST", "KNOWN_TEST_RESULT", "KNOWN_TEST_RESULT_NUM", "KNOWN_TEST_RESULT_NUM_UNIT")]
     assert chain == sorted(chain, reverse=True)
+
+
+def test_other_date_formats(make):
+    rows = [("a", "15/02/2001"), ("b", "2001-02-16"), ("c", "2001/99/99")]
+    ctx = make({"VITAL": ("PATID string, MEASURE_DATE string", rows)}, start="2001-02-15", end="2001-02-16", target="VITAL")
+    def n(c):
+        return values(CHECKS["3.03"](c), "code_type")[("PATID", "DENOM_N")]
+    assert n(ctx) == 1
+    from dataclasses import replace
+    assert n(replace(ctx, source=ctx.source.with_parsed_dates(("dd/MM/yyyy",)))) == 2
+
+
+def test_pool_and_coverage_flags(make):
+    day = D(2001, 5, 1)
+    enc = [(f"p{i}", day, "AV") for i in range(10)] + [("old", D(1996, 8, 14), "AV"), ("edge", D(1996, 8, 15), " av"), (" ", day, "AV")]
+    tables = {"DEMOGRAPHIC": ("PATID string", [("p1",)]), "ENCOUNTER": ("PATID string, ADMIT_DATE date, ENC_TYPE string", enc),
+              "DIAGNOSIS": ("PATID string, DX_DATE date, ENC_TYPE string", [(f"p{i}", day, "AV") for i in range(8)]),
+              "VITAL": ("PATID string, MEASURE_DATE date", [(f"p{i}", day) for i in range(1, 9)]), "PROCEDURES": ("PATID string, PX_DATE date", [("p1", day)])}
+    df = CHECKS["2.09"](make(tables, anchor="2001-08-15"))
+    v = values(df, "source_table")
+    # "edge" is in the five-year window, but its type is not trimmed; "old" is a day too early.
+    assert v[("ENCOUNTER", "ENC_L3_DASH2_5YR_N")] == 10 and v[("ENCOUNTER", "ENC_L3_N")] == 12
+    assert v[("ALL", "XTBL_L3_DASH1_N")] == 7 and v[("ALL", "PCT_ENC_FTF_5YR_WITH_DX_AND_VITAL")] == 70 and v[("ALL", "XTBL_L3_DASH3_N")] == 0
+    assert {m for _, _, m in flagged(df)} == {"PCT_ENC_FTF_5YR_WITH_DX_AND_VITAL_FLAG", "PCT_ENC_ANY_WITH_PROC_FLAG"}
+    assert ("PROCEDURES", "PATID_COVERAGE", "PROCEDURES_COVERAGE_FLAG") in flagged(CHECKS["3.05"](make(tables)))
+    assert not flagged(CHECKS["3.04"](make(tables)))

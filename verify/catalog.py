@@ -104,11 +104,14 @@ _check("dc_4_01_snapshot_table_change", "4.01", sql.snapshot_table_change)
 _check("dc_4_02_snapshot_enctype_change", "4.02", sql.snapshot_enctype_change)
 _check("dc_4_03_snapshot_code_change", "4.03", sql.snapshot_code_change)
 
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.code_summary(fx.context(spark, sf_dir)).withColumn("bad_record_pct", F.round("bad_record_pct", 6)).drop("datamartid", "query_date")
+
+
 QUERIES["pce_code_validation"] = Query(lambda s, d: codes.code_validation(fx.context(s, d)), sql.code_validation)
 QUERIES["pce_bad_code_rows"] = Query(
     lambda s, d: codes.bad_code_rows(fx.context(s, d)).withColumns({f: F.col(f).cast("double") for f in codes.FLAGS}), sql.bad_code_rows)
-QUERIES["pce_code_summary"] = Query(
-    lambda s, d: codes.code_summary(fx.context(s, d)).withColumn("bad_record_pct", F.round("bad_record_pct", 6)), sql.code_summary)
+QUERIES["pce_code_summary"] = Query(lambda s, d: _summary(s, d), sql.code_summary)
 QUERIES["pce_code_issue_count"] = Query(lambda s, d: codes.code_issue_count(codes.code_summary(fx.context(s, d))), sql.code_issue_count)
 
 
@@ -152,6 +155,8 @@ QUERIES["results_pivot"] = Query(
     lambda s, d: _rounded(views.results_pivot(stored(s, d), PIVOTED), "ORPHAN_PATID_PCT", "EXTREME_PCT"), sql.results_pivot)
 QUERIES["results_filtered"] = Query(
     lambda s, d: _rounded(views.results_filtered(stored(s, d), "R1", "2.02"), "value_num").drop("value_str", "details"), sql.results_filtered)
+QUERIES["results_listing"] = Query(  # all rows share one creation time, so the listing must hold them all to be comparable
+    lambda s, d: _rounded(views.results_listing(stored(s, d), "R1", 5000), "value_num").select(*views.CORE).drop("value_str"), sql.results_listing)
 QUERIES["run_checks_list"] = Query(lambda s, d: _plain(views.run_checks_list(stored(s, d), "R1")), sql.run_checks_list)
 QUERIES["results_details_flat"] = Query(_flat, sql.results_details_flat)
 QUERIES["recent_runs"] = Query(lambda s, d: _plain(views.recent_runs(fx.runs(s, d))), sql.recent_runs)
@@ -162,6 +167,6 @@ for _mode, _selector, _part in (("CHECK_NUM", " 1.05, 2.5 ,x", "all"), ("SOURCE_
         lambda s, d, m=_mode, w=_selector, p=_part: _plain(select_checks(fx.registry(s, d), m, w, p)), lambda m=_mode: sql.select_checks(m))
 QUERIES["registry_listing"] = Query(lambda s, d: _plain(views.registry_listing(fx.registry(s, d))), sql.registry_listing)
 QUERIES["code_summary_listing"] = Query(
-    lambda s, d: views.code_summary_listing(_rounded(codes.code_summary(fx.context(s, d)), "bad_record_pct")), sql.code_summary)
+    lambda s, d: views.code_summary_listing(_summary(s, d)), sql.code_summary)
 QUERIES["valuesets_view"] = Query(lambda s, d: _plain(valuesets_view(fx.part_workbook(s, d))), sql.valuesets_view)
 QUERIES["constraints_view"] = Query(lambda s, d: _plain(constraints_view(fx.part_workbook(s, d))), sql.constraints_view)

@@ -846,6 +846,10 @@ def results_filtered():
             f"FROM ({_stored()}) WHERE row_num = 2.02")
 
 
+def results_listing():
+    return f"SELECT row_num, check_name, source_table, code_type, metric, value_num, threshold_num, exception_flag FROM ({_stored()})"
+
+
 def run_checks_list():
     return f"SELECT DISTINCT row_num, check_name FROM ({_stored()})"
 
