@@ -114,8 +114,8 @@ class TableSource:
 
         Spark strings carry no declared length.  ``declared`` uses the lengths the source
         was given (a catalog's char/varchar, or a caller's manifest) and leaves the others
-        null; ``observed`` measures the longest value of each string column, one scan and
-        one aggregate row per table.
+        null; ``observed`` measures the longest value of each string column, one scan per table
+        and one small shuffle for all.
         """
         names = [t for t in self.names() if tables is None or t in set(tables)]
         wanted = None if columns is None else set(columns)
@@ -128,18 +128,25 @@ class TableSource:
                     for t in names for f in fields(t)]
             return R.literal_table(self.spark, ["table_name", "column_name", "data_type", "char_max_len"], data,
                                    ["string", "string", "string", "int"])
-        parts = []
-        for t in names:
-            cols = fields(t)
-            if not cols:
-                continue
-            measured = [F.max(F.length(f.name)).alias(f"m{i}") if _is_text(f.dataType) else F.max(F.lit(None).cast("int")).alias(f"m{i}")
-                        for i, f in enumerate(cols)]
-            structs = [F.struct(F.lit(t).alias("table_name"), F.lit(f.name.upper()).alias("column_name"),
-                                F.lit(_type_name(f.dataType)).alias("data_type"), F.col(f"m{i}").alias("char_max_len"))
-                       for i, f in enumerate(cols)]
-            parts.append(self.frame(t).agg(*measured).select(F.inline(F.array(*structs))))
-        return R.union_all(parts)
+        # All tables in one stage: lengths sit side by side, padded to the widest table.
+        texts = {t: [f for f in fields(t) if _is_text(f.dataType)] for t in names}
+        width = max((len(fs) for fs in texts.values()), default=0)
+        none = F.lit(None).cast("int")
+        layout, parts = [], []
+        for i, t in enumerate(names):
+            position = {f.name: j for j, f in enumerate(texts[t])}
+            layout += [(i, position.get(f.name), t, f.name.upper(), _type_name(f.dataType)) for f in fields(t)]
+            if texts[t]:
+                lengths_of = [F.length(f.name) for f in texts[t]] + [none] * (width - len(texts[t]))
+                parts.append(self.frame(t).select(F.lit(i).alias("t"), *[c.alias(f"l{j}") for j, c in enumerate(lengths_of)]))
+        listing = R.literal_table(self.spark, ["t", "j", "table_name", "column_name", "data_type"], layout,
+                                  ["int", "int", "string", "string", "string"])
+        if not parts:
+            return listing.select("table_name", "column_name", "data_type", none.alias("char_max_len"))
+        longest = R.union_all(parts).groupBy("t").agg(*[F.max(f"l{j}").alias(f"l{j}") for j in range(width)])
+        longest = longest.select("t", F.array(*[f"l{j}" for j in range(width)]).alias("longest"))
+        return listing.join(longest, "t", "left").select(
+            "table_name", "column_name", "data_type", F.get("longest", F.col("j")).alias("char_max_len"))
 
 
 def _is_text(kind: T.DataType) -> bool:
