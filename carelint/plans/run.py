@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelint.context import Context
-from carelint.functions import rows as R
 from carelint.operators import CHECKS
 from carelint.plans import registry as reg
 
