@@ -86,9 +86,11 @@ def directions(vectors: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for dim, g in b.groupby(b["embedding"].map(len)):
-                x = matrix(g["embedding"])
-                row, word = passed(x / norms(x)[:, None])
-                yield pd.DataFrame({"vec_id": g["vec_id"].to_numpy()[row], "label": g["label"].to_numpy()[row], "dim": dim, "f": word})
+                for at in range(0, len(g), PART):
+                    own = g.iloc[at : at + PART]
+                    x = matrix(own["embedding"])
+                    row, word = passed(x / norms(x)[:, None])
+                    yield pd.DataFrame({"vec_id": own["vec_id"].to_numpy()[row], "label": own["label"].to_numpy()[row], "dim": dim, "f": word})
 
     return vectors.select("vec_id", "label", "embedding").mapInPandas(run, f"vec_id long, label {vectors.schema['label'].dataType.simpleString()}, dim int, f long")
 

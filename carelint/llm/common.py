@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,18 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def slices(sizes: list[int], limit: int) -> Iterator[slice]:
+    """Consecutive runs of about ``limit`` in all, for work in bounded memory whatever a batch holds."""
+    at, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > at and total + n > limit:
+            yield slice(at, i)
+            at, total = i, 0
+        total += n
+    if at < len(sizes):
+        yield slice(at, len(sizes))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 

@@ -23,13 +23,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelint.llm.common import PIECES, tokenizer_path, written
+from carelint.llm.common import PIECES, slices, tokenizer_path, written
 
 UNKNOWN = "und"
 #: Bounds of the fit: about so many labelled documents of a language (chosen by a hash of doc_id), passes, and the pseudo-count of a piece.
 TRAIN_DOCS, ROUNDS, SMOOTH = 3000, 3, 0.05
-#: Words are cut into runs of so many characters (words that long are no words), and passed in blocks.
-LONGEST, BLOCK, MEMO_SIZE = 48, 1 << 15, 300_000
+#: Words are cut into runs of so many characters (words that long are no words), and passed in blocks; texts
+#: are split a few million characters at a time.
+LONGEST, BLOCK, MEMO_SIZE, HELD = 48, 1 << 13, 300_000, 4 << 20
 MARK = "▁"
 LETTER = regex.compile(r"\p{L}").search
 
@@ -273,8 +274,9 @@ class Scorer:
     def decide(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Language and posterior of each text."""
         pred, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-        own = [i for i, t in enumerate(texts) if t and LETTER(t)]
-        if own and self.model.langs:
+        lettered = [i for i, t in enumerate(texts) if t and LETTER(t)]
+        for s in slices([len(texts[i]) for i in lettered], HELD) if self.model.langs else ():
+            own = lettered[s]
             log = self.texts([texts[i] for i in own]) + self.model.prior
             best = log.argmax(axis=1)
             pred[own] = np.array(self.model.langs, object)[best]
