@@ -5,6 +5,7 @@ checks then read those.  Each check runs twice and the second time counts.
 
     BENCH_SF_DIR  given tables (default /root/testdata/sf0.1)
     BENCH_CPUS    cores (default 8)
+    BENCH_DIR     folder for the tables, shared with the executors on a cluster (default: a new local one)
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
     spark = spark_session(cores)
-    where = tempfile.mkdtemp(prefix="carelint-bench-")
+    where = os.environ.get("BENCH_DIR") or tempfile.mkdtemp(prefix="carelint-bench-")
     begin = time.time()
     write_tables(spark, sf_dir, where)
     prepared = time.time() - begin

@@ -16,19 +16,26 @@ from pyspark.sql import functions as F
 from carelint.functions import expr as E
 from carelint.functions import rows as R
 
-MAX_SETS = 63
+MASK_BITS = 63
 
 
 def id_masks(sets: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
-    """(id, mask): bit i of the mask is set when set i holds the id.  Null ids are skipped."""
-    if len(sets) > MAX_SETS:
-        raise ValueError(f"at most {MAX_SETS} id sets fit one mask")
+    """(id, mask, mask1, ...): bit i is set when set i holds the id.  Null ids are skipped.
+
+    Every mask has room for ``MASK_BITS`` sets; there are as many masks as the sets need.
+    """
+    masks = max(1, -(-len(sets) // MASK_BITS))
     tagged = [
-        df.select(E.text(c).alias("id"), F.lit(1 << i).cast("long").alias("bit")).filter(F.col("id").isNotNull())
+        df.select(E.text(c).alias("id"), *[F.lit(1 << i % MASK_BITS if m == i // MASK_BITS else 0).cast("long").alias(f"bit{m}") for m in range(masks)])
+        .filter(F.col("id").isNotNull())
         for i, (df, c) in enumerate(sets)
     ]
-    return R.union_all(tagged).groupBy("id").agg(F.bit_or("bit").alias("mask"))
+    return R.union_all(tagged).groupBy("id").agg(*[F.bit_or(f"bit{m}").alias(_mask(m)) for m in range(masks)])
+
+
+def _mask(m: int) -> str:
+    return f"mask{m or ''}"
 
 
 def in_set(i: int) -> Column:
-    return F.col("mask").bitwiseAND(F.lit(1 << i).cast("long")) != 0
+    return F.col(_mask(i // MASK_BITS)).bitwiseAND(F.lit(1 << i % MASK_BITS).cast("long")) != 0

@@ -32,11 +32,37 @@ def _no_previous(ctx: Context) -> DataFrame:
     return R.status(ctx.spark, "SKIPPED", edc=ctx.scope, threshold=LIMIT, message="No previous snapshot given")
 
 
-def _tail(ctx: Context, any_drop: Column | None) -> list[Column]:
+def _lacking(sides: dict, needs: dict[str, tuple[str, ...]]) -> tuple[str, list[str], list[str]]:
+    """Which snapshot lacks what of a domain's tables and columns."""
+    lost = {name: [f"{t}.{c}" if s.has(t) else t for t, cs in needs.items() for c in (cs or (None,)) if not s.has(t, *([c] if c else []))]
+            for name, s in sides.items()}
+    side = "BOTH" if lost["prev"] and lost["cur"] else "PREVIOUS" if lost["prev"] else "CURRENT"
+    return side, list(dict.fromkeys(lost["prev"])), list(dict.fromkeys(lost["cur"]))
+
+
+def _skipped(sides: dict, domains: dict[str, tuple[str, dict]]) -> tuple[list[str], list[Column]]:
+    """Names of domains that can't be compared, and a row for each that only one snapshot can serve.
+
+    ``domains``: by name, the label of its rows and the tables and columns it needs.  What the current
+    snapshot has lost is an exception: no drop could be larger.
+    """
+    names, rows = [], []
+    for name, (label, needs) in domains.items():
+        side, prev, cur = _lacking(sides, needs)
+        if not prev and not cur:
+            continue
+        names.append(f"{name}: {side}")
+        if side != "BOTH":
+            rows.append(R.row("STATUS", None, text="SKIPPED", source=name, edc=label, code_type="ALL", threshold=LIMIT, exc=side == "CURRENT", details=R.details(
+                domain=name, lacking_side=side, previous_lacks=R.json_list(prev), current_lacks=R.json_list(cur))))
+    return names, rows
+
+
+def _tail(ctx: Context, any_drop: Column | None, skipped: tuple[list[str], list[Column]] = ([], [])) -> list[Column]:
     at = {"source": "ALL", "edc": ctx.scope, "code_type": "ALL", "threshold": LIMIT,
-          "details": R.details(target_table=ctx.scope)}
+          "details": R.details(target_table=ctx.scope, skipped=R.json_list(skipped[0]))}
     flag = [] if any_drop is None else [R.row("ANY_DECREASE_FLAG", E.flag(any_drop), exc=any_drop, **at)]
-    return [*flag, R.row("STATUS", None, text="OK", **at)]
+    return [*skipped[1], *flag, R.row("STATUS", None, text="OK", **at)]
 
 
 def snapshot_table_change(ctx: Context) -> DataFrame:
@@ -47,9 +73,10 @@ def snapshot_table_change(ctx: Context) -> DataFrame:
     if ctx.prev is None:
         return _no_previous(ctx)
     sides = {"prev": ctx.prev, "cur": ctx.source}
+    skipped = _skipped(sides, {t: (t, {t: ()}) for t in model.SNAPSHOT_ID_COLUMNS if ctx.wants(t)})
     live = [t for t in model.SNAPSHOT_ID_COLUMNS if ctx.wants(t) and all(s.has(t) for s in sides.values())]
     if not live:
-        return R.literal_rows(ctx.spark, _tail(ctx, None))
+        return R.literal_rows(ctx.spark, _tail(ctx, None, skipped))
     with_ids = [t for t in live if all(s.has(t, model.SNAPSHOT_ID_COLUMNS[t]) for s in sides.values())]
     facts = [row_counts(ctx.spark, [(f"{t}:{name}_n", side.frame(t)) for t in live for name, side in sides.items()]).select(
         F.split_part("tbl", F.lit(":"), F.lit(1)).alias("tbl"), F.split_part("tbl", F.lit(":"), F.lit(2)).alias("fact"), "n")]
@@ -83,7 +110,7 @@ def snapshot_table_change(ctx: Context) -> DataFrame:
         ids("DECREASE_FLAG", E.flag(fewer_ids), exc=fewer_ids),
         R.row(F.when(~counted, F.lit("STATUS")), None, text="SKIPPED_NO_PATIENT_COL", code_type="PATIENTS", **at),
         R.row("ANY_DECREASE_FLAG", E.flag(fewer | fewer_ids), code_type="ALL", exc=fewer | fewer_ids, **at),
-    ]).filter(F.col("metric").isNotNull()).unionByName(R.literal_rows(ctx.spark, _tail(ctx, None)))
+    ]).filter(F.col("metric").isNotNull()).unionByName(R.literal_rows(ctx.spark, _tail(ctx, None, skipped)))
 
 
 def _change_rows(source, edc, prev: Column, cur: Column, code_type, names: tuple[str, str, str, str],
@@ -110,9 +137,12 @@ def snapshot_enctype_change(ctx: Context) -> DataFrame:
     sides = {"prev": ctx.prev, "cur": ctx.source}
     live = [d for d in model.SNAPSHOT_ENC_DOMAINS if ctx.wants(d)
             and all(s.has("ENCOUNTER", "ENCOUNTERID", "ENC_TYPE") and s.has(d, "ENCOUNTERID", "PATID") for s in sides.values())]
+    skipped = _skipped(sides, {d: ("ALL", {"ENCOUNTER": ("ENCOUNTERID", "ENC_TYPE"), d: ("ENCOUNTERID", "PATID")})
+                               for d in model.SNAPSHOT_ENC_DOMAINS if ctx.wants(d)})
     if not live:
-        return R.status(ctx.spark, "ERROR", edc=ctx.scope, threshold=LIMIT,
-                        message="No runnable domains (missing tables/columns in one or both snapshots).")
+        error = R.status(ctx.spark, "ERROR", edc=ctx.scope, threshold=LIMIT, skipped=R.json_list(skipped[0]),
+                         message="No domain can be compared: a snapshot lacks tables or columns")
+        return R.literal_rows(ctx.spark, skipped[1]).unionByName(error) if skipped[1] else error
     kind = E.norm(F.col("ENC_TYPE"))
     encs = R.union_all([
         s.frame("ENCOUNTER").filter(F.col("ENCOUNTERID").isNotNull() & kind.isin(*model.SNAPSHOT_ENC_TYPES))
@@ -143,7 +173,7 @@ def snapshot_enctype_change(ctx: Context) -> DataFrame:
         return [*rec, *pat, last], either
 
     return R.emit_with_summary(counts, lambda r: both(r)[0],
-                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1])))
+                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1]), skipped))
 
 
 def snapshot_code_change(ctx: Context) -> DataFrame:
@@ -154,8 +184,10 @@ def snapshot_code_change(ctx: Context) -> DataFrame:
     sides = {"prev": ctx.prev, "cur": ctx.source}
     live = [spec for spec in model.SNAPSHOT_CODES if ctx.wants(spec[0])
             and all(s.has(spec[0], spec[3], *([spec[2]] if spec[2] else [])) for s in sides.values())]
+    skipped = _skipped(sides, {label: (t, {t: (code, *([category] if category else []))})
+                               for t, label, category, code, _ in model.SNAPSHOT_CODES if ctx.wants(t)})
     if not live:
-        return R.literal_rows(ctx.spark, _tail(ctx, F.lit(False)))
+        return R.literal_rows(ctx.spark, _tail(ctx, F.lit(False), skipped))
     parts = []
     for table, label, category, code, kinds in live:
         for name, s in sides.items():
@@ -187,4 +219,4 @@ def snapshot_code_change(ctx: Context) -> DataFrame:
         return [*rec, *cod, last], either
 
     return R.emit_with_summary(wide, lambda r: both(r)[0],
-                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1])))
+                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1]), skipped))

@@ -13,7 +13,6 @@ from carelint.operators.tally import row_counts
 
 STRUCTURE = "REQUIRED_STRUCTURE_RAW"
 COLUMN_LISTING = "INFORMATION_SCHEMA.COLUMNS"
-MISSING_LISTED, EXAMPLES_LISTED = 200, 50
 
 
 def looks_like_ehr(ctx: Context) -> Column:
@@ -104,7 +103,10 @@ def _required(ctx: Context) -> DataFrame | None:
     if ref is None:
         return None
     ref = ref.filter(E.present(F.col("MEMNAME"))).withColumn("tbl", F.upper("MEMNAME"))
-    return ref.filter(F.col("tbl") == ctx.target) if ctx.target else ref
+    if not ctx.target:
+        return ref
+    ctx.require_target({r.tbl for r in ref.select("tbl").distinct().collect()})
+    return ref.filter(F.col("tbl") == ctx.target)
 
 
 def _structure_missing(ctx: Context) -> DataFrame:
@@ -121,7 +123,7 @@ def required_columns(ctx: Context) -> DataFrame:
     lost = F.col("col").isNotNull() & F.col("there").isNull()
     wide = wanted.join(actual, ["tbl", "col"], "left").groupBy("tbl").agg(
         F.count("col").alias("n"), E.n_where(lost).alias("lost"),
-        F.slice(F.array_sort(F.collect_list(F.when(lost, F.col("col")))), 1, MISSING_LISTED).alias("names"))
+        F.array_sort(F.collect_list(F.when(lost, F.col("col")))).alias("names"))
     n, gone = F.col("n"), F.col("lost")
     at = {"source": F.col("tbl"), "details": R.details(
         table_exists=F.col("tbl").isin(*ctx.source.names()), expected_required_columns=n, missing_required_columns=gone,
@@ -173,7 +175,7 @@ def type_length_conformance(ctx: Context) -> DataFrame:
         F.sum(F.when(there, n).otherwise(F.lit(0))).alias("checked"),
         F.sum(F.when(F.col("bad_type"), n).otherwise(F.lit(0))).alias("types"),
         F.sum(F.when(F.col("bad_len"), n).otherwise(F.lit(0))).alias("lens"),
-        F.slice(F.array_sort(F.collect_list(F.when(F.col("bad_type") | F.col("bad_len"), example))), 1, EXAMPLES_LISTED).alias("examples"))
+        F.array_sort(F.collect_list(F.when(F.col("bad_type") | F.col("bad_len"), example))).alias("examples"))
     types, lens = F.col("types"), F.col("lens")
     bad = types + lens > 0
     at = {"source": F.col("tbl"), "details": R.details(

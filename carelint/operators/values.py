@@ -88,7 +88,10 @@ def required_not_null(ctx: Context) -> DataFrame:
 
 # --------------------------------------------------------------------------- value sets
 def valueset_conformance(ctx: Context) -> DataFrame:
-    """1.06  Non-missing values outside the field's value set; the 100 most frequent are named.
+    """1.06  Non-missing values outside the field's value set; the most frequent are named.
+
+    ``top_values`` says how many (100); the details count the others.  With None each value
+    is named, in a row of its own (OUT_OF_SPEC_VALUE) with its number of records.
 
     Each table is read once: its fields become (field, value) pairs that are counted with
     map-side combining, so the join with the value sets meets each distinct value once.
@@ -134,11 +137,12 @@ def valueset_conformance(ctx: Context) -> DataFrame:
     # ranking with a limit lets Spark prune each task's values before the shuffle.
     top = Window.partitionBy("tbl", "fld").orderBy(F.col("bad_n").desc_nulls_last(), "val")
     ranked = judged.withColumn("bad_n", F.when(~F.col("ok"), F.col("n")))
+    limit = ctx.option("top_values", TOP_VALUES)
     worst = (
-        ranked.filter(~F.col("ok")).withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= TOP_VALUES)
+        ranked.filter(~F.col("ok")).withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= (TOP_VALUES if limit is None else int(limit)))
         .groupBy("tbl", "fld").agg(F.array_sort(F.collect_list(F.struct("rank", "val", "bad_n"))).alias("worst"))
     )
-    totals = ranked.groupBy("tbl", "fld").agg(F.sum("n").alias("n"), F.coalesce(F.sum("bad_n"), F.lit(0)).alias("bad"))
+    totals = ranked.groupBy("tbl", "fld").agg(F.sum("n").alias("n"), F.coalesce(F.sum("bad_n"), F.lit(0)).alias("bad"), F.count("bad_n").alias("bad_values"))
     every = R.literal_table(ctx.spark, ["tbl", "fld"], grid)
     wide = (every.join(totals, ["tbl", "fld"], "left").join(worst, ["tbl", "fld"], "left")
             .withColumn("n", F.coalesce("n", F.lit(0))).withColumn("bad", F.coalesce("bad", F.lit(0))))
@@ -147,7 +151,7 @@ def valueset_conformance(ctx: Context) -> DataFrame:
     listing = F.array_join(F.transform("worst", lambda w: F.concat(w["val"], F.lit(" ("), E.text(w["bad_n"]), F.lit(")"))), ", ")
     at = {"source": F.col("tbl"), "edc": F.col("tbl"), "code_type": F.col("fld"), "details": R.details(
         table=F.col("tbl"), column=F.col("fld"), non_missing_n=n, out_of_spec_n=bad, out_of_spec_pct=share,
-        threshold_pct_gt=0, out_of_spec_values=F.col("worst"))}
+        threshold_pct_gt=0, out_of_spec_values=F.col("worst"), values_left_out_n=F.coalesce(F.col("bad_values"), F.lit(0)) - F.coalesce(F.array_size("worst"), F.lit(0)))}
     long = R.emit(wide, [
         R.row("NON_MISSING_N", n, **at),
         R.row("OUT_OF_SPEC_N", bad, **at),
@@ -155,6 +159,10 @@ def valueset_conformance(ctx: Context) -> DataFrame:
         R.row("OUT_OF_SPEC_FLAG", E.flag(bad > 0), exc=bad > 0, **at),
         R.row(F.when(bad > 0, F.lit("OUT_OF_SPEC_VALUES")), bad, text=listing, **at),
     ]).filter(F.col("metric").isNotNull())
+    if limit is None:
+        each = {"source": F.col("tbl"), "edc": F.col("tbl"), "code_type": F.col("fld")}
+        long = long.filter(F.col("metric") != "OUT_OF_SPEC_VALUES").unionByName(
+            R.emit(judged.filter(~F.col("ok")), [R.row("OUT_OF_SPEC_VALUE", F.col("n"), text=F.col("val"), exc=True, **each)]))
     return long.unionByName(tail)
 
 

@@ -1,9 +1,11 @@
 """Running checks and storing what they found.
 
-Layout under one output folder: ``results`` (a partition per run and check, replaced as a
-whole when the check runs again), ``runs`` and ``check_log`` (append-only status events; the
-current state is the latest event).  Re-running a check of a run gives the same rows, and a
-lost executor only repeats tasks.
+Layout under one output folder: ``results`` (a partition per run, check and version),
+``commits`` (which version of a check's rows holds; the latest event wins), ``runs`` and
+``check_log`` (append-only status events; the current state is the latest event).  A version is
+written to a folder of its own and holds once its commit is, so a crash at any point leaves the
+rows of before; re-running a check of a run gives the same rows, and a lost executor only repeats
+tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +41,10 @@ CHECK_LOG = (
     "started_at timestamp_ntz, ended_at timestamp_ntz, error_message string"
 )
 EVENT = ", event_at timestamp_ntz, event_no bigint"
-MESSAGE_LIMIT = 2000
+COMMITS = "run_id string, row_num decimal(10,2), version string"
+#: Checks whose rows can't be told apart by the table they were asked for: a run for one table
+#: replaces all rows that a run for all tables has left.
+NOT_SPLIT = frozenset({"1.14", "1.15", "2.01", "2.07", "2.09", "3.01", "3.02", "3.04", "3.05", "3.06", "4.03"})
 
 
 def number_text(value: Column) -> Column:
@@ -73,30 +79,37 @@ class Store:
         full = T._parse_datatype_string(schema)
         try:
             return self.spark.read.schema(full).parquet(f"{self.path}/{name}").select(*full.names)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], full)
 
+    def _versions(self) -> DataFrame:
+        """Rows of the versions that hold, with the table that their run was for (null: all)."""
+        rows = self._read("results", RESULTS + ", version string, run_target string")
+        held = self._latest("commits", COMMITS, "run_id", "row_num")
+        return rows.join(held, ["run_id", "row_num", "version"], "left_semi")
+
     def results(self) -> DataFrame:
-        return self._read("results", RESULTS)
+        return self._versions().select(*T._parse_datatype_string(RESULTS).names)
 
     def write_results(self, rows: DataFrame, run_id: str, row_num: str, target: str | None = None) -> None:
-        """Replace the check's rows of the run; with a target, only those about that table."""
-        where = self._partition(run_id, row_num)
-        body = rows.drop("run_id", "row_num")
+        """Replace the check's rows of the run.
+
+        With a target, rows of earlier runs for that target go, and of a run for all tables those
+        about the target, or all of them if the check's rows aren't split by table.
+        """
+        body = rows.drop("run_id", "row_num").withColumn("run_target", F.lit(target).cast("string"))
         if target is not None:
-            schema = T.StructType([f for f in T._parse_datatype_string(RESULTS).fields if f.name not in ("run_id", "row_num")])
-            try:
-                old = self.spark.read.schema(schema).parquet(where)
-            except AnalysisException:
-                old = None
-            if old is not None:
-                about = (F.upper("source_table") == target) | ((F.col("source_table") == "ALL") & (F.upper("edc_table") == target))
-                # The partition cannot be read and replaced at once: merge beside it first.
-                beside = f"{self.path}/_merge/{run_id}/{row_num}/{uuid.uuid4()}"
-                old.filter(~F.coalesce(about, F.lit(False))).unionByName(body).hint("rebalance").write.parquet(beside)
-                body = self.spark.read.schema(schema).parquet(beside)
+            old = self._versions().filter((F.col("run_id") == run_id) & (F.col("row_num") == F.lit(row_num).cast("decimal(10,2)")))
+            about = (F.upper("source_table") == target) | ((F.col("source_table") == "ALL") & (F.upper("edc_table") == target))
+            whole = F.lit(f"{float(row_num):.2f}" in NOT_SPLIT)
+            stays = F.when(F.col("run_target").isNull(), ~(F.coalesce(about, F.lit(False)) | whole)).otherwise(F.col("run_target") != target)
+            body = old.filter(stays).select(*body.columns).unionByName(body)
+        version = str(uuid.uuid4())
         # Rebalancing writes few files for few rows and keeps big results spread out.
-        body.hint("rebalance").write.mode("overwrite").parquet(where)
+        body.hint("rebalance").write.parquet(f"{self._partition(run_id, row_num)}/version={version}")
+        self._append("commits", COMMITS, [(run_id, Decimal(row_num), version, _now(), 0)])
 
     def _append(self, name: str, schema: str, values: list[tuple]) -> None:
         # A folder of its own per append: concurrent checks (and drivers) never share a commit.
@@ -127,7 +140,8 @@ def run_checks(
     """Run the selected checks, keep going when one fails, and store results and status.
 
     New checks are added by passing their functions in ``checks`` and rows for them in
-    ``registry_rows``.  Checks run as concurrent Spark jobs, each in its own fair pool.
+    ``registry_rows``.  Checks run as concurrent Spark jobs; where the session's scheduler mode is
+    FAIR, each has a pool of its own.
     """
     spark, store = ctx.spark, Store(ctx.spark, out.rstrip("/"))
     run_id = run_id or str(uuid.uuid4())
@@ -170,7 +184,7 @@ def run_checks(
             store.write_results(rows, run_id, number, ctx.target)
             end = ("SUCCEEDED", begun, _now(), None)
         except Exception as e:  # one failing check must not stop the run
-            end = ("FAILED", begun, _now(), str(e)[:MESSAGE_LIMIT])
+            end = ("FAILED", begun, _now(), str(e))
         store._append("check_log", CHECK_LOG, [(*row, *end, _now(), 2)])
         return end[0] == "SUCCEEDED"
 

@@ -3,13 +3,14 @@
 import datetime as dt
 import gzip
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from carelint.plans import registry as reg
 from carelint.plans import views
-from carelint.plans.run import Store, run_checks
+from carelint.plans.run import COMMITS, Store, run_checks
 from carelint.sources import reference as ref
 from carelint.sources.tables import TableSource
 
@@ -85,7 +86,9 @@ def test_failures_do_not_stop_the_run(spark, make, out):
 
 
 def test_older_results_gain_columns(spark, out):
-    spark.createDataFrame([("x", "NOBS")], "source_table string, metric string").write.parquet(f"{out}/results/run_id=old/row_num=1.02")
+    spark.createDataFrame([("x", "NOBS")], "source_table string, metric string").write.parquet(f"{out}/results/run_id=old/row_num=1.02/version=v")
+    assert Store(spark, out).results().count() == 0  # not committed
+    Store(spark, out)._append("commits", COMMITS, [("old", Decimal("1.02"), "v", dt.datetime(2024, 1, 1), 0)])
     r = Store(spark, out).results().first()
     assert (r.run_id, str(r.row_num), r.metric, r.threshold_num) == ("old", "1.02", "NOBS", None)
     assert Store(spark, out + "/none").results().count() == 0
@@ -143,3 +146,25 @@ def test_catalog_source_keeps_declared_lengths(spark, tmp_path):
         assert got == {"PATID": ("VARCHAR", 12), "SEX": ("VARCHAR", 2), "BIRTH_DATE": ("DATE", None)}
     finally:
         spark.sql("DROP DATABASE clinic CASCADE")
+
+
+@pytest.mark.parametrize("number, targets", [
+    ("1.14", ("DEMOGRAPHIC",)), ("1.15", ("CONDITION", "VITAL")), ("2.01", ("VITAL", "LAB_RESULT_CM")), ("2.07", ("ENCOUNTER",)), ("2.09", ("ENCOUNTER", "DEMOGRAPHIC")),
+    ("3.01", ("ENCOUNTER",)), ("3.02", ("ENCOUNTER",)), ("3.04", ("ENCOUNTER",)), ("3.05", ("ENCOUNTER",)), ("3.06", ("ENCOUNTER",)), ("4.03", ("DIAGNOSIS", "PROCEDURES"))])
+def test_rerun_of_one_table_replaces_its_rows(spark, out, number, targets):
+    from verify.catalog import snapshot_context
+
+    ctx, store, run = snapshot_context(spark, "/root/testdata/sf0.001"), Store(spark, out), "r"
+    seen = {}
+    for target in targets:
+        for _ in range(2):
+            run_checks(ctx.with_target(target), out, mode="CHECK_NUM", selector=number, run_id=run)
+            now = rows(store, run)
+            assert {r.status for r in store.check_log().collect()} == {"SUCCEEDED"}
+            seen.setdefault(target, now)
+            assert now == seen[target]
+    assert all(any(r in seen[targets[-1]] for r in seen[t]) for t in targets)
+    run_checks(ctx, out, mode="CHECK_NUM", selector=number, run_id=run)
+    full = rows(store, run)
+    run_checks(ctx, out, mode="CHECK_NUM", selector=number, run_id=run)
+    assert rows(store, run) == full

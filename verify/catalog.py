@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +40,16 @@ def snapshot_context(spark: SparkSession, sf_dir: str) -> Context:
     return fx.context(spark, sf_dir, source=fx.current_snapshot(previous), prev=previous)
 
 
+def _check_lost(name: str, number: str, oracle: Callable[[], str], table: str, side: str) -> None:
+    """A part 4 check where one snapshot lacks a table."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ctx = snapshot_context(spark, sf_dir)
+        ctx = replace(ctx, **{"source" if side == "CURRENT" else "prev": (ctx.source if side == "CURRENT" else ctx.prev).with_frames({table: None})})
+        return comparable(CHECKS[number](ctx))
+
+    QUERIES[name] = Query(run, lambda: oracle(lost=table, side=side))
+
+
 def _check(name: str, number: str, oracle: Callable[[], str], **kw: Any) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ctx = snapshot_context(spark, sf_dir) if number.startswith("4") else fx.context(spark, sf_dir, **kw)
@@ -103,6 +113,10 @@ _check("dc_3_17_obsclin_unit_pct", "3.17", sql.obsclin_unit_pct)
 _check("dc_4_01_snapshot_table_change", "4.01", sql.snapshot_table_change)
 _check("dc_4_02_snapshot_enctype_change", "4.02", sql.snapshot_enctype_change)
 _check("dc_4_03_snapshot_code_change", "4.03", sql.snapshot_code_change)
+_check_lost("dc_4_01_table_lost", "4.01", sql.snapshot_table_change, "VITAL", "CURRENT")
+_check_lost("dc_4_01_table_new", "4.01", sql.snapshot_table_change, "VITAL", "PREVIOUS")
+_check_lost("dc_4_02_domain_lost", "4.02", sql.snapshot_enctype_change, "PROCEDURES", "CURRENT")
+_check_lost("dc_4_03_domain_lost", "4.03", sql.snapshot_code_change, "DIAGNOSIS", "CURRENT")
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.code_summary(fx.context(spark, sf_dir)).withColumn("bad_record_pct", F.round("bad_record_pct", 6)).drop("datamartid", "query_date")

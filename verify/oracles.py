@@ -770,8 +770,13 @@ def _fell(p, c):
     return f"(({c} = 0 AND {p} > 0) OR coalesce(({_chg(p, c)}) < -5, FALSE))"
 
 
-def snapshot_table_change():
-    live = [t for t in model.SNAPSHOT_ID_COLUMNS if t in HAVE]
+def _lost(names, label, side):
+    """A row for each domain that one snapshot lacks; it is an exception if the current one does."""
+    return [row("", "STATUS", "CAST(NULL AS DOUBLE)", source=q(n), edc=q(label), code="'ALL'", thr="-5", exc=str(side == "CURRENT").upper(), text="'SKIPPED'") for n in names]
+
+
+def snapshot_table_change(lost=None, side=None):
+    live = [t for t in model.SNAPSHOT_ID_COLUMNS if t in HAVE and t != lost]
     sql = " UNION ALL ".join(
         f"SELECT '{t}' AS tbl, (SELECT count(*) FROM {t}) AS pn, (SELECT count(*) FROM cur_{t}) AS cn, (SELECT count(DISTINCT {c}) FROM {t}) AS pi, "
         f"(SELECT count(DISTINCT {c}) FROM cur_{t}) AS ci" for t, c in model.SNAPSHOT_ID_COLUMNS.items() if t in live)
@@ -781,20 +786,22 @@ def snapshot_table_change():
         row("w", "PREV_N", "pn", **rec), row("w", "CUR_N", "cn", **rec), row("w", "PCT_CHANGE", _chg("pn", "cn"), **rec),
         flagrow("w", "DECREASE_FLAG", _fell("pn", "cn"), **rec), row("w", "PREV_DISTINCT_N", "pi", **pat), row("w", "CUR_DISTINCT_N", "ci", **pat),
         row("w", "PCT_CHANGE", _chg("pi", "ci"), **pat), flagrow("w", "DECREASE_FLAG", _fell("pi", "ci"), **pat),
-        flagrow("w", "ANY_DECREASE_FLAG", f"{_fell('pn', 'cn')} OR {_fell('pi', 'ci')}", code="'ALL'", **at), status(thr="-5", edc="'ALL'")])
+        flagrow("w", "ANY_DECREASE_FLAG", f"{_fell('pn', 'cn')} OR {_fell('pi', 'ci')}", code="'ALL'", **at), status(thr="-5", edc="'ALL'"),
+        *_lost([lost] if lost else [], lost, side)])
 
 
-def snapshot_enctype_change():
-    live = [*model.SNAPSHOT_ENC_DOMAINS, "ENCOUNTER"]
+def snapshot_enctype_change(lost=None, side=None):
+    domains = [d for d in model.SNAPSHOT_ENC_DOMAINS if d != lost]
+    live = [*domains, "ENCOUNTER"]
 
-    def side(pre):
+    def counts(pre):
         return " UNION ALL ".join(
             f"SELECT '{d}' AS dom, {norm('e.ENC_TYPE')} AS k, count(*) AS n, count(DISTINCT t.PATID) AS i FROM {pre}{d} t JOIN {pre}ENCOUNTER e "
-            f"ON e.ENCOUNTERID = t.ENCOUNTERID WHERE {norm('e.ENC_TYPE')} IN {inlist(model.SNAPSHOT_ENC_TYPES)} GROUP BY 1, 2" for d in model.SNAPSHOT_ENC_DOMAINS)
+            f"ON e.ENCOUNTERID = t.ENCOUNTERID WHERE {norm('e.ENC_TYPE')} IN {inlist(model.SNAPSHOT_ENC_TYPES)} GROUP BY 1, 2" for d in domains)
     at = {"source": "dom", "edc": "k", "thr": "-5"}
     rec, pat = {"code": "'RECORDS'", **at}, {"code": "'PATIENTS'", **at}
     either = f"{_fell('pn', 'cn')} OR {_fell('pi', 'ci')}"
-    return query(live, {**_both(live), "p": side(""), "c": side("cur_"),
+    return query(live, {**_both(live), "p": counts(""), "c": counts("cur_"),
         "w": "SELECT coalesce(p.dom, c.dom) AS dom, coalesce(p.k, c.k) AS k, coalesce(p.n, 0) AS pn, coalesce(c.n, 0) AS cn, coalesce(p.i, 0) AS pi, "
              "coalesce(c.i, 0) AS ci FROM p FULL OUTER JOIN c ON p.dom = c.dom AND p.k = c.k"}, [
         row("w", "PREV_N", "pn", **rec), row("w", "CUR_N", "cn", **rec), row("w", "PCT_CHANGE", _chg("pn", "cn"), **rec),
@@ -802,13 +809,14 @@ def snapshot_enctype_change():
         row("w", "PCT_CHANGE", _chg("pi", "ci"), **pat), flagrow("w", "DECREASE_FLAG", _fell("pi", "ci"), **pat),
         flagrow("w", "ANY_DECREASE_FLAG", either, code="'ALL'", **at),
         flagrow(f"(SELECT bool_or({either}) AS f FROM w)", "ANY_DECREASE_FLAG", "f", source="'ALL'", edc="'ALL'", code="'ALL'", thr="-5"),
-        status(thr="-5", edc="'ALL'")])
+        status(thr="-5", edc="'ALL'"), *_lost([lost] if lost else [], "ALL", side)])
 
 
-def snapshot_code_change():
-    live = [t for t, *_ in model.SNAPSHOT_CODES]
+def snapshot_code_change(lost=None, side=None):
+    specs = [s for s in model.SNAPSHOT_CODES if s[0] != lost]
+    live = [t for t, *_ in specs]
     parts = []
-    for t, lab, cat, code, kinds in model.SNAPSHOT_CODES:
+    for t, lab, cat, code, kinds in specs:
         for k in kinds:
             w = present(code) + (f" AND {norm(cat)} = {q(k)}" if cat else "")
             parts.append(f"SELECT '{t}' AS tbl, '{lab}' AS lab, '{k}' AS k, " + LIST(
@@ -823,7 +831,7 @@ def snapshot_code_change():
     return query(live, {**_both(live), "w": " UNION ALL ".join(parts)}, [
         *rows, flagrow("w", "ANY_DECREASE_FLAG", f"{rec} OR {cod}", **at),
         flagrow(f"(SELECT bool_or({rec} OR {cod}) AS f FROM w)", "ANY_DECREASE_FLAG", "f", source="'ALL'", edc="'ALL'", code="'ALL'", thr="-5"),
-        status(thr="-5", edc="'ALL'")])
+        status(thr="-5", edc="'ALL'"), *_lost([lab for t, lab, *_ in model.SNAPSHOT_CODES if t == lost], lost, side)])
 
 
 # ----------------------------------------------------------------- stored results and views
