@@ -26,7 +26,7 @@ from carelint.llm.vectors import by_key, dots, matrix, norms, usable
 
 COSINE, BLOCKS, CODES, THRESHOLD, LEAST = 0.98, 4, 64, 4.6, 16
 #: Vectors compared at once; a larger bucket is divided and its parts are compared pair by pair.
-PART = 1024
+PART, COLUMNS = 1024, 2048
 
 
 @lru_cache(maxsize=4)
@@ -97,18 +97,23 @@ def directions(vectors: DataFrame) -> DataFrame:
 
 def compare(x: np.ndarray, y: np.ndarray, lists_x: list, lists_y: list, f: int, least: float) -> np.ndarray:
     """Which pairs have the cosine and meet in no direction before f, where they are counted instead."""
-    near = (x @ y.T) >= least - 1e-9
-    i, j = np.nonzero(near)
-    exact = dots(x[i], y[j]) / (norms(x)[i] * norms(y)[j]) >= least if len(i) else np.zeros(0, bool)
-    near[i, j] = exact
-    before = [np.array([v for v in own if v < f]) for own in (*lists_x, *lists_y)]
+    rough = x @ y.T
+    near = rough >= least
+    i, j = np.nonzero(np.abs(rough - least) < 1e-9)  # where rounding could decide
+    if len(i):
+        near[i, j] = dots(x[i], y[j]) / (norms(x)[i] * norms(y)[j]) >= least
+    before = [own[own < f] for own in map(np.asarray, (*lists_x, *lists_y))]
     flat = np.concatenate(before) if before else np.zeros(0)
     if not near.any() or not len(flat):
         return near
     _, which = np.unique(flat, return_inverse=True)
-    m = np.zeros((len(before), which.max() + 1), np.float32)
-    m[np.repeat(np.arange(len(before)), [len(b) for b in before]), which] = 1
-    return near & ((m[: len(x)] @ m[len(x) :].T) == 0)
+    who = np.repeat(np.arange(len(before)), [len(b) for b in before])
+    for at in range(0, which.max() + 1, COLUMNS):  # a block of directions at a time
+        own = (which >= at) & (which < at + COLUMNS)
+        m = np.zeros((len(before), COLUMNS), np.float32)
+        m[who[own], which[own] - at] = 1
+        near &= (m[: len(x)] @ m[len(x) :].T) == 0
+    return near
 
 
 def forest(near: np.ndarray) -> list[tuple[int, int]]:
