@@ -71,10 +71,10 @@ def _illogical(limit: float, source, code_type, n, bad, **info) -> list:
 def _life_span(ctx: Context, limit: float) -> list[DataFrame]:
     """Service dates before birth and after (the earliest) death, for all tables together.
 
-    Service dates are counted per (patient, column, day) and laid on the patient's time line
-    with the births and the death; running sums over the line then say, for each day, how
-    many births lie after it.  The work is linear in distinct days: no join, and a patient
-    with a third of all rows still has only as many rows as there are days.
+    Births and death come down to one row per patient, births as days with their counts, so
+    that repeated ones still multiply.  Fact rows keep their dates side by side and are shuffled
+    once, on the patient; they are counted per column right above the join, a shape adaptive
+    execution can split if one patient holds a third of all rows.
     """
     grid, parts = [], []
     for table, columns in model.SERVICE_DATE_COLUMNS.items():
@@ -86,45 +86,32 @@ def _life_span(ctx: Context, limit: float) -> list[DataFrame]:
         grid += [(first + i, table, c) for i, c in enumerate(live)]
         parts.append(df.filter(F.col("PATID").isNotNull()).select(
             E.text(F.col("PATID")).alias("pat"),
-            F.inline(F.array(*[F.struct(F.lit(first + i).alias("k"), E.date_of(df, c).alias("day"))
-                               for i, c in enumerate(live)]))).filter(F.col("day").isNotNull()))
+            F.array(*[F.struct(F.lit(first + i).alias("k"), E.date_of(df, c).alias("day"))
+                      for i, c in enumerate(live)]).alias("dates")))
     has_birth = ctx.has("DEMOGRAPHIC", "PATID", "BIRTH_DATE")
     has_death = ctx.has("DEATH", "PATID", "DEATH_DATE")
     if not grid or not (has_birth or has_death):
         return []
 
-    line = [R.union_all(parts).groupBy("pat", "k", "day").agg(F.count(F.lit(1)).alias("n")).select(
-        "pat", "day", "k", "n", F.lit(0).cast("long").alias("births"), F.lit(None).cast("date").alias("death"))]
-
-    def marks(table: str, column: str) -> DataFrame:
+    def marks(table: str, column: str, births: int) -> DataFrame:
         df = ctx.frame(table, windowed=False)
-        return df.select(E.text(F.col("PATID")).alias("pat"), E.date_of(df, column).alias("day")).dropna()
-
-    none = (F.lit(None).cast("int").alias("k"), F.lit(0).cast("long").alias("n"))
+        seen = df.select(E.text(F.col("PATID")).alias("pat"), E.date_of(df, column).alias("day")).dropna()
+        return seen.select("pat", "day", F.lit(births).cast("long").alias("n"), F.when(F.lit(not births), F.col("day")).alias("died"))
+
+    lives = [*([marks("DEMOGRAPHIC", "BIRTH_DATE", 1)] if has_birth else []), *([marks("DEATH", "DEATH_DATE", 0)] if has_death else [])]
+    born = F.collect_list(F.when(F.col("n") > 0, F.struct("day", "n")))
+    life = (R.union_all(lives).groupBy("pat", "day").agg(F.sum("n").alias("n"), F.min("died").alias("died"))
+            .groupBy("pat").agg(F.sum("n").alias("births_n"), born.alias("births"), F.min("died").alias("died")))
+    day, zero = F.col("day"), F.lit(0).cast("long")
+    counts = []
     if has_birth:
-        born = marks("DEMOGRAPHIC", "BIRTH_DATE").groupBy("pat", "day").agg(F.count(F.lit(1)).alias("births"))
-        line.append(born.select("pat", "day", *none, "births", F.lit(None).cast("date").alias("death")))
+        later = F.aggregate("births", zero, lambda n, b: n + F.when(b["day"] > day, b["n"]).otherwise(zero))
+        counts += [F.sum("births_n").alias("birth_n"), F.sum(later).alias("birth_bad")]
     if has_death:
-        died = marks("DEATH", "DEATH_DATE").groupBy("pat").agg(F.min("day").alias("day"))
-        line.append(died.select("pat", "day", *none, F.lit(0).cast("long").alias("births"), F.col("day").alias("death")))
-
-    patient = Window.partitionBy("pat")
-    until = patient.orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = (
-        R.union_all(line)
-        .withColumn("births_until", F.sum("births").over(until))
-        .withColumn("births_all", F.sum("births").over(patient))
-        .withColumn("died", F.min("death").over(patient))
-        .filter(F.col("k").isNotNull())
-    )
-    sums = seen.groupBy("k").agg(
-        F.sum(F.col("n") * F.col("births_all")).alias("birth_n"),
-        F.sum(F.col("n") * (F.col("births_all") - F.col("births_until"))).alias("birth_bad"),
-        F.sum(F.when(F.col("died").isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("death_n"),
-        F.sum(F.when(F.col("day") > F.col("died"), F.col("n")).otherwise(F.lit(0))).alias("death_bad"),
-    )
+        counts += [F.count(F.when(F.col("died").isNotNull(), 1)).alias("death_n"), F.count(F.when(day > F.col("died"), 1)).alias("death_bad")]
+    met = R.union_all(parts).join(life, "pat").select("*", F.inline("dates")).filter(day.isNotNull())
     named = (R.literal_table(ctx.spark, ["k", "tbl", "fld"], grid, ["int", "string", "string"])
-             .join(sums, "k", "left").na.fill(0))
+             .join(met.groupBy("k").agg(*counts), "k", "left").na.fill(0))
     metrics = []
     for have, rule, key in ((has_birth, "BEFORE_BIRTH", "birth"), (has_death, "AFTER_DEATH", "death")):
         if have:

@@ -149,9 +149,9 @@ def replication_mismatch(ctx: Context) -> DataFrame:
 
     A copy matches an encounter when id, type and date agree, nulls included.  Per id the
     number of (copy, encounter) pairs is copies x encounters, and the pairs that agree on
-    some columns are that same product summed over groups of those columns.  So one
-    grouping-sets aggregate over the union of both sides counts pairs and agreeing pairs
-    exactly, without joining: no pair is ever built, and a hot id is combined on the map side.
+    some columns are that same product summed over groups of those columns.  So rows of both
+    sides are counted per (id, type, date), combined on the map side, and grouping sets over
+    these counts give pairs and agreeing pairs exactly, without joining: no pair is ever built.
     """
     ctx.require_target(model.REPLICA_TABLES)
     need = ("ENCOUNTERID", "ENC_TYPE", "ADMIT_DATE")
@@ -186,7 +186,8 @@ def replication_mismatch(ctx: Context) -> DataFrame:
         rows = R.union_all([side(i, t) for i, t in enumerate(sides)])
         sums = [F.sum(f"s{j}").alias(f"s{j}") for j in range(len(sides))]
         cid, typ, adm = F.col("id"), F.col("typ"), F.col("adm")
-        grouped = rows.groupingSets([[cid, typ, adm], [cid, typ], [cid, adm], [cid]], cid, typ, adm).agg(
+        counted = rows.groupBy("id", "typ", "adm").agg(*sums)
+        grouped = counted.groupingSets([[cid, typ, adm], [cid, typ], [cid, adm], [cid]], cid, typ, adm).agg(
             F.grouping_id().alias("gid"), *sums)
         # grouping_id bits, left to right: id, typ, adm; a set bit means "rolled up".
         both, by_type, by_date, by_id = 0, 1, 2, 3

@@ -58,6 +58,67 @@ EXCEPTION_METRICS = {
     "4.02": ["DECREASE_FLAG", "ANY_DECREASE_FLAG"],
     "4.03": ["RECORDS_DECREASE_FLAG", "DISTINCT_CODES_DECREASE_FLAG", "ANY_DECREASE_FLAG"],
 }
+# Every check may also give STATUS rows.
+METRICS = {
+    "1.01": ["MISSING_REQUIRED_TABLE_FLAG", "TABLE_EXISTS_FLAG"],
+    "1.02": ["EMPTY_REQUIRED_TABLE_FLAG", "MISSING_REQUIRED_TABLE_FLAG", "NOBS", "TABLE_EXISTS_FLAG"],
+    "1.03": ["EXPECTED_REQUIRED_COLUMNS", "MISSING_REQUIRED_COLUMNS", "MISSING_REQUIRED_COLUMNS_FLAG"],
+    "1.04": ["ANY_CONFORMANCE_ISSUE_FLAG", "FIELDS_CHECKED_PRESENT", "FIELDS_SPECIFIED_IN_REF", "LENGTH_MISMATCH_COUNT",
+        "TYPE_MISMATCH_COUNT"],
+    "1.05": ["PK_DISTINCT_COUNT", "PK_DUPLICATE_FLAG", "PK_DUPLICATE_ROW_COUNT", "PK_NON_NULL_COUNT", "ROW_COUNT"],
+    "1.06": ["NON_MISSING_N", "OUT_OF_SPEC_FLAG", "OUT_OF_SPEC_N", "OUT_OF_SPEC_PCT", "OUT_OF_SPEC_VALUE", "OUT_OF_SPEC_VALUES"],
+    "1.07": ["DENOM_N", "MISSING_FLAG", "MISSING_N", "MISSING_PCT"],
+    "1.08": ["ORPHAN_PATID_DISTINCT_N", "ORPHAN_PATID_FLAG", "ORPHAN_PATID_PCT", "TABLE_PATID_DISTINCT_N"],
+    "1.09": ["ORPHAN_ENCOUNTERID_DISTINCT_N", "ORPHAN_ENCOUNTERID_FLAG", "ORPHAN_ENCOUNTERID_PCT", "TABLE_ENCOUNTERID_DISTINCT_N"],
+    "1.10": ["ADMIT_DATE_MISMATCH_RECORDS", "ENC_TYPE_MISMATCH_RECORDS", "REPLICATION_ERROR_FLAG", "REPLICATION_ERROR_PCT",
+        "REPLICATION_ERROR_RECORDS", "TOTAL_RECORDS_WITH_ENCOUNTERID"],
+    "1.11": ["ENCOUNTERID_DISTINCT_N", "MULTI_PATID_ENCOUNTERID_FLAG", "MULTI_PATID_ENCOUNTERID_N", "MULTI_PATID_ENCOUNTERID_PCT"],
+    "1.12": ["ORPHAN_PROVIDERID_DISTINCT_N", "ORPHAN_PROVIDERID_FLAG", "ORPHAN_PROVIDERID_PCT", "TABLE_PROVIDERID_DISTINCT_N"],
+    "1.13": ["BAD_CODES", "BAD_RECORDS", "BAD_RECORD_PCT", "TOTAL_CODES", "TOTAL_RECORDS"],
+    "1.14": ["DEMOGRAPHIC_PATID_DISTINCT_N", "HASH_TOKEN_PATID_DISTINCT_N", "MISSING_HASH_TOKEN_PATID_DISTINCT_N",
+        "MISSING_HASH_TOKEN_PATID_FLAG", "MISSING_HASH_TOKEN_PATID_PCT"],
+    "1.15": ["DISTINCT_LENGTH_N", "HARMONIZED_LENGTH_FLAG", "MAX_LENGTH", "MIN_LENGTH"],
+    "1.16": ["MISPLACED_CODES", "MISPLACED_RECORDS", "MISPLACED_RECORD_PCT", "RECORDS"],
+    "1.17": ["BAD_ZIP_FLAG", "BAD_ZIP_N", "BAD_ZIP_PCT", "NON_MISSING_N"],
+    "1.18": ["MISSING_REFRESH_DATE_FLAG", "NOBS", "REFRESH_DATE_PRESENT"],
+    "1.19": ["TOKEN_FIELD_COUNT", "TOKEN_MULTI_PATID_FLAG", "VALID_DISTINCT_N", "VALID_MULTI_PATID_TOKEN_N",
+        "VALID_MULTI_PATID_TOKEN_PCT", "VALID_N"],
+    "1.20": ["LOINC_RECORD_N", "PANEL_FLAG", "PANEL_N", "PANEL_PCT"],
+    "1.21": ["BAD_DIGITS_N", "BAD_N", "GEO_FLAG", "STATE_MISMATCH_N", "TOTAL_BAD_N"],
+    "2.01": ["DATE_POPULATED_N", "FUTURE_DATE_FLAG", "FUTURE_DATE_N", "FUTURE_DATE_PCT", "MAX_REFRESH_DATE"],
+    "2.02": ["EXTREME_FLAG", "EXTREME_N", "EXTREME_PCT", "HIGH_EXTREME_N", "LOW_EXTREME_N", "RECORDS_EVAL_N"],
+    "2.03": ["ILLOGICAL_FLAG", "ILLOGICAL_N", "ILLOGICAL_PCT", "RECORDS_EVAL_N"],
+    "2.04": ["ENCOUNTERS_N", "ENC_KNOWN_PROVIDER_N", "ENC_KNOWN_PROV_PER_VISIT", "ENC_KNOWN_PROV_PER_VISIT_FLAG", "ENC_PER_PATIENT",
+        "PATIENTS_N", "VISIT_DISTINCT_N"],
+    "2.07": ["ENC_WITH_ANY_PRINCIPAL_DX_N", "PRINCIPAL_DX_PER_ENC_FLAG", "PRINCIPAL_DX_PER_ENC_RATE", "PRINCIPAL_DX_RECORDS_N"],
+    "2.08": ["MONTHLY_OUTLIER", "OUTLIER_FOUND_FLAG", "OUTLIER_ROW_N"],
+    "2.09": ["DEM_L3_N", "DIA_L3_N", "ENC_L3_DASH2_1YR_N", "ENC_L3_DASH2_5YR_N", "ENC_L3_N", "PCT_ENC_ANY_WITH_DX",
+        "PCT_ENC_ANY_WITH_DX_FLAG", "PCT_ENC_ANY_WITH_PROC", "PCT_ENC_ANY_WITH_PROC_FLAG", "PCT_ENC_FTF_5YR_WITH_DX_AND_VITAL",
+        "PCT_ENC_FTF_5YR_WITH_DX_AND_VITAL_FLAG", "PRO_L3_N", "XTBL_L3_DASH1_N", "XTBL_L3_DASH3_N"],
+    "3.01": ["DX_KNOWN_DXTYPE_N", "DX_KNOWN_DXTYPE_PER_ENCOUNTER", "DX_KNOWN_DXTYPE_PER_ENC_FLAG", "DX_PER_ENCOUNTER", "DX_RECORDS_N",
+        "ENC_RECORDS_N"],
+    "3.02": ["AVG_BELOW_THRESHOLD_FLAG", "AVG_PX_PER_ENCOUNTER", "ENCOUNTER_DISTINCT_N", "PX_RECORDS_KNOWN_PXTYPE_N"],
+    "3.03": ["DENOM_N", "MISSING_FLAG", "MISSING_N", "MISSING_PCT"],
+    "3.04": ["DIAGNOSIS_COVERAGE_FLAG", "DIAGNOSIS_COVERAGE_PCT", "DIAGNOSIS_PATID_DISTINCT_N", "ENCOUNTER_PATID_DISTINCT_N"],
+    "3.05": ["ENCOUNTER_PATID_DISTINCT_N", "PROCEDURES_COVERAGE_FLAG", "PROCEDURES_COVERAGE_PCT", "PROCEDURES_PATID_DISTINCT_N"],
+    "3.06": ["ENC_WITHOUT_PDX_N", "ENC_WITH_PDX_N", "PCT_WITHOUT_PDX", "PCT_WITHOUT_PDX_FLAG", "PDX_PER_ENC_WITH_PDX", "PDX_TOTAL_N"],
+    "3.07": ["ANY_DECREASE_FLAG", "BENCHMARK_AVG_RECORD_N", "DECREASE_FLAG", "MONTH_MINUS2_RECORD_N", "PCT_OF_BENCHMARK_AVG"],
+    "3.08": ["DENOM_RECORDS_N", "DENOM_RECORDS_WITH_NONMISSING_CUI_N", "RECORDS_N", "RECORD_PCT", "TIER1_FLAG"],
+    "3.09": ["CATEGORY_FLAG", "CATEGORY_N", "CATEGORY_PCT", "RECORDS_N"],
+    "3.10": ["DENOM_QUANT_MAPPED_N", "FULL_RANGE_FLAG", "FULL_RANGE_PCT_OF_QUANT", "NUM_FULL_RANGE_N", "RECORDS_N"],
+    "3.11": ["ANY_DECREASE_FLAG", "BENCHMARK_AVG_RECORD_N", "DECREASE_FLAG", "MONTH_MINUS3_RECORD_N", "PCT_OF_BENCHMARK_AVG"],
+    "3.12": ["DENOM_QUANT_KNOWN_N", "NUM_WITH_UNIT_N", "PCT_WITH_UNIT", "WITH_UNIT_FLAG"],
+    "3.14": ["ANY_DECREASE_FLAG", "BENCHMARK_AVG_RECORD_N", "DECREASE_FLAG", "MONTH_MINUS3_RECORD_N", "PCT_OF_BENCHMARK_AVG"],
+    "3.15": ["DENOM_RECORDS_N", "DENOM_RECORDS_WITH_MEDADMIN_TYPE_RX_N", "DENOM_RECORDS_WITH_NONMISSING_RXCUI_N", "RECORDS_N",
+        "RECORD_PCT", "TIER1_FLAG"],
+    "3.16": ["DENOM_KNOWN_CODE_RECORDS_N", "DENOM_RECORDS_N", "KNOWN_RESULT_FLAG", "NUM_KNOWN_CODE_WITH_KNOWN_RESULT_N",
+        "PCT_KNOWN_CODE_WITH_KNOWN_RESULT"],
+    "3.17": ["DENOM_QUANT_KNOWN_N", "NUM_WITH_UNIT_N", "PCT_WITH_UNIT", "WITH_UNIT_FLAG"],
+    "4.01": ["ANY_DECREASE_FLAG", "CUR_DISTINCT_N", "CUR_N", "DECREASE_FLAG", "PCT_CHANGE", "PREV_DISTINCT_N", "PREV_N"],
+    "4.02": ["ANY_DECREASE_FLAG", "CUR_DISTINCT_N", "CUR_N", "DECREASE_FLAG", "PCT_CHANGE", "PREV_DISTINCT_N", "PREV_N"],
+    "4.03": ["ANY_DECREASE_FLAG", "DISTINCT_CODES_CUR_N", "DISTINCT_CODES_DECREASE_FLAG", "DISTINCT_CODES_PCT_CHANGE",
+        "DISTINCT_CODES_PREV_N", "RECORDS_CUR_N", "RECORDS_DECREASE_FLAG", "RECORDS_PCT_CHANGE", "RECORDS_PREV_N"],
+}
 # Share (or ratio) beyond which a check's flag is raised; checks not listed flag any hit.
 THRESHOLDS = {
     "1.09": {"pct_ge": 5}, "1.11": {"pct_gt": 5}, "1.13": {"pct_gt": 5}, "1.19": {"pct_gt": 10}, "1.20": {"pct_gt": 5},
@@ -70,6 +131,20 @@ THRESHOLDS = {
 }
 
 
+#: How a threshold's name reads.
+_BEYOND = {"gt": "above", "ge": "at or above", "lt": "below", "le": "at or below"}
+
+
+def _limits(number: str) -> str:
+    """The check's thresholds in words."""
+    limits = []
+    for name, value in THRESHOLDS.get(number, {"hits_gt": 0}).items():
+        what, _, side = name.rpartition("_")
+        amount = ", ".join(f"{v} ({k})" for k, v in value.items()) if isinstance(value, dict) else value
+        limits.append(f"{what} {_BEYOND[side]} {amount}" if side in _BEYOND else f"{name} {amount}")
+    return "; ".join(limits)
+
+
 def registry(spark: SparkSession) -> DataFrame:
     """One row per check, in the registry's 18 columns."""
     def strings(values):
@@ -83,9 +158,10 @@ def registry(spark: SparkSession) -> DataFrame:
             "ROW_NUM": F.lit(number).cast("decimal(10,2)"), "ROW_NUM_STR": F.lit(number), "PART": F.lit(f"part{number[0]}"),
             "EDC_TABLE": F.lit(REPORT_LABELS.get(number)).cast("string"), "DESCRIPTION": F.lit(summary),
             "PROC_NAME": F.lit(check.__name__), "SOURCE_TABLES": strings(SOURCE_TABLES[number]), "ENABLED": F.lit(True),
-            "ROW_NUM_CANON": F.lit(number), "DOC_SUMMARY": F.lit(summary), "DOC_RUN": F.lit(f"mode=CHECK_NUM, selector={number}"),
-            "DOC_OUTPUT": F.lit("long result rows"), "DOC_INTERPRETATION": F.lit("rows with exception_flag need attention"),
-            "METRICS": strings([]), "EXCEPTION_METRICS": strings(EXCEPTION_METRICS[number]),
+            "ROW_NUM_CANON": F.lit(number), "DOC_SUMMARY": F.lit(summary), "DOC_RUN": F.lit(f"run_checks(ctx, out, mode='CHECK_NUM', selector='{number}') reads {', '.join(SOURCE_TABLES[number])}"),
+            "DOC_OUTPUT": F.lit(f"A row for each of {', '.join(METRICS[number])}; STATUS where something could not be judged"),
+            "DOC_INTERPRETATION": F.lit(f"An exception on {' or '.join(EXCEPTION_METRICS[number])} needs attention; limits: {_limits(number)}"),
+            "METRICS": strings(METRICS[number]), "EXCEPTION_METRICS": strings(EXCEPTION_METRICS[number]),
             "THRESHOLDS": F.lit(json.dumps(THRESHOLDS.get(number, {"hits_gt": 0}))),
         }
         structs.append(F.struct(*[v.alias(k) for k, v in values.items()]))

@@ -81,3 +81,21 @@ def test_snapshot_join_can_be_split_by_adaptive_execution(spark, stored):
     join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
     sorts = [i for i, line in enumerate(lines) if i > join and "- Sort [" in line]
     assert len(sorts) == 2 and all("Exchange hashpartitioning(side" in lines[i + 1] for i in sorts)
+
+
+def test_replication_check_expands_counts_only(stored):
+    lines = plan(CHECKS["1.10"](context(stored, "1.10"))).splitlines()
+    expand = next(i for i, line in enumerate(lines) if "Expand [" in line)
+    assert "HashAggregate(keys=[id#" in lines[expand + 1]
+
+
+def test_dates_of_a_row_meet_the_patient_in_one_shuffle(spark, stored):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(CHECKS["2.03"](context(stored, "2.03", target="VITAL")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "dates#" in text and "Window [" not in text
+    # Births and deaths: by day, then by patient; the rows: once.
+    assert text.count("Exchange hashpartitioning(pat#") == 3

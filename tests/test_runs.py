@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from carelint.operators import CHECKS
 from carelint.plans import registry as reg
 from carelint.plans import views
 from carelint.plans.run import COMMITS, Store, run_checks
@@ -168,3 +169,14 @@ def test_rerun_of_one_table_replaces_its_rows(spark, out, number, targets):
     full = rows(store, run)
     run_checks(ctx, out, mode="CHECK_NUM", selector=number, run_id=run)
     assert rows(store, run) == full
+
+
+def test_registry_names_every_metric(make):
+    for number in ("1.01", "1.02", "2.02"):
+        found = {r.metric for r in CHECKS[number](make(TABLES)).collect()} - {"STATUS"}
+        assert found and found <= set(reg.METRICS[number])
+    assert set(reg.METRICS) == set(CHECKS)
+    for number, names in reg.EXCEPTION_METRICS.items():
+        assert set(names) <= set(reg.METRICS[number]), number
+    rows = reg.registry(make(TABLES).spark).collect()
+    assert all(r.METRICS and r.DOC_OUTPUT and r.DOC_INTERPRETATION for r in rows) and len({r.DOC_RUN for r in rows}) == len(rows)
