@@ -14,7 +14,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
 from pyspark.errors import AnalysisException
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelint.context import Context
+from carelint.context import Context, ten_year_lookback
 from carelint.operators import CHECKS
 from carelint.plans import registry as reg
 
@@ -135,14 +135,17 @@ def _now() -> dt.datetime:
 def run_checks(
     ctx: Context, out: str, *, mode: str = "ALL", selector: str | None = None, part: str = "all", max_parallel: int = 10,
     registry_rows: DataFrame | None = None, checks: Mapping[str, Callable[[Context], DataFrame]] | None = None,
-    run_id: str | None = None, names: Mapping[str, str] | None = None,
+    run_id: str | None = None, names: Mapping[str, str] | None = None, lookback: bool = False,
 ) -> str:
     """Run the selected checks, keep going when one fails, and store results and status.
 
     New checks are added by passing their functions in ``checks`` and rows for them in
     ``registry_rows``.  Checks run as concurrent Spark jobs; where the session's scheduler mode is
-    FAIR, each has a pool of its own.
+    FAIR, each has a pool of its own.  With ``lookback`` the date window starts ten years before the
+    anchor day, unless the context has a start of its own.
     """
+    if lookback and ctx.start is None:
+        ctx = replace(ctx, start=ten_year_lookback(ctx.as_of))
     spark, store = ctx.spark, Store(ctx.spark, out.rstrip("/"))
     run_id = run_id or str(uuid.uuid4())
     functions = {f.__name__: f for f in CHECKS.values()} | dict(checks or {})

@@ -180,3 +180,13 @@ def test_registry_names_every_metric(make):
         assert set(names) <= set(reg.METRICS[number]), number
     rows = reg.registry(make(TABLES).spark).collect()
     assert all(r.METRICS and r.DOC_OUTPUT and r.DOC_INTERPRETATION for r in rows) and len({r.DOC_RUN for r in rows}) == len(rows)
+
+
+def test_lookback_sets_the_start_of_the_window(make, tmp_path):
+    ctx = make(TABLES, anchor="2010-06-01")
+    store = Store(ctx.spark, str(tmp_path))
+    run_checks(ctx, str(tmp_path), mode="CHECK_NUM", selector="2.02", run_id="ten", lookback=True)
+    run_checks(ctx, str(tmp_path), mode="CHECK_NUM", selector="2.02", run_id="all")
+    assert {r.run_id: r.start_date for r in store.runs().collect()} == {"ten": "2000-06-01", "all": None}
+    n = {r.run_id: r.n for r in store.results().filter("source_table = 'VITAL' and metric = 'RECORDS_EVAL_N'").groupBy("run_id").agg({"value_num": "sum"}).toDF("run_id", "n").collect()}
+    assert n["ten"] * 2 == n["all"] > 0
