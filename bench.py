@@ -44,9 +44,9 @@ def main() -> None:
     write_tables(spark, sf_dir, where)
     prepared = time.time() - begin
 
-    source = TableSource.from_parquet_dir(spark, f"{where}/tables")
+    source = TableSource.from_parquet_dir(spark, f"{where}/tables", fx.LENGTHS)
     refs = TableSource.from_parquet_dir(spark, f"{where}/refs")
-    plain = Context(source, refs, anchor=fx.ANCHOR, options={"nsd": -1, "min_lag_avg": 20, "lengths": "observed"})
+    plain = Context(source, refs, anchor=fx.ANCHOR, options={"nsd": -1, "min_lag_avg": 20})
     snapshots = Context(fx.current_snapshot(source), refs, prev=source, anchor=fx.ANCHOR)
     queries = {f"dc_{n.replace('.', '_')}_{f.__name__}": (lambda f=f, c=(snapshots if n.startswith("4") else plain): f(c)) for n, f in CHECKS.items()}
     queries["pce_code_summary"] = lambda: codes.code_summary(plain)

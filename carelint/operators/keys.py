@@ -83,7 +83,8 @@ def _orphans(
             live.append((table, column))
     if live:
         sets = [(ctx.frame(parent, windowed=window_parent), F.col(parent_column))]
-        sets += [(ctx.frame(t), F.col(c)) for t, c in live]
+        frames = {t: ctx.frame(t) for t, _ in live}
+        sets += [(frames[t], F.col(c)) for t, c in live]
         counts = id_masks(sets).agg(*[
             agg for i in range(1, len(sets))
             for agg in (E.n_where(in_set(i)).alias(f"n{i}"), E.n_where(in_set(i) & ~in_set(0)).alias(f"o{i}"))

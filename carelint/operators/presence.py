@@ -22,13 +22,17 @@ MASK_BITS = 63
 def id_masks(sets: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
     """(id, mask, mask1, ...): bit i is set when set i holds the id.  Null ids are skipped.
 
-    Every mask has room for ``MASK_BITS`` sets; there are as many masks as the sets need.
+    Every mask has room for ``MASK_BITS`` sets; there are as many masks as the sets need.  Sets over
+    one and the same DataFrame are read in one scan.
     """
     masks = max(1, -(-len(sets) // MASK_BITS))
+    frames: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for i, (df, c) in enumerate(sets):
+        bits = [F.lit(1 << i % MASK_BITS if m == i // MASK_BITS else 0).cast("long").alias(f"bit{m}") for m in range(masks)]
+        frames.setdefault(id(df), (df, []))[1].append(F.struct(E.text(c).alias("id"), *bits))
     tagged = [
-        df.select(E.text(c).alias("id"), *[F.lit(1 << i % MASK_BITS if m == i // MASK_BITS else 0).cast("long").alias(f"bit{m}") for m in range(masks)])
-        .filter(F.col("id").isNotNull())
-        for i, (df, c) in enumerate(sets)
+        (df.select(F.inline(F.array(*ids))) if len(ids) > 1 else df.select(ids[0].alias("x")).select("x.*")).filter(F.col("id").isNotNull())
+        for df, ids in frames.values()
     ]
     return R.union_all(tagged).groupBy("id").agg(*[F.bit_or(f"bit{m}").alias(_mask(m)) for m in range(masks)])
 

@@ -144,8 +144,10 @@ def type_length_conformance(ctx: Context) -> DataFrame:
 
     Type 2 wants text at least as long as stated (an unknown length does not pass); type 1
     wants anything but text, except that a ``*_TIME`` column may be a time or short text.
-    Lengths are the source's declared ones, or measured ones with ``lengths="observed"``.
+    Lengths are the source's declared ones; nothing is scanned.  With ``lengths="observed"`` the
+    longest values are measured instead, and a value longer than stated is the mismatch.
     """
+    measured = ctx.option("lengths", "declared") == "observed"
     ref = _required(ctx)
     if ref is None:
         return _structure_missing(ctx)
@@ -165,7 +167,7 @@ def type_length_conformance(ctx: Context) -> DataFrame:
         wanted.join(actual, ["tbl", "col"], "left")
         .withColumn("bad_type", there & ((wants_char & ~is_char) | (~wants_char & is_char & ~excused)))
         .withColumn("bad_len", there & wants_char & F.col("r_len").isNotNull()
-                    & F.coalesce(F.col("len") < F.col("r_len"), F.lit(True)))
+                    & (F.coalesce(F.col("len") > F.col("r_len"), F.lit(False)) if measured else F.coalesce(F.col("len") < F.col("r_len"), F.lit(True))))
     )
     example = F.struct("col", "r_type", "r_len", "kind", "len", F.col("bad_type").alias("type_mismatch"),
                        F.col("bad_len").alias("length_mismatch"))

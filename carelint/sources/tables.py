@@ -112,8 +112,8 @@ class TableSource:
                  columns: Iterable[str] | None = None) -> DataFrame:
         """(table_name, column_name, data_type, char_max_len) of every column.
 
-        Spark strings carry no declared length.  ``declared`` uses the lengths the source
-        was given (a catalog's char/varchar, or a caller's manifest) and leaves the others
+        ``declared`` uses the lengths the source was given (a catalog's char/varchar, or a
+        caller's manifest), then those of char/varchar columns in the schema, and leaves the others
         null; ``observed`` measures the longest value of each string column, one scan per table
         and one small shuffle for all.
         """
@@ -124,7 +124,7 @@ class TableSource:
             return [f for f in self.frame(table).schema.fields if wanted is None or f.name.upper() in wanted]
 
         if lengths == "declared":
-            data = [(t, f.name.upper(), _type_name(f.dataType), self._lengths.get((t, f.name.upper())))
+            data = [(t, f.name.upper(), _type_name(f.dataType), self._lengths.get((t, f.name.upper()), _declared(f)))
                     for t in names for f in fields(t)]
             return R.literal_table(self.spark, ["table_name", "column_name", "data_type", "char_max_len"], data,
                                    ["string", "string", "string", "int"])
@@ -153,5 +153,13 @@ def _is_text(kind: T.DataType) -> bool:
     return isinstance(kind, (T.StringType, T.CharType, T.VarcharType))
 
 
+def _declared(field: T.StructField) -> int | None:
+    """The length of a char or varchar column, as Spark keeps it in the field's type or metadata."""
+    if isinstance(field.dataType, (T.CharType, T.VarcharType)):
+        return field.dataType.length
+    found = _LENGTH.search(field.metadata.get("__CHAR_VARCHAR_TYPE_STRING", ""))
+    return int(found.group(1)) if found else None
+
+
 def _type_name(kind: T.DataType) -> str:
     return "VARCHAR" if _is_text(kind) else kind.simpleString().upper()

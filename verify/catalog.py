@@ -67,7 +67,8 @@ def _presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["dc_1_01_table_presence"] = Query(_presence, sql.table_presence)
 _check("dc_1_02_table_populated", "1.02", sql.table_populated)
 _check("dc_1_03_required_columns", "1.03", sql.required_columns)
-_check("dc_1_04_type_length", "1.04", sql.type_length_conformance, options={"lengths": "observed"})
+_check("dc_1_04_type_length", "1.04", sql.type_length_conformance)
+_check("dc_1_04_values_too_long", "1.04", lambda: sql.type_length_conformance(measured=True), options={"lengths": "observed"})
 _check("dc_1_05_primary_key_uniqueness", "1.05", sql.primary_key_uniqueness)
 _check("dc_1_06_valueset_conformance", "1.06", sql.valueset_conformance)
 _check("dc_1_07_required_not_null", "1.07", sql.required_not_null)
@@ -79,7 +80,8 @@ _check("dc_1_11_multi_parent_encounter", "1.11", sql.multi_parent_encounter)
 _check("dc_1_12_orphan_providerid", "1.12", sql.orphan_providerid)
 _check("dc_1_13_code_error_summary", "1.13", sql.code_error_summary)
 _check("dc_1_14_missing_hash_token", "1.14", sql.missing_hash_token)
-_check("dc_1_15_id_length_harmonization", "1.15", sql.id_length_harmonization, options={"lengths": "observed"})
+_check("dc_1_15_id_length_harmonization", "1.15", sql.id_length_harmonization)
+_check("dc_1_15_longest_ids", "1.15", lambda: sql.id_length_harmonization(measured=True), options={"lengths": "observed"})
 _check("dc_1_16_misplaced_loinc", "1.16", sql.misplaced_loinc)
 _check("dc_1_17_zip_format", "1.17", sql.zip_format)
 _check("dc_1_18_refresh_date_documented", "1.18", sql.refresh_date_documented)
@@ -113,6 +115,11 @@ _check("dc_3_17_obsclin_unit_pct", "3.17", sql.obsclin_unit_pct)
 _check("dc_4_01_snapshot_table_change", "4.01", sql.snapshot_table_change)
 _check("dc_4_02_snapshot_enctype_change", "4.02", sql.snapshot_enctype_change)
 _check("dc_4_03_snapshot_code_change", "4.03", sql.snapshot_code_change)
+for _name, _number, _oracle in (
+    ("dc_1_05_primary_key_uniqueness", "1.05", sql.primary_key_uniqueness), ("dc_1_09_orphan_encounterid", "1.09", sql.orphan_encounterid),
+    ("dc_2_02_numeric_range_outliers", "2.02", sql.numeric_range_outliers), ("dc_3_04_dx_patient_coverage", "3.04", sql.dx_patient_coverage),
+    ("dc_3_09_lab_known_result_funnel", "3.09", sql.lab_known_result_funnel)):
+    _check(f"{_name}_window", _number, lambda o=_oracle: sql.windowed(o(), "1998-03-01", "2000-02-29"), start="1998-03-01", end="2000-02-29")
 _check_lost("dc_4_01_table_lost", "4.01", sql.snapshot_table_change, "VITAL", "CURRENT")
 _check_lost("dc_4_01_table_new", "4.01", sql.snapshot_table_change, "VITAL", "PREVIOUS")
 _check_lost("dc_4_02_domain_lost", "4.02", sql.snapshot_enctype_change, "PROCEDURES", "CURRENT")
@@ -176,7 +183,7 @@ QUERIES["results_details_flat"] = Query(_flat, sql.results_details_flat)
 QUERIES["recent_runs"] = Query(lambda s, d: _plain(views.recent_runs(fx.runs(s, d))), sql.recent_runs)
 QUERIES["run_status_counts"] = Query(lambda s, d: views.run_status_counts(fx.check_log(s, d), "R2"), sql.run_status_counts)
 QUERIES["failed_checks"] = Query(lambda s, d: _plain(views.failed_checks(fx.check_log(s, d), "R2")), sql.failed_checks)
-for _mode, _selector, _part in (("CHECK_NUM", " 1.05, 2.5 ,x", "all"), ("SOURCE_TABLE", "brand#1,Encounter", "PART2"), ("ALL", None, "part3")):
+for _mode, _selector, _part in (("CHECK_NUM", " 1.05, 2.5 ,x", "all"), ("SOURCE_TABLE", "brand#1,Encounter", "PART2"), ("ALL", None, "part3"), ("CHECK_NAME", " red plate ,Hot Rod,none", "all")):
     QUERIES[f"select_checks_{_mode.lower()}"] = Query(
         lambda s, d, m=_mode, w=_selector, p=_part: _plain(select_checks(fx.registry(s, d), m, w, p)), lambda m=_mode: sql.select_checks(m))
 QUERIES["registry_listing"] = Query(lambda s, d: _plain(views.registry_listing(fx.registry(s, d))), sql.registry_listing)

@@ -1,8 +1,7 @@
 """Clinical tables derived from the given ones, for queries, tests and the bench.
 
-Each table is a projection of a whole given table (or of the rows of a natural category,
-such as a return flag); modulo rules only decide *values*, so that every check has
-something to find.  The expressions mean the same in Spark SQL and in DuckDB, so a table
+Each table is a projection of a whole given table; modulo rules and categories only decide
+*values*, so that every check has something to find.  The expressions mean the same in Spark SQL and in DuckDB, so a table
 can be a DataFrame in a query and a CTE in its oracle.
 """
 
@@ -40,6 +39,10 @@ def _case(key: str, *values: str | None, other: str | None = None) -> str:
     return f"CASE {key} {whens} ELSE {'NULL' if other is None else chr(39) + other + chr(39)} END"
 
 
+def _one(value: str) -> str:
+    return f"max(CASE WHEN r_name IS NOT NULL THEN '{value}' END)"
+
+
 def _enctype(k: str) -> str:
     return _case(f"{k} % 13", "AV", "ED", "EI", "IP", "TH", "OS", "IS", "OA", "IC", "NI", " ip ", None, other="AV")
 
@@ -75,12 +78,12 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "BIRTH_DATE": f"{_dt(chr(39) + '1930-01-01' + chr(39))} + {_int('(c_custkey * 37) % 25500')}",
         "SEX": _case("c_custkey % 7", "F", "M", "UN", "XX", "", None, other="f"),
     }),
-    "DEATH": ("customer", "c_acctbal < 0", {
+    "DEATH": ("customer", None, {
         "PATID": _id("P", "c_custkey"),
-        "DEATH_DATE": f"{_dt(chr(39) + '1996-01-01' + chr(39))} + {_int('(c_custkey * 11) % 1900')}",
+        "DEATH_DATE": f"CASE WHEN c_acctbal < 0 THEN {_dt(chr(39) + '1996-01-01' + chr(39))} + {_int('(c_custkey * 11) % 1900')} ELSE NULL END",
         "DEATH_SOURCE": "CASE WHEN c_custkey % 3 = 0 THEN 'L' ELSE 'S' END",
     }),
-    "DEATH_CAUSE": ("customer", "c_acctbal < 0", {
+    "DEATH_CAUSE": ("customer", None, {
         "PATID": _id("P", "c_custkey"),
         "DEATH_CAUSE": _case("c_custkey % 4", "I21.9", "J18.9", None, other=""),
         "DEATH_CAUSE_CODE": "'10'",
@@ -131,7 +134,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "PX_TYPE": _case("l_suppkey % 6", "CH", "09", "10", "ND", "OT", other="CH"),
         "PROVIDERID": _id("V", "l_suppkey + 5"),
     }),
-    "VITAL": (LINES, "l_returnflag = 'N'", {
+    "VITAL": (LINES, None, {
         "VITALID": _id("T", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -143,7 +146,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "BMI": _s("l_partkey % 105"),
         "VITAL_SOURCE": "CASE WHEN l_partkey % 80 = 0 THEN '' ELSE 'HC' END",
     }),
-    "PRESCRIBING": (LINES, "l_returnflag = 'R'", {
+    "PRESCRIBING": (LINES, None, {
         "PRESCRIBINGID": _id("S", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -152,7 +155,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
                       f"WHEN l_partkey % 47 = 0 THEN '12345678' ELSE {_s('l_partkey + 1000')} END",
         "RX_PROVIDERID": _id("V", "l_suppkey + 5"),
     }),
-    "DISPENSING": (LINES, "l_returnflag = 'A'", {
+    "DISPENSING": (LINES, None, {
         "DISPENSINGID": _id("I", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "DISPENSE_DATE": _SHIP,
@@ -160,7 +163,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
                f"ELSE lpad({_s('l_partkey')}, 11, '1') END",
         "DISPENSE_SUP": _s("l_partkey % 110"),
     }),
-    "MED_ADMIN": (LINES, "l_linestatus = 'F'", {
+    "MED_ADMIN": (LINES, None, {
         "MEDADMINID": _id("M", "l_orderkey", "l_suppkey"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -170,7 +173,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "MEDADMIN_CODE": f"CASE WHEN l_suppkey % 3 = 0 THEN {_s('l_partkey + 1000')} ELSE lpad({_s('l_partkey')}, 11, '1') END",
         "MEDADMIN_PROVIDERID": _id("V", "l_suppkey"),
     }),
-    "LAB_RESULT_CM": (LINES, "l_linestatus = 'O'", {
+    "LAB_RESULT_CM": (LINES, None, {
         "LAB_RESULT_CM_ID": _id("L", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -187,7 +190,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "NORM_RANGE_LOW": "CASE WHEN l_suppkey % 3 = 2 THEN NULL ELSE '1' END",
         "NORM_RANGE_HIGH": "CASE WHEN l_suppkey % 3 = 1 THEN NULL ELSE '9' END",
     }),
-    "OBS_CLIN": (LINES, "l_returnflag = 'N'", {
+    "OBS_CLIN": (LINES, None, {
         "OBSCLINID": _id("O", "l_orderkey", "l_partkey"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -201,7 +204,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "OBSCLIN_RESULT_TEXT": "CASE WHEN l_partkey % 15 = 3 THEN 'note' ELSE NULL END",
         "OBSCLIN_RESULT_UNIT": _case("l_suppkey % 3", "ni", "kg"),
     }),
-    "OBS_GEN": (LINES, "l_linestatus = 'F'", {
+    "OBS_GEN": (LINES, None, {
         "OBSGENID": _id("G", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -213,7 +216,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "OBSGEN_PROVIDERID": _id("V", "l_suppkey + 3"),
         "PROVIDERID": _id("V", "l_suppkey"),
     }),
-    "CONDITION": (LINES, "l_returnflag = 'R'", {
+    "CONDITION": (LINES, None, {
         "CONDITIONID": _id("C", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "ENCOUNTERID": f"CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE {_ENC} END",
@@ -224,7 +227,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "CONDITION_TYPE": _case("l_suppkey % 4", "09", "10", "SM"),
         "CONDITION_SOURCE": "CASE WHEN l_partkey % 33 = 0 THEN '  ' ELSE 'HC' END",
     }),
-    "IMMUNIZATION": (LINES, "l_returnflag = 'A'", {
+    "IMMUNIZATION": (LINES, None, {
         "IMMUNIZATIONID": _id("W", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -236,7 +239,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "VX_STATUS": "CASE WHEN l_partkey % 21 = 0 THEN NULL ELSE 'CP' END",
         "VX_PROVIDERID": _id("V", "l_suppkey + 1"),
     }),
-    "PRO_CM": (LINES, "l_returnflag = 'N'", {
+    "PRO_CM": (LINES, None, {
         "PRO_CM_ID": _id("Q", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "ENCOUNTERID": _ENC,
@@ -244,7 +247,7 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "PRO_CODE": f"CASE WHEN l_partkey % 22 = 0 THEN '' ELSE {_id('', 'l_partkey', 'l_partkey % 10')} END",
         "PRO_TYPE": _case("l_suppkey % 3", "lc", "PM", other="LC"),
     }),
-    "EXTERNAL_MEDS": (LINES, "l_returnflag = 'R'", {
+    "EXTERNAL_MEDS": (LINES, None, {
         "EXTMEDID": _id("N", "l_orderkey", "l_linenumber"),
         "PATID": _PAT,
         "EXT_RECORD_DATE": _ORDER,
@@ -280,17 +283,23 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
                        f"ELSE concat(lpad({_s('c_nationkey')}, 2, '0'), '001') END",
         "RUCA_ZIP": f"CASE WHEN c_custkey % 66 = 0 THEN '1.1' ELSE {_s('c_custkey % 11')} END",
     }),
-    "HARVEST": ("region", "r_regionkey = 0", {
-        "NETWORKID": "'N1'",
-        "DATAMARTID": "'DM1'",
-        "DATASOURCE": "'EHR'",
-        "REFRESH_ENCOUNTER_DATE": "'2001-06-30'",
-        "REFRESH_DIAGNOSIS_DATE": "'2001-05-31'",
-        "REFRESH_PROCEDURES_DATE": "''",
-        "REFRESH_VITAL_DATE": "'not a date'",
+    # One row over all regions.
+    "HARVEST": ("region", None, {
+        "NETWORKID": _one("N1"),
+        "DATAMARTID": _one("DM1"),
+        "DATASOURCE": _one("EHR"),
+        "REFRESH_ENCOUNTER_DATE": _one("2001-06-30"),
+        "REFRESH_DIAGNOSIS_DATE": _one("2001-05-31"),
+        "REFRESH_PROCEDURES_DATE": _one(""),
+        "REFRESH_VITAL_DATE": _one("not a date"),
     }),
 }
 
+# Declared text lengths: by column, and where a table differs. Others are unknown.
+_DECLARED = {"PATID": 20, "PATID_1": 20, "PATID_2": 20, "ENCOUNTERID": 25, "PROVIDERID": 15, "DX": 18, "LAB_LOINC": 10, "NETWORKID": 12, "HT": 30}
+LENGTHS = {(t, c): _DECLARED[c] for t, (_, _, columns) in TABLES.items() for c in columns if c in _DECLARED} | {
+    ("VITAL", "PATID"): 18, ("PRESCRIBING", "RX_PROVIDERID"): 12}
+
 REFERENCES: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "LOINC_REF_RAW": ("part", None, {
         "LOINC_NUM": f"CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 90 = 1 THEN ' 11-1 ' ELSE {_id('', 'p_partkey', 'p_partkey % 10')} END",
@@ -370,7 +379,7 @@ def workbook(spark: SparkSession) -> DataFrame:
 def source(spark: SparkSession, sf_dir: str) -> TableSource:
     """The derived tables as a source; PCORNET_TRIAL is left out to test absence."""
     given = Given(spark, sf_dir)
-    return TableSource.from_frames(spark, {n: (lambda s=s: _frame(given, s)) for n, s in TABLES.items()})
+    return TableSource.from_frames(spark, {n: (lambda s=s: _frame(given, s)) for n, s in TABLES.items()}, LENGTHS)
 
 
 def references(spark: SparkSession, sf_dir: str) -> TableSource:

@@ -62,6 +62,15 @@ def query(tables, ctes: dict[str, str], rows: list[str]) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + "\nUNION ALL\n".join(rows)
 
 
+def windowed(sql: str, start: str, end: str) -> str:
+    """The query over tables that hold only the rows whose date lies in the window."""
+    for t, c in model.DATE_COLUMN.items():
+        if t in HAVE and c in fx.TABLES[t][2]:
+            whole = fx.sql_table(t)
+            sql = sql.replace(f"{t} AS ({whole})", f"{t} AS (SELECT * FROM ({whole}) WHERE {c} BETWEEN DATE '{start}' AND DATE '{end}')")
+    return sql
+
+
 # ---------------------------------------------------------------------------- structure
 def _counts(tables) -> tuple[list[str], dict[str, str]]:
     live = [t for t in tables if t in HAVE]
@@ -136,17 +145,24 @@ def _observed(tables, columns=None) -> str:
     return " UNION ALL ".join(parts)
 
 
-def type_length_conformance():
+def _declared(tables, columns=None) -> str:
+    rows = [f"({q(t)}, {q(c)}, {q('VARCHAR' if _is_text(t, c) else 'OTHER')}, CAST({fx.LENGTHS.get((t, c), 'NULL')} AS INT))"
+            for t in tables for c in fx.TABLES[t][2] if columns is None or c in columns]
+    return f"SELECT * FROM (VALUES {LIST(rows)}) v(tbl, col, kind, len)"
+
+
+def type_length_conformance(measured=False):
     used = ("DIAGNOSIS", "ENCOUNTER", "VITAL", "HARVEST", "LAB_HISTORY")
-    return query([*used, "REQUIRED_STRUCTURE_RAW"], {
-        "cols": _observed(used),
+    bad = "len > rl" if measured else "(len IS NULL OR len < rl)"
+    return query([*(used if measured else ()), "REQUIRED_STRUCTURE_RAW"], {
+        "cols": _observed(used) if measured else _declared(used),
         "r": f"SELECT upper(MEMNAME) AS tbl, upper(NAME) AS col, trim(R_TYPE) AS rt, TRY_CAST(R_LENGTH AS INT) AS rl "
              f"FROM REQUIRED_STRUCTURE_RAW WHERE {present('MEMNAME')} AND {present('NAME')}",
         "j": "SELECT r.*, c.kind, c.len FROM r LEFT JOIN cols c ON c.tbl = r.tbl AND c.col = r.col",
         "w": "SELECT tbl, count(*) AS n, count(kind) AS seen, "
              "count(*) FILTER (kind IS NOT NULL AND ((rt = '2' AND kind <> 'VARCHAR') OR (rt = '1' AND kind = 'VARCHAR' "
              "AND NOT (col LIKE '%\\_TIME' ESCAPE '\\' AND coalesce(len <= 8, FALSE))))) AS bt, "
-             "count(*) FILTER (kind IS NOT NULL AND rt = '2' AND rl IS NOT NULL AND (len IS NULL OR len < rl)) AS bl FROM j GROUP BY tbl",
+             "count(*) FILTER (kind IS NOT NULL AND rt = '2' AND rl IS NOT NULL AND " + bad + ") AS bl FROM j GROUP BY tbl",
     }, [row("w", "FIELDS_SPECIFIED_IN_REF", "n", source="tbl"),
         row("w", "FIELDS_CHECKED_PRESENT", "seen", source="tbl"),
         row("w", "TYPE_MISMATCH_COUNT", "bt", source="tbl"),
@@ -154,13 +170,13 @@ def type_length_conformance():
         flagrow("w", "ANY_CONFORMANCE_ISSUE_FLAG", "bt + bl > 0", source="tbl")])
 
 
-def id_length_harmonization():
+def id_length_harmonization(measured=False):
     used = [t for t in model.TABLES if t in HAVE and set(fx.TABLES[t][2]) & set(model.LENGTH_CHECKED_IDS)]
     at = {"source": "'INFORMATION_SCHEMA.COLUMNS'", "code": "fam", "thr": "1"}
-    return query(used, {
-        "cols": _observed(used, model.LENGTH_CHECKED_IDS),
+    return query(used if measured else (), {
+        "cols": (_observed if measured else _declared)(used, model.LENGTH_CHECKED_IDS),
         "w": "SELECT CASE WHEN col IN ('PATID','PATID_1','PATID_2') THEN 'PATID_FAMILY' WHEN col LIKE '%PROVIDERID' THEN 'PROVIDERID_FAMILY' "
-             "ELSE col END AS fam, count(DISTINCT len) AS k, min(len) AS lo, max(len) AS hi FROM cols GROUP BY 1",
+             "ELSE col END AS fam, count(DISTINCT len) AS k, min(len) AS lo, max(len) AS hi FROM cols GROUP BY 1 HAVING count(len) > 0",
     }, [row("w", "DISTINCT_LENGTH_N", "k", **at), row("w", "MIN_LENGTH", "lo", **at), row("w", "MAX_LENGTH", "hi", **at),
         flagrow("w", "HARMONIZED_LENGTH_FLAG", "k > 1", **at),
         status(source="'INFORMATION_SCHEMA.COLUMNS'", thr="1", edc="'ALL'")])
@@ -889,7 +905,8 @@ def failed_checks():
 def select_checks(mode):
     test = {"CHECK_NUM": "ROW_NUM IN (1.05, 2.50)",
             "SOURCE_TABLE": "lower(PART) = 'part2' AND list_has_any(SOURCE_TABLES, ['BRAND#1', 'ENCOUNTER'])",
-            "ALL": "lower(PART) = 'part3'"}[mode]
+            "ALL": "lower(PART) = 'part3'",
+            "CHECK_NAME": "lower(CHECK_NAME) IN ('red plate', 'hot rod')"}[mode]
     return query(["registry"], {}, ["SELECT CHECK_ID, CHECK_NAME, CAST(ROW_NUM AS DOUBLE) AS CHECK_NUM, EDC_TABLE, PROC_NAME, array_to_string(SOURCE_TABLES, ',') AS SOURCE_TABLES, PART FROM registry "
                                     f"WHERE coalesce(ENABLED, TRUE) AND {test}"])
 
