@@ -3,23 +3,25 @@
 A source of weight w (its share of all slots) is a task whose k-th block may start at
 floor(k / w) and must be done by ceil((k + 1) / w).  Earliest deadline first over the released
 blocks meets every deadline, so after any number of slots each source is less than one block from
-its share.  Weights are whole units of a period; the schedule repeats after each period, so it is
-made once for one period, which the data can't enlarge, and the slot of any block follows by
-arithmetic.  Only the numbering of rows within a source needs the cluster.
+its share.  Where a source has run out, a new phase begins: the others go on from there with their
+weights divided by what is left, until all blocks have a slot.  One task places the blocks in turn and streams
+their slots, holding a block or two of each source; rows meet them in a join.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carelint.llm.common import written
 
-#: Slots of a period; rows of a block; the exponent that flattens row counts into default weights; rows numbered together.
-PERIOD, BLOCK_ROWS, TEMPER, BUCKET_ROWS = 1000, 4, 0.7, 20_000
+#: Slots of a period; rows of a block; the exponent that flattens row counts into default weights; rows numbered together; blocks sent together.
+PERIOD, BLOCK_ROWS, TEMPER, BUCKET_ROWS, SENT = 1000, 4, 0.7, 20_000, 1 << 16
 
 
 def units(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -62,6 +64,68 @@ def schedule(shares: Mapping[str, int]) -> list[str]:
     return out
 
 
+def phases(shares: Sequence[int], blocks: Sequence[int]) -> Iterator[tuple]:
+    """(source, block, release, deadline, slot, phase) of all blocks in the order of slots: numbers, or arrays once one source is left.
+
+    A phase ends at the first slot whose source has no block left; the next one goes on from that
+    slot with the sources that have some.
+    """
+    done, start, phase, active = [0] * len(blocks), 0, 0, list(range(len(blocks)))
+    while active:
+        if len(active) == 1:
+            i, n = active[0], blocks[active[0]] - done[active[0]]
+            for at in range(0, n, SENT):
+                k = np.arange(at, min(at + SENT, n))
+                yield np.full(len(k), i), done[i] + k, start + k, start + k + 1, start + k, np.full(len(k), phase)
+            return
+        total = sum(shares[i] for i in active)
+        waiting: list[tuple[int, int, int]] = []
+        ready = [(-(-total // shares[i]), i, 0) for i in active]
+        heapq.heapify(ready)
+        t = 0
+        while True:
+            while waiting and waiting[0][0] <= t:
+                _, i, k = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(k + 1) * total // shares[i]), i, k))
+            due, i, k = heapq.heappop(ready)
+            if done[i] >= blocks[i]:
+                break
+            yield i, done[i], start + k * total // shares[i], start + due, start + t, phase
+            done[i] += 1
+            t += 1
+            heapq.heappush(waiting, ((k + 1) * total // shares[i], i, k + 1))
+        start, phase, active = start + t, phase + 1, [i for i in active if done[i] < blocks[i]]
+
+
+def slots(spark: SparkSession, shares: Mapping[str, int], blocks: Mapping[str, int]) -> DataFrame:
+    """(name, k, release, deadline, slot, phase) of every block of the sources with a share; ties go to the first name."""
+    names = sorted(shares)
+    own, most = [shares[s] for s in names], [blocks.get(s, 0) for s in names]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def frame(x) -> pd.DataFrame:
+            out = pd.DataFrame(dict(zip(("name", "k", "release", "deadline", "slot", "phase"), x)))
+            return out.assign(name=[names[i] for i in out["name"]])
+
+        for b in batches:
+            held: list[tuple] = []
+            for x in phases(own, most) if len(b) else ():
+                if isinstance(x[0], np.ndarray):
+                    if held:
+                        yield frame(zip(*held))
+                        held = []
+                    yield frame(x)
+                    continue
+                held.append(x)
+                if len(held) >= SENT:
+                    yield frame(zip(*held))
+                    held = []
+            if held:
+                yield frame(zip(*held))
+
+    return spark.range(0, 1, 1, 1).mapInPandas(run, "name string, k long, release long, deadline long, slot long, phase int")
+
+
 def numbered(rows: DataFrame, key: str, ident: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Adds ``seq``, from 0 without gaps in each key, in the order of a hash of ``ident``.
 
@@ -86,27 +150,20 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
     source; without them a source weighs its row count to the power TEMPER.  A source without a
     positive weight is not in the mix: its block to position are null and kept is false.  ``kept``
     is true up to the first slot whose source has no block left; so far every source keeps to its
-    weight, and beyond it none could.  ``position`` orders the mix.  Ties of the hashed order go to
-    the smaller doc_id.
+    weight.  Beyond it the remaining sources keep to theirs among each other, phase by phase, and
+    release and deadline are those of the phase.  ``position`` orders the mix.  Ties of the hashed
+    order go to the smaller doc_id.
     """
     spark = docs.sparkSession
     rows = written(docs.select("doc_id", F.coalesce(F.col("source"), F.lit("")).alias("source")))
     sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     shares = units(weights if weights is not None else {s: n**TEMPER for s, n in sizes.items()}, period)
-    period = sum(shares.values())
-    turns: dict[str, list[int]] = {s: [] for s in shares}
-    for t, s in enumerate(schedule(shares)):
-        turns[s].append(t)
-    first = lambda s, k: k // shares[s] * period + turns[s][k % shares[s]]
-    end = min((first(s, -(-sizes.get(s, 0) // block_rows)) for s in shares), default=0)
-    plan = spark.createDataFrame([(s, w, turns[s]) for s, w in shares.items()], "name string, share long, turns array<long>")
+    plan = slots(spark, shares, {s: -(-n // block_rows) for s, n in sizes.items()})
     placed = numbered(rows, "source", "doc_id", bucket_rows).withColumn("block", F.expr(f"seq div {block_rows}"))
-    k, w = F.col("block"), F.col("share")
-    at = placed.join(plan, F.col("source") == F.col("name"), "left").withColumn("slot", F.expr(f"block div share * {period}") + F.col("turns")[(k % w).cast("int")])
+    at = placed.join(plan, (F.col("source") == F.col("name")) & (F.col("block") == F.col("k")), "left")
     return at.select(
-        "doc_id", "source", F.when(w.isNotNull(), k).alias("block"),
-        F.expr(f"block * {period} div share").alias("release"), F.expr(f"((block + 1) * {period} + share - 1) div share").alias("deadline"), "slot",
-        (F.col("slot") * block_rows + F.col("seq") % block_rows).alias("position"), F.coalesce(F.col("slot") < end, F.lit(False)).alias("kept"),
+        "doc_id", "source", F.col("k").alias("block"), "release", "deadline", "slot",
+        (F.col("slot") * block_rows + F.col("seq") % block_rows).alias("position"), F.coalesce(F.col("phase") == 0, F.lit(False)).alias("kept"),
     )
 
 
@@ -115,10 +172,10 @@ def op8(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The rows of the mix in its order, with the columns of ``docs``; what lies beyond the mix's end goes.
+    """The rows of the mix in its order, with the columns of ``docs``: all rows of sources that have a weight, to the last.
 
     Rows that share a doc_id stay together, at the first one's place.
     """
-    places = mix(docs, weights, block_rows).where("kept").groupBy("doc_id").agg(F.min("position").alias("__position"))
+    places = mix(docs, weights, block_rows).where("slot is not null").groupBy("doc_id").agg(F.min("position").alias("__position"))
     joined = docs.join(places, docs["doc_id"].eqNullSafe(places["doc_id"])).select(docs["*"], "__position")
     return joined.repartitionByRange("__position").sortWithinPartitions("__position").drop("__position")

@@ -212,6 +212,25 @@ def test_schedule_meets_all_deadlines():
             assert all(abs(done[k] - t * w / period) < 1 for k, w in shares.items())
 
 
+@pytest.mark.parametrize("few, name", [(1, "tiny"), (3, None)])
+def test_mix_keeps_every_row_beside_a_tiny_source(spark, few, name):
+    sizes = {"a": 700, "b": 300, "c": 150, name: few}
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    table = spark.createDataFrame(rows, "doc_id long, source string").repartition(7)
+    out = [(r.doc_id, r.source) for r in mixing.mixed(table).collect()]
+    assert sorted(out) == rows
+    weights = {"a": 0.5, "b": 0.3, "c": 0.1, name or "": 0.1}
+    got = mixing.mix(table, weights).toPandas()
+    assert ((got["slot"] >= got["release"]) & (got["slot"] < got["deadline"])).all()
+    turns = got.drop_duplicates(["source", "block"]).sort_values("slot")
+    assert list(turns["slot"]) == list(range(len(turns))) and not got["kept"].all()
+    # Once the tiny source is gone, the others keep to their weights among each other.
+    after = turns[~turns["kept"]].head(60)
+    for s in "abc":
+        lag = (after["source"] == s).cumsum() - weights[s] / 0.9 * np.arange(1, 61)
+        assert lag.abs().max() < 1
+
+
 def brute_fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
