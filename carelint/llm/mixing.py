@@ -3,7 +3,7 @@
 A source of weight w (its share of all slots) is a task whose k-th block may start at
 floor(k / w) and must be done by ceil((k + 1) / w).  Earliest deadline first over the released
 blocks meets every deadline, so after any number of slots each source is less than one block from
-its share.  Where a source has run out, a new phase begins: the others go on from there with their
+its share.  Weights are taken exactly, as fractions.  Where a source has run out, a new phase begins: the others go on from there with their
 weights divided by what is left, until all blocks have a slot.  One task places the blocks in turn and streams
 their slots, holding a block or two of each source; rows meet them in a join.
 """
@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
+from math import lcm
 
 import numpy as np
 import pandas as pd
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 
 from carelint.llm.common import written
 
-#: Slots of a period; rows of a block; the exponent that flattens row counts into default weights; rows numbered together; blocks sent together.
+#: Slots of a period to which ``units`` rounds; rows of a block; the exponent that flattens row counts into default weights; rows numbered together; blocks sent together.
 PERIOD, BLOCK_ROWS, TEMPER, BUCKET_ROWS, SENT = 1000, 4, 0.7, 20_000, 1 << 16
+#: A deadline beyond this is this.
+FAR = (1 << 63) - 1
 
 
 def units(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -43,6 +47,13 @@ def units(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
     return out
 
 
+def exact(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the positive weights."""
+    parts = {k: Fraction(w) for k, w in weights.items() if w > 0}
+    whole = lcm(*(x.denominator for x in parts.values()))
+    return {k: int(x * whole) for k, x in parts.items()}
+
+
 def schedule(shares: Mapping[str, int]) -> list[str]:
     """The source of each slot of one period: earliest deadline first among released blocks; ties go to the first name."""
     period = sum(shares.values())
@@ -90,7 +101,7 @@ def phases(shares: Sequence[int], blocks: Sequence[int]) -> Iterator[tuple]:
             due, i, k = heapq.heappop(ready)
             if done[i] >= blocks[i]:
                 break
-            yield i, done[i], start + k * total // shares[i], start + due, start + t, phase
+            yield i, done[i], start + k * total // shares[i], min(start + due, FAR), start + t, phase
             done[i] += 1
             t += 1
             heapq.heappush(waiting, ((k + 1) * total // shares[i], i, k + 1))
@@ -143,12 +154,13 @@ def numbered(rows: DataFrame, key: str, ident: str, bucket_rows: int = BUCKET_RO
     return own.withColumn("inside", inside).join(starts, (F.col(key) == F.col("k")) & (F.col("bucket") == F.col("b"))).withColumn("seq", F.col("start") + F.col("inside") - 1).drop("k", "b", "start", "inside", "bucket", "h")
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, source, block, release, deadline, slot, position, kept) of every row.
 
     A null source counts as the source named by the empty string.  ``weights`` are target shares by
     source; without them a source weighs its row count to the power TEMPER.  A source without a
-    positive weight is not in the mix: its block to position are null and kept is false.  ``kept``
+    positive weight is not in the mix: its block to position are null and kept is false.  Weights
+    hold exactly, or with a ``period`` rounded to whole units of it.  ``kept``
     is true up to the first slot whose source has no block left; so far every source keeps to its
     weight.  Beyond it the remaining sources keep to theirs among each other, phase by phase, and
     release and deadline are those of the phase.  ``position`` orders the mix.  Ties of the hashed
@@ -157,7 +169,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
     spark = docs.sparkSession
     rows = written(docs.select("doc_id", F.coalesce(F.col("source"), F.lit("")).alias("source")))
     sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
-    shares = units(weights if weights is not None else {s: n**TEMPER for s, n in sizes.items()}, period)
+    asked = weights if weights is not None else {s: n**TEMPER for s, n in sizes.items()}
+    shares = exact(asked) if period is None else units(asked, period)
     plan = slots(spark, shares, {s: -(-n // block_rows) for s, n in sizes.items()})
     placed = numbered(rows, "source", "doc_id", bucket_rows).withColumn("block", F.expr(f"seq div {block_rows}"))
     at = placed.join(plan, (F.col("source") == F.col("name")) & (F.col("block") == F.col("k")), "left")

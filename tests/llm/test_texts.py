@@ -231,6 +231,30 @@ def test_mix_keeps_every_row_beside_a_tiny_source(spark, few, name):
         assert lag.abs().max() < 1
 
 
+def test_mix_keeps_to_exact_weights():
+    weights = {"third": 1 / 3, "odd": 0.1234, "rare": 0.00004}
+    weights["rest"] = 1 - sum(weights.values())
+    shares = mixing.exact(weights)
+    names, total, done = list(shares), sum(shares.values()), Counter()
+    for i, k, release, deadline, slot, phase in mixing.phases([shares[s] for s in names], [10**9] * 4):
+        assert k == done[i] and release <= slot < deadline and phase == 0
+        done[i] += 1
+        if slot % 1000 == 0 or i == names.index("rare"):
+            assert all(abs(done[j] * total - (slot + 1) * shares[s]) < total for j, s in enumerate(names))
+        if slot == 200_000:
+            break
+    assert all(abs(done[j] - 200_001 * w / sum(weights.values())) < 1 for j, w in enumerate(weights.values()))
+
+
+def test_mix_weighs_exactly(spark):
+    table = spark.range(12_000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'a', 'b') AS source")
+    got = mixing.mix(table, {"a": 0.1234, "b": 0.8766}, block_rows=1).where("kept").toPandas().sort_values("slot")
+    assert len(got) > 9000
+    assert ((got["source"] == "a").cumsum() - 0.1234 * np.arange(1, len(got) + 1)).abs().max() < 1
+    low = mixing.mix(table, {"a": 1e-300, "b": 1.0}).agg(F.count("slot"), F.max("slot")).first()
+    assert tuple(low) == (12_000, 2999)
+
+
 def brute_fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
