@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelint.llm.common import written
@@ -154,12 +154,34 @@ def changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def numbers(doc: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each row by the order of (doc, tie), and both of each number."""
+    if not tie.any():
+        docs, number = np.unique(doc, return_inverse=True)
+        return number, docs, np.zeros(len(docs), np.int64)
+    o = np.lexsort((tie, doc))
+    new = changes(doc[o], tie[o])
+    number = np.empty(len(o), np.int64)
+    number[o] = np.cumsum(new) - 1
+    return number, doc[o][new], tie[o][new]
+
+
+def ties(rows: pd.DataFrame) -> np.ndarray:
+    return rows["tie"].to_numpy(np.int64) if "tie" in rows else np.zeros(len(rows), np.int64)
+
+
+def fit(out: pd.DataFrame, tied: bool) -> pd.DataFrame:
+    """Without the column of ties where the input has none."""
+    return out if tied else out.drop(columns="tie")
+
+
 REPEAT, ANCHOR, DIVIDED, WITNESS = 0, 1, 2, 3
-_SEED_ROWS = "key long, kind byte, seed long, context long, doc long, p int, a int, b int, r int, l int"
+_SEED_ROWS = "key long, kind byte, seed long, context long, doc long, tie long, p int, a int, b int, r int, l int"
 
 
-def _seed_block(doc, p, a, b, seed, context, right, left, length: int) -> pd.DataFrame:
+def _seed_block(doc, tie, p, a, b, seed, context, right, left, length: int) -> pd.DataFrame:
     """Rows of a task's block for the exchange: repeats it can settle, and one row of each context."""
+    doc, docs, tied = numbers(doc, tie)
     o = np.lexsort((p, doc, context, seed))
     doc, p, a, b, seed, context, right, left = (x[o] for x in (doc, p, a, b, seed, context, right, left))
     first = changes(seed, context)
@@ -173,31 +195,33 @@ def _seed_block(doc, p, a, b, seed, context, right, left, length: int) -> pd.Dat
     i32 = lambda x: (x >> np.uint64(32)).astype(np.uint32).view(np.int32)
     rows = pd.DataFrame({
         "key": i64(np.where(many, _mix(seed ^ context), seed)), "kind": np.where(many, DIVIDED, ANCHOR).astype(np.int8), "seed": i64(seed), "context": i64(context),
-        "doc": doc, "p": p.astype(np.int32), "a": a.astype(np.int32), "b": b.astype(np.int32), "r": i32(right), "l": i32(left),
+        "doc": docs[doc], "tie": tied[doc], "p": p.astype(np.int32), "a": a.astype(np.int32), "b": b.astype(np.int32), "r": i32(right), "l": i32(left),
     })
     extra = rows[witness].assign(key=i64(seed[witness]), kind=np.int8(WITNESS))
     n = len(rd)
-    done = pd.DataFrame({"key": rd, "kind": np.zeros(n, np.int8), "seed": 0, "context": 0, "doc": rd, "p": np.zeros(n, np.int32), "a": rs.astype(np.int32), "b": re.astype(np.int32), "r": np.zeros(n, np.int32), "l": np.zeros(n, np.int32)})
+    done = pd.DataFrame({"key": docs[rd], "kind": np.zeros(n, np.int8), "seed": 0, "context": 0, "doc": docs[rd], "tie": tied[rd], "p": np.zeros(n, np.int32), "a": rs.astype(np.int32), "b": re.astype(np.int32), "r": np.zeros(n, np.int32), "l": np.zeros(n, np.int32)})
     return pd.concat([rows, extra, done], ignore_index=True)
 
 
 def _seeds(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("seed", pa.int64()), ("context", pa.int64()), ("doc", pa.int64()), *((c, pa.int32()) for c in "pabrl")])
         held: list[tuple] = []
-        size = 0
+        size, tied = 0, False
 
         def flush():
-            block = _seed_block(*(np.concatenate(x) for x in zip(*held)), length)
+            block = fit(_seed_block(*(np.concatenate(x) for x in zip(*held)), length), tied)
             held.clear()
+            schema = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("seed", pa.int64()), ("context", pa.int64()), ("doc", pa.int64()), *([("tie", pa.int64())] if tied else []), *((c, pa.int32()) for c in "pabrl")])
             return pa.RecordBatch.from_pandas(block, schema=schema, preserve_index=False)
 
         for batch in batches:
             ids, texts = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
+            tied = "tie" in batch.schema.names
+            tie = batch.column("tie").to_numpy(zero_copy_only=False) if tied else np.zeros(len(ids), np.int64)
             for at, data, first in groups(texts):
                 doc, p, a, b, *names = anchors(data, first, length, seed)
                 base = first[doc]
-                held.append((ids[at + doc], p - base, a - base, b - base, *names))
+                held.append((ids[at + doc], tie[at + doc], p - base, a - base, b - base, *names))
                 size += len(data)
                 if size >= BLOCK:
                     yield flush()
@@ -217,6 +241,8 @@ def _settle_seeds(length: int, seed: int):
         if not got:
             return
         t = pd.concat(got, ignore_index=True)
+        own = "tie" in t
+        t["doc"], docs, tied = numbers(t["doc"].to_numpy(), ties(t))
         done = t[t["kind"] == REPEAT]
         t = t[t["kind"] != REPEAT]
         kind, name, context, doc, p, a, b, r, left = (t[c].to_numpy() for c in ("kind", "seed", "context", "doc", "p", "a", "b", "r", "l"))
@@ -230,9 +256,9 @@ def _settle_seeds(length: int, seed: int):
         _, g = np.unique(name[f], return_inverse=True)
         sure = np.zeros(g.max() + 1 if len(g) else 0, bool)
         sure[g[kind[f] != ANCHOR]] = True
-        own = np.flatnonzero(real[f])
-        shared = [_shared(g[own], part[f][own]) | sure[g[own]] for part in (r, left)]
-        f = f[own]
+        single = np.flatnonzero(real[f])
+        shared = [_shared(g[single], part[f][single]) | sure[g[single]] for part in (r, left)]
+        f = f[single]
         d_least, d_most = p[f] - b[f], p[f] - a[f]
         take_r, take_l = shared[0] & (d_least < half), shared[1] & (d_most >= half)
         lo_r, lo_l = np.maximum(a[f], p[f] - half + 1), a[f]
@@ -240,7 +266,7 @@ def _settle_seeds(length: int, seed: int):
         out = [(done["doc"].to_numpy(), done["a"].to_numpy(), done["b"].to_numpy(), True), (doc[again], a[again], b[again] + length, True), (doc[f][take_r], lo_r[take_r], hi_r[take_r] + 1, False), (doc[f][take_l], lo_l[take_l], hi_l[take_l] + 1, False)]
         for settled in (True, False):
             x = runs(*(np.concatenate([o[i] for o in out if o[3] == settled]).astype(np.int64) for i in range(3)))
-            yield pd.DataFrame({"doc": x[0], "start": x[1].astype(np.int32), "end": x[2].astype(np.int32), "settled": settled})
+            yield fit(pd.DataFrame({"doc": docs[x[0]], "tie": tied[x[0]], "start": x[1].astype(np.int32), "end": x[2].astype(np.int32), "settled": settled}), own)
 
     return run
 
@@ -255,7 +281,7 @@ def _shared(group: np.ndarray, value: np.ndarray) -> np.ndarray:
     return out
 
 
-_WINDOW_ROWS = "first long, last long, doc long, start int, end int"
+_WINDOW_ROWS = "first long, last long, doc long, tie long, start int, end int"
 
 
 def _windows(length: int):
@@ -264,20 +290,22 @@ def _windows(length: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
-        size = 0
+        size, own = 0, False
 
         def flush():
-            one, two, doc, start = (np.concatenate(x) for x in zip(*held))
+            one, two, doc, tie, start = (np.concatenate(x) for x in zip(*held))
             held.clear()
+            doc, docs, tied = numbers(doc, tie)
             o = np.lexsort((start, doc, two, one))
             one, two, doc, start = one[o], two[o], doc[o], start[o]
             first = changes(one, two)
-            yield pd.DataFrame({"first": one[first].view(np.int64), "last": two[first].view(np.int64), "doc": doc[first], "start": start[first].astype(np.int32), "end": np.int32(-1)})
+            yield fit(pd.DataFrame({"first": one[first].view(np.int64), "last": two[first].view(np.int64), "doc": docs[doc[first]], "tie": tied[doc[first]], "start": start[first].astype(np.int32), "end": np.int32(-1)}), own)
             d, s, e = runs(doc[~first], start[~first], start[~first] + length)
-            yield pd.DataFrame({"first": d, "last": 0, "doc": d, "start": s.astype(np.int32), "end": e.astype(np.int32)})
+            yield fit(pd.DataFrame({"first": docs[d], "last": 0, "doc": docs[d], "tie": tied[d], "start": s.astype(np.int32), "end": e.astype(np.int32)}), own)
 
         for batch in batches:
-            for ident, text, ranges in zip(batch["doc_id"], batch["text"], batch["ranges"]):
+            own = "tie" in batch
+            for ident, tie, text, ranges in zip(batch["doc_id"], ties(batch), batch["text"], batch["ranges"]):
                 data = np.frombuffer(text, np.uint8)
                 limit = len(data) - length
                 at = [np.arange(x["start"], min(x["end"], limit + 1)) for x in ranges]
@@ -285,7 +313,7 @@ def _windows(length: int):
                 if not len(at):
                     continue
                 names = Names(data)
-                held.append((names.of(at, at + part), names.of(at + length - part, at + length), np.full(len(at), ident), at))
+                held.append((names.of(at, at + part), names.of(at + length - part, at + length), np.full(len(at), ident), np.full(len(at), tie), at))
                 size += len(at)
                 if size >= BLOCK // 16:
                     yield from flush()
@@ -302,38 +330,68 @@ def _settle_windows(length: int):
         if not got:
             return
         t = pd.concat(got, ignore_index=True)
+        own = "tie" in t
+        t["doc"], docs, tied = numbers(t["doc"].to_numpy(), ties(t))
         done = t[t["end"] >= 0]
         t = t[t["end"] < 0]
         one, two, doc, start = (t[c].to_numpy() for c in ("first", "last", "doc", "start"))
         o = np.lexsort((start, doc, two, one))
         again = o[~changes(one[o], two[o])] if len(o) else o
         d, s, e = runs(*(np.concatenate(x).astype(np.int64) for x in ((done["doc"], doc[again]), (done["start"], start[again]), (done["end"], start[again] + length))))
-        yield pd.DataFrame({"doc": d, "start": s.astype(np.int32), "end": e.astype(np.int32)})
+        yield fit(pd.DataFrame({"doc": docs[d], "tie": tied[d], "start": s.astype(np.int32), "end": e.astype(np.int32)}), own)
 
     return run
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) of all rows, and the documents: the rows with a doc_id, once each (doc_id, text).
+
+    If any doc_id repeats, both have ``tie``: a hash of the text where it does, else 0.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    again = written(rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")))
+    if again.isEmpty():
+        return rows, rows.where("doc_id is not null")
+    rows = rows.join(again, F.col("doc_id") == F.col("again"), "left").withColumn("tie", F.when(F.col("again").isNotNull(), F.xxhash64(F.lit(29), "text")).otherwise(F.lit(0)))
+    many = rows.where("again is not null").dropDuplicates(["doc_id", "tie"])
+    one = rows.where("again is null and doc_id is not null").union(many).drop("again")
+    return rows.drop("again"), one
+
+
+def _same(one: DataFrame) -> Column:
+    same = F.col("doc_id") == F.col("doc")
+    return same & (F.col("tie") == F.col("tied")) if "tie" in one.columns else same
+
+
+def removed(one: DataFrame, length: int, seed: int) -> DataFrame:
+    """(doc, tied if there are ties, spans) of the documents that lose something; they are ordered by doc_id, then tie."""
+    tied = "tie" in one.columns
+    kind = lambda columns: columns if tied else columns.replace("tie long, ", "")
+    key = ["doc", "tied"] if tied else ["doc"]
+    seeds = one.mapInArrow(_seeds(length, seed), kind(_SEED_ROWS)).repartition("key")
+    found = written(seeds.mapInPandas(_settle_seeds(length, seed), kind("doc long, tie long, start int, end int, settled boolean"))).withColumnRenamed("tie", "tied")
+    spans = F.collect_list(F.struct("start", "end"))
+    open_ = found.where("not settled").groupBy(*key).agg(spans.alias("ranges"))
+    asked = one.join(open_, _same(one)).select(*one.columns, "ranges")
+    windows = asked.mapInPandas(_windows(length), kind(_WINDOW_ROWS)).repartition("first", "last")
+    late = windows.mapInPandas(_settle_windows(length), kind("doc long, tie long, start int, end int"))
+    return found.where("settled").select(*key, "start", "end").union(late).groupBy(*key).agg(spans.alias("spans"))
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """(doc_id long, text binary, spans array<struct<start int, end int>>): every row with the byte ranges to remove.
 
     Ranges are sorted, maximal and apart.  A null text counts as empty.  A row without a doc_id has
-    no place in the order: it removes nothing and loses nothing.  Rows that repeat a doc_id must
-    repeat its text; they are one document.  Only ``doc_id`` and ``text`` are read.
+    no place in the order: it removes nothing and loses nothing.  Rows that repeat a doc_id and its
+    text are one document and get the same ranges; with other texts they are documents of their own,
+    ordered by a hash of the text.  Only ``doc_id`` and ``text`` are read.
     """
     if not seed <= length // 2:
         raise ValueError("the seed must be at most half the length")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    rows, one = keyed(docs)
     named, nameless = rows.where("doc_id is not null"), rows.where("doc_id is null")
-    seeds = named.mapInArrow(_seeds(length, seed), _SEED_ROWS).repartition("key")
-    found = written(seeds.mapInPandas(_settle_seeds(length, seed), "doc long, start int, end int, settled boolean"))
-    spans = F.collect_list(F.struct("start", "end"))
-    open_ = found.where("not settled").groupBy("doc").agg(spans.alias("ranges"))
-    asked = named.join(open_, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "ranges")
-    windows = asked.mapInPandas(_windows(length), _WINDOW_ROWS).repartition("first", "last")
-    late = windows.mapInPandas(_settle_windows(length), "doc long, start int, end int")
-    gone = found.where("settled").select("doc", "start", "end").union(late).groupBy("doc").agg(spans.alias("spans"))
-    joined = named.join(gone, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans")
-    return joined.union(nameless.withColumn("spans", F.lit(None).cast(joined.schema["spans"].dataType)))
+    joined = named.join(removed(one, length, seed), _same(one), "left").select("doc_id", "text", "spans")
+    return joined.union(nameless.select("doc_id", "text", F.lit(None).cast(joined.schema["spans"].dataType)))
 
 
 def merged(spans, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -368,7 +426,8 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with repeated passages cut from ``text``; ``n_chars``, if there, is counted anew.
 
     A character of several bytes goes only if all its bytes do.  All rows stay, if need be with an
-    empty text.  Rows without a doc_id or with a null text stay as they are.
+    empty text.  Rows without a doc_id or with a null text stay as they are.  Rows that repeat a
+    doc_id and its text lose the same passages; with other texts each loses its own.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -384,10 +443,13 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     e = e - tail[e]
                 s, e = s[s < e], e[s < e]
                 texts.append(kept_bytes(text, s, e).decode())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "__text": texts})
+            yield pd.DataFrame({"__doc": b["doc_id"], "__hash": b["hash"], "__text": texts})
 
-    cut = repeats(docs, length).where("doc_id is not null and spans is not null").mapInPandas(run, "doc_id long, __text string").dropDuplicates(["doc_id"])
-    joined = docs.join(cut.withColumnRenamed("doc_id", "__doc"), F.col("doc_id") == F.col("__doc"), "left")
+    text_hash = lambda text: F.xxhash64(F.lit(29), text)
+    _, one = keyed(docs)
+    cut = one.join(removed(one, length, SEED), _same(one)).select("doc_id", text_hash("text").alias("hash"), "text", "spans").mapInPandas(run, "__doc long, __hash long, __text string")
+    own = (F.col("doc_id") == F.col("__doc")) & (text_hash(F.coalesce(F.col("text"), F.lit("")).cast("binary")) == F.col("__hash"))
+    joined = docs.join(cut, own, "left")
     text = F.coalesce("__text", "text")
     new = {"text": text} | ({"n_chars": F.when(F.col("__text").isNotNull(), F.length("__text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

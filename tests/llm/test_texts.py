@@ -135,6 +135,23 @@ def test_repeats_equal_brute_force(spark, monkeypatch, many, block):
     assert got == want
 
 
+def test_repeated_doc_ids_keep_their_first_copy(spark):
+    rnd = random.Random(8)
+    words = lambda n: "".join(rnd.choice("abcdefgh é") for _ in range(n))
+    same, passage, other, third = words(400), words(150), words(300), words(200)
+    # Row 3 copies a passage of the one document 1; the two documents 2 share a passage.
+    rows = [(1, same), (1, same), (1, same), (2, passage + other), (2, third + passage), (3, "x" + same[:200]), (4, None), (4, None), (None, same), (None, same)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in suffixes.dedup(table).collect())
+    assert got[1, same] == 3 and got[4, None] == 2 and got[None, same] == 2 and got[3, "x"] == 1
+    own = {t for d, t in got if d == 2}
+    assert own in ({passage + other, third}, {other, third + passage}) and sum(got.values()) == len(rows)
+    removed = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in suffixes.op4(table).collect())
+    b = lambda x: len(x.encode())
+    assert removed[1, b(same), 0] == 3 and removed[3, 1 + b(same[:200]), b(same[:200])] == 1
+    assert sum(n for (d, _, gone), n in removed.items() if d == 2 and gone == 0) == 1 and sum(gone for d, _, gone in removed if d == 2) == b(passage)
+
+
 def test_counts_follow_edits(spark):
     count, own, rnd = edits.counter(PATH), bpe.encoder(PATH), random.Random(5)
     text = lambda n: "".join(rnd.choice(["a", "the", " ", "  ", "\n", "'", "re", "s", "é", "12", ",", " tion"]) for _ in range(n))
