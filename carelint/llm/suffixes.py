@@ -1,4 +1,4 @@
-"""Operator 4: remove repeated substrings by distributed prefix doubling.
+"""Operator 4: remove repeated substrings by anchors and names, in place of prefix doubling.
 
 A byte goes if it lies in a string of ``length`` bytes that also starts earlier (smaller doc_id, or
 earlier in the same document).  Prefix doubling names the strings at a position by growing lengths:
