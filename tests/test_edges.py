@@ -8,7 +8,7 @@ from carelint.context import blank_to_none, ten_year_lookback
 from carelint.operators import CHECKS, codes
 from carelint.operators.tally import Probe, tally
 from carelint.operators.volume import month_start
-from conftest import flagged, values
+from helpers import flagged, values
 
 D = dt.date
 
