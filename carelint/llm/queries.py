@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their DuckDB SQL where SQL can express them."""
+"""The registered queries of the operators, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelint.llm import bpe, caps, edits, langid, lm, mixing, sharding, simhash, suffixes, vptree
+from carelint.llm import alignment, bpe, byte_level, caps, edits, langid, lm, mixing, sharding, simhash, suffixes, trie, vptree
 
 
 def _over(table: str, op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -24,6 +24,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": _over("documents", mixing.op8),
     "op9_simhash_classes": _over("documents", simhash.op9),
     "op10_shards": _over("documents", sharding.op10),
+    "op11_conversation_trie": _over("conversations", trie.op11),
+    "op12_token_alignment": _over("documents", alignment.op12),
+    "op13_byte_level_round_trip": _over("documents", byte_level.op13),
 }
 
 _USABLE = """embedding IS NOT NULL AND len(embedding) > 0
@@ -70,4 +73,29 @@ p AS (
   FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.e) = len(x.e)
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    # The reduction over characters is CRC-32, bit by bit.
+    "op11_conversation_trie": """
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, r, substr(sha256(octet_length(encode(r)) || ':' || r || x), 1, 32)) AS t FROM t GROUP BY c
+), hashed AS (
+  SELECT c, t, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda q: ascii(q)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda k, z: xor(k >> 1, (k & 1) * 3988292384)))) % 9 AS h FROM own
+), rebuilt AS (
+  SELECT a.c, list_concat(coalesce(list_slice(b.t, 1, a.h), []), a.t[a.h + 1:]) AS t FROM hashed a LEFT JOIN own b ON b.c = a.c - a.c % 5
+), prefix AS (
+  SELECT c, len(t) AS n, d, CASE WHEN d > 0 THEN octet_length(encode(t[d].x)) ELSE 0 END AS size,
+    md5(to_json(list_slice(t, 1, d))::VARCHAR) AS node, CASE WHEN d > 0 THEN md5(to_json(list_slice(t, 1, d - 1))::VARCHAR) END AS parent
+  FROM (SELECT c, t, unnest(range(len(t) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT d, node, parent, min(c) AS c, count(*) AS n, any_value(size) AS size, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends
+  FROM prefix GROUP BY d, node, parent
+), kids AS (SELECT parent, count(*) AS n FROM node GROUP BY parent
+), above AS (
+  SELECT p.d, p.node, count(*) FILTER (k.n IS NULL) AS leaves, sum((x.n - 1) * x.size) AS saved
+  FROM node x JOIN prefix p ON p.c = x.c AND p.d <= x.d LEFT JOIN kids k ON k.parent = x.node GROUP BY p.d, p.node
+)
+SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n AS n_convs, coalesce(k.n, 0)::BIGINT AS n_children, a.leaves AS n_leaves, a.saved::BIGINT AS saved_tokens, x.ends AS ends_sha256
+FROM node x JOIN above a ON a.node = x.node LEFT JOIN node p ON p.node = x.parent LEFT JOIN kids k ON k.parent = x.node""",
 }
