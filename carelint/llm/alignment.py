@@ -50,11 +50,10 @@ class Unit(NamedTuple):
 
 def group_slices(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int]]:
     """(from, to) in A and (from, to) in B of each group, given cumulative ends."""
-    at_a, at_b = {e: i for i, e in enumerate(ends_a, 1)}, {e: i for i, e in enumerate(ends_b, 1)}
-    i = j = 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        yield i, at_a[end], j, at_b[end]
-        i, j = at_a[end], at_b[end]
+    at_a, at_b = dict(zip(ends_a, range(1, len(ends_a) + 1))), dict(zip(ends_b, range(1, len(ends_b) + 1)))
+    common = sorted(at_a.keys() & at_b.keys())
+    to_a, to_b = list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+    return zip([0, *to_a], to_a, [0, *to_b], to_b)
 
 
 def slice_links(ends_a: list[int], ends_b: list[int], i: int, to_i: int, j: int, to_j: int) -> Iterator[tuple[int, int]]:
@@ -104,35 +103,40 @@ class Pair:
         as_a, as_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
         return (as_a, as_b) if b"".join(as_a) == whole == b"".join(as_b) else None
 
-    def unit(self, text: str, a: list[int], b: list[int]) -> Unit | None:
-        """The alignment of a piece; None if either side's bytes differ from it."""
-        tokens = self.tokens(text, a, b)
-        if tokens is None:
-            return None
-        ends_a, ends_b = (list(accumulate(map(len, t))) for t in tokens)
-        name_a, name_b = list(map(str, a)), list(map(str, b))
-        groups, pairs = [], []
-        for i, to_i, j, to_j in group_slices(ends_a, ends_b):
-            groups.append(f"{','.join(name_a[i:to_i])}|{','.join(name_b[j:to_j])}")
-            pairs += [a[x] << 32 | b[y] for x, y in slice_links(ends_a, ends_b, i, to_i, j, to_j)]
-        return Unit(len(a), len(b), len(groups), ";".join(groups).encode(), struct.pack(f"<{len(pairs)}q", *pairs))
-
-    def units(self, texts: list[str]) -> list[list[tuple[str, Unit]] | None]:
-        """Each text as pieces with their alignments; None for a text without tokens."""
-        cut = [(LONE_SPACE.split(t) if self.apart else [t]) if t else [] for t in texts]
-        new = list({p for pieces in cut for p in pieces if p not in self.memo})
-        found = {p: self.unit(p, a, b) for p, (a, b) in zip(new, self.ids(new))}
-        out: list[list[tuple[str, Unit]] | None] = []
-        for text, pieces in zip(texts, cut):
-            units = [(p, found[p] if p in found else self.memo[p]) for p in pieces]
-            if any(u is None for _, u in units):  # whether the whole differs is what counts
-                whole = self.unit(text, *next(self.ids([text])))
-                units = [(text, whole)] if whole else []
-            out.append(units or None)
-        if len(self.memo) + len(found) > MEMO_SIZE:
-            self.memo.clear()
-        self.memo.update((p, u) for p, u in found.items() if u is not None and len(p) <= MEMO_CHARS)
-        return out
+    def aligned(self, pieces: list[str]) -> dict[str, Unit | None]:
+        """The alignments of pieces, from one pair of dictionaries over all of them joined; None where a side's bytes differ."""
+        # Pieces without outer white space, joined by single spaces, are a text that falls into just these.
+        inner = [p for p in pieces if p == p.strip() and p] if self.apart else []
+        pieces = inner + [p for p in pieces if not p or p != p.strip() or not self.apart]
+        a, b = ([x for some in ids for x in some] for ids in zip(*self.ids([" ".join(inner), *pieces[len(inner) :]] if inner else pieces)))
+        whole = [(" " + p).encode() for p in pieces]
+        stops = list(accumulate(map(len, whole)))
+        tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+        ends_a, ends_b = list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b)))
+        joined = b"".join(whole)
+        if not (b"".join(tokens_a) == joined == b"".join(tokens_b) and np.isin(stops, ends_a).all() and np.isin(stops, ends_b).all()):  # one by one; a single piece that differs has no alignment
+            return {p: None for p in pieces} if len(pieces) == 1 else {p: u for q in pieces for p, u in self.aligned([q]).items()}
+        to = list(group_slices(ends_a, ends_b))
+        groups = [f"{a[i]}|{b[j]}" if x - i == 1 == y - j else f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}" for i, x, j, y in to]
+        # A link is a run of bytes between any two ends that follow each other: the tokens that hold its last byte.
+        ends_a, ends_b, stops = np.array(ends_a), np.array(ends_b), np.array(stops)
+        runs = np.union1d(ends_a, ends_b)
+        pairs = (np.array(a, "<i8")[np.searchsorted(ends_a, runs)] << 32 | np.array(b, "<i8")[np.searchsorted(ends_b, runs)]).tobytes()
+        closes = ends_a[np.array([x - 1 for _, x, _, _ in to])]  # every piece ends with a group
+        upto = [np.concatenate([[0], np.searchsorted(e, stops) + 1]).tolist() for e in (ends_a, ends_b, closes, runs)]
+        return {p: Unit(a1 - a0, b1 - b0, g1 - g0, ";".join(groups[g0:g1]).encode(), pairs[8 * l0 : 8 * l1])
+                for p, a0, a1, b0, b1, g0, g1, l0, l1 in zip(pieces, *[x for u in upto for x in (u, u[1:])])}
+
+    def cut(self, text: str | None) -> list[str]:
+        return (LONE_SPACE.split(text) if self.apart else [text]) if text else []
+
+    def look_up(self, pieces: list[str]) -> list[Unit | None]:
+        """Alignments of distinct pieces, remembered or new."""
+        new = [p for p in pieces if p not in self.memo]
+        found = self.aligned(new) if new else {}
+        units = [found[p] if p in found else self.memo[p] for p in pieces]
+        self.memo.update((p, u) for p, u in found.items() if len(p) <= MEMO_CHARS)
+        return units
 
 
 @lru_cache(maxsize=2)
@@ -198,46 +202,63 @@ def blocks(docs: DataFrame, path_a: str | None = None, path_b: str | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         two = pair(*paths)
         number = TaskContext.get().partitionId() << 32
-        place: dict[str, int] = {}  # piece -> number in the block
-        packed: list[bytes] = []
-        totals = np.zeros(0, np.int64)
-        filled = 0
         schema = None
 
+        def opened() -> None:
+            nonlocal place, packed, digested, sizes, totals, filled
+            if len(two.memo) > MEMO_SIZE:  # what the last block has needed is kept
+                two.memo = {p: two.memo[p] for p in place if p in two.memo}
+                if len(two.memo) > MEMO_SIZE // 2:
+                    two.memo.clear()
+            place, packed, digested = {}, [], []  # piece -> number in the block; links and groups by number
+            sizes, totals, filled = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), 0
+
+        def placed(pieces: list[str]) -> bool:
+            """Number the pieces that the block has not seen; False if one has no alignment."""
+            nonlocal sizes, totals
+            new = [p for p in dict.fromkeys(pieces) if p not in place]
+            units = two.look_up(new)
+            if None in units:
+                return False
+            place.update(zip(new, range(len(place), len(place) + len(new))))
+            packed.extend(u.pairs for u in units)
+            digested.extend(u.text for u in units)
+            sizes = np.concatenate([sizes, np.array([(u.a, u.b, u.groups, len(u.pairs) // 8) for u in units], np.int64).reshape(-1, 4)])
+            totals = np.concatenate([totals, np.zeros(len(new), np.int64)])
+            return True
+
         def closed() -> pa.RecordBatch:
             links = np.frombuffer(b"".join(packed), "<i8")
-            sizes = np.array([len(p) // 8 for p in packed], np.int64)
             pairs, which = np.unique(links, return_inverse=True)
-            n = np.bincount(which, np.repeat(totals[: len(packed)], sizes), len(pairs)).astype(np.int64)
-            return pa.RecordBatch.from_pylist([{"block": number, "pairs": pairs, "pair_n": n, "unit_ends": np.cumsum(sizes).astype("<i8").tobytes(), "unit_pairs": which.astype("<u4").tobytes()}], schema)
+            n = np.bincount(which, np.repeat(totals, sizes[:, 3]), len(pairs)).astype(np.int64)
+            return pa.RecordBatch.from_pylist([{"block": number, "pairs": pairs, "pair_n": n, "unit_ends": np.cumsum(sizes[:, 3]).astype("<i8").tobytes(), "unit_pairs": which.astype("<u4").tobytes()}], schema)
 
+        place: dict[str, int] = {}
+        packed: list[bytes] = []
+        digested: list[bytes] = []
+        sizes, totals, filled = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), 0
         for b in batches:
             schema = schema or pa.schema([("block", pa.int64()), ("doc_id", b.schema.field(0).type), *((n, pa.int64()) for n in SIZES), ("groups_sha256", pa.string()),
                                           ("units", pa.binary()), ("times", pa.binary()), ("pairs", pa.list_(pa.int64())), ("pair_n", pa.list_(pa.int64())), ("unit_ends", pa.binary()), ("unit_pairs", pa.binary())])
             ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for part in slices([len(t) + 1 for t in texts], 1 << 20):
+                cut = [two.cut(t) for t in texts[part]]
+                if not placed([p for pieces in cut for p in pieces]):  # text by text; what counts is whether the whole differs
+                    cut = [pieces if placed(pieces) else [t] if placed([t]) else [] for t, pieces in zip(texts[part], cut)]
                 rows = []
-                for doc, units in zip(ids[part], two.units(texts[part])):
-                    mine, us = [], []
-                    for piece, u in units or ():
-                        k = place.get(piece)
-                        if k is None:
-                            k = place[piece] = len(place)
-                            packed.append(u.pairs)
-                        mine.append(k)
-                        us.append(u)
-                    if len(totals) < len(place):
-                        totals = np.concatenate([totals, np.zeros(len(place), np.int64)])
+                for doc, pieces in zip(ids[part], cut):
+                    mine = list(map(place.__getitem__, pieces))
+                    sha = hashlib.sha256(b";".join(map(digested.__getitem__, mine))).hexdigest() if mine else ""
                     mine, times = np.unique(np.array(mine, np.uint32), return_counts=True)
                     totals[mine] += times
-                    sizes = (sum(u.a for u in us), sum(u.b for u in us), sum(u.groups for u in us), sum(len(u.pairs) for u in us) // 8)
-                    rows.append({"block": number, "doc_id": doc, **dict(zip(SIZES, sizes)), "groups_sha256": hashlib.sha256(b";".join([u.text for u in us])).hexdigest() if us else "",
+                    rows.append({"block": number, "doc_id": doc, **dict(zip(SIZES, (times @ sizes[mine]).tolist())), "groups_sha256": sha,
                                  "units": mine.astype("<u4").tobytes(), "times": times.astype("<u4").tobytes()})
                 yield pa.RecordBatch.from_pylist(rows, schema)
                 filled += sum(len(t) for t in texts[part])
                 if filled >= block and place:
                     yield closed()
-                    number, place, packed, totals, filled = number + 1, {}, [], np.zeros(0, np.int64), 0
+                    number += 1
+                    opened()
         if place:
             yield closed()
 
