@@ -305,7 +305,8 @@ def _windows(length: int):
 
         for batch in batches:
             own = "tie" in batch
-            for ident, tie, text, ranges in zip(batch["doc_id"], ties(batch), batch["text"], batch["ranges"]):
+            texts = batch["text"] if "text" in batch else [(r["text"] or "").encode() for r in batch["row"]]
+            for ident, tie, text, ranges in zip(batch["doc_id"], ties(batch), texts, batch["ranges"]):
                 data = np.frombuffer(text, np.uint8)
                 limit = len(data) - length
                 at = [np.arange(x["start"], min(x["end"], limit + 1)) for x in ranges]
@@ -343,18 +344,19 @@ def _settle_windows(length: int):
     return run
 
 
-def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def keyed(docs: DataFrame, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text) of all rows, and the documents: the rows with a doc_id, once each (doc_id, text).
 
-    If any doc_id repeats, both have ``tie``: a hash of the text where it does, else 0.
+    If any doc_id repeats, both have ``tie``: a hash of the text where it does, else 0.  With ``whole`` all
+    rows also have all columns, as a struct ``row``.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *([F.struct(*docs.columns).alias("row")] if whole else []))
     again = written(rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")))
     if again.isEmpty():
-        return rows, rows.where("doc_id is not null")
+        return rows, rows.where("doc_id is not null").drop("row")
     rows = rows.join(again, F.col("doc_id") == F.col("again"), "left").withColumn("tie", F.when(F.col("again").isNotNull(), F.xxhash64(F.lit(29), "text")).otherwise(F.lit(0)))
-    many = rows.where("again is not null").dropDuplicates(["doc_id", "tie"])
-    one = rows.where("again is null and doc_id is not null").union(many).drop("again")
+    bare = rows.drop("row")
+    one = bare.where("again is null and doc_id is not null").union(bare.where("again is not null").dropDuplicates(["doc_id", "tie"])).drop("again")
     return rows.drop("again"), one
 
 
@@ -363,8 +365,12 @@ def _same(one: DataFrame) -> Column:
     return same & (F.col("tie") == F.col("tied")) if "tie" in one.columns else same
 
 
-def removed(one: DataFrame, length: int, seed: int) -> DataFrame:
-    """(doc, tied if there are ties, spans) of the documents that lose something; they are ordered by doc_id, then tie."""
+def removed(one: DataFrame, length: int, seed: int, stored: DataFrame | None = None) -> DataFrame:
+    """(doc, tied if there are ties, spans) of the documents that lose something; they are ordered by doc_id, then tie.
+
+    Windows are read from ``stored``, if given: the same documents in a shape that the caller joins by
+    doc_id too, so that one exchange serves both.
+    """
     tied = "tie" in one.columns
     kind = lambda columns: columns if tied else columns.replace("tie long, ", "")
     key = ["doc", "tied"] if tied else ["doc"]
@@ -372,7 +378,8 @@ def removed(one: DataFrame, length: int, seed: int) -> DataFrame:
     found = written(seeds.mapInPandas(_settle_seeds(length, seed), kind("doc long, tie long, start int, end int, settled boolean"))).withColumnRenamed("tie", "tied")
     spans = F.collect_list(F.struct("start", "end"))
     open_ = found.where("not settled").groupBy(*key).agg(spans.alias("ranges"))
-    asked = one.join(open_, _same(one)).select(*one.columns, "ranges")
+    source = one if stored is None else stored
+    asked = source.join(open_, _same(source)).select(*source.columns, "ranges")
     windows = asked.mapInPandas(_windows(length), kind(_WINDOW_ROWS)).repartition("first", "last")
     late = windows.mapInPandas(_settle_windows(length), kind("doc long, tie long, start int, end int"))
     return found.where("settled").select(*key, "start", "end").union(late).groupBy(*key).agg(spans.alias("spans"))
@@ -430,26 +437,32 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     doc_id and its text lose the same passages; with other texts each loses its own.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts = []
-            for text, spans in zip(b["text"], b["spans"]):
-                s, e = merged(spans, len(text))
-                data = np.frombuffer(text, np.uint8)
-                tail = np.append((data & 0xC0) == 0x80, False)  # bytes within a character
-                while len(s) and tail[s].any():  # begins within a character: from the next one on
-                    s = s + tail[s]
-                while len(e) and tail[e].any():  # ends within one: back to its start
-                    e = e - tail[e]
-                s, e = s[s < e], e[s < e]
-                texts.append(kept_bytes(text, s, e).decode())
-            yield pd.DataFrame({"__doc": b["doc_id"], "__hash": b["hash"], "__text": texts})
-
-    text_hash = lambda text: F.xxhash64(F.lit(29), text)
-    _, one = keyed(docs)
-    cut = one.join(removed(one, length, SEED), _same(one)).select("doc_id", text_hash("text").alias("hash"), "text", "spans").mapInPandas(run, "__doc long, __hash long, __text string")
-    own = (F.col("doc_id") == F.col("__doc")) & (text_hash(F.coalesce(F.col("text"), F.lit("")).cast("binary")) == F.col("__hash"))
-    joined = docs.join(cut, own, "left")
-    text = F.coalesce("__text", "text")
-    new = {"text": text} | ({"n_chars": F.when(F.col("__text").isNotNull(), F.length("__text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, ranges in zip(text, spans):
+            if ranges is None or text is None:
+                out.append(text)
+                continue
+            text = text.encode()
+            s, e = merged(ranges, len(text))
+            data = np.frombuffer(text, np.uint8)
+            tail = np.append((data & 0xC0) == 0x80, False)  # bytes within a character
+            while len(s) and tail[s].any():  # begins within a character: from the next one on
+                s = s + tail[s]
+            while len(e) and tail[e].any():  # ends within one: back to its start
+                e = e - tail[e]
+            s, e = s[s < e], e[s < e]
+            out.append(kept_bytes(text, s, e).decode())
+        return pd.Series(out, dtype=object)
+
+    rows, one = keyed(docs, whole=True)
+    # Where doc_ids are unique, the rows that windows are read from are those that are cut: they move once, whole.
+    named = rows.where("doc_id is not null").drop("text")
+    joined = named.join(removed(one, length, SEED, None if "tie" in one.columns else named), _same(one), "left").select("row", "spans")
+    joined = joined.union(rows.where("doc_id is null").select("row", F.lit(None).cast(joined.schema["spans"].dataType)))
+    done = joined.withColumn("__text", cut(F.col("row")["text"], "spans")).withColumn("__cut", F.col("spans").isNotNull() & F.col("row")["text"].isNotNull())
+    new = {"text": F.col("__text").cast(docs.schema["text"].dataType)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("__cut"), F.length("__text")).otherwise(F.col("row")["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return done.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
