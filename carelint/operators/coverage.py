@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelint import model
@@ -64,15 +64,17 @@ def potential_pools(ctx: Context) -> DataFrame:
                             message=f"{table} missing required columns {', '.join(need)}")
     anchor = ctx.as_of
 
-    def patients(table: str, date_column: str | None = None, years: int = 5, in_person: bool = False) -> DataFrame:
-        df = ctx.frame(table)
+    frames: dict[str, DataFrame] = {}
+
+    def patients(table: str, date_column: str | None = None, years: int = 5, in_person: bool = False) -> tuple[DataFrame, Column]:
+        df = frames.setdefault(table, ctx.frame(table))  # all of a table's sets come from one scan
         test = E.present(F.col("PATID"))
         if date_column:
             day = E.date_of(df, date_column)
             test = test & (day >= F.lit(_years_before(anchor, years))) & (day <= F.lit(anchor))
         if in_person:
             test = test & F.upper(E.text(F.col("ENC_TYPE"))).isin(*model.FACE_TO_FACE)
-        return df.filter(test)
+        return df, F.when(test, F.col("PATID"))
 
     sets = {
         "demo": patients("DEMOGRAPHIC"),
@@ -95,7 +97,7 @@ def potential_pools(ctx: Context) -> DataFrame:
         return in_set(at_bit[name]) if name in at_bit else F.lit(False)
 
     drugs = held("rx5") | held("adm5")
-    counts = id_masks([(df, F.col("PATID")) for df in sets.values()]).agg(
+    counts = id_masks(list(sets.values())).agg(
         *[E.n_where(held(n)).alias(n) for n in ("demo", "enc5", "enc1", "enc", "dx", "px")],
         E.n_where(held("dx5") & held("vital5")).alias("dv"),
         E.n_where(held("dx5") & held("vital5") & drugs & held("lab5")).alias("dvml"))

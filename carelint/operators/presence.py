@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from carelint.functions import expr as E
 from carelint.functions import rows as R
+from carelint.operators.shared import answer
 
 MASK_BITS = 63
 
@@ -25,6 +26,9 @@ def id_masks(sets: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
     Every mask has room for ``MASK_BITS`` sets; there are as many masks as the sets need.  Sets over
     one and the same DataFrame are read in one scan.
     """
+    shared = answer("masks", sets, _mask)
+    if shared is not None:
+        return shared
     masks = max(1, -(-len(sets) // MASK_BITS))
     frames: dict[int, tuple[DataFrame, list[Column]]] = {}
     for i, (df, c) in enumerate(sets):

@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import json
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from carelint.operators import CHECKS
 from carelint.plans import registry as reg
 from carelint.plans import views
-from carelint.plans.run import COMMITS, Store, run_checks
+from carelint.plans.run import COMMITS, Store, result_rows, run_checks
 from carelint.sources import reference as ref
 from carelint.sources.tables import TableSource
 
@@ -60,6 +61,27 @@ def test_run_store_and_rerun(spark, make, out):
     assert views.recent_runs(store.runs()).count() == 1
 
 
+def test_writers_for_different_tables_never_lose_rows(spark, make, out):
+    """Whatever the order: one commit a table, all read; a later version for all tables replaces them."""
+    ctx, store = make(TABLES), Store(spark, out)
+    stored = lambda c: result_rows(CHECKS["1.08"](c), "r", "C", "orphan_patid", "1.08", None)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda t: store.write_results(stored(ctx.with_target(t)), "r", "1.08", t), ("VITAL", "DISPENSING")))
+    count = lambda t: store.results().where(F.col("source_table") == t).count()
+    alone = stored(ctx).groupBy("source_table").count().where("source_table in ('VITAL', 'DISPENSING')").collect()
+    assert {t: count(t) for t, _ in alone} == dict(map(tuple, alone))
+    store.write_results(stored(ctx).where("source_table != 'VITAL'"), "r", "1.08")
+    assert count("VITAL") == 0 and count("DISPENSING") > 0
+    store.write_results(stored(ctx.with_target("VITAL")), "r", "1.08", "VITAL")
+    assert count("VITAL") > 0 and count("DISPENSING") > 0
+    # Two commits that had not seen each other: the table's own version holds beside the one for all.
+    for version, target in (("a", None), ("b", "DISPENSING")):
+        stored(ctx.with_target(target)).drop("run_id", "row_num").write.parquet(f"{out}/results/run_id=s/row_num=1.08/version={version}")
+        store._append("commits", COMMITS, [("s", Decimal("1.08"), version, target, 1, dt.datetime(2030 - len(version), 1, 1), 0)])
+    got = store.results().where("run_id = 's'").groupBy("source_table").count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stored(ctx).groupBy("source_table").count().collect()))
+
+
 def test_failures_do_not_stop_the_run(spark, make, out):
     def broken(ctx):
         raise RuntimeError("no such column")
@@ -89,7 +111,8 @@ def test_failures_do_not_stop_the_run(spark, make, out):
 def test_older_results_gain_columns(spark, out):
     spark.createDataFrame([("x", "NOBS")], "source_table string, metric string").write.parquet(f"{out}/results/run_id=old/row_num=1.02/version=v")
     assert Store(spark, out).results().count() == 0  # not committed
-    Store(spark, out)._append("commits", COMMITS, [("old", Decimal("1.02"), "v", dt.datetime(2024, 1, 1), 0)])
+    older = "run_id string, row_num decimal(10,2), version string, event_at timestamp_ntz, event_no bigint"
+    spark.createDataFrame([("old", Decimal("1.02"), "v", dt.datetime(2024, 1, 1), 0)], older).write.parquet(f"{out}/commits/batch=b")
     r = Store(spark, out).results().first()
     assert (r.run_id, str(r.row_num), r.metric, r.threshold_num) == ("old", "1.02", "NOBS", None)
     assert Store(spark, out + "/none").results().count() == 0
