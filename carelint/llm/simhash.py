@@ -9,23 +9,31 @@ A bucket of more than ``BUCKET`` fingerprints is not joined.  There every finger
 under each choice of DISTANCE positions outside the shared blocks, with these bits cleared.  Two
 fingerprints are linked exactly if they agree under one such choice, and at most 2**DISTANCE can,
 so such a bucket costs a constant for each fingerprint and loses no link.
+
+``dedup`` asks for a similarity of texts, 0.8 of five-word shingles, where one bit in seven may differ:
+no block of useful width is then sure to agree.  There fingerprints have 256 bits, blocks are many
+overlapping choices of bits, and what meets is verified by distance and then by the shingles themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import acos, ceil, floor, log, pi, sqrt
+from random import Random
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelint.llm.common import with_component, written
 
 BLOCKS, DISTANCE, BUCKET, SHINGLE, SEED = 4, 2, 512, 3, 42
 CHUNK = 1 << 16
+#: The stage on similarity of texts: words of a shingle, least similarity, share of pairs just at it that is found, 64-bit words of a fingerprint; rows listed together.
+STAGE_SHINGLE, SIMILARITY, RECALL, WORDS, LISTED = 5, 0.8, 0.99, 4, 1024
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -111,11 +119,129 @@ def op9(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "kept")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """The documents without near duplicates: of each class those with the least doc_id stay.
+def word_set(text: bytes | None, shingle: int = STAGE_SHINGLE) -> np.ndarray:
+    """Hashes of the distinct shingles of the lower-cased words; of fewer words than a shingle the whole sequence; empty without words."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.empty(0, "<u8")
+    flat = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate([[0], ends[:-1]]).tolist()
+    ends = (ends - 1).tolist()[min(shingle, len(words)) - 1 :]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(flat[a:b], SEED) for a, b in zip(starts, ends)), "<u8", len(ends)))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """``WORDS`` words of 64 bits, each the majority of the bits of the hashes mixed with another constant."""
+    count = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(hashes), CHUNK >> 2):
+        z = hashes[at : at + (CHUNK >> 2), None] + np.uint64(0x9E3779B97F4A7C15) * np.arange(1, WORDS + 1, dtype=np.uint64)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z = np.ascontiguousarray(z ^ (z >> np.uint64(31)))
+        count += np.unpackbits(z.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(count * 2 > len(hashes), bitorder="little").view("<i8")
+
+
+def sketches(docs: DataFrame, shingle: int = STAGE_SHINGLE) -> DataFrame:
+    """(doc_id, words, fp): a 128-bit hash of the lower-cased words and the wide fingerprint of every whole text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts = [bytes(t) if t is not None else b"" for t in b["text"]]
+            words = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "words": words, "fp": [wide_fingerprint(word_set(t, shingle)) for t in texts]})
+
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return rows.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words binary, fp array<long>")
+
+
+def bands(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> list[list[int]]:
+    """The bit positions of each block that texts are compared by.
+
+    A block has at least twice as many values as there are texts, so unrelated ones seldom meet; of two texts of
+    the similarity a bit differs with the probability angle / pi (equal sizes are the worst case),
+    which gives the number of blocks for at least one in common with probability ``recall``.
+    """
+    width = min(48, max(1, n).bit_length() + 1)
+    same = (1 - acos(2 * similarity / (1 + similarity)) / pi) ** width
+    rnd = Random(SEED)
+    return [rnd.sample(range(64 * WORDS), width) for _ in range(ceil(log(1 - recall) / log(1 - same)))]
+
+
+def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """(a, b), a < b: nodes that share a block with it and differ in few enough bits of the fingerprint.
+
+    In each block's bucket, in the order of nodes, members meet the first one and the two before them: all
+    pairs of up to four.  A larger bucket is a group of near copies; its members meet again in the other
+    blocks, so pairs grow with the members and not with their square, and a bucket is streamed, never held.
+    """
+    cut = bands(nodes.count(), similarity, recall)
+    salts = np.array([Random(j).getrandbits(64) for j in range(len(cut))], np.uint64)
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), LISTED):
+                part = b.iloc[at : at + LISTED]
+                bits = np.unpackbits(np.stack(part["fp"].to_numpy()).astype("<i8").view(np.uint8), axis=1, bitorder="little").astype(np.uint64)
+                keys = [(bits[:, ps] << np.arange(len(ps), dtype=np.uint64)).sum(axis=1, dtype=np.uint64) for ps in cut]
+                keys = [(k + s) * np.uint64(0x9E3779B97F4A7C15) for k, s in zip(keys, salts)]
+                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "node": np.tile(part["node"].to_numpy(), len(cut)), "x": np.tile(part["fp"].str[0].to_numpy(np.int64), len(cut))})
+
+    p = acos(2 * similarity / (1 + similarity)) / pi
+    most = lambda bits: floor(bits * p + 4 * sqrt(bits * p * (1 - p)))
+    order = Window.partitionBy("key").orderBy("node")
+    me = F.struct("node", "x")
+    rows = nodes.select("node", "fp").mapInPandas(listed, "key long, node long, x long")
+    met = rows.select(me.alias("b"), F.array(F.first(me).over(order), F.lag(me, 1).over(order), F.lag(me, 2).over(order)).alias("met"))
+    near = F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) <= most(64)
+    pairs = met.select("b", F.explode("met").alias("a")).where(F.col("a.node") < F.col("b.node")).where(near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    one, two = nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("y"))
+    differ = sum(F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(WORDS))
+    return pairs.join(one, "a").join(two, "b").where(differ <= most(64 * WORDS)).select("a", "b")
+
+
+def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, shingle: int = STAGE_SHINGLE) -> DataFrame:
+    """(doc_id, component_id, kept): classes of whole texts linked by a Jaccard similarity of word shingles of ``similarity`` or more.
+
+    Texts of the same lower-cased words are one node, those without words too.  Nodes that share a block of
+    their fingerprint's bits are verified by Hamming distance, then exactly, by their sets of shingles.  No
+    pair below the similarity is linked.  A pair just at it is missed with a probability of 1 - ``recall``,
+    closer ones far more rarely.  Rows without a doc_id are left out; rows that repeat a doc_id get one each.
+    """
+    ident = docs.schema["doc_id"].dataType.simpleString()
+    known = docs.where("doc_id is not null")
+    rows = written(sketches(known, shingle))
+    nodes = written(rows.groupBy("words").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()))
+    pairs = written(candidates(nodes, similarity, recall))
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    asked = written(nodes.join(asked, "node").select("node", "least", F.col("words").alias("own")))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for node, own, text in zip(b["node"], b["own"], b["text"]):
+                text = bytes(text) if text is not None else b""
+                if xxhash.xxh3_128_digest(b" ".join(text.lower().split())) == bytes(own):
+                    yield pd.DataFrame({"node": [node], "shingles": [word_set(text, shingle).view("<i8")]})
+
+    texts = known.select(F.col("doc_id").alias("least"), F.col("text").cast("binary").alias("text")).join(asked, "least").select("node", "own", "text")
+    held = written(texts.mapInPandas(sets, "node long, shingles array<long>")).dropDuplicates(["node"])
+    one, two = held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    sized = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
+    groups = with_component(nodes.select("words", "least", "node"), sized.where(F.col("both") >= similarity * (F.col("all") - F.col("both"))).select("a", "b"), "node")
+    first = groups.groupBy("component_id").agg(F.min("least").alias("first"))
+    classes = groups.join(first, "component_id").select("words", "first")
+    out = rows.join(classes, "words").select("doc_id", F.col("first").alias("component_id"), (F.col("doc_id") == F.col("first")).alias("kept"))
+    return out.select(F.col("doc_id").cast(ident), "component_id", "kept")
+
+
+def dedup(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, shingle: int = STAGE_SHINGLE) -> DataFrame:
+    """The documents without near duplicates: of each class of ``similar_texts`` those with the least doc_id stay.
 
     Documents without a doc_id can't be told apart by it and all stay, and so do rows that repeat a
     kept doc_id.
     """
-    drop = near_duplicates(docs).where("doc_id is not null and not kept").select("doc_id").distinct()
+    classes = similar_texts(docs, similarity, recall, shingle)
+    drop = written(classes.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id"))
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
