@@ -343,6 +343,68 @@ def test_shards_are_even_and_gapless(docs, odd, piece):
     assert (many > 1).sum() <= 7
 
 
+def shingle_set(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_near_texts_equal_brute_force(docs):
+    sets = {r.doc_id: shingle_set(r.text) for r in docs.collect()}
+    ids, parent = sorted(sets), {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            a, b = sets[i], sets[j]
+            if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and jaccard(a, b) >= 0.8:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(docs).collect()}
+    assert sorted(got) == ids
+    assert all(got[i] == got[got[i]] and root(got[i]) == root(i) for i in ids)  # no link below the similarity
+    assert sum(got[i] != root(i) for i in ids) <= 1  # pairs just at it may be missed
+
+
+def test_edited_copies_go_and_others_stay(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    rows, near, far = [], [], []
+    for k in range(120):
+        text = [rnd.choice(words) for _ in range(300)]
+        rows.append((10 * k, " ".join(text)))
+        for m in (1, 3, 5, 12):  # words replaced, far apart: five shingles each
+            edited = list(text)
+            for p in rnd.sample(range(5, 295, 7), m):
+                edited[p] = "new"
+            rows.append((10 * k + m if m < 10 else 10 * k + 9, " ".join(edited)))
+            similar = jaccard(shingle_set(" ".join(text)), shingle_set(" ".join(edited)))
+            (near if similar >= 0.8 else far).append(rows[-1][0])
+    assert len(near) == 360 and len(far) == 120
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.dedup(table.repartition(5)).collect()}
+    assert kept >= {10 * k for k in range(120)} and len(kept & set(near)) <= 2
+    assert len(kept & set(far)) == 120
+
+
+def test_near_texts_of_a_crowd_and_of_repeated_ids(spark):
+    rnd = random.Random(6)
+    text = [f"w{rnd.randrange(4000)}" for _ in range(200)]
+    crowd = [(i, " ".join(text[:p] + [f"x{i}"] + text[p + 1 :])) for i, p in ((i, rnd.randrange(200)) for i in range(2000))]
+    other = " ".join(f"v{i}" for i in range(50))
+    rows = crowd + [(5000, other), (5001, other.upper()), (5001, "quite another text, which stays"), (None, other), (6000, None), (6001, " \n"), (6002, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    kept = sorted((r.doc_id for r in simhash.dedup(table).collect()), key=str)
+    # An id of which one row is kept keeps all its rows; a row without an id stays.
+    assert kept == [0, 5000, 5001, 5001, 6000, None]
+
+
 def test_pipeline_drops_copies_and_keeps_the_rest(spark, docs):
     kept = corpus_pipeline.near_duplicates(spark, corpus_pipeline.language(spark, docs, ""), "")
     assert kept.select("text").distinct().count() == kept.count() > 0.85 * docs.count()
