@@ -5,7 +5,7 @@ floor(k / w) and must be done by ceil((k + 1) / w).  Earliest deadline first ove
 blocks meets every deadline, so after any number of slots each source is less than one block from
 its share.  Weights are taken exactly, as fractions.  Where a source has run out, a new phase begins: the others go on from there with their
 weights divided by what is left, until all blocks have a slot.  One task places the blocks in turn and streams
-their slots, holding a block or two of each source; rows meet them in a join.
+their slots into a table, holding a block or two of each source; rows meet them in a join.
 """
 
 from __future__ import annotations
@@ -171,7 +171,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
     sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     asked = weights if weights is not None else {s: n**TEMPER for s, n in sizes.items()}
     shares = exact(asked) if period is None else units(asked, period)
-    plan = slots(spark, shares, {s: -(-n // block_rows) for s, n in sizes.items()})
+    # Written, so that Spark knows its size: a small plan is broadcast, a large one is shuffled.
+    plan = written(slots(spark, shares, {s: -(-n // block_rows) for s, n in sizes.items()}))
     placed = numbered(rows, "source", "doc_id", bucket_rows).withColumn("block", F.expr(f"seq div {block_rows}"))
     at = placed.join(plan, (F.col("source") == F.col("name")) & (F.col("block") == F.col("k")), "left")
     return at.select(
