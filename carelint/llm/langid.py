@@ -30,7 +30,7 @@ UNKNOWN = "und"
 TRAIN_DOCS, ROUNDS, SMOOTH = 3000, 3, 0.05
 #: Words are cut into runs of so many characters (words that long are no words), and passed in blocks; texts
 #: are split a few million characters at a time.
-LONGEST, BLOCK, MEMO_SIZE, HELD = 48, 1 << 13, 300_000, 4 << 20
+LONGEST, BLOCK, MEMO_SIZE, HELD = 48, 1 << 13, 300_000, 1 << 20
 MARK = "▁"
 LETTER = regex.compile(r"\p{L}").search
 
