@@ -172,8 +172,8 @@ def bands(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> lis
 def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(a, b), a < b: nodes that share a block with it and differ in few enough bits of the fingerprint.
 
-    In each block's bucket, in the order of nodes, members meet the first one and the two before them: all
-    pairs of up to four.  A larger bucket is a group of near copies; its members meet again in the other
+    In each block's bucket, in the order of nodes, members meet the first one and the one before them, the
+    fourth also the second: all pairs of up to four.  A larger bucket is a group of near copies; its members meet again in the other
     blocks, so pairs grow with the members and not with their square, and a bucket is streamed, never held.
     """
     cut = bands(nodes.count(), similarity, recall)
@@ -193,7 +193,7 @@ def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float =
     order = Window.partitionBy("key").orderBy("node")
     me = F.struct("node", "x")
     rows = nodes.select("node", "fp").mapInPandas(listed, "key long, node long, x long")
-    met = rows.select(me.alias("b"), F.array(F.first(me).over(order), F.lag(me, 1).over(order), F.lag(me, 2).over(order)).alias("met"))
+    met = rows.select(me.alias("b"), F.array(F.first(me).over(order), F.lag(me, 1).over(order), F.when(F.row_number().over(order) == 4, F.lag(me, 2).over(order))).alias("met"))
     near = F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) <= most(64)
     pairs = met.select("b", F.explode("met").alias("a")).where(F.col("a.node") < F.col("b.node")).where(near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     one, two = nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("y"))
