@@ -119,14 +119,30 @@ def medication_volume_drop(ctx: Context) -> DataFrame:
     return _dated_series_drop(ctx, model.MEDICATION_SERIES)
 
 
+def _every_month(counts: DataFrame) -> DataFrame:
+    """Monthly counts with a row of 0 records for each month a series lacks, up to its table's last one."""
+    spans = (
+        counts.groupBy("tbl", "category").agg(F.min("month").alias("low"), F.max("month").alias("high"), F.first("p5_date").alias("p5_date"))
+        .withColumn("high", F.max("high").over(Window.partitionBy("tbl")))
+    )
+    calendar = spans.select("tbl", "category", "p5_date", F.explode(F.sequence("low", "high", F.expr("interval 1 month"))).alias("month"))
+    return (
+        calendar.join(counts.select("tbl", "category", "month", "records"), ["tbl", "category", "month"], "left")
+        .withColumn("records", F.coalesce("records", F.lit(0).cast("long")))
+    )
+
+
 def monthly_volume_outliers(ctx: Context) -> DataFrame:
     """2.08  Months far below the mean of the twelve counted months before.
 
     Only months after the table's 5th-percentile date and more than eleven months back are
     judged.  One scan counts records per (category, day); months and the percentile, which
-    takes the counts as frequencies, both come out of that small table.
+    takes the counts as frequencies, both come out of that small table.  A month without records
+    has no row and is skipped by the twelve; with the option ``dense`` a series has every month from
+    its first to the table's last one, with 0 records where there are none, so silent months are judged.
     """
     back = 12
+    dense = bool(ctx.option("dense", False))
     nsd = float(ctx.option("nsd", -7))
     floor = float(ctx.option("min_lag_avg", 500))
     newest = ctx.end or ctx.as_of
@@ -156,12 +172,15 @@ def monthly_volume_outliers(ctx: Context) -> DataFrame:
             F.max(F.when(F.col("gid") != 0, F.col("p5"))).over(Window.partitionBy("tbl"))).cast("int")))
         .filter((F.col("gid") == 0) & cat.isNotNull())
     )
+    if dense:
+        both = _every_month(both)
     before = Window.partitionBy("tbl", "category").orderBy("month").rowsBetween(-back, -1)
+    month11 = month_start(newest, 11)
     judged = (
         both.withColumn("lag_avg", F.avg("records").over(before))
         .withColumn("lag_std", F.stddev_samp("records").over(before))
         .filter((F.col("lag_std") > 0) & (F.col("lag_avg") >= floor)
-                & (month > F.col("p5_date")) & (month < F.lit(month_start(newest, 11)))
+                & (month > F.col("p5_date")) & (month < F.lit(month11))
                 & ~E.text(month).isin(*model.EXCLUDED_MONTHS))
         .withColumn("z", (F.col("records") - F.col("lag_avg")) / F.col("lag_std"))
         .filter((F.col("records") == 0) | (F.col("z") <= nsd))
@@ -173,7 +192,9 @@ def monthly_volume_outliers(ctx: Context) -> DataFrame:
                       text=F.date_format(r["month"], "yyyy-MM"), threshold=nsd, exc=True, details=R.details(
                           table=r["tbl"], category=r["category"], month=r["month"], records=r["records"],
                           lag_avg_prev_12=r["lag_avg"], lag_std_prev_12=r["lag_std"], dsd=r["z"], nback=back, nsd=nsd,
-                          min_lag_avg=floor, p5_date=r["p5_date"]))]
+                          min_lag_avg=floor, p5_date=r["p5_date"], month11_date=month11.isoformat(),
+                          excluded_months=F.array(*map(F.lit, model.EXCLUDED_MONTHS)),
+                          outlier_reason=F.when(r["records"] == 0, "ZERO").otherwise("Z_LT_NSD"), dense=dense))]
 
     def summary(all_rows):
         found = F.size(all_rows)

@@ -1,6 +1,7 @@
 """Small tables with known answers: nulls, blanks, empty denominators, thresholds, absent inputs."""
 
 import datetime as dt
+import json
 
 import pytest
 
@@ -226,6 +227,15 @@ def test_monthly_outlier_found_at_threshold_only(make):
     assert got == [("1997-09", 1)]
     late = CHECKS["2.08"](make({"VITAL": ("MEASURE_DATE date", rows)}, anchor="1998-07-15"))
     assert values(late, "source_table")[("ALL", "OUTLIER_ROW_N")] == 0
+    # A silent month has no row unless the series is made dense.
+    silent = {"VITAL": ("MEASURE_DATE date", [r for r in rows if r[0] != D(1998, 3, 5)])}
+    quiet = CHECKS["2.08"](make(silent, anchor="2003-01-15"))
+    assert [r.value_str for r in quiet.collect() if r.metric == "MONTHLY_OUTLIER"] == ["1997-09"]
+    dense = CHECKS["2.08"](make(silent, anchor="2003-01-15", options={"dense": True})).where("metric = 'MONTHLY_OUTLIER'").collect()
+    got = {r.value_str: (r.value_num, json.loads(r.details)) for r in dense}
+    assert {k: v[0] for k, v in got.items()} == {"1997-09": 1, "1998-03": 0}
+    assert [got[k][1]["outlier_reason"] for k in sorted(got)] == ["Z_LT_NSD", "ZERO"]
+    assert got["1997-09"][1]["month11_date"] == "2002-02-01" and got["1997-09"][1]["excluded_months"] == ["2020-03-01", "2020-04-01"]
 
 
 def test_rxnorm_duplicate_terms_and_empty_tables(make):

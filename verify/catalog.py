@@ -95,6 +95,7 @@ _check("dc_2_04_encounters_per_visit", "2.04", sql.encounters_per_visit)
 _check("dc_2_07_principal_dx_per_encounter", "2.07", sql.principal_dx_per_encounter)
 # The check's own floor of 500 records a month is above these tables' volumes.
 _check("dc_2_08_monthly_volume_outliers", "2.08", sql.monthly_volume_outliers, options={"nsd": -1, "min_lag_avg": 20})
+_check("dc_2_08_monthly_volume_outliers_dense", "2.08", lambda: sql.monthly_volume_outliers(dense=True), options={"nsd": -1, "min_lag_avg": 20, "dense": True})
 _check("dc_2_09_potential_pools", "2.09", sql.potential_pools)
 _check("dc_3_01_dx_per_encounter", "3.01", sql.dx_per_encounter)
 _check("dc_3_02_px_per_encounter", "3.02", sql.px_per_encounter)

@@ -753,7 +753,7 @@ def medication_volume_drop():
     return _drop([(t, d, "") for t, d in model.MEDICATION_SERIES], 3)
 
 
-def monthly_volume_outliers(nsd=-1, floor=20):
+def monthly_volume_outliers(nsd=-1, floor=20, dense=False):
     p5, mon, live = [], [], []
     for t, d, cat in model.MONTHLY_SERIES:
         live.append(t)
@@ -762,8 +762,14 @@ def monthly_volume_outliers(nsd=-1, floor=20):
         mon.append(f"SELECT '{t}' AS tbl, {kind} AS cat, CAST(date_trunc('month', {d}) AS DATE) AS mon, count(*) AS n FROM {t} WHERE {d} IS NOT NULL"
                    + (f" AND {norm(cat)} IN {inlist(model.VOLUME_ENC_TYPES)}" if cat else "") + " GROUP BY 1, 2, 3")
     frame = "OVER (PARTITION BY m.tbl, m.cat ORDER BY m.mon ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)"
+    seen = " UNION ALL ".join(mon)
+    months = f"""SELECT c.tbl, c.cat, c.mon, coalesce(x.n, 0) AS n FROM (
+        SELECT tbl, cat, CAST(unnest(generate_series(low, high, INTERVAL 1 MONTH)) AS DATE) AS mon FROM (
+          SELECT a.tbl, a.cat, a.low, b.high FROM (SELECT tbl, cat, min(mon) AS low FROM seen GROUP BY 1, 2) a
+          JOIN (SELECT tbl, max(mon) AS high FROM seen GROUP BY 1) b ON a.tbl = b.tbl)) c
+      LEFT JOIN seen x ON x.tbl = c.tbl AND x.cat = c.cat AND x.mon = c.mon"""
     return query(live, {
-        "p": " UNION ALL ".join(p5), "mm": " UNION ALL ".join(mon),
+        "p": " UNION ALL ".join(p5), **({"seen": seen, "mm": months} if dense else {"mm": seen}),
         "s": f"SELECT m.*, p.p5, avg(m.n) {frame} AS a, stddev_samp(m.n) {frame} AS sd FROM mm m JOIN p ON p.tbl = m.tbl",
         "o": f"SELECT * FROM s WHERE sd > 0 AND a >= {floor} AND mon > p5 AND mon < date_trunc('month', DATE '{fx.ANCHOR}' - INTERVAL 11 MONTH) "
              f"AND mon NOT IN (DATE '2020-03-01', DATE '2020-04-01') AND (n = 0 OR (n - a) / sd <= {nsd})"}, [
