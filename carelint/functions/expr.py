@@ -37,6 +37,10 @@ def is_string(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[_real_name(df, column)].dataType, (T.StringType, T.CharType, T.VarcharType))
 
 
+def type_name(df: DataFrame, column: str) -> str:
+    return df.schema[_real_name(df, column)].dataType.simpleString()
+
+
 def _real_name(df: DataFrame, column: str) -> str:
     return next(n for n in df.columns if n.upper() == column.upper())
 

@@ -6,6 +6,7 @@ All of these read a table once, whatever the number of columns checked.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,6 +87,23 @@ def required_not_null(ctx: Context) -> DataFrame:
     return R.union_all([*parts, _field_status(ctx, fields, parts)])
 
 
+def _unread(ctx: Context, table: str, column: str) -> str | None:
+    """Why a text field can't be judged; None if it can."""
+    if not ctx.has(table):
+        return "missing_table"
+    if not ctx.has(table, column):
+        return "missing_column"
+    df = ctx.source.frame(table)
+    return None if E.is_string(df, column) else f"non_string_data_type:{E.type_name(df, column)}"
+
+
+def _skipped(reasons: dict[tuple[str, str], str]) -> dict[str, Any]:
+    """Details of the fields left out, each with its reason."""
+    entry = "array<struct<table:string,column:string,reason:string>>"
+    rows = [F.struct(F.lit(t).alias("table"), F.lit(c).alias("column"), F.lit(why).alias("reason")) for (t, c), why in reasons.items()]
+    return {"skipped_fields_n": len(rows), "skipped": F.array(*rows) if rows else F.array().cast(entry)}
+
+
 # --------------------------------------------------------------------------- value sets
 def valueset_conformance(ctx: Context) -> DataFrame:
     """1.06  Non-missing values outside the field's value set; the most frequent are named.
@@ -118,9 +136,9 @@ def valueset_conformance(ctx: Context) -> DataFrame:
         pairs.append(df.select(F.inline(F.array(*[
             F.struct(F.lit(table).alias("tbl"), F.lit(c).alias("fld"), E.norm(F.col(c)).alias("val")) for c in live])))
             .filter(F.col("val") != ""))
-    skipped = [f"{t}.{c}" for t, cs in fields.items() if ctx.wants(t) for c in cs if (t, c) not in set(grid)]
+    reasons = {(t, c): _unread(ctx, t, c) for t, cs in fields.items() if ctx.wants(t) for c in cs if (t, c) not in set(grid)}
     tail = R.status(ctx.spark, "OK" if grid else "ERROR", edc=ctx.scope, target_table=ctx.scope,
-                    evaluated_fields_n=len(grid), skipped=R.json_list(skipped))
+                    evaluated_fields_n=len(grid), **_skipped(reasons))
     if not grid:
         return tail
 
@@ -179,23 +197,25 @@ def zip_format(ctx: Context) -> DataFrame:
     live = [s for s in specs if ctx.has(s[0], s[1]) and E.is_string(ctx.source.frame(s[0]), s[1])]
     parts = []
     if live:
-        counts = tally(ctx.spark, ["n", "bad"], [
+        counts = tally(ctx.spark, ["rows", "n", "bad"], [
             Probe(table, ctx.frame(table), [
-                (c, [E.present(F.col(c)), E.present(F.col(c)) & ~_digits(F.col(c), length)]) for t, c, length in live if t == table])
+                (c, [F.lit(True), E.present(F.col(c)), E.present(F.col(c)) & ~_digits(F.col(c), length)]) for t, c, length in live if t == table])
             for table in dict.fromkeys(t for t, _, _ in live)])
         n, bad, tbl, fld = F.col("n"), F.col("bad"), F.col("tbl"), F.col("fld")
         share = E.percent(bad, n)
+        lengths = F.create_map(*[F.lit(x) for t, c, length in live for x in (f"{t}.{c}", length)])
         at = {"source": tbl, "edc": tbl, "code_type": fld, "details": R.details(
-            table=tbl, column=fld, non_missing_n=n, bad_n=bad, bad_pct=share)}
+            table=tbl, column=fld, expected_len=F.element_at(lengths, F.concat_ws(".", tbl, fld)), denom_n=F.col("rows"),
+            non_missing_n=n, bad_n=bad, bad_pct=share, threshold_bad_n_gt=0)}
         parts.append(R.emit(counts, [
             R.row("NON_MISSING_N", n, **at),
             R.row("BAD_ZIP_N", bad, **at),
             R.row("BAD_ZIP_PCT", share, **at),
             R.row("BAD_ZIP_FLAG", E.flag(bad > 0), exc=bad > 0, **at),
         ]))
-    skipped = [f"{t}.{c}" for t, c, n in specs if (t, c, n) not in live]
+    reasons = {(t, c): _unread(ctx, t, c) for t, c, length in specs if (t, c, length) not in live}
     tail = R.status(ctx.spark, "OK" if parts else "ERROR", edc=ctx.scope, target_table=ctx.scope,
-                    evaluated_fields_n=len(live), skipped=R.json_list(skipped))
+                    evaluated_fields_n=len(live), **_skipped(reasons))
     return R.union_all([*parts, tail])
 
 

@@ -309,3 +309,17 @@ def test_pool_and_coverage_flags(make):
     assert {m for _, _, m in flagged(df)} == {"PCT_ENC_FTF_5YR_WITH_DX_AND_VITAL_FLAG", "PCT_ENC_ANY_WITH_PROC_FLAG"}
     assert ("PROCEDURES", "PATID_COVERAGE", "PROCEDURES_COVERAGE_FLAG") in flagged(CHECKS["3.05"](make(tables)))
     assert not flagged(CHECKS["3.04"](make(tables)))
+
+
+def test_skipped_fields_carry_reasons_and_zip_details(make):
+    tables = {"LDS_ADDRESS_HISTORY": ("ADDRESS_ZIP5 string, ADDRESS_ZIP9 long", [("12345", 1), ("1234", 2), (None, 3), (" ", 4)])}
+    rows = CHECKS["1.17"](make(tables)).collect()
+    at = json.loads(next(r.details for r in rows if r.metric == "BAD_ZIP_N"))
+    assert [at[k] for k in ("expected_len", "denom_n", "non_missing_n", "bad_n", "bad_pct")] == [5, 4, 2, 1, 50]
+    end = json.loads(next(r.details for r in rows if r.metric == "STATUS"))
+    assert {"table": "LDS_ADDRESS_HISTORY", "column": "ADDRESS_ZIP9", "reason": "non_string_data_type:bigint"} in end["skipped"]
+    assert end["skipped_fields_n"] == len(end["skipped"])
+    refs = {"CDM_VALUESETS": ("TABLE_NAME string, FIELD_NAME string, VALUESET_ITEM string", [("VITAL", "SMOKING", "01"), ("VITAL", "HT", "1"), ("VITAL", "GONE", "1"), ("DEATH", "X", "1")])}
+    got = CHECKS["1.06"](make({"VITAL": ("SMOKING string, HT int", [("01", 1)])}, refs=refs)).where("metric = 'STATUS'").first()
+    why = {(x["table"], x["column"]): x["reason"] for x in json.loads(got.details)["skipped"]}
+    assert why == {("VITAL", "HT"): "non_string_data_type:int", ("VITAL", "GONE"): "missing_column", ("DEATH", "X"): "missing_table"}
