@@ -106,8 +106,14 @@ class Context:
         return df.filter(self.window(df, column))
 
     def window(self, df: DataFrame, column: str):
-        """Inclusive window test; rows whose date cannot be read drop out."""
+        """Inclusive window test; rows whose date cannot be read drop out.
+
+        Text dates of other years are left out by a comparison of the text, which the scan can use; a
+        year of more than four digits is in no window.
+        """
         test = F.lit(True)
+        if E.is_string(df, column):
+            test = E.text_years(F.col(column), self.start, self.end) & (E.date_of(df, column) <= F.lit(dt.date.max))
         if self.start is not None:
             test = test & (E.date_of(df, column) >= F.lit(self.start))
         if self.end is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +63,20 @@ def date_of(df: DataFrame, column: str, formats: tuple[str, ...] = ()) -> Column
     return F.coalesce(iso, *[F.try_to_date(text(c), f) for f in formats]) if formats else iso
 
 
+def text_years(c: Column, start: dt.date | None, end: dt.date | None) -> Column:
+    """A comparison of ISO text that reaches the scan and holds for every date of the years asked for.
+
+    Text that starts below "1" (a blank, a sign, a leading zero) always passes; the date decides.  Text
+    of a year beyond 9999 may pass or not, so callers have to leave such years out.
+    """
+    test = F.lit(True)
+    if start is not None and start.year > 1000:
+        test = test & ((c >= F.lit(f"{start.year:04d}")) | (c < F.lit("1")))
+    if end is not None and end.year < 9999:
+        test = test & (c < F.lit(f"{max(end.year, 999) + 1:04d}"))
+    return test
+
+
 def is_dated(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[_real_name(df, column)].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
 

@@ -58,9 +58,9 @@ def _skipped(sides: dict, domains: dict[str, tuple[str, dict]]) -> tuple[list[st
     return names, rows
 
 
-def _tail(ctx: Context, any_drop: Column | None, skipped: tuple[list[str], list[Column]] = ([], [])) -> list[Column]:
+def _tail(ctx: Context, any_drop: Column | None, skipped: tuple[list[str], list[Column]] = ([], []), evaluated: list[str] = ()) -> list[Column]:
     at = {"source": "ALL", "edc": ctx.scope, "code_type": "ALL", "threshold": LIMIT,
-          "details": R.details(target_table=ctx.scope, skipped=R.json_list(skipped[0]))}
+          "details": R.details(target_table=ctx.scope, evaluated=R.json_list(evaluated), skipped=R.json_list(skipped[0]))}
     flag = [] if any_drop is None else [R.row("ANY_DECREASE_FLAG", E.flag(any_drop), exc=any_drop, **at)]
     return [*skipped[1], *flag, R.row("STATUS", None, text="OK", **at)]
 
@@ -162,7 +162,8 @@ def snapshot_enctype_change(ctx: Context) -> DataFrame:
 
     def both(r):
         info = R.details(domain=r["dom"], encounter_type=r["kind"], current_record_n=r["cur_n"], previous_record_n=r["prev_n"],
-                         current_distinct_patid_n=r["cur_ids"], previous_distinct_patid_n=r["prev_ids"], threshold_pct_lt=LIMIT)
+                         current_distinct_patid_n=r["cur_ids"], previous_distinct_patid_n=r["prev_ids"],
+                         record_pct_change=_change(r["prev_n"], r["cur_n"]), patient_pct_change=_change(r["prev_ids"], r["cur_ids"]), threshold_pct_lt=LIMIT)
         rec, drop = _change_rows(r["dom"], r["kind"], r["prev_n"], r["cur_n"], "RECORDS",
                                  ("PREV_N", "CUR_N", "PCT_CHANGE", "DECREASE_FLAG"), info)
         pat, drop_ids = _change_rows(r["dom"], r["kind"], r["prev_ids"], r["cur_ids"], "PATIENTS",
@@ -173,7 +174,7 @@ def snapshot_enctype_change(ctx: Context) -> DataFrame:
         return [*rec, *pat, last], either
 
     return R.emit_with_summary(counts, lambda r: both(r)[0],
-                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1]), skipped))
+                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1]), skipped, live))
 
 
 def snapshot_code_change(ctx: Context) -> DataFrame:
@@ -207,7 +208,9 @@ def snapshot_code_change(ctx: Context) -> DataFrame:
         eligible = r["kind"] != model.SNAPSHOT_CODE_NOT_FLAGGED
         info = R.details(edc_table=r["tbl"], dataset=r["label"], category=r["kind"], current_records_n=r["cur_n"],
                          previous_records_n=r["prev_n"], current_distinct_code_n=r["cur_codes"],
-                         previous_distinct_code_n=r["prev_codes"], threshold_pct_lt=LIMIT)
+                         previous_distinct_code_n=r["prev_codes"], record_pct_change=_change(r["prev_n"], r["cur_n"]),
+                         distinct_code_pct_change=_change(r["prev_codes"], r["cur_codes"]), threshold_pct_lt=LIMIT,
+                         exclude_from_exceptions_if_category=model.SNAPSHOT_CODE_NOT_FLAGGED)
         rec, drop = _change_rows(r["label"], r["tbl"], r["prev_n"], r["cur_n"], r["kind"],
                                  ("RECORDS_PREV_N", "RECORDS_CUR_N", "RECORDS_PCT_CHANGE", "RECORDS_DECREASE_FLAG"), info, eligible)
         cod, drop_codes = _change_rows(r["label"], r["tbl"], r["prev_codes"], r["cur_codes"], r["kind"],
@@ -219,4 +222,4 @@ def snapshot_code_change(ctx: Context) -> DataFrame:
         return [*rec, *cod, last], either
 
     return R.emit_with_summary(wide, lambda r: both(r)[0],
-                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1]), skipped))
+                               lambda rows: _tail(ctx, F.exists(rows, lambda r: both(r)[1]), skipped, [label for _, label, *_ in live]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,55 @@ def constraints_view(workbook: DataFrame) -> DataFrame:
         F.col("ROW_NUM").alias("SOURCE_ROW_NUM"))
 
 
+def _opened(text: Column) -> Column:
+    """How many objects open in a text without escapes that starts outside of a string."""
+    bare = F.regexp_replace(text, r'"[^"]*("|\z)', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit("{"), F.lit("")))
+
+
+def json_objects(spark: SparkSession, path: str) -> DataFrame:
+    """(value) The objects of JSON arrays, one a row, however the files are laid out in lines.
+
+    Files are read in pieces that end at closing braces, by as many tasks as they have blocks (a gzip
+    file is one block).  Whether a piece starts within a string and how deep it lies follows from the
+    pieces before it: quotes and braces are summed up in every block for either start, blocks are
+    put in order by their sums alone, and the pieces of one object meet by its number.  What stands
+    between objects is no row; a last object without its closing brace is read as if it had it.
+    """
+    block = ["file", "block"]
+    bare = F.regexp_replace("value", r"\\.", "")
+    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value", (quotes % 2).alias("odd"),
+        _opened(bare).alias("open0"), _opened(F.concat(F.lit('"'), bare)).alias("open1"))
+    inside = Window.partitionBy(*block).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    through = inside.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sum_of = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+
+    def change(start: int) -> Column:
+        """What a piece adds to the depth if its block starts outside (0) or within (1) a string; its brace counts only outside."""
+        within = (F.col("turned") + start) % 2 == 1
+        closes = (F.col("turned") + F.col("odd") + start) % 2 == 0
+        return F.when(within, F.col("open1")).otherwise(F.col("open0")) - closes.cast("int")
+
+    read = pieces.withColumn("turned", sum_of("odd", inside)).withColumns({"add0": change(0), "add1": change(1)})
+    sums = read.groupBy(*block).agg(F.sum("odd").alias("odd"), F.sum("add0").alias("add0"), F.sum("add1").alias("add1"))
+    states = sums.withColumn("start", sum_of("odd", earlier) % 2).withColumn("add", F.when(F.col("start") == 1, F.col("add1")).otherwise(F.col("add0")))
+    states = states.select(*block, "start", sum_of("add", earlier).alias("above"))
+    placed = read.join(states, block)
+    own = F.when(F.col("start") == 1, F.col("add1")).otherwise(F.col("add0"))
+    outside = (F.col("turned") + F.col("odd") + F.col("start")) % 2 == 0
+    ended = placed.withColumn("depth", F.col("above") + F.sum(own).over(through)).select(
+        *block, "at", "value", (outside & (F.col("depth") == 0)).cast("int").alias("ends"))
+    counts = ended.groupBy(*block).agg(F.sum("ends").alias("n")).select(*block, sum_of("n", earlier).alias("before"))
+    numbered = ended.join(counts, block).withColumn("number", F.col("before") + sum_of("ends", inside))
+    whole = numbered.groupBy("file", "number").agg(F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("parts"))
+    text = F.concat(F.array_join(F.col("parts.value"), "}"), F.lit("}"))
+    return whole.select(F.regexp_replace(text, r"\A[^{]*", "").alias("value")).where("value != '' and startswith(value, '{')")
+
+
 def load_reference_json(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A JSON array of row objects (plain or gzip) as the typed reference table.
 
@@ -68,7 +117,7 @@ def load_reference_json(spark: SparkSession, path: str, table: str) -> DataFrame
     schema = T._parse_datatype_string(SCHEMAS[table.upper()])
     variants = [f.name for f in schema.fields if isinstance(f.dataType, T.VariantType)]
     raw = T.StructType([T.StructField(f.name, T.StringType()) if f.name in variants else f for f in schema.fields])
-    df = spark.read.schema(raw).option("multiLine", True).json(path)
+    df = json_objects(spark, path).select(F.from_json("value", raw).alias("row")).select("row.*")
     return df.select(*[F.try_parse_json(f.name).alias(f.name) if f.name in variants else F.col(f.name) for f in schema.fields])
 
 

@@ -323,3 +323,15 @@ def test_skipped_fields_carry_reasons_and_zip_details(make):
     got = CHECKS["1.06"](make({"VITAL": ("SMOKING string, HT int", [("01", 1)])}, refs=refs)).where("metric = 'STATUS'").first()
     why = {(x["table"], x["column"]): x["reason"] for x in json.loads(got.details)["skipped"]}
     assert why == {("VITAL", "HT"): "non_string_data_type:int", ("VITAL", "GONE"): "missing_column", ("DEATH", "X"): "missing_table"}
+
+
+def test_principal_dx_status_says_what_it_saw(make):
+    """The status row's facts: no stays; stays without a diagnosis of known origin; both."""
+    enc, dx = "ENCOUNTERID string, ENC_TYPE string", "ENCOUNTERID string, DX_ORIGIN string, PDX string"
+    seen = []
+    for stays, diagnoses in (([("e", "AV")], [("e", "OD", "P")]), ([("e", "IP")], [("e", "NI", "P")]), ([("e", "IP"), ("f", "EI")], [("e", "OD", "S"), ("f", "bi ", "P")]), ([], [])):
+        rows = CHECKS["2.07"](make({"ENCOUNTER": (enc, stays), "DIAGNOSIS": (dx, diagnoses)})).where("metric = 'STATUS'").collect()
+        assert len(rows) == 1
+        at = json.loads(rows[0].details)
+        seen.append((at["has_ip_ei_encounters"], at["has_ip_ei_known_origin_diagnoses"], at["wrote_groups_n"], bool(at["note"])))
+    assert seen == [(False, False, 0, True), (True, False, 0, True), (True, True, 2, False), (False, False, 0, True)]

@@ -3,12 +3,14 @@
 import datetime as dt
 import gzip
 import json
+import random
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from carelint import Context
 from carelint.operators import CHECKS
 from carelint.plans import registry as reg
 from carelint.plans import views
@@ -148,6 +150,31 @@ def test_reference_json_round_trip(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "export")).count() == 2
 
 
+AWKWARD = ['}', '{', '"', '\\', '\\"}', '[{', '}]', ',\n', 'ü', '{"a": "}"}', '', '\\\\', ' ']
+
+
+@pytest.mark.parametrize("indent, block", [(None, 40), (2, 64), (1, 1 << 20)])
+def test_json_arrays_are_cut_by_many_tasks(spark, tmp_path, indent, block):
+    """Strings full of braces, quotes and escapes, nested objects, borders of blocks anywhere."""
+    rnd = random.Random(7)
+    text = lambda: "".join(rnd.choice(AWKWARD) for _ in range(rnd.randrange(9)))
+    data = {f: [{"LOINC_NUM": f"{f}-{i}", "LONG_COMMON_NAME": text(), "X" + text(): [{"a": {text(): [{}, text()]}}, 1, None]} for i in range(60)] for f in ("one", "two")}
+    for f, own in data.items():
+        (tmp_path / f"{f}.json").write_text(json.dumps(own, indent=indent, ensure_ascii=False))
+    (tmp_path / "none.json").write_text(" [ ] ")
+    (tmp_path / "three.json.gz").write_bytes(gzip.compress(json.dumps([{"LOINC_NUM": "three", "LONG_COMMON_NAME": None}]).encode()))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        df = ref.load_reference_json(spark, str(tmp_path), "LOINC_REF_RAW")
+        tasks = spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions()
+        got = sorted((r.LOINC_NUM, r.LONG_COMMON_NAME or "") for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert got == sorted([(r["LOINC_NUM"], r["LONG_COMMON_NAME"]) for own in data.values() for r in own] + [("three", "")])
+    assert tasks > 100 or block > 64
+
+
 def test_sources(spark, tmp_path):
     base = tmp_path / "tables"
     spark.createDataFrame([("a",)], "patid string").write.parquet(str(base / "demographic.parquet"))
@@ -213,3 +240,15 @@ def test_lookback_sets_the_start_of_the_window(make, tmp_path):
     assert {r.run_id: r.start_date for r in store.runs().collect()} == {"ten": "2000-06-01", "all": None}
     n = {r.run_id: r.n for r in store.results().filter("source_table = 'VITAL' and metric = 'RECORDS_EVAL_N'").groupBy("run_id").agg({"value_num": "sum"}).toDF("run_id", "n").collect()}
     assert n["ten"] * 2 == n["all"] > 0
+
+
+def test_windows_on_text_dates_reach_the_scan(spark, tmp_path):
+    """The text is compared in the scan; no way to write a date of the window loses its row."""
+    inside = ["2010-06-01", "2010-6-1", " 2010-06-01", "+2010-06-01", "002010-06-01", "2010", "2010-12", "2012-02-29 10:00:00", "2012-03-01T00:00", "\t2011-01-01 "]
+    outside = ["2009-12-31", "2012-03-02", "2010-13-01", "x", "", None, "20100-06-01", "12010-06-01", "1999", "0900-01-01", "99999-01-01"]
+    spark.createDataFrame([(d,) for d in inside + outside], "MEASURE_DATE string").write.parquet(str(tmp_path / "VITAL.parquet"))
+    ctx = Context(TableSource.from_parquet_dir(spark, str(tmp_path)), start="2010-01-01", end="2012-03-01")
+    df = ctx.frame("VITAL")
+    assert sorted(r[0] for r in df.collect()) == sorted(inside)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(MEASURE_DATE,2010)" in plan and "LessThan(MEASURE_DATE,2013)" in plan

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from carelint.context import Context
 from carelint.operators import CHECKS, codes
 from carelint.plans import views
+from carelint.plans.details import FACTS, typed_details
 from carelint.plans.registry import select_checks
 from carelint.plans.run import result_rows
 from carelint.sources.reference import constraints_view, valuesets_view
@@ -126,6 +127,25 @@ _check_lost("dc_4_01_table_new", "4.01", sql.snapshot_table_change, "VITAL", "PR
 _check_lost("dc_4_02_domain_lost", "4.02", sql.snapshot_enctype_change, "PROCEDURES", "CURRENT")
 _check_lost("dc_4_03_domain_lost", "4.03", sql.snapshot_code_change, "DIAGNOSIS", "CURRENT")
 
+
+
+def _facts(number: str, name: str, oracle: Callable[[], str]) -> None:
+    """All declared facts of a check, each in a column of its own, beside the row they belong to."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ctx = snapshot_context(spark, sf_dir) if number.startswith("4") else fx.context(spark, sf_dir)
+        rows = typed_details(CHECKS[number](ctx), FACTS[number])
+        column = lambda k, kind: F.round(f"`details.{k}`", 6) if kind == "double" else F.array_join(f"`details.{k}`", ",") if kind.startswith("array") else F.col(f"`details.{k}`")
+        return rows.select("source_table", "code_type", "metric", *[column(k, kind).alias(f"f_{k}") for k, kind in FACTS[number].items()])
+
+    QUERIES[f"facts_{name}"] = Query(run, oracle)
+
+
+_facts("2.07", "2_07_principal_dx_per_encounter", sql.principal_dx_facts)
+_facts("4.01", "4_01_snapshot_table_change", sql.snapshot_table_facts)
+_facts("4.02", "4_02_snapshot_enctype_change", sql.snapshot_enctype_facts)
+_facts("4.03", "4_03_snapshot_code_change", sql.snapshot_code_facts)
+
+
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.code_summary(fx.context(spark, sf_dir)).withColumn("bad_record_pct", F.round("bad_record_pct", 6)).drop("datamartid", "query_date")
 

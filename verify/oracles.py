@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from carelint import model
 from carelint.operators.codes import CUT_TYPES, RULES
+from carelint.plans.details import FACTS
 from verify import fixtures as fx
 
 HAVE = set(fx.TABLES)
@@ -62,6 +63,15 @@ def query(tables, ctes: dict[str, str], rows: list[str]) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + "\nUNION ALL\n".join(rows)
 
 
+def facts_rows(facts: dict[str, str], src: str, metrics, source: str, code: str, **values: str) -> str:
+    """A SELECT of declared facts for each of the metrics; facts without a value are null."""
+    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    shown = {k: f"CAST({values.get(k, 'NULL')} AS {kinds.get(kind, 'VARCHAR')})" for k, kind in facts.items()}
+    columns = LIST((f"round({v}, 6)" if facts[k] == "double" else v) + f" AS f_{k}" for k, v in shown.items())
+    return (f"SELECT {source} AS source_table, {code} AS code_type, m AS metric, {columns} FROM (VALUES {LIST('(' + q(m) + ')' for m in metrics)}) AS ms(m)"
+            + (f", {src}" if src else ""))
+
+
 def windowed(sql: str, start: str, end: str) -> str:
     """The query over tables that hold only the rows whose date lies in the window."""
     for t, c in model.DATE_COLUMN.items():
@@ -621,16 +631,32 @@ def encounters_per_visit():
         flagrow("x", "ENC_KNOWN_PROV_PER_VISIT_FLAG", "rate > 2", **at), status(source="'ENCOUNTER'", thr="2")])
 
 
-def principal_dx_per_encounter():
-    at = {"source": "'DIAGNOSIS'", "code": "o", "thr": "2"}
-    return query(["ENCOUNTER", "DIAGNOSIS"], {
+def _principal_dx() -> dict[str, str]:
+    return {
         "j": f"SELECT d.ENCOUNTERID AS id, {norm('d.DX_ORIGIN')} AS o, sum(CASE WHEN {norm('d.PDX')} = 'P' THEN 1 ELSE 0 END) AS p FROM DIAGNOSIS d "
              f"JOIN ENCOUNTER e ON d.ENCOUNTERID = e.ENCOUNTERID WHERE e.ENC_TYPE IN ('IP','EI') AND {known('d.DX_ORIGIN')} GROUP BY 1, 2",
-        "w": "SELECT o, count(*) FILTER (p > 0) AS n, sum(p) AS p FROM j GROUP BY o", "x": f"SELECT *, {pct('p', 'n', scale='1.0')} AS rate FROM w"}, [
+        "w": "SELECT o, count(*) FILTER (p > 0) AS n, sum(p) AS p FROM j GROUP BY o", "x": f"SELECT *, {pct('p', 'n', scale='1.0')} AS rate FROM w"}
+
+
+def principal_dx_per_encounter():
+    at = {"source": "'DIAGNOSIS'", "code": "o", "thr": "2"}
+    return query(["ENCOUNTER", "DIAGNOSIS"], _principal_dx(), [
         row("x", "ENC_WITH_ANY_PRINCIPAL_DX_N", "n", **at), row("x", "PRINCIPAL_DX_RECORDS_N", "p", **at),
         row("x", "PRINCIPAL_DX_PER_ENC_RATE", "rate", **at), flagrow("x", "PRINCIPAL_DX_PER_ENC_FLAG", "rate > 2", **at), status(thr="2", edc="'ALL'")])
 
 
+def principal_dx_facts():
+    facts = FACTS["2.07"]
+    names = ("ENC_WITH_ANY_PRINCIPAL_DX_N", "PRINCIPAL_DX_RECORDS_N", "PRINCIPAL_DX_PER_ENC_RATE", "PRINCIPAL_DX_PER_ENC_FLAG")
+    stays, groups = "(SELECT count(*) FROM ENCOUNTER WHERE ENC_TYPE IN ('IP','EI') AND ENCOUNTERID IS NOT NULL)", "(SELECT count(*) FROM x)"
+    note = f"CASE WHEN {stays} = 0 THEN 'There are no inpatient stays to judge' WHEN {groups} = 0 THEN 'The inpatient stays have no diagnosis of known origin, so there is no rate' ELSE '' END"
+    return query(["ENCOUNTER", "DIAGNOSIS"], _principal_dx(), [
+        facts_rows(facts, "x", names, "'DIAGNOSIS'", "o", dx_origin="o", enc_with_any_principal_dx_n="n", principal_dx_records_n="p",
+                   principal_dx_per_enc_rate="rate", threshold_rate_gt="2"),
+        facts_rows(facts, "", ("STATUS",), "'ALL'", "'ALL'", target_table="'ALL'", enc_types="'IP,EI'", wrote_groups_n=groups,
+                   has_ip_ei_encounters=f"{stays} > 0", has_ip_ei_known_origin_diagnoses=f"{groups} > 0", note=note)])
+
+
 def dx_per_encounter():
     at = {"source": "'DIAGNOSIS'", "code": "g", "thr": "1"}
     rate = pct("k", "n", scale="1.0")
@@ -797,11 +823,31 @@ def _lost(names, label, side):
     return [row("", "STATUS", "CAST(NULL AS DOUBLE)", source=q(n), edc=q(label), code="'ALL'", thr="-5", exc=str(side == "CURRENT").upper(), text="'SKIPPED'") for n in names]
 
 
-def snapshot_table_change(lost=None, side=None):
-    live = [t for t in model.SNAPSHOT_ID_COLUMNS if t in HAVE and t != lost]
-    sql = " UNION ALL ".join(
+def _table_counts(live) -> str:
+    return " UNION ALL ".join(
         f"SELECT '{t}' AS tbl, (SELECT count(*) FROM {t}) AS pn, (SELECT count(*) FROM cur_{t}) AS cn, (SELECT count(DISTINCT {c}) FROM {t}) AS pi, "
         f"(SELECT count(DISTINCT {c}) FROM cur_{t}) AS ci" for t, c in model.SNAPSHOT_ID_COLUMNS.items() if t in live)
+
+
+SIDES = ("PREV_N", "CUR_N", "PCT_CHANGE", "DECREASE_FLAG")
+ID_SIDES = ("PREV_DISTINCT_N", "CUR_DISTINCT_N", "PCT_CHANGE", "DECREASE_FLAG")
+#: The metrics of a compared table or domain by code type.
+PARTS = (("'RECORDS'", SIDES), ("'PATIENTS'", ID_SIDES), ("'ALL'", ("ANY_DECREASE_FLAG",)))
+
+
+def snapshot_table_facts():
+    facts, live = FACTS["4.01"], [t for t in model.SNAPSHOT_ID_COLUMNS if t in HAVE]
+    own = {"table": "tbl", "current_records_n": "cn", "previous_records_n": "pn", "current_patients_n": "ci", "previous_patients_n": "pi",
+           "record_pct_change": _chg("pn", "cn"), "patient_pct_change": _chg("pi", "ci"), "threshold_pct_lt": "-5"}
+    lacking = LIST(f"{t}: BOTH" for t in model.SNAPSHOT_ID_COLUMNS if t not in HAVE).replace(", ", ",")
+    return query(live, {**_both(live), "w": _table_counts(live)}, [
+        *[facts_rows(facts, "w", names, "tbl", code, **own) for code, names in PARTS],
+        facts_rows(facts, "", ("STATUS",), "'ALL'", "'ALL'", target_table="'ALL'", skipped=q(lacking))])
+
+
+def snapshot_table_change(lost=None, side=None):
+    live = [t for t in model.SNAPSHOT_ID_COLUMNS if t in HAVE and t != lost]
+    sql = _table_counts(live)
     at = {"source": "tbl", "edc": "tbl", "thr": "-5"}
     rec, pat = {"code": "'RECORDS'", **at}, {"code": "'PATIENTS'", **at}
     return query(live, {**_both(live), "w": sql}, [
@@ -812,20 +858,33 @@ def snapshot_table_change(lost=None, side=None):
         *_lost([lost] if lost else [], lost, side)])
 
 
-def snapshot_enctype_change(lost=None, side=None):
-    domains = [d for d in model.SNAPSHOT_ENC_DOMAINS if d != lost]
-    live = [*domains, "ENCOUNTER"]
-
+def _enctype_counts(domains) -> dict[str, str]:
     def counts(pre):
         return " UNION ALL ".join(
             f"SELECT '{d}' AS dom, {norm('e.ENC_TYPE')} AS k, count(*) AS n, count(DISTINCT t.PATID) AS i FROM {pre}{d} t JOIN {pre}ENCOUNTER e "
             f"ON e.ENCOUNTERID = t.ENCOUNTERID WHERE {norm('e.ENC_TYPE')} IN {inlist(model.SNAPSHOT_ENC_TYPES)} GROUP BY 1, 2" for d in domains)
+    return {"p": counts(""), "c": counts("cur_"),
+        "w": "SELECT coalesce(p.dom, c.dom) AS dom, coalesce(p.k, c.k) AS k, coalesce(p.n, 0) AS pn, coalesce(c.n, 0) AS cn, coalesce(p.i, 0) AS pi, "
+             "coalesce(c.i, 0) AS ci FROM p FULL OUTER JOIN c ON p.dom = c.dom AND p.k = c.k"}
+
+
+def snapshot_enctype_facts():
+    facts, live = FACTS["4.02"], [*model.SNAPSHOT_ENC_DOMAINS, "ENCOUNTER"]
+    own = {"domain": "dom", "encounter_type": "k", "current_record_n": "cn", "previous_record_n": "pn", "current_distinct_patid_n": "ci",
+           "previous_distinct_patid_n": "pi", "record_pct_change": _chg("pn", "cn"), "patient_pct_change": _chg("pi", "ci"), "threshold_pct_lt": "-5"}
+    end = {"target_table": "'ALL'", "skipped": "''", "evaluated": q(",".join(model.SNAPSHOT_ENC_DOMAINS))}
+    return query(live, {**_both(live), **_enctype_counts(model.SNAPSHOT_ENC_DOMAINS)}, [
+        *[facts_rows(facts, "w", names, "dom", code, **own) for code, names in PARTS],
+        facts_rows(facts, "", ("ANY_DECREASE_FLAG", "STATUS"), "'ALL'", "'ALL'", **end)])
+
+
+def snapshot_enctype_change(lost=None, side=None):
+    domains = [d for d in model.SNAPSHOT_ENC_DOMAINS if d != lost]
+    live = [*domains, "ENCOUNTER"]
     at = {"source": "dom", "edc": "k", "thr": "-5"}
     rec, pat = {"code": "'RECORDS'", **at}, {"code": "'PATIENTS'", **at}
     either = f"{_fell('pn', 'cn')} OR {_fell('pi', 'ci')}"
-    return query(live, {**_both(live), "p": counts(""), "c": counts("cur_"),
-        "w": "SELECT coalesce(p.dom, c.dom) AS dom, coalesce(p.k, c.k) AS k, coalesce(p.n, 0) AS pn, coalesce(c.n, 0) AS cn, coalesce(p.i, 0) AS pi, "
-             "coalesce(c.i, 0) AS ci FROM p FULL OUTER JOIN c ON p.dom = c.dom AND p.k = c.k"}, [
+    return query(live, {**_both(live), **_enctype_counts(domains)}, [
         row("w", "PREV_N", "pn", **rec), row("w", "CUR_N", "cn", **rec), row("w", "PCT_CHANGE", _chg("pn", "cn"), **rec),
         flagrow("w", "DECREASE_FLAG", _fell("pn", "cn"), **rec), row("w", "PREV_DISTINCT_N", "pi", **pat), row("w", "CUR_DISTINCT_N", "ci", **pat),
         row("w", "PCT_CHANGE", _chg("pi", "ci"), **pat), flagrow("w", "DECREASE_FLAG", _fell("pi", "ci"), **pat),
@@ -834,9 +893,7 @@ def snapshot_enctype_change(lost=None, side=None):
         status(thr="-5", edc="'ALL'"), *_lost([lost] if lost else [], "ALL", side)])
 
 
-def snapshot_code_change(lost=None, side=None):
-    specs = [s for s in model.SNAPSHOT_CODES if s[0] != lost]
-    live = [t for t, *_ in specs]
+def _code_counts(specs) -> str:
     parts = []
     for t, lab, cat, code, kinds in specs:
         for k in kinds:
@@ -844,13 +901,30 @@ def snapshot_code_change(lost=None, side=None):
             parts.append(f"SELECT '{t}' AS tbl, '{lab}' AS lab, '{k}' AS k, " + LIST(
                 f"(SELECT count(*) FROM {pre}{t} WHERE {w}) AS {s}n, (SELECT count(DISTINCT {norm(code)}) FROM {pre}{t} WHERE {w}) AS {s}i"
                 for pre, s in (("", "p"), ("cur_", "c"))))
+    return " UNION ALL ".join(parts)
+
+
+def snapshot_code_facts():
+    facts, live = FACTS["4.03"], [t for t, *_ in model.SNAPSHOT_CODES]
+    own = {"edc_table": "tbl", "dataset": "lab", "category": "k", "current_records_n": "cn", "previous_records_n": "pn", "current_distinct_code_n": "ci",
+           "previous_distinct_code_n": "pi", "record_pct_change": _chg("pn", "cn"), "distinct_code_pct_change": _chg("pi", "ci"), "threshold_pct_lt": "-5",
+           "exclude_from_exceptions_if_category": "'09'"}
+    names = [f"{pre}_{m}" for pre in ("RECORDS", "DISTINCT_CODES") for m in SIDES] + ["ANY_DECREASE_FLAG"]
+    end = {"target_table": "'ALL'", "skipped": "''", "evaluated": q(",".join(label for _, label, *_ in model.SNAPSHOT_CODES))}
+    return query(live, {**_both(live), "w": _code_counts(model.SNAPSHOT_CODES)}, [
+        facts_rows(facts, "w", names, "lab", "k", **own), facts_rows(facts, "", ("ANY_DECREASE_FLAG", "STATUS"), "'ALL'", "'ALL'", **end)])
+
+
+def snapshot_code_change(lost=None, side=None):
+    specs = [s for s in model.SNAPSHOT_CODES if s[0] != lost]
+    live = [t for t, *_ in specs]
     at = {"source": "lab", "edc": "tbl", "code": "k", "thr": "-5"}
     rec, cod = f"(k <> '09' AND {_fell('pn', 'cn')})", f"(k <> '09' AND {_fell('pi', 'ci')})"
     rows = []
     for pre, p, c, f in (("RECORDS", "pn", "cn", rec), ("DISTINCT_CODES", "pi", "ci", cod)):
         rows += [row("w", f"{pre}_PREV_N", p, **at), row("w", f"{pre}_CUR_N", c, **at), row("w", f"{pre}_PCT_CHANGE", _chg(p, c), **at),
                  flagrow("w", f"{pre}_DECREASE_FLAG", f, **at)]
-    return query(live, {**_both(live), "w": " UNION ALL ".join(parts)}, [
+    return query(live, {**_both(live), "w": _code_counts(specs)}, [
         *rows, flagrow("w", "ANY_DECREASE_FLAG", f"{rec} OR {cod}", **at),
         flagrow(f"(SELECT bool_or({rec} OR {cod}) AS f FROM w)", "ANY_DECREASE_FLAG", "f", source="'ALL'", edc="'ALL'", code="'ALL'", thr="-5"),
         status(thr="-5", edc="'ALL'"), *_lost([lab for t, lab, *_ in model.SNAPSHOT_CODES if t == lost], lost, side)])
