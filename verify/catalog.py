@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from typing import Any
 
@@ -15,8 +18,8 @@ from carelint.operators import CHECKS, codes
 from carelint.plans import views
 from carelint.plans.details import FACTS, typed_details
 from carelint.plans.registry import select_checks
-from carelint.plans.run import result_rows
-from carelint.sources.reference import constraints_view, valuesets_view
+from carelint.plans.run import Store, result_rows, run_checks
+from carelint.sources.reference import constraints_view, export_reference_json, load_reference_json, valuesets_view
 from verify import fixtures as fx
 from verify import oracles as sql
 
@@ -210,5 +213,68 @@ for _mode, _selector, _part in (("CHECK_NUM", " 1.05, 2.5 ,x", "all"), ("SOURCE_
 QUERIES["registry_listing"] = Query(lambda s, d: _plain(views.registry_listing(fx.registry(s, d))), sql.registry_listing)
 QUERIES["code_summary_listing"] = Query(
     lambda s, d: views.code_summary_listing(_summary(s, d)), sql.code_summary)
+
+
+# ------------------------------------------------------------- what writes and reads back
+def _folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; a local one only where the session names none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="carelint-verify-")
+    return f"{shared}/verify-{uuid.uuid4().hex}"
+
+
+def _listed(results: DataFrame) -> DataFrame:
+    """Stored rows as ``sql.stored_results`` has them."""
+    rows = results.select("row_num", "check_name", "source_table", "code_type", "metric", "value_num", "threshold_num", "exception_flag")
+    return _rounded(rows, "value_num")
+
+
+def _run(spark: SparkSession, sf_dir: str, **kw: Any) -> DataFrame:
+    """The rows of a whole run of two checks, as stored."""
+    out = _folder(spark)
+    run = run_checks(fx.context(spark, sf_dir), out, mode="CHECK_NUM", selector="1.08,2.02", **kw)
+    store = Store(spark, out)
+    states = {r["status"] for r in store.check_log().select("status").distinct().collect()}
+    if states != {"SUCCEEDED"}:
+        raise RuntimeError(f"the run's checks ended as {sorted(states)}")
+    return _listed(store.results().where(F.col("run_id") == run))
+
+
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows written, then those of two tables taken away and written again by writers of their own."""
+    store, ctx = Store(spark, _folder(spark)), fx.context(spark, sf_dir)
+    rows = lambda n, name, c=ctx: result_rows(CHECKS[n](c), "R1", f"CHECK_{n}", name, n, None)
+    store.write_results(rows("1.08", "orphan_patid"), "R1", "1.08")
+    store.write_results(rows("2.02", "numeric_range_outliers"), "R1", "2.02")
+    for table in ("VITAL", "DIAGNOSIS"):
+        store.write_results(rows("1.08", "orphan_patid").where("false"), "R1", "1.08", table)
+    with ThreadPoolExecutor(2) as pool:  # neither waits for the other
+        list(pool.map(lambda t: store.write_results(rows("1.08", "orphan_patid").where(F.col("source_table") == t), "R1", "1.08", t), ("VITAL", "DIAGNOSIS")))
+    return _listed(store.results())
+
+
+def _older(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One check's rows as a store wrote them before thresholds, flags and details were columns, the other's as today."""
+    store, rows = Store(spark, _folder(spark)), stored(spark, sf_dir)
+    store.write_results(rows.where("row_num = 1.08").drop("threshold_num", "exception_flag", "details", "created_at"), "R1", "1.08")
+    store.write_results(rows.where("row_num = 2.02"), "R1", "2.02")
+    return _listed(store.results())
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> str:
+    """A workbook with a row for each part and sheet, as JSON lines."""
+    where = _folder(spark)
+    export_reference_json(fx.part_workbook(spark, sf_dir), where)
+    return where
+
+
+QUERIES["run_checks"] = Query(_run, sql.stored_results)
+QUERIES["run_checks_unshared"] = Query(lambda s, d: _run(s, d, share=False), sql.stored_results)
+QUERIES["lookback_window"] = Query(lambda s, d: _run(s, d, lookback=True), sql.stored_results_lookback)
+QUERIES["write_results"] = Query(_written, sql.stored_results)
+QUERIES["results_schema_evolution"] = Query(_older, sql.stored_results_older)
+QUERIES["export_reference_json"] = Query(
+    lambda s, d: _plain(valuesets_view(s.read.schema(fx.part_workbook(s, d).schema).json(_exported(s, d)))), sql.valuesets_view)
+QUERIES["load_reference_json"] = Query(
+    lambda s, d: _plain(valuesets_view(load_reference_json(s, _exported(s, d), "CDM_PARSEABLE_RAW"))), sql.valuesets_view)
 QUERIES["valuesets_view"] = Query(lambda s, d: _plain(valuesets_view(fx.part_workbook(s, d))), sql.valuesets_view)
 QUERIES["constraints_view"] = Query(lambda s, d: _plain(constraints_view(fx.part_workbook(s, d))), sql.constraints_view)

@@ -938,6 +938,20 @@ def _stored() -> str:
                               for i, (body, n, c) in enumerate(parts))
 
 
+def stored_results(body: str | None = None, columns: str = "threshold_num, exception_flag"):
+    return f"SELECT row_num, check_name, source_table, code_type, metric, value_num, {columns} FROM ({body or _stored()})"
+
+
+def stored_results_lookback():
+    """Ten years back from the anchor day; the window has no end."""
+    return stored_results(windowed(_stored(), "1991-08-15", "9999-12-31"))
+
+
+def stored_results_older():
+    old = "row_num < 2"
+    return stored_results(columns=f"CASE WHEN {old} THEN NULL ELSE threshold_num END AS threshold_num, CASE WHEN {old} THEN NULL ELSE exception_flag END AS exception_flag")
+
+
 def results_pivot():
     from verify.catalog import PIVOTED
 
