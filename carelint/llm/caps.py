@@ -25,10 +25,22 @@ from carelint.llm.common import with_component, written
 from carelint.llm.vectors import by_key, dots, matrix, norms, usable
 
 COSINE, BLOCKS, CODES, THRESHOLD, LEAST = 0.98, 4, 64, 4.6, 16
+#: Components that a block of a product code has at least, but for one half; words of the only block of a vector that is too short for two.
+WIDTH, SINGLE = 6, 512
 #: Vectors compared at once; a larger bucket is divided and its parts are compared pair by pair.
 PART, COLUMNS = 1024, 2048
 
 
+def shape(dim: int) -> tuple[int, int]:
+    """Blocks and words of a block for a dimension.
+
+    Narrow blocks would have words that are much alike, and a vector would pass thousands of
+    directions together.  In one dimension there are two words, in two or three a few dozen already lie closer than near vectors.
+    """
+    blocks = max(1, min(BLOCKS, (dim + WIDTH // 2) // WIDTH))
+    return blocks, 2 if dim == 1 else CODES if blocks > 1 or dim < 4 else SINGLE
+
+
 @lru_cache(maxsize=4)
 def code(dim: int, blocks: int = BLOCKS, codes: int = CODES) -> tuple[np.ndarray, list[np.ndarray]]:
     """Rotation and codebooks for a dimension."""
@@ -38,13 +50,18 @@ def code(dim: int, blocks: int = BLOCKS, codes: int = CODES) -> tuple[np.ndarray
     books = []
     for a, b in zip(edges[:-1], edges[1:]):
         c = rnd.standard_normal((codes, b - a))
+        if b - a == 1:
+            c = np.where(np.arange(codes) % 2, -1.0, 1.0)[:, None]
         books.append(c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-300) * np.sqrt((b - a) / dim))
     return turn, books
 
 
-def passed(x: np.ndarray, threshold: float = THRESHOLD, least: int = LEAST, blocks: int = BLOCKS, codes: int = CODES) -> tuple[np.ndarray, np.ndarray]:
+def passed(x: np.ndarray, threshold: float = THRESHOLD, least: int = LEAST, blocks: int | None = None, codes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, direction) of all directions that the unit rows of x exceed the threshold on."""
-    turn, books = code(x.shape[1], min(blocks, x.shape[1]), codes)
+    own = shape(x.shape[1])
+    blocks, codes = min(blocks or own[0], x.shape[1]), codes or own[1]
+    turn, books = code(x.shape[1], blocks, codes)
+    least = min(least, max(1, codes**blocks // 4))
     y, at, scores = x @ turn, 0, []
     for c in books:
         scores.append(y[:, at : at + c.shape[1]] @ c.T)
@@ -168,7 +185,9 @@ def near_vectors(vectors: DataFrame, least: float = COSINE, part: int = PART) ->
     Compared are rows of equal, non-null label and equal dimension.  Rows whose vector is null,
     empty, zero or holds a null or non-finite component, or whose label is null, link with nothing
     and are their own component.  Equal vectors of a label are compared once and always linked.
-    Rows of a null vec_id count as no link of others; their component is null.  Only ``vec_id``, ``embedding`` and ``label`` are read.
+    Rows of a null vec_id count as no link of others; their component is null.  Rows that repeat a vec_id
+    with different vectors are one node: a link of any of them leads to it and on from it, and each shows
+    the links of all.  Only ``vec_id``, ``embedding`` and ``label`` are read.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
     fine = usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
@@ -184,7 +203,7 @@ def near_vectors(vectors: DataFrame, least: float = COSINE, part: int = PART) ->
     parts = F.expr(f"(m + {part} - 1) div {part}")
     own = live.select("vec_id", "label", "dim", "f", F.pmod(F.xxhash64("vec_id"), parts).alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
     pairs = own.select("vec_id", F.col("label").cast("string").alias("label_key"), "dim", "f", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    met = pairs.join(full, "vec_id").repartition("f", "label_key", "dim", "i", "j")
+    met = pairs.join(full, "vec_id").repartition("f", "label_key", "dim", "i", "j").sortWithinPartitions("f", "label_key", "dim", "i", "j")
     found = written(met.mapInPandas(_compare_parts(least), "a long, b long, n long"))
     counts = found.where("b is null").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n"))
     classes = with_component(one.select("k1", "k2", "vec_id", "copies"), found.where("b is not null").select("a", "b"), "vec_id").withColumnRenamed("vec_id", "rep")

@@ -12,7 +12,7 @@ and on nothing before it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelint.llm.bpe import PATTERN, encoder
-from carelint.llm.common import TOKENIZER, tokenizer_path
+from carelint.llm.common import TOKENIZER, slices, tokenizer_path, written
 
 #: Pre-tokens of a new leaf; a leaf may grow to twice as many before the tree is laid out anew.
 LEAF, AHEAD = 32, 2
+#: Characters of the documents that a task holds as trees at once, one document at least.
+HELD = 4_000_000
 EDITS = "array<struct<start: int, end: int, text: string>>"
 _cut = regex.compile(PATTERN)
 
@@ -123,47 +125,70 @@ def counter(path: str):
 _STATE = "text string, leaves int, chars array<long>, tokens array<long>, pieces array<long>"
 
 
-def build(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """State of every document: (doc_id, text, leaves, chars, tokens, pieces). A null text is empty."""
+def build(docs: DataFrame, tokenizer: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """State of every document: (doc_id, text, leaves, chars, tokens, pieces), and the string columns to ``keep``. A null text is empty."""
     path = tokenizer or tokenizer_path(TOKENIZER)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = counter(path)
         for b in batches:
-            for at in range(0, len(b), 500):
-                own = b.iloc[at : at + 500]
-                yield _frame(own["doc_id"], [Document.of(t or "", count) for t in own["text"]])
+            for at in slices([len(t or "") for t in b["text"]], HELD):
+                own = b.iloc[at]
+                out = _frame(own["doc_id"], [Document.of(t or "", count) for t in own["text"]])
+                yield out.assign(**{c: own[c].to_numpy() for c in keep})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {_STATE}")
+    kept = "".join(f", {c} string" for c in keep)
+    return docs.select("doc_id", "text", *[F.col(c).cast("string").alias(c) for c in keep]).mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {_STATE}{kept}")
 
 
 def _frame(ids: pd.Series, docs: list[Document]) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": ids.to_numpy(), "text": [d.text for d in docs], "leaves": [d.leaves for d in docs], "chars": [d.chars for d in docs], "tokens": [d.tokens for d in docs], "pieces": [d.pieces for d in docs]})
 
 
-def apply(state: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """State after the edits in the column ``edits`` (EDITS), taken one after another, with n_before and n_encoded.
+def _edited(count, rows: pd.DataFrame) -> tuple[list[Document], list[int]]:
+    """The rows' documents after their edits, and their tokens before."""
+    docs, before = [], []
+    for row in rows.itertuples(index=False):
+        doc = Document(row.text, row.leaves, *(np.array(x, np.int64) for x in (row.chars, row.tokens, row.pieces)))
+        before.append(int(doc.tokens[1]))
+        for e in row.edits if row.edits is not None else ():
+            if e is not None and e["start"] is not None and e["end"] is not None:
+                doc.edit(e["start"], e["end"], e["text"] or "", count)
+        docs.append(doc)
+    return docs, before
 
-    A null list or edit changes nothing; a null replacement is empty; places beyond the text are cut to it.
-    ``n_encoded`` counts the pre-tokens that were encoded anew.
-    """
+
+_COUNTS = "n_before long, n_after long, n_pieces long, n_encoded long"
+
+
+def _apply(state: DataFrame, tokenizer: str | None, whole: bool) -> DataFrame:
     path = tokenizer or tokenizer_path(TOKENIZER)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = counter(path)
         for b in batches:
-            docs, before = [], []
-            for row in b.itertuples(index=False):
-                doc = Document(row.text, row.leaves, *(np.array(x, np.int64) for x in (row.chars, row.tokens, row.pieces)))
-                before.append(int(doc.tokens[1]))
-                for e in row.edits if row.edits is not None else ():
-                    if e is not None and e["start"] is not None and e["end"] is not None:
-                        doc.edit(e["start"], e["end"], e["text"] or "", count)
-                docs.append(doc)
-            yield _frame(b["doc_id"], docs).assign(n_before=before, n_encoded=[d.encoded for d in docs])
+            for at in slices([len(t) for t in b["text"]], HELD):
+                own = b.iloc[at]
+                docs, before = _edited(count, own)
+                out = _frame(own["doc_id"], docs) if whole else pd.DataFrame({"doc_id": own["doc_id"].to_numpy()})
+                yield out.assign(n_before=before, n_after=[int(d.tokens[1]) for d in docs], n_pieces=[int(d.pieces[1]) for d in docs], n_encoded=[d.encoded for d in docs])
 
     own = state.select("doc_id", "text", "leaves", "chars", "tokens", "pieces", "edits")
-    return own.mapInPandas(run, f"doc_id {state.schema['doc_id'].dataType.simpleString()}, {_STATE}, n_before long, n_encoded long")
+    return own.mapInPandas(run, f"doc_id {state.schema['doc_id'].dataType.simpleString()}, " + (f"{_STATE}, " if whole else "") + _COUNTS)
+
+
+def apply(state: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """State after the edits in the column ``edits`` (EDITS), taken one after another, with n_before, n_after, n_pieces and n_encoded.
+
+    A null list or edit changes nothing; a null replacement is empty; places beyond the text are cut to it.
+    ``n_encoded`` counts the pre-tokens that were encoded anew.
+    """
+    return _apply(state, tokenizer, whole=True)
+
+
+def counts_after(state: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """The counts of ``apply`` alone: (doc_id, n_before, n_after, n_pieces, n_encoded)."""
+    return _apply(state, tokenizer, whole=False)
 
 
 def sample_edits(docs: DataFrame) -> DataFrame:
@@ -175,22 +200,5 @@ def sample_edits(docs: DataFrame) -> DataFrame:
 
 
 def op5(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_before, n_after, n_pieces, n_encoded) of every document under ``sample_edits``."""
-    listed = sample_edits(docs.select("doc_id", "text", "source"))
-    path = tokenizer_path(TOKENIZER)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = counter(path)
-        for b in batches:
-            rows = []
-            for text, edits in zip(b["text"], b["edits"]):
-                doc = Document.of(text or "", count)
-                before = int(doc.tokens[1])
-                for e in edits:
-                    doc.edit(e["start"], e["end"], e["text"] or "", count)
-                rows.append((before, int(doc.tokens[1]), int(doc.pieces[1]), doc.encoded))
-            out = pd.DataFrame(rows, columns=["n_before", "n_after", "n_pieces", "n_encoded"])
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            yield out
-
-    return listed.select("doc_id", "text", "edits").mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_before long, n_after long, n_pieces long, n_encoded long")
+    """(doc_id, n_before, n_after, n_pieces, n_encoded) of every document: its trees are built and written, then read again and edited by ``sample_edits``."""
+    return counts_after(sample_edits(written(build(docs, keep=["source"]))))

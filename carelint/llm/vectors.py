@@ -34,7 +34,14 @@ def dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def by_key(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """The groups of a partition by key; the partition must hold whole groups."""
-    got = list(batches)
-    if got:
-        yield from pd.concat(got, ignore_index=True).groupby(keys, sort=False)
+    """The groups of a partition that holds whole groups and is sorted by key; only one group is held at a time."""
+    held, at = [], None
+    for b in batches:
+        for key, g in b.groupby(keys, sort=False):
+            if held and key != at:
+                yield at, pd.concat(held, ignore_index=True)
+                held = []
+            at = key
+            held.append(g)
+    if held:
+        yield at, pd.concat(held, ignore_index=True)

@@ -100,24 +100,24 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = K, factor: float =
 
     q, x = clean(queries), clean(vectors)
     shards, blocks = max(1, -(-x.count() // shard_rows)), max(1, -(-q.count() // query_rows))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     own = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    points = x.select("vec_id", "embedding", F.size("embedding").alias("dim"), own(shards).alias("shard"), every(blocks).alias("block"), F.lit(False).alias("query"))
-    asked = q.select("vec_id", "embedding", F.size("embedding").alias("dim"), own(blocks).alias("block"), every(shards).alias("shard"), F.lit(True).alias("query"))
+    points = x.select("vec_id", "embedding", F.size("embedding").alias("dim"), own(shards).alias("shard"), F.lit(-1).alias("block"))
+    asked = q.select("vec_id", "embedding", F.size("embedding").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), own(blocks).alias("block"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, g in by_key(batches, ["shard", "block", "dim"]):
-            mine, other = g[g["query"]], g[~g["query"]]
-            if not len(mine) or not len(other):
-                continue
-            tree = Tree(other["vec_id"].to_numpy(), matrix(other["embedding"]))
-            ids = mine["vec_id"].to_numpy()
-            who, score = tree.search(ids, matrix(mine["embedding"]), k, factor)
-            out = pd.DataFrame({"query_id": np.repeat(ids, k), "vec_id": who.ravel(), "score": score.ravel()})
-            yield out[np.isfinite(out["score"])]
-
-    met = points.select("shard", "block", "dim", "query", "vec_id", "embedding").union(asked.select("shard", "block", "dim", "query", "vec_id", "embedding"))
-    found = met.repartition("shard", "block", "dim").mapInPandas(run, "query_id long, vec_id long, score double")
+        tree, home = None, None
+        for (shard, dim, block), g in by_key(batches, ["shard", "dim", "block"]):
+            if block < 0:  # a shard's vectors come before the queries
+                tree, home = Tree(g["vec_id"].to_numpy(), matrix(g["embedding"])), (shard, dim)
+            elif home == (shard, dim):
+                ids = g["vec_id"].to_numpy()
+                who, score = tree.search(ids, matrix(g["embedding"]), k, factor)
+                out = pd.DataFrame({"query_id": np.repeat(ids, k), "vec_id": who.ravel(), "score": score.ravel()})
+                yield out[np.isfinite(out["score"])]
+
+    fields = ("shard", "dim", "block", "vec_id", "embedding")
+    met = points.select(*fields).union(asked.select(*fields)).repartition("shard", "dim").sortWithinPartitions("shard", "dim", "block")
+    found = met.mapInPandas(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -169,6 +169,20 @@ def test_counts_follow_edits(spark):
     assert got[1].text.startswith("the dog the cat") and got[1].n_encoded < 100 and got[2].text == "dog"
 
 
+def test_counts_of_the_query_equal_full_encoding(docs, odd):
+    """Kept trees after their edits against encoding the edited texts from scratch."""
+    own = bpe.encoder(PATH)
+    for table in (docs, odd):
+        want = Counter()
+        for r in edits.sample_edits(table).select("doc_id", "text", "edits").collect():
+            before = now = r.text or ""
+            for e in r.edits:
+                a = max(0, min(e.start, len(now)))
+                now = now[:a] + e.text + now[max(a, min(e.end, len(now))) :]
+            want[r.doc_id, len(own.packed(before)) // 4, len(own.packed(now)) // 4, len(own.split(now))] += 1
+        assert Counter((r.doc_id, r.n_before, r.n_after, r.n_pieces) for r in edits.op5(table).collect()) == want
+
+
 def test_lm_base_and_model(docs):
     rows = [(r.doc_id, (r.text or "").encode().lower().split() + [b""]) for r in docs.collect()]
     count = Counter(w for d, ws in rows if zlib.crc32(str(d).encode()) % 5 != 1 for w in ws)

@@ -93,3 +93,38 @@ def test_empty_tables(spark):
     assert caps.op2(none).count() == 0 and vptree.op6(none).count() == 0
     few = table(spark, [(0, [1.0, 0.0], 1), (50, [0.0, 1.0], 1)])
     assert [tuple(r)[:3] for r in vptree.op6(few).orderBy("query_id").collect()] == [(0, 1, 50), (50, 1, 0)]
+
+
+@pytest.mark.parametrize("dim", range(1, 9))
+def test_short_vectors_pass_few_directions_and_lose_no_link(spark, dim):
+    rnd = np.random.default_rng(dim)
+    centres = rnd.standard_normal((30, dim))
+    rows = [(i, (centres[i % 30] * rnd.uniform(0.5, 2) + rnd.standard_normal(dim) * rnd.choice([0, 0.02, 0.1])).tolist(), i % 2) for i in range(240)]
+    x = np.array([v for _, v, _ in rows])
+    row, _ = caps.passed(x / np.linalg.norm(x, axis=1, keepdims=True))
+    assert 1 <= np.bincount(row, minlength=len(x)).min() and np.bincount(row).max() <= 400
+    links, least = truth(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in caps.near_vectors(table(spark, rows)).collect()}
+    assert got == {i: (len(links[i]), least[i]) for i in links}
+
+
+@pytest.mark.parametrize("dim", [5, 8, 9, 12, 15, 16, 21, 24, 48, 64])
+def test_near_pairs_share_a_direction(dim):
+    rnd = np.random.default_rng(dim)
+    x, z = rnd.standard_normal((2, 2000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.98 * x + np.sqrt(1 - 0.98**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    a, b = (set(zip(*map(np.ndarray.tolist, caps.passed(v)))) for v in (x, y))
+    assert len({i for i, _ in a & b}) >= 1995
+
+
+def test_rows_that_repeat_an_id(spark):
+    """One node with the links of all its vectors; for searches the greatest vector stands for the id."""
+    e = lambda *x: [float(v) for v in x]
+    rows = [(1, e(1, 0, 0, 0), 7), (1, e(0, 1, 0, 0), 7), (2, e(1, 0.01, 0, 0), 7), (3, e(0.01, 1, 0, 0), 7), (4, e(0, 0, 1, 0), 7), (4, e(0, 0, 1, 0), 7)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in caps.near_vectors(table(spark, rows)).collect())
+    assert got == [(1, 2, 1), (1, 2, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (4, 1, 4)]
+    df = table(spark, rows)
+    found = vptree.nearest(df.where("vec_id = 1"), df).orderBy("rank").collect()
+    assert [r.vec_id for r in found] == [2, 3, 4] and found[0].score > 0.9999
