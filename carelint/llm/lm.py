@@ -11,8 +11,8 @@ the class count as one.  So the model is a proper distribution over all tokens.
 
 Counts come from all training tokens.  Weights are learned by local gradient steps: in each round
 every task starts from the same weights, takes steps on its own documents and sends the sum of its
-changes row by row; Spark averages the changes of a row over the tasks that touched it.  A round
-takes every STRIDE-th token of each document as an example, each round other ones.
+changes row by row; Spark averages the changes of a row over the tasks that touched it.  Every token
+of every training document is an example once: a document, whole, belongs to one round by a hash.
 
 Frequent words travel to the tasks as a table of at most FREQUENT rows.  All other words of a document meet their
 counts in a join.
@@ -35,8 +35,8 @@ from carelint.llm.common import slices, written
 FREQUENT, HEAD, MEMBERS, FORMS = 80_000, 512, 64, 56
 CLASSES = FORMS + HEAD // MEMBERS
 ROWS, HEAD_ROWS, FEATURES = 1 << 13, 1 << 10, 4
-ROUNDS, STRIDE, BATCH, RATE = 3, 16, 2048, 0.3
-CHUNK = 8192
+ROUNDS, BATCH, RATE = 3, 2048, 0.3
+CHUNK = 4096
 #: Bytes of text whose tokens are held at once.
 HELD = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -154,19 +154,20 @@ def features(starts: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple[np.ndar
         x = (x + np.uint64(i + 1)) * np.uint64(0xD6E8FEB86659FD93)
         out.append(x ^ (x >> np.uint64(32)))
     out = np.stack(out, axis=1)
-    return (out % np.uint64(ROWS)).astype(np.int64), ((out >> np.uint64(20)) % np.uint64(HEAD_ROWS)).astype(np.int64)
+    return (out & np.uint64(ROWS - 1)).astype(np.int64), ((out >> np.uint64(20)) & np.uint64(HEAD_ROWS - 1)).astype(np.int64)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    np.exp(x - x.max(axis=1, keepdims=True), out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= (1 / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
     return x
 
 
 def logits(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = table[rows[:, 0]].copy()
+    out = table.take(rows[:, 0], axis=0)
     for i in range(1, rows.shape[1]):
-        out += table[rows[:, i]]
+        out += table.take(rows[:, i], axis=0)
     return out
 
 
@@ -183,12 +184,30 @@ def prior(model: Model) -> tuple[np.ndarray, np.ndarray]:
     return np.log(mass / mass.sum()).astype(np.float32), np.log(parts / parts.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def add_rows(table: np.ndarray, rows: np.ndarray, change: np.ndarray) -> None:
-    """Adds ``change`` of each example to all of its rows."""
-    flat = rows.ravel()
-    o = np.argsort(flat, kind="stable")
-    at = np.flatnonzero(np.concatenate([[True], flat[o][1:] != flat[o][:-1]]))
-    table[flat[o][at]] += np.add.reduceat(change[o // rows.shape[1]], at, axis=0)
+def row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and for each the sum of the values of its examples, once for every feature that has it."""
+    flat = rows.ravel().astype(np.uint16)
+    order = np.argsort(flat, kind="stable")
+    own, example = flat[order], order // rows.shape[1]
+    at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    n = np.diff(np.append(at, len(own)))
+    sums = values.take(example[at], axis=0)
+    # Most rows have few examples: one more of each at a time; what is left are a few rows with many.
+    k, live = 1, np.flatnonzero(n > 1)
+    while len(live) > 32:
+        sums[live] += values.take(example[at[live] + k], axis=0)
+        k += 1
+        live = live[n[live] > k]
+    for i in live.tolist():
+        sums[i] += values.take(example[at[i] + k : at[i] + n[i]], axis=0).sum(axis=0)
+    return own[at].astype(np.int64), sums
+
+
+def inner_rows(head_rows: np.ndarray, kind: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Which tokens are of the head; their rows in the table of ``MEMBERS`` columns (a row of the head weights holds one for each class), members and classes."""
+    own = np.flatnonzero(kind >= FORMS)
+    c = kind[own] - FORMS
+    return own, head_rows[own] * (HEAD // MEMBERS) + c[:, None], head[own] - c * MEMBERS, c
 
 
 class Learner:
@@ -204,52 +223,43 @@ class Learner:
         p = softmax(logits(self.weights, rows) + self.classes)
         p[np.arange(len(p)), kind] -= 1
         self._apply(self.weights, self.seen, rows, p)
-        for c in np.unique(kind[kind >= FORMS]) - FORMS:
-            own = np.flatnonzero(kind == FORMS + c)
-            part = self.inner[:, c * MEMBERS : (c + 1) * MEMBERS]
-            q = softmax(logits(part, head_rows[own]) + self.members[c])
-            q[np.arange(len(own)), head[own] - c * MEMBERS] -= 1
-            self._apply(part, self.inner_seen[:, c], head_rows[own], q)
+        own, place, member, c = inner_rows(head_rows, kind, head)
+        if len(own):
+            q = softmax(logits(self.inner.reshape(-1, MEMBERS), place) + self.members[c])
+            q[np.arange(len(q)), member] -= 1
+            self._apply(self.inner.reshape(-1, MEMBERS), self.inner_seen.reshape(-1), place, q)
 
     @staticmethod
     def _apply(table, seen, rows, gradient) -> None:
-        np.add.at(seen, rows.ravel(), np.repeat((gradient**2).sum(axis=1), rows.shape[1]))
-        change = np.zeros_like(table)
-        add_rows(change, rows, gradient)
-        used = np.unique(rows)
-        table[used] -= RATE * change[used] / np.sqrt(seen[used])[:, None]
+        seen += np.bincount(rows.ravel(), np.repeat(np.einsum("ij,ij->i", gradient, gradient), rows.shape[1]), len(seen)).astype(np.float32)
+        used, change = row_sums(rows, gradient)
+        table[used] -= change * (RATE / np.sqrt(seen[used]))[:, None]
 
-    def learn(self, texts: list[bytes], offset: np.ndarray) -> None:
+    def learn(self, texts: list[bytes]) -> int:
+        """Steps on every token of the texts; how many there were."""
         starts, flat = self.reader.flat(texts)
-        sizes = np.diff(starts)
-        place = np.arange(len(flat)) - np.repeat(starts[:-1], sizes)
-        at = np.flatnonzero((place + np.repeat(offset, sizes)) % STRIDE == 0)
-        need = np.unique(np.maximum(at[:, None] - np.arange(4), 0))  # the examples and the words before them
-        codes, words = self.reader.distinct([flat[i] for i in need.tolist()])
+        codes, words = self.reader.distinct(flat)
         _, kind, head, h = self.reader.known(words)
-        hashes = np.zeros(len(flat), np.uint64)
-        hashes[need] = h[codes]
-        rows, head_rows = features(starts, hashes, at)
-        own = codes[np.searchsorted(need, at)]
-        kind, head = kind[own], head[own]
-        for i in range(0, len(at), BATCH):
-            s = slice(i, i + BATCH)
-            self.step(rows[s], head_rows[s], kind[s], head[s])
+        hashes = h[codes]
+        for i in range(0, len(codes), BATCH):
+            at = np.arange(i, min(i + BATCH, len(codes)))
+            self.step(*features(starts, hashes, at), kind[codes[at]], head[codes[at]])
+        return len(codes)
 
 
 def trained(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
-    """The model with weights learned from (doc_id, text) rows."""
+    """The model with weights learned from (doc_id, text) rows, all tokens of each in one of the rounds."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.pmod(F.xxhash64(F.lit(23), F.col("doc_id").cast("string")), F.lit(STRIDE)).cast("int").alias("h"))
+    turn = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id").cast("string")), F.lit(rounds))
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
-        def learn(batches: Iterator[pd.DataFrame], sent=sent, r=r) -> Iterator[pd.DataFrame]:
+        def learn(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             start = sent.value
             learner = Learner(start)
             for b in batches:
                 for s in slices(b["text"].map(len).tolist(), HELD):
-                    learner.learn(b["text"].iloc[s].tolist(), b["h"].iloc[s].to_numpy() + r * (STRIDE // rounds))
+                    learner.learn(b["text"].iloc[s].tolist())
             for part, (new, old) in enumerate(((learner.weights, start.weights), (learner.inner, start.inner))):
                 change = new - old
                 own = np.flatnonzero(change.any(axis=1))
@@ -265,6 +275,7 @@ def trained(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
             yield pd.DataFrame({"part": [k[0] for k in sums], "row": [k[1] for k in sums], "change": [(x / n).tobytes() for x, n in sums.values()]})
 
         kind = "part int, row int, change binary"
+        rows = docs.where(turn == r).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
         got = rows.mapInPandas(learn, kind).repartition("part", "row").mapInPandas(mean, kind).toPandas()
         weights, inner = model.weights.copy(), model.inner.copy()
         for part, row, x in zip(got["part"], got["row"], got["change"]):
@@ -299,10 +310,9 @@ class Scorer:
             rows, head_rows = features(starts, hashes, at)
             k, hd = kind[codes[at]], head[codes[at]]
             model[at] += log10_softmax(logits(self.m.weights, rows) + self.classes, k)
-            for c in np.unique(k[k >= FORMS]) - FORMS:
-                own = np.flatnonzero(k == FORMS + c)
-                part = self.m.inner[:, c * MEMBERS : (c + 1) * MEMBERS]
-                model[at[own]] += log10_softmax(logits(part, head_rows[own]) + self.members[c], hd[own] - c * MEMBERS)
+            own, place_in, member, c = inner_rows(head_rows, k, hd)
+            if len(own):
+                model[at[own]] += log10_softmax(logits(self.m.inner.reshape(-1, MEMBERS), place_in) + self.members[c], member)
         total = lambda x: np.bincount(doc, weights=x, minlength=len(texts))
         is_rare = rare[codes]
         lists = np.split(np.array(words, object)[codes[is_rare]], np.cumsum(np.bincount(doc[is_rare], minlength=len(texts)))[:-1]) if len(texts) else []
@@ -312,7 +322,8 @@ class Scorer:
 def log10_softmax(x: np.ndarray, which: np.ndarray) -> np.ndarray:
     top = x.max(axis=1)
     own = x[np.arange(len(x)), which] - top
-    np.exp(x - top[:, None], out=x)
+    x -= top[:, None]
+    np.exp(x, out=x)
     return (own.astype(np.float64) - np.log(x.sum(axis=1, dtype=np.float64))) / np.log(10)
 
 

@@ -219,6 +219,16 @@ def test_lm_is_a_distribution(spark):
     assert np.allclose(mass, 1, atol=1e-5) and abs(p.sum() - 1) < 1e-5
 
 
+def test_lm_learns_from_every_token(spark):
+    words = [f"w{i}".encode() for i in range(50)]
+    train = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(10 * i, 10 * i + 10))) for i in range(5)], "doc_id long, text string")
+    model = lm.trained(train, lm.counted(lm.word_counts(train)))
+    flat = [w for i in range(0, 50, 10) for w in (*words[i : i + 10], lm.END)]
+    _, _, _, h = lm.Reader(model).known([lm.END, *flat])
+    rows, _ = lm.features(np.arange(0, 56, 11), h[1:], np.arange(55))
+    assert (model.weights[rows] != 0).any(axis=2).all()
+
+
 def test_mix_keeps_to_windows_and_weights(docs):
     got = mixing.mix(docs, {"src0": 0.5, "src1": 0.3, "src2": 0.2, "gone": 0}, block_rows=2, bucket_rows=20).toPandas()
     own = got[got["slot"].notna()]
