@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelint.llm.common import with_component, written
+from carelint.llm.common import components, give_back, with_component, written
 
 BLOCKS, DISTANCE, BUCKET, SHINGLE, SEED = 4, 2, 512, 3, 42
 CHUNK = 1 << 16
@@ -151,6 +151,7 @@ def sketches(docs: DataFrame, shingle: int = STAGE_SHINGLE) -> DataFrame:
             texts = [bytes(t) if t is not None else b"" for t in b["text"]]
             words = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
             yield pd.DataFrame({"doc_id": b["doc_id"], "words": words, "fp": [wide_fingerprint(word_set(t, shingle)) for t in texts]})
+        give_back()
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     return rows.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words binary, fp array<long>")
@@ -169,12 +170,24 @@ def bands(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> lis
     return [rnd.sample(range(64 * WORDS), width) for _ in range(ceil(log(1 - recall) / log(1 - same)))]
 
 
-def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """(a, b), a < b: nodes that share a block with it and differ in few enough bits of the fingerprint.
+def _most(bits: int, similarity: float) -> int:
+    """Bits of so many that two texts of the similarity differ in at most, by four standard deviations."""
+    p = acos(2 * similarity / (1 + similarity)) / pi
+    return floor(bits * p + 4 * sqrt(bits * p * (1 - p)))
+
+
+def _near(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) that differ in few enough bits of the whole fingerprint."""
+    one, two = nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("y"))
+    differ = sum(F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(WORDS))
+    return pairs.join(one, "a").join(two, "b").where(differ <= _most(64 * WORDS, similarity)).select("a", "b")
+
+
+def meetings(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """(key, node, x, met, crowded), written: who meets whom in each block's buckets.
 
-    In each block's bucket, in the order of nodes, members meet the first one and the one before them, the
-    fourth also the second: all pairs of up to four.  A larger bucket is a group of near copies; its members meet again in the other
-    blocks, so pairs grow with the members and not with their square, and a bucket is streamed, never held.
+    In the order of nodes, members meet the first one and the one before them: all pairs of up to three.  Members of a
+    larger bucket are ``crowded`` and have a row each, for ``strangers``.  A bucket is streamed, never held.
     """
     cut = bands(nodes.count(), similarity, recall)
     salts = np.array([Random(j).getrandbits(64) for j in range(len(cut))], np.uint64)
@@ -188,34 +201,45 @@ def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float =
                 keys = [(k + s) * np.uint64(0x9E3779B97F4A7C15) for k, s in zip(keys, salts)]
                 yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "node": np.tile(part["node"].to_numpy(), len(cut)), "x": np.tile(part["fp"].str[0].to_numpy(np.int64), len(cut))})
 
-    p = acos(2 * similarity / (1 + similarity)) / pi
-    most = lambda bits: floor(bits * p + 4 * sqrt(bits * p * (1 - p)))
     order = Window.partitionBy("key").orderBy("node")
-    me = F.struct("node", "x")
+    me, place = F.struct("node", "x"), F.row_number().over(order)
+    crowded = (place > 3) | F.coalesce(*[F.when(place == k, F.lead("node", 4 - k).over(order)) for k in (1, 2, 3)]).isNotNull()
+    near = lambda a: (a["node"] < F.col("node")) & (F.bit_count(a["x"].bitwiseXOR(F.col("x"))) <= _most(64, similarity))
     rows = nodes.select("node", "fp").mapInPandas(listed, "key long, node long, x long")
-    met = rows.select(me.alias("b"), F.array(F.first(me).over(order), F.lag(me, 1).over(order), F.when(F.row_number().over(order) == 4, F.lag(me, 2).over(order))).alias("met"))
-    near = F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) <= most(64)
-    pairs = met.select("b", F.explode("met").alias("a")).where(F.col("a.node") < F.col("b.node")).where(near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    one, two = nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("y"))
-    differ = sum(F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(WORDS))
-    return pairs.join(one, "a").join(two, "b").where(differ <= most(64 * WORDS)).select("a", "b")
+    rows = rows.select("key", "node", "x", F.array(F.first(me).over(order), F.lag(me, 1).over(order)).alias("some"), crowded.alias("crowded"))
+    rows = rows.select("key", "node", "x", F.transform(F.filter("some", near), lambda a: a["node"]).alias("met"), "crowded")
+    return written(rows.where("crowded or size(met) > 0"))
+
+
+def strangers(met: DataFrame, links: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b), a < b: all pairs in crowded buckets that aren't connected by ``links`` yet, but for bits that rule them out.
+
+    Members that are connected need no comparison.  So a bucket of near copies, which are one component after
+    their first meetings, gives no pair; only one whose members aren't similar is compared throughout.
+    """
+    known = components(links)
+    crowd = met.where("crowded").select("key", "node", "x")
+    crowd = crowd.join(known.select(F.col("id").alias("node"), "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = crowd.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    crowd = written(crowd.join(mixed, "key"))
+    one, two = (crowd.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "x", "component")]) for side in "ab")
+    apart = (F.col("component_a") < F.col("component_b")) & (F.bit_count(F.col("x_a").bitwiseXOR(F.col("x_b"))) <= _most(64, similarity))
+    return one.join(two, "key").where(apart).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, shingle: int = STAGE_SHINGLE) -> DataFrame:
     """(doc_id, component_id, kept): classes of whole texts linked by a Jaccard similarity of word shingles of ``similarity`` or more.
 
     Texts of the same lower-cased words are one node, those without words too.  Nodes that share a block of
-    their fingerprint's bits are verified by Hamming distance, then exactly, by their sets of shingles.  No
-    pair below the similarity is linked.  A pair just at it is missed with a probability of 1 - ``recall``,
+    their fingerprint's bits are verified by Hamming distance, then exactly, by their sets of shingles; in a
+    crowded bucket first some of them, then all that these links leave apart.  No pair below the similarity is linked.  A pair just at it is missed with a probability of 1 - ``recall``,
     closer ones far more rarely.  Rows without a doc_id are left out; rows that repeat a doc_id get one each.
     """
     ident = docs.schema["doc_id"].dataType.simpleString()
     known = docs.where("doc_id is not null")
     rows = written(sketches(known, shingle))
     nodes = written(rows.groupBy("words").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()))
-    pairs = written(candidates(nodes, similarity, recall))
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    asked = written(nodes.join(asked, "node").select("node", "least", F.col("words").alias("own")))
+    texts = known.select(F.col("doc_id").alias("least"), F.col("text").cast("binary").alias("text"))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -224,12 +248,21 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float
                 if xxhash.xxh3_128_digest(b" ".join(text.lower().split())) == bytes(own):
                     yield pd.DataFrame({"node": [node], "shingles": [word_set(text, shingle).view("<i8")]})
 
-    texts = known.select(F.col("doc_id").alias("least"), F.col("text").cast("binary").alias("text")).join(asked, "least").select("node", "own", "text")
-    held = written(texts.mapInPandas(sets, "node long, shingles array<long>")).dropDuplicates(["node"])
-    one, two = held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    sized = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
-    groups = with_component(nodes.select("words", "least", "node"), sized.where(F.col("both") >= similarity * (F.col("all") - F.col("both"))).select("a", "b"), "node")
+    def verified(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        asked = written(nodes.join(asked, "node").select("node", "least", F.col("words").alias("own")))
+        held = written(texts.join(asked, "least").select("node", "own", "text").mapInPandas(sets, "node long, shingles array<long>")).dropDuplicates(["node"])
+        one, two = held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        sized = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
+        return written(sized.where(F.col("both") >= similarity * (F.col("all") - F.col("both"))).select("a", "b"))
+
+    met = meetings(nodes, similarity, recall)
+    edges = verified(written(_near(met.select(F.explode("met").alias("a"), F.col("node").alias("b")).distinct(), nodes, similarity)))
+    late = written(_near(strangers(met, edges, similarity), nodes, similarity))
+    if not late.isEmpty():
+        edges = edges.union(verified(late))
+    groups = with_component(nodes.select("words", "least", "node"), edges, "node")
     first = groups.groupBy("component_id").agg(F.min("least").alias("first"))
     classes = groups.join(first, "component_id").select("words", "first")
     out = rows.join(classes, "words").select("doc_id", F.col("first").alias("component_id"), (F.col("doc_id") == F.col("first")).alias("kept"))

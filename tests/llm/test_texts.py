@@ -429,6 +429,24 @@ def test_near_texts_of_a_crowd_and_of_repeated_ids(spark):
     assert kept == [0, 5000, 5001, 5001, 6000, None]
 
 
+def test_near_texts_of_a_crowd_meet_all_of_it(spark):
+    # One block, so that all meet in one bucket: pairs of near copies, which stand far apart in it.
+    rnd = random.Random(7)
+    rows, common = [], [f"c{i}" for i in range(60)]
+    for k in range(30):
+        text = common + [f"w{k}x{i}" for i in range(40)]
+        rows += [(k, " ".join(text)), (1000 - k, " ".join([*text[:-1], "end"]))]
+    rnd.shuffle(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    kept = simhash.bands
+    try:
+        simhash.bands = lambda n, *_: [[]]
+        got = {r.doc_id: r.component_id for r in simhash.similar_texts(table).collect()}
+    finally:
+        simhash.bands = kept
+    assert got == {d: min(d, 1000 - d) for d, _ in rows}
+
+
 def test_pipeline_drops_copies_and_keeps_the_rest(spark, docs):
     kept = corpus_pipeline.near_duplicates(spark, corpus_pipeline.language(spark, docs, ""), "")
     assert kept.select("text").distinct().count() == kept.count() > 0.85 * docs.count()
