@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelint.llm.common import PIECES, slices, tokenizer_path, written
+from carelint.llm.common import PIECES, give_back, slices, tokenizer_path, written
 
 UNKNOWN = "und"
 #: Bounds of the fit: about so many labelled documents of a language (chosen by a hash of doc_id), passes, and the pseudo-count of a piece.
@@ -31,6 +31,8 @@ TRAIN_DOCS, ROUNDS, SMOOTH = 3000, 3, 0.05
 #: Words are cut into runs of so many characters (words that long are no words), and passed in blocks; texts
 #: are split a few million characters at a time.
 LONGEST, BLOCK, MEMO_SIZE, HELD = 48, 1 << 13, 300_000, 1 << 20
+#: Rows of a batch that are turned into Python strings at once.
+ROWS = 1000
 MARK = "▁"
 LETTER = regex.compile(r"\p{L}").search
 
@@ -328,8 +330,14 @@ def reject(docs: DataFrame, least: float = 0.5) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            pred, score = _scorer(sent).decide(b.column("text").to_pylist())
-            yield b.filter(pa.array((pred != UNKNOWN) & (score >= least)))
+        try:
+            for b in batches:
+                for at in range(0, b.num_rows, ROWS):
+                    part = b.slice(at, ROWS)
+                    pred, score = _scorer(sent).decide(part.column("text").to_pylist())
+                    yield part.filter(pa.array((pred != UNKNOWN) & (score >= least)))
+        finally:  # what is remembered of words is of no use to the stages that follow
+            _scorers.clear()
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -33,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelint.llm.common import written
+from carelint.llm.common import give_back, written
 
 LENGTH, SEED = 100, 32
 #: Bytes hashed at once; bytes whose anchors a task sorts together; contexts of a seed in a task from which it is divided.
 GROUP, BLOCK, MANY = 1 << 19, 48 << 20, 32
+#: Rows of a batch that are turned into Python strings at once.
+ROWS = 1000
 
 _rnd = np.random.default_rng(41)
 _BYTE = _rnd.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -214,7 +216,7 @@ def _seeds(length: int, seed: int):
             schema = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("seed", pa.int64()), ("context", pa.int64()), ("doc", pa.int64()), *([("tie", pa.int64())] if tied else []), *((c, pa.int32()) for c in "pabrl")])
             return pa.RecordBatch.from_pandas(block, schema=schema, preserve_index=False)
 
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             ids, texts = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
             tied = "tie" in batch.schema.names
             tie = batch.column("tie").to_numpy(zero_copy_only=False) if tied else np.zeros(len(ids), np.int64)
@@ -228,6 +230,7 @@ def _seeds(length: int, seed: int):
                     size = 0
         if held:
             yield flush()
+        give_back()
 
     return run
 
