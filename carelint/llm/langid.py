@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -53,7 +54,7 @@ class Vocabulary:
                 self.byte[int(text[i][1:-1], 16)] = i
         self.longest = min(16, max(len(text[i]) for i in plain))
         rnd = np.random.default_rng(7)
-        self.factor = np.uint64(rnd.integers(1 << 62) * 2 + 1)
+        self.factor = np.array(int(rnd.integers(1 << 62)) * 2 + 1, np.uint64)  # an array wraps around in silence
         self.by_length = {}
         for n in range(1, self.longest + 1):
             ids = np.array([i for i in plain if len(text[i]) == n], np.int64)
@@ -62,16 +63,20 @@ class Vocabulary:
             for j in range(n):
                 h = (h + codes[:, j] + np.uint64(1)) * self.factor
             order = np.argsort(h)
-            self.by_length[n] = h[order], ids[order]
+            leads = np.zeros(1 << 16, bool)  # first bits of the hashes, which rule most substrings out
+            leads[h >> np.uint64(48)] = True
+            self.by_length[n] = h[order], ids[order], leads
         self.plain = np.array(plain, np.int64)
 
     def lookup(self, h: np.ndarray, n: int) -> np.ndarray:
         """Ids of pieces of n characters by hash, -1 where there is none."""
-        keys, ids = self.by_length[n]
-        if not len(keys):
-            return np.full(h.shape, -1, np.int64)
-        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        return np.where(keys[at] == h, ids[at], -1)
+        keys, ids, leads = self.by_length[n]
+        out = np.full(h.shape, -1, np.int64)
+        own = np.flatnonzero(leads[h >> np.uint64(48)])
+        if len(own):
+            at = np.minimum(np.searchsorted(keys, h[own]), len(keys) - 1)
+            out[own] = np.where(keys[at] == h[own], ids[at], -1)
+        return out
 
     def lattice(self, words: list[str]) -> tuple[np.ndarray, list, np.ndarray]:
         """Lengths; for each (end, piece length) rows and ids of pieces that end there; byte spellings as (rows, ends, code points)."""
@@ -81,10 +86,10 @@ class Vocabulary:
         edges = []
         for end in range(1, codes.shape[1] + 1):
             rows = np.flatnonzero(size >= end)
+            h, power = np.zeros(len(rows), np.uint64), self.factor
             for n in range(1, min(end, self.longest) + 1):
-                h = np.zeros(len(rows), np.uint64)
-                for j in range(end - n, end):
-                    h = (h + codes[rows, j] + np.uint64(1)) * self.factor
+                h = h + (codes[rows, end - n] + np.uint64(1)) * power  # a character more on the left
+                power = power * self.factor
                 ids = self.lookup(h, n)
                 hit = ids >= 0
                 if hit.any():
@@ -147,8 +152,11 @@ def forward(v: Vocabulary, p: np.ndarray, size: np.ndarray, edges: list) -> tupl
 
 def word_scores(v: Vocabulary, logp: np.ndarray, words: list[str]) -> np.ndarray:
     """log P(word) in each language, summed over all segmentations."""
-    parts = [runs(w) for w in words]
-    flat = [r for x in parts for r in x]
+    flat = [MARK + w for w in words]
+    parts = None
+    if max(map(len, flat), default=0) > LONGEST:
+        parts = [runs(w) for w in words]
+        flat = [r for x in parts for r in x]
     out, p = np.zeros((len(flat), logp.shape[1])), np.exp(logp)
     order = np.argsort([len(r) for r in flat], kind="stable")
     for at in range(0, len(flat), BLOCK):
@@ -156,8 +164,9 @@ def word_scores(v: Vocabulary, logp: np.ndarray, words: list[str]) -> np.ndarray
         size, edges, _ = v.lattice([flat[i] for i in own])
         _, log = forward(v, p, size, edges)
         out[own] = log[size, np.arange(len(own))]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in parts])[:-1]])
-    return np.add.reduceat(out, first, axis=0) if len(flat) else out
+    if parts is None:
+        return out
+    return np.add.reduceat(out, np.concatenate([[0], np.cumsum([len(x) for x in parts])[:-1]]), axis=0)
 
 
 def expected(v: Vocabulary, p: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
@@ -254,18 +263,17 @@ class Scorer:
         """log P(text) in each language."""
         lists = [split_words(t) for t in texts]
         sizes = np.array([len(x) for x in lists], np.int64)
-        flat = pd.Series([w for x in lists for w in x], dtype=object)
-        codes, words = pd.factorize(flat)
-        words = list(words)
-        new = [w for w in words if w not in self.place]
-        scored = word_scores(self.v, self.logp, new) if new else np.zeros((0, len(self.model.langs)))
-        fresh = dict(zip(new, range(len(new))))
-        values = np.array([scored[fresh[w]] if w in fresh else self.table[self.place[w]] for w in words]).reshape(len(words), -1)
+        codes, words = pd.factorize(np.fromiter((w for x in lists for w in x), object, int(sizes.sum())))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        late = np.flatnonzero(at < 0)
+        new = list(words[late])
+        values = self.table[at]
+        values[late] = scored = word_scores(self.v, self.logp, new)
         if len(self.place) + len(new) > MEMO_SIZE:
             self.place = {}
-        for w, i in list(fresh.items())[: MEMO_SIZE - len(self.place)]:
-            self.table[len(self.place)] = scored[i]
-            self.place[w] = len(self.place)
+        have = len(self.place)
+        self.table[have : have + len(new)] = scored[: MEMO_SIZE - have]
+        self.place.update(zip(new[: MEMO_SIZE - have], range(have, MEMO_SIZE)))
         out = np.zeros((len(texts), len(self.model.langs)))
         doc = np.repeat(np.arange(len(texts)), sizes)
         for k in range(out.shape[1]):
