@@ -72,9 +72,10 @@ def _life_span(ctx: Context, limit: float) -> list[DataFrame]:
     """Service dates before birth and after (the earliest) death, for all tables together.
 
     Births and death come down to one row per patient, births as days with their counts, so
-    that repeated ones still multiply.  Fact rows keep their dates side by side and are shuffled
-    once, on the patient; they are counted per column right above the join, a shape adaptive
-    execution can split if one patient holds a third of all rows.
+    that repeated ones still multiply.  Fact rows are narrow, a patient and an array of plain dates,
+    and are shuffled once, on the patient.  They stream past a hash table of the patients' rows, so that
+    they are neither sorted nor spilled, and are counted per column right above the join, a shape
+    adaptive execution can split if one patient holds a third of all rows.
     """
     grid, parts = [], []
     for table, columns in model.SERVICE_DATE_COLUMNS.items():
@@ -85,9 +86,7 @@ def _life_span(ctx: Context, limit: float) -> list[DataFrame]:
         first = len(grid)
         grid += [(first + i, table, c) for i, c in enumerate(live)]
         parts.append(df.filter(F.col("PATID").isNotNull()).select(
-            E.text(F.col("PATID")).alias("pat"),
-            F.array(*[F.struct(F.lit(first + i).alias("k"), E.date_of(df, c).alias("day"))
-                      for i, c in enumerate(live)]).alias("dates")))
+            E.text(F.col("PATID")).alias("pat"), F.lit(first).alias("first"), F.array(*[E.date_of(df, c) for c in live]).alias("dates")))
     has_birth = ctx.has("DEMOGRAPHIC", "PATID", "BIRTH_DATE")
     has_death = ctx.has("DEATH", "PATID", "DEATH_DATE")
     if not grid or not (has_birth or has_death):
@@ -109,7 +108,9 @@ def _life_span(ctx: Context, limit: float) -> list[DataFrame]:
         counts += [F.sum("births_n").alias("birth_n"), F.sum(later).alias("birth_bad")]
     if has_death:
         counts += [F.count(F.when(F.col("died").isNotNull(), 1)).alias("death_n"), F.count(F.when(day > F.col("died"), 1)).alias("death_bad")]
-    met = R.union_all(parts).join(life, "pat").select("*", F.inline("dates")).filter(day.isNotNull())
+    met = (R.union_all(parts).join(life.hint("shuffle_hash"), "pat")
+           .select("first", "births_n", "births", "died", F.posexplode("dates").alias("at", "day"))
+           .filter(day.isNotNull()).withColumn("k", F.col("first") + F.col("at")))
     named = (R.literal_table(ctx.spark, ["k", "tbl", "fld"], grid, ["int", "string", "string"])
              .join(met.groupBy("k").agg(*counts), "k", "left").na.fill(0))
     metrics = []

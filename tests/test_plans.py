@@ -102,3 +102,16 @@ def test_dates_of_a_row_meet_the_patient_in_one_shuffle(spark, stored):
     assert "dates#" in text and "Window [" not in text
     # Births and deaths: by day, then by patient; the rows: once.
     assert text.count("Exchange hashpartitioning(pat#") == 3
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_dates_of_a_row_stream_past_the_patients(spark, stored, broadcast):
+    """The same plan at any size: rows are shuffled as plain dates, never sorted for the join."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        text = plan(CHECKS["2.03"](context(stored, "2.03", target="CONDITION")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "ShuffledHashJoin [pat#" in text and "SortMergeJoin [pat#" not in text and "BroadcastHashJoin [pat#" not in text
+    assert "Sort [pat#" not in text and "array(named_struct(" not in text
