@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def tokenizer_path(name: str) -> str:
@@ -56,9 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Write to a new folder of the shared folder and read again: lineage ends there."""
+    """Write to a new folder of the shared folder and read again: lineage ends there.
+
+    So nothing reads the shuffles of this write any more; Spark is asked to delete their files as it ends,
+    not whenever the driver collects garbage.
+    """
+    conf = df.sparkSession.conf
     where = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(where)
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(where)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 

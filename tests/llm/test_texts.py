@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 from math import log10
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from carelint.llm import bpe, edits, langid, lm, mixing, sharding, simhash, suffixes
-from carelint.llm.common import TOKENIZER, components, tokenizer_path
+from carelint.llm.common import CLEANUP, TOKENIZER, components, tokenizer_path, written
 
 PATH = tokenizer_path(TOKENIZER)
 OPERATORS = {"op1": langid.op1, "op3": bpe.op3, "op4": suffixes.op4, "op5": edits.op5, "op7": lm.op7, "op8": mixing.op8, "op9": simhash.op9, "op10": sharding.op10}
@@ -452,3 +453,16 @@ def test_pipeline_drops_copies_and_keeps_the_rest(spark, docs):
     assert kept.select("text").distinct().count() == kept.count() > 0.85 * docs.count()
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert out and all(r.round_trip for r in out) and len({r.doc_id for r in out}) == len(out)
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    def files():
+        return {str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split(" ") if "shuffle_" in f}
+
+    before = files()
+    step = written(spark.range(5000).repartition(7, "id").groupBy("id").count())
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert step.count() == 5000 and spark.conf.get(CLEANUP, None) is None
