@@ -32,8 +32,8 @@ from carelint.llm.common import components, give_back, with_component, written
 
 BLOCKS, DISTANCE, BUCKET, SHINGLE, SEED = 4, 2, 512, 3, 42
 CHUNK = 1 << 16
-#: The stage on similarity of texts: words of a shingle, least similarity, share of pairs just at it that is found, 64-bit words of a fingerprint; rows listed together.
-STAGE_SHINGLE, SIMILARITY, RECALL, WORDS, LISTED = 5, 0.8, 0.99, 4, 1024
+#: The stage on similarity of texts: words of a shingle, least similarity, share of pairs just at it that is found, 64-bit words of a fingerprint; rows listed together; members of a bucket of which all pairs are compared.
+STAGE_SHINGLE, SIMILARITY, RECALL, WORDS, LISTED, CROWD = 5, 0.8, 0.99, 4, 1024, 8
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -211,20 +211,45 @@ def meetings(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = R
     return written(rows.where("crowded or size(met) > 0"))
 
 
-def strangers(met: DataFrame, links: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b), a < b: all pairs in crowded buckets that aren't connected by ``links`` yet, but for bits that rule them out.
+def strangers(met: DataFrame, links: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+    """What crowded buckets leave to compare: (a, b), a < b, and (node, component), for ``rare_meetings``.
 
-    Members that are connected need no comparison.  So a bucket of near copies, which are one component after
-    their first meetings, gives no pair; only one whose members aren't similar is compared throughout.
+    Members that ``links`` connect need no comparison: a bucket of near copies, which are one component after their
+    first meetings, has none.  Of a bucket of up to ``crowd`` members all pairs that aren't connected yet are returned but for
+    bits that rule them out, a bounded number for each member; of a larger one the members.
     """
     known = components(links)
-    crowd = met.where("crowded").select("key", "node", "x")
-    crowd = crowd.join(known.select(F.col("id").alias("node"), "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = crowd.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    crowd = written(crowd.join(mixed, "key"))
-    one, two = (crowd.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "x", "component")]) for side in "ab")
+    rows = met.where("crowded").select("key", "node", "x")
+    rows = rows.join(known.select(F.col("id").alias("node"), "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high").select("key", "size")
+    rows = written(rows.join(mixed, "key"))
+    one, two = (rows.where(F.col("size") <= crowd).select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "x", "component")]) for side in "ab")
     apart = (F.col("component_a") < F.col("component_b")) & (F.bit_count(F.col("x_a").bitwiseXOR(F.col("x_b"))) <= _most(64, similarity))
-    return one.join(two, "key").where(apart).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    pairs = one.join(two, "key").where(apart).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    return pairs, written(rows.where(F.col("size") > crowd).select("node", "component").distinct())
+
+
+def rare_meetings(held: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b), a < b: pairs of (node, component, shingles) rows of two components that share a rare shingle, none of the similarity left out.
+
+    Shingles are ordered by the number of sets that have them, rarest first.  Two sets of the similarity t, n and m <= n
+    shingles, have at least 2 t / (1 + t) of m in common and t of n, so one of the first m - ceil(2 t m / (1 + t)) + 1 of the one is
+    among the first n - ceil(t n) + 1 of the other; and what follows these places must suffice.  So sets that share a
+    common passage but aren't similar meet nowhere, however many they are.
+    """
+    t = similarity
+    rows = held.select("node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = rows.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "shingle")) - 1
+    need = lambda share: F.ceil(F.lit(share) * F.col("n") - 1e-6)
+    first = rows.join(often, "shingle", "left").select("node", "component", "n", "shingle", "often", place.alias("place"))
+    first = written(first.where(F.col("often").isNotNull() & (F.col("place") <= F.col("n") - need(t))).withColumn("short", F.col("place") <= F.col("n") - need(2 * t / (1 + t))))
+    one, two = (first.select("shingle", "short", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "place")]) for side in "ab")
+    below = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = (F.col("n_a") >= t * F.col("n_b") - 1e-6) & (left >= t / (1 + t) * (F.col("n_a") + F.col("n_b")) - 1e-6)
+    pairs = one.where("short").drop("short").join(two.drop("short"), "shingle").where((F.col("component_a") != F.col("component_b")) & below & enough)
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, shingle: int = STAGE_SHINGLE) -> DataFrame:
@@ -232,7 +257,8 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float
 
     Texts of the same lower-cased words are one node, those without words too.  Nodes that share a block of
     their fingerprint's bits are verified by Hamming distance, then exactly, by their sets of shingles; in a
-    crowded bucket first some of them, then all that these links leave apart.  No pair below the similarity is linked.  A pair just at it is missed with a probability of 1 - ``recall``,
+    crowded bucket first some of them, then all that these links leave apart, in a large one those that share a rare shingle,
+    which all similar ones do.  No pair below the similarity is linked.  A pair just at it is missed with a probability of 1 - ``recall``,
     closer ones far more rarely.  Rows without a doc_id are left out; rows that repeat a doc_id get one each.
     """
     ident = docs.schema["doc_id"].dataType.simpleString()
@@ -248,20 +274,30 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float
                 if xxhash.xxh3_128_digest(b" ".join(text.lower().split())) == bytes(own):
                     yield pd.DataFrame({"node": [node], "shingles": [word_set(text, shingle).view("<i8")]})
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def both_ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+    def shingled(asked: DataFrame) -> DataFrame:
         asked = written(nodes.join(asked, "node").select("node", "least", F.col("words").alias("own")))
-        held = written(texts.join(asked, "least").select("node", "own", "text").mapInPandas(sets, "node long, shingles array<long>")).dropDuplicates(["node"])
+        return written(texts.join(asked, "least").select("node", "own", "text").mapInPandas(sets, "node long, shingles array<long>")).dropDuplicates(["node"])
+
+    def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
         one, two = held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
         sized = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
         return written(sized.where(F.col("both") >= similarity * (F.col("all") - F.col("both"))).select("a", "b"))
 
     met = meetings(nodes, similarity, recall)
-    edges = verified(written(_near(met.select(F.explode("met").alias("a"), F.col("node").alias("b")).distinct(), nodes, similarity)))
-    late = written(_near(strangers(met, edges, similarity), nodes, similarity))
-    if not late.isEmpty():
-        edges = edges.union(verified(late))
+    near = written(_near(met.select(F.explode("met").alias("a"), F.col("node").alias("b")).distinct(), nodes, similarity))
+    edges = verified(near, shingled(both_ends(near)))
+    pairs, rest = strangers(met, edges, similarity)
+    late = written(_near(pairs, nodes, similarity))
+    new = [verified(late, shingled(both_ends(late)))] if not late.isEmpty() else []
+    if not rest.isEmpty():
+        held = shingled(rest.select("node"))
+        new.append(verified(written(rare_meetings(held.join(rest, "node"), similarity)), held))
+    for more in new:
+        edges = edges.union(more)
     groups = with_component(nodes.select("words", "least", "node"), edges, "node")
     first = groups.groupBy("component_id").agg(F.min("least").alias("first"))
     classes = groups.join(first, "component_id").select("words", "first")

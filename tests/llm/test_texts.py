@@ -466,3 +466,35 @@ def test_a_written_step_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - before
     assert step.count() == 5000 and spark.conf.get(CLEANUP, None) is None
+
+
+def test_a_large_bucket_of_texts_that_share_a_passage_is_not_compared_in_pairs(spark, monkeypatch):
+    # All in one bucket: half of each text is common to all, and 20 pairs of near copies are among them.
+    common = [f"c{i}" for i in range(60)]
+    texts = [[*common, *(f"w{k}x{i}" for i in range(40))] for k in range(200)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)] + [(1000 + k, " ".join([*texts[k][:-1], "end"])) for k in range(20)]
+    random.Random(8).shuffle(rows)
+    met, near = [], simhash._near
+
+    def counted(pairs, *args):
+        met.append(pairs.count())
+        return near(pairs, *args)
+
+    monkeypatch.setattr(simhash, "_near", counted)
+    monkeypatch.setattr(simhash, "bands", lambda n, *_: [[]])
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == {d: d % 1000 for d, _ in rows}
+    assert sum(met) < 10 * len(rows)
+
+
+def test_rare_meetings_hold_all_similar_pairs(spark):
+    rnd = random.Random(9)
+    sets = []
+    for _ in range(40):
+        base = rnd.sample(range(400), rnd.randrange(1, 60))
+        for _ in range(3):
+            sets.append(sorted({x if rnd.random() < 0.93 else rnd.randrange(400) for x in base}))
+    held = spark.createDataFrame([(i, i, s) for i, s in enumerate(sets)], "node long, component long, shingles array<long>")
+    got = {(r.a, r.b) for r in simhash.rare_meetings(held).collect()}
+    alike = {(i, j) for j in range(len(sets)) for i in range(j) if 5 * len(set(sets[i]) & set(sets[j])) >= 4 * len(set(sets[i]) | set(sets[j]))}
+    assert len(alike) > 30 and alike <= got
