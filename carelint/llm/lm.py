@@ -21,7 +21,7 @@ counts in a join.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from zlib import crc32
 
 import numpy as np
@@ -72,6 +72,7 @@ class Model:
     head_size: int
     weights: np.ndarray = field(default_factory=lambda: np.zeros((ROWS, CLASSES), np.float32))
     inner: np.ndarray = field(default_factory=lambda: np.zeros((HEAD_ROWS, HEAD), np.float32))
+    facts: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # of the frequent words; read by every task, made once
 
 
 def counted(words: DataFrame, frequent: int = FREQUENT) -> Model:
@@ -96,7 +97,9 @@ def counted(words: DataFrame, frequent: int = FREQUENT) -> Model:
     places = {w: i for i, (_, w) in enumerate(top)}
     for w in first:
         mass[form(w)] -= counts[places[w]] + 0.5
-    return Model(int(both[0] or 0), int(both[1] or 0), places, counts, np.array([head_of.get(w, -1) for _, w in top], np.int64), mass, len(head_of))
+    head = np.array([head_of.get(w, -1) for _, w in top], np.int64)
+    facts = Reader.facts_of(list(places), head) if places else None
+    return Model(int(both[0] or 0), int(both[1] or 0), places, counts, head, mass, len(head_of), facts=facts)
 
 
 class Reader:
@@ -104,10 +107,10 @@ class Reader:
 
     def __init__(self, model: Model):
         self.m = model
-        self.facts = self._facts(list(model.words), model.head) if model.words else None
+        self.facts = model.facts or (self.facts_of(list(model.words), model.head) if model.words else None)
 
     @staticmethod
-    def _facts(words: list[bytes], head: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def facts_of(words: list[bytes], head: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class, place among the head (or -1), hash."""
         shape = np.array([form(w) for w in words], np.int64)
         return np.where(head >= 0, FORMS + head // MEMBERS, shape), head, np.array([xxhash.xxh64_intdigest(w, 17) for w in words], np.uint64)
@@ -133,7 +136,7 @@ class Reader:
         """Place among the frequent words (or -1), class, place among the head (or -1), hash."""
         place = np.array([self.m.words.get(w, -1) for w in words], np.int64)
         other = np.flatnonzero(place < 0)
-        facts = self._facts([words[i] for i in other], np.full(len(other), -1))
+        facts = self.facts_of([words[i] for i in other], np.full(len(other), -1))
         if self.facts is not None:
             found = [own[np.maximum(place, 0)] for own in self.facts]
             for own, new in zip(found, facts):
@@ -184,23 +187,26 @@ def prior(model: Model) -> tuple[np.ndarray, np.ndarray]:
     return np.log(mass / mass.sum()).astype(np.float32), np.log(parts / parts.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows, and for each the sum of the values of its examples, once for every feature that has it."""
+def row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows, and for each the sum of the values of its examples, once for every feature that has it, and the sum of their squares."""
     flat = rows.ravel().astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     own, example = flat[order], order // rows.shape[1]
     at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    squares = np.add.reduceat(np.einsum("ij,ij->i", values, values)[example], at)
     n = np.diff(np.append(at, len(own)))
+    by = np.argsort(-n, kind="stable")  # rows with many examples first, so that those with more than k are a slice
+    at, n, squares = at[by], n[by], squares[by]
     sums = values.take(example[at], axis=0)
     # Most rows have few examples: one more of each at a time; what is left are a few rows with many.
-    k, live = 1, np.flatnonzero(n > 1)
-    while len(live) > 32:
-        sums[live] += values.take(example[at[live] + k], axis=0)
+    k, live = 1, int(np.count_nonzero(n > 1))
+    while live > 32:
+        sums[:live] += values.take(example[at[:live] + k], axis=0)
         k += 1
-        live = live[n[live] > k]
-    for i in live.tolist():
+        live = int(np.count_nonzero(n[:live] > k))
+    for i in range(live):
         sums[i] += values.take(example[at[i] + k : at[i] + n[i]], axis=0).sum(axis=0)
-    return own[at].astype(np.int64), sums
+    return own[at].astype(np.int64), sums, squares
 
 
 def inner_rows(head_rows: np.ndarray, kind: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -231,9 +237,12 @@ class Learner:
 
     @staticmethod
     def _apply(table, seen, rows, gradient) -> None:
-        seen += np.bincount(rows.ravel(), np.repeat(np.einsum("ij,ij->i", gradient, gradient), rows.shape[1]), len(seen)).astype(np.float32)
-        used, change = row_sums(rows, gradient)
-        table[used] -= change * (RATE / np.sqrt(seen[used]))[:, None]
+        used, change, squares = row_sums(rows, gradient)
+        seen[used] += squares
+        change *= (RATE / np.sqrt(seen[used]))[:, None]
+        now = table.take(used, axis=0)
+        now -= change
+        table[used] = now
 
     def learn(self, texts: list[bytes]) -> int:
         """Steps on every token of the texts; how many there were."""
@@ -280,7 +289,7 @@ def trained(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
         weights, inner = model.weights.copy(), model.inner.copy()
         for part, row, x in zip(got["part"], got["row"], got["change"]):
             (weights, inner)[part][row] += np.frombuffer(x, np.float32)
-        model = Model(model.total, model.distinct, model.words, model.counts, model.head, model.mass, model.head_size, weights, inner)
+        model = replace(model, weights=weights, inner=inner)
         sent.unpersist()
     return model
 

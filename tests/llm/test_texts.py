@@ -498,3 +498,15 @@ def test_rare_meetings_hold_all_similar_pairs(spark):
     got = {(r.a, r.b) for r in simhash.rare_meetings(held).collect()}
     alike = {(i, j) for j in range(len(sets)) for i in range(j) if 5 * len(set(sets[i]) & set(sets[j])) >= 4 * len(set(sets[i]) | set(sets[j]))}
     assert len(alike) > 30 and alike <= got
+
+
+def test_row_sums_hold_every_example_and_its_square():
+    rnd = np.random.default_rng(5)
+    rows = np.where(rnd.random((600, 4)) < 0.3, rnd.integers(0, 3, (600, 4)), rnd.integers(0, lm.ROWS, (600, 4)))
+    values = rnd.random((600, 7)).astype(np.float32)
+    own, sums, squares = lm.row_sums(rows, values)
+    want, square = np.zeros((lm.ROWS, 7)), np.zeros(lm.ROWS)
+    np.add.at(want, rows.ravel(), np.repeat(values, 4, axis=0))
+    np.add.at(square, rows.ravel(), np.repeat((values.astype(float) ** 2).sum(axis=1), 4))
+    assert sorted(own) == sorted(set(rows.ravel()))
+    assert np.allclose(sums, want[own], rtol=1e-5) and np.allclose(squares, square[own], rtol=1e-5)
