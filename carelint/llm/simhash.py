@@ -25,15 +25,15 @@ from random import Random
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelint.llm.common import components, give_back, with_component, written
 
 BLOCKS, DISTANCE, BUCKET, SHINGLE, SEED = 4, 2, 512, 3, 42
 CHUNK = 1 << 16
-#: The stage on similarity of texts: words of a shingle, least similarity, share of pairs just at it that is found, 64-bit words of a fingerprint; rows listed together; members of a bucket of which all pairs are compared.
-STAGE_SHINGLE, SIMILARITY, RECALL, WORDS, LISTED, CROWD = 5, 0.8, 0.99, 4, 1024, 8
+#: The stage on similarity of texts: words of a shingle, least similarity, share of pairs just at it that is found, 64-bit words of a fingerprint; rows listed together; members of a bucket of which all pairs are compared; meetings in crowded buckets that each member is verified with at first.
+STAGE_SHINGLE, SIMILARITY, RECALL, WORDS, LISTED, CROWD, CLOSEST = 5, 0.8, 0.99, 4, 1024, 8, 2
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -144,17 +144,22 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, shingle: int = STAGE_SHINGLE) -> DataFrame:
-    """(doc_id, words, fp): a 128-bit hash of the lower-cased words and the wide fingerprint of every whole text."""
+    """(doc_id, words, fp, size) of every whole text: a 128-bit hash of the lower-cased words, the wide fingerprint and the number of distinct shingles."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = [bytes(t) if t is not None else b"" for t in b["text"]]
             words = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "words": words, "fp": [wide_fingerprint(word_set(t, shingle)) for t in texts]})
+            fp, size = [], []
+            for t in texts:
+                own = word_set(t, shingle)
+                fp.append(wide_fingerprint(own))
+                size.append(len(own))
+            yield pd.DataFrame({"doc_id": b["doc_id"], "words": words, "fp": fp, "size": np.array(size, np.int32)})
         give_back()
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words binary, fp array<long>")
+    return rows.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words binary, fp array<long>, size int")
 
 
 def bands(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> list[list[int]]:
@@ -183,8 +188,14 @@ def _near(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(differ <= _most(64 * WORDS, similarity)).select("a", "b")
 
 
+def _alike(x: Column, size: Column, y: Column, other: Column, similarity: float) -> Column:
+    """Whether 64 bits and the sizes of two sets of shingles allow the similarity: the smaller set has that share of the larger one at least."""
+    sized = F.least(size, other) >= similarity * F.greatest(size, other) - 1e-6
+    return sized & (F.bit_count(x.bitwiseXOR(y)) <= _most(64, similarity))
+
+
 def meetings(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """(key, node, x, met, crowded), written: who meets whom in each block's buckets.
+    """(key, node, x, size, met, crowded), written: who meets whom in each block's buckets; ``met`` has (bits that differ, node).
 
     In the order of nodes, members meet the first one and the one before them: all pairs of up to three.  Members of a
     larger bucket are ``crowded`` and have a row each, for ``strangers``.  A bucket is streamed, never held.
@@ -199,18 +210,45 @@ def meetings(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = R
                 bits = np.unpackbits(np.stack(part["fp"].to_numpy()).astype("<i8").view(np.uint8), axis=1, bitorder="little").astype(np.uint64)
                 keys = [(bits[:, ps] << np.arange(len(ps), dtype=np.uint64)).sum(axis=1, dtype=np.uint64) for ps in cut]
                 keys = [(k + s) * np.uint64(0x9E3779B97F4A7C15) for k, s in zip(keys, salts)]
-                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "node": np.tile(part["node"].to_numpy(), len(cut)), "x": np.tile(part["fp"].str[0].to_numpy(np.int64), len(cut))})
+                own = {"node": part["node"], "x": part["fp"].str[0].astype(np.int64), "size": part["size"]}
+                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64)} | {k: np.tile(v.to_numpy(), len(cut)) for k, v in own.items()})
 
     order = Window.partitionBy("key").orderBy("node")
-    me, place = F.struct("node", "x"), F.row_number().over(order)
+    me, place = F.struct("node", "x", "size"), F.row_number().over(order)
     crowded = (place > 3) | F.coalesce(*[F.when(place == k, F.lead("node", 4 - k).over(order)) for k in (1, 2, 3)]).isNotNull()
-    near = lambda a: (a["node"] < F.col("node")) & (F.bit_count(a["x"].bitwiseXOR(F.col("x"))) <= _most(64, similarity))
-    rows = nodes.select("node", "fp").mapInPandas(listed, "key long, node long, x long")
-    rows = rows.select("key", "node", "x", F.array(F.first(me).over(order), F.lag(me, 1).over(order)).alias("some"), crowded.alias("crowded"))
-    rows = rows.select("key", "node", "x", F.transform(F.filter("some", near), lambda a: a["node"]).alias("met"), "crowded")
+    near = lambda a: (a["node"] < F.col("node")) & _alike(a["x"], a["size"], F.col("x"), F.col("size"), similarity)
+    rows = nodes.select("node", "fp", "size").mapInPandas(listed, "key long, node long, x long, size int")
+    rows = rows.select("key", "node", "x", "size", F.array(F.first(me).over(order), F.lag(me, 1).over(order)).alias("some"), crowded.alias("crowded"))
+    met = F.array_distinct(F.transform(F.filter("some", near), lambda a: F.struct(F.bit_count(a["x"].bitwiseXOR(F.col("x"))).alias("bits"), a["node"].alias("node"))))
+    rows = rows.select("key", "node", "x", "size", met.alias("met"), "crowded")
     return written(rows.where("crowded or size(met) > 0"))
 
 
+def met_by(met: DataFrame) -> DataFrame:
+    """(b, few, near), written: the nodes that each node met in buckets of up to three, and in crowded ones only, nearest first; two a block at most."""
+    lists = [F.array_distinct(F.flatten(F.collect_list(F.when(c, F.col("met"))))) for c in (~F.col("crowded"), F.col("crowded"))]
+    rows = met.where("size(met) > 0").groupBy(F.col("node").alias("b")).agg(lists[0].alias("few"), F.sort_array(lists[1]).alias("near"))
+    return written(rows.select("b", F.col("few.node").alias("few"), F.array_except("near.node", "few.node").alias("near")))
+
+
+def first_pairs(by: DataFrame, closest: int = CLOSEST) -> DataFrame:
+    """(a, b), a < b: all that met in buckets of up to three; of those that each member met in crowded ones the ``closest`` by bits.
+
+    Most members of a large group of near copies are one component after these, so that ``second_pairs`` has little left;
+    members of crowded buckets that stay apart, similar or not, are left to ``strangers``.
+    """
+    return by.select(F.explode(F.concat("few", F.slice("near", 1, closest))).alias("a"), "b")
+
+
+def second_pairs(by: DataFrame, links: DataFrame, closest: int = CLOSEST) -> DataFrame:
+    """(a, b), a < b: all others that met, in crowded buckets, are still apart and of which one is linked to others already."""
+    known = components(links)
+    pairs = by.where(F.size("near") > closest).select(F.explode(F.slice("near", closest + 1, F.size("near"))).alias("a"), "b")
+    for end in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    return pairs.where("not of_a <=> of_b").select("a", "b")
+
+
 def strangers(met: DataFrame, links: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """What crowded buckets leave to compare: (a, b), a < b, and (node, component), for ``rare_meetings``.
 
@@ -219,14 +257,14 @@ def strangers(met: DataFrame, links: DataFrame, similarity: float = SIMILARITY,
     bits that rule them out, a bounded number for each member; of a larger one the members.
     """
     known = components(links)
-    rows = met.where("crowded").select("key", "node", "x")
+    rows = met.where("crowded").select("key", "node", "x", "size")
     rows = rows.join(known.select(F.col("id").alias("node"), "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high").select("key", "size")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where("low < high").select("key", "members")
     rows = written(rows.join(mixed, "key"))
-    one, two = (rows.where(F.col("size") <= crowd).select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "x", "component")]) for side in "ab")
-    apart = (F.col("component_a") < F.col("component_b")) & (F.bit_count(F.col("x_a").bitwiseXOR(F.col("x_b"))) <= _most(64, similarity))
+    one, two = (rows.where(F.col("members") <= crowd).select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "x", "size", "component")]) for side in "ab")
+    apart = (F.col("component_a") < F.col("component_b")) & _alike(F.col("x_a"), F.col("size_a"), F.col("x_b"), F.col("size_b"), similarity)
     pairs = one.join(two, "key").where(apart).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    return pairs, written(rows.where(F.col("size") > crowd).select("node", "component").distinct())
+    return pairs, written(rows.where(F.col("members") > crowd).select("node", "component").distinct())
 
 
 def rare_meetings(held: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -257,14 +295,14 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float
 
     Texts of the same lower-cased words are one node, those without words too.  Nodes that share a block of
     their fingerprint's bits are verified by Hamming distance, then exactly, by their sets of shingles; in a
-    crowded bucket first some of them, then all that these links leave apart, in a large one those that share a rare shingle,
-    which all similar ones do.  No pair below the similarity is linked.  A pair just at it is missed with a probability of 1 - ``recall``,
+    crowded bucket first each with the closest that it met, then those that met and that these links leave apart, then all that are
+    still apart, in a large one those that share a rare shingle, which all similar ones do.  No pair below the similarity is linked.  A pair just at it is missed with a probability of 1 - ``recall``,
     closer ones far more rarely.  Rows without a doc_id are left out; rows that repeat a doc_id get one each.
     """
     ident = docs.schema["doc_id"].dataType.simpleString()
     known = docs.where("doc_id is not null")
     rows = written(sketches(known, shingle))
-    nodes = written(rows.groupBy("words").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()))
+    nodes = written(rows.groupBy("words").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id()))
     texts = known.select(F.col("doc_id").alias("least"), F.col("text").cast("binary").alias("text"))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -288,10 +326,18 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         return written(sized.where(F.col("both") >= similarity * (F.col("all") - F.col("both"))).select("a", "b"))
 
     met = meetings(nodes, similarity, recall)
-    near = written(_near(met.select(F.explode("met").alias("a"), F.col("node").alias("b")).distinct(), nodes, similarity))
-    edges = verified(near, shingled(both_ends(near)))
+    by = met_by(met)
+    first = written(first_pairs(by))
+    near = written(_near(first, nodes, similarity))
+    held = shingled(both_ends(near))
+    edges = verified(near, held)
+    second = second_pairs(by, edges)
+    for end in ("a", "b"):
+        second = second.join(held.select(F.col("node").alias(end)), end, "left_semi")
+    second = written(second.select("a", "b"))
+    edges = edges.union(verified(second, held))
     pairs, rest = strangers(met, edges, similarity)
-    late = written(_near(pairs, nodes, similarity))
+    late = written(_near(pairs.join(first.union(second), ["a", "b"], "left_anti"), nodes, similarity))
     new = [verified(late, shingled(both_ends(late)))] if not late.isEmpty() else []
     if not rest.isEmpty():
         held = shingled(rest.select("node"))

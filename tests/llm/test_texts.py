@@ -487,6 +487,22 @@ def test_a_large_bucket_of_texts_that_share_a_passage_is_not_compared_in_pairs(s
     assert sum(met) < 10 * len(rows)
 
 
+def test_a_large_group_of_near_copies_is_linked_by_a_few_comparisons_each(spark, monkeypatch):
+    rnd = random.Random(10)
+    text = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(text[:p] + [f"x{i}"] + text[p + 1 :])) for i, p in ((i, rnd.randrange(200)) for i in range(600))]
+    met, near = [], simhash._near
+
+    def counted(pairs, *args):
+        met.append(pairs.count())
+        return near(pairs, *args)
+
+    monkeypatch.setattr(simhash, "_near", counted)
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert set(got.values()) == {0} and len(got) == 600
+    assert sum(met) < 4 * len(rows)
+
+
 def test_rare_meetings_hold_all_similar_pairs(spark):
     rnd = random.Random(9)
     sets = []
