@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelint.llm.bpe import PATTERN, encoder
+from carelint.llm.bpe import MEMO_CHARS, MEMO_SIZE, PATTERN, encoder
 from carelint.llm.common import TOKENIZER, slices, tokenizer_path, written
 
 #: Pre-tokens of a new leaf; a leaf may grow to twice as many before the tree is laid out anew.
@@ -116,10 +116,25 @@ def _leaves(cut: list[str], count, size: int, ranges: list[tuple[int, int]] | No
     return [len(t) for t in texts], [count(cut[a:b]) for a, b in ranges], [b - a for a, b in ranges]
 
 
+class _Counts(dict):
+    """Tokens of each pre-token seen; long ones are not remembered, and all are forgotten at the limit."""
+
+    def __init__(self, piece):
+        self.piece = piece
+
+    def __missing__(self, token: str) -> int:
+        n = len(self.piece(token)) // 4
+        if len(token) <= MEMO_CHARS:
+            if len(self) >= MEMO_SIZE:
+                self.clear()
+            self[token] = n
+        return n
+
+
 def counter(path: str):
     """Tokens of a run of pre-tokens; strings of special tokens are ordinary text."""
-    piece = encoder(path)._piece
-    return lambda cut: sum(map(len, map(piece, cut))) // 4
+    known = _Counts(encoder(path)._piece)
+    return lambda cut: sum(map(known.__getitem__, cut))
 
 
 _STATE = "text string, leaves int, chars array<long>, tokens array<long>, pieces array<long>"

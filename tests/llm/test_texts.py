@@ -153,6 +153,21 @@ def test_repeated_doc_ids_keep_their_first_copy(spark):
     assert sum(n for (d, _, gone), n in removed.items() if d == 2 and gone == 0) == 1 and sum(gone for d, _, gone in removed if d == 2) == b(passage)
 
 
+def test_the_encoder_is_asked_once_for_a_short_pre_token(monkeypatch):
+    asked = Counter()
+
+    class Letters:
+        def _piece(self, token):
+            asked[token] += 1
+            return b"\0\0\0\0" * len(token)
+
+    monkeypatch.setattr(edits, "encoder", lambda path: Letters())
+    monkeypatch.setattr(edits, "MEMO_SIZE", 2, raising=False)
+    count, long = edits.counter(PATH), "x" * (bpe.MEMO_CHARS + 1)
+    assert [count(["a", " bc", "a"]), count(["a", long, long]), count(["d", "a"])] == [5, 1 + 2 * len(long), 2]
+    assert asked == {"a": 2, " bc": 1, long: 2, "d": 1}  # the limit of two is reached before d
+
+
 def test_counts_follow_edits(spark):
     count, own, rnd = edits.counter(PATH), bpe.encoder(PATH), random.Random(5)
     text = lambda n: "".join(rnd.choice(["a", "the", " ", "  ", "\n", "'", "re", "s", "é", "12", ",", " tion"]) for _ in range(n))
