@@ -38,8 +38,8 @@ from carelint.llm.common import give_back, written
 LENGTH, SEED = 100, 32
 #: Bytes hashed at once; bytes whose anchors a task sorts together; contexts of a seed in a task from which it is divided.
 GROUP, BLOCK, MANY = 1 << 19, 48 << 20, 32
-#: Rows of a batch that are turned into Python strings at once.
-ROWS = 1000
+#: Rows of a batch that are turned into Python strings at once; rows that leave a task at once.
+ROWS, SENT = 1000, 1 << 15
 
 _rnd = np.random.default_rng(41)
 _BYTE = _rnd.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -181,55 +181,77 @@ REPEAT, ANCHOR, DIVIDED, WITNESS = 0, 1, 2, 3
 _SEED_ROWS = "key long, kind byte, seed long, context long, doc long, tie long, p int, a int, b int, r int, l int"
 
 
-def _seed_block(doc, tie, p, a, b, seed, context, right, left, length: int) -> pd.DataFrame:
-    """Rows of a task's block for the exchange: repeats it can settle, and one row of each context."""
-    doc, docs, tied = numbers(doc, tie)
-    o = np.lexsort((p, doc, context, seed))
-    doc, p, a, b, seed, context, right, left = (x[o] for x in (doc, p, a, b, seed, context, right, left))
-    first = changes(seed, context)
-    rd, rs, re = runs(doc[~first], a[~first], b[~first] + length)
-    doc, p, a, b, seed, context, right, left = (x[first] for x in (doc, p, a, b, seed, context, right, left))
+def gathered(held: list[tuple]) -> list[np.ndarray]:
+    """The columns of pieces, which are let go column by column."""
+    columns = [list(x) for x in zip(*held)]
+    held.clear()
+    out = []
+    for pieces in columns:
+        out.append(np.concatenate(pieces))
+        pieces.clear()
+    return out
+
+
+def pick(columns: list[np.ndarray], at: np.ndarray) -> None:
+    """Of each column these rows, in place: never two whole copies of all of them."""
+    for i in range(len(columns)):
+        columns[i] = columns[i][at]
+
+
+def _seed_block(ids, tie, held: list[tuple], length: int, own: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of a task's block for the exchange, a few at a time: repeats it can settle, and one row of each context."""
+    number, docs, tied = numbers(ids, tie)
+    x = gathered(held)
+    x[0] = number.astype(np.int32)[x[0]]
+    pick(x, np.lexsort((x[1], x[0], x[5], x[4])))
+    first = changes(x[4], x[5])
+    rd, rs, re = runs(*(c.astype(np.int64) for c in (x[0][~first], x[2][~first], x[3][~first] + length)))
+    if len(rd):
+        pick(x, first)
+    doc, p, a, b, seed, context, right, left = x
     new = changes(seed)
     size = np.diff(np.append(np.flatnonzero(new), len(seed)))
-    many = np.repeat(size, size) >= MANY
-    witness = new & many
-    i64 = lambda x: x.view(np.int64)
-    i32 = lambda x: (x >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    rows = pd.DataFrame({
-        "key": i64(np.where(many, _mix(seed ^ context), seed)), "kind": np.where(many, DIVIDED, ANCHOR).astype(np.int8), "seed": i64(seed), "context": i64(context),
-        "doc": docs[doc], "tie": tied[doc], "p": p.astype(np.int32), "a": a.astype(np.int32), "b": b.astype(np.int32), "r": i32(right), "l": i32(left),
-    })
-    extra = rows[witness].assign(key=i64(seed[witness]), kind=np.int8(WITNESS))
-    n = len(rd)
-    done = pd.DataFrame({"key": docs[rd], "kind": np.zeros(n, np.int8), "seed": 0, "context": 0, "doc": docs[rd], "tie": tied[rd], "p": np.zeros(n, np.int32), "a": rs.astype(np.int32), "b": re.astype(np.int32), "r": np.zeros(n, np.int32), "l": np.zeros(n, np.int32)})
-    return pd.concat([rows, extra, done], ignore_index=True)
+    many = np.repeat(size >= MANY, size)
+    witness = np.flatnonzero(new & many)
+
+    def rows(key, kind, seed, context, doc, *rest):
+        columns = {"key": key, "kind": kind, "seed": seed, "context": context, "doc": docs[doc], **({"tie": tied[doc]} if own else {}), **dict(zip("pabrl", rest))}
+        kinds = [np.int8 if c == "kind" else np.int32 if c in "pabrl" else np.int64 for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(v.view(k) if v.dtype.itemsize == np.dtype(k).itemsize else v.astype(k)) for v, k in zip(columns.values(), kinds)], list(columns))
+
+    for at in range(0, len(seed), SENT):
+        s = slice(at, at + SENT)
+        yield rows(np.where(many[s], _mix(seed[s] ^ context[s]), seed[s]), np.where(many[s], DIVIDED, ANCHOR), seed[s], context[s], doc[s], p[s], a[s], b[s], right[s], left[s])
+    for at in range(0, len(witness), SENT):
+        s = witness[at : at + SENT]
+        yield rows(seed[s], np.full(len(s), WITNESS), seed[s], context[s], doc[s], p[s], a[s], b[s], right[s], left[s])
+    for at in range(0, len(rd), SENT):
+        d, zero = rd[at : at + SENT], np.zeros(len(rd[at : at + SENT]), np.int64)
+        yield rows(docs[d], np.full(len(d), REPEAT), zero, zero, d, zero, rs[at : at + SENT], re[at : at + SENT], zero, zero)
 
 
 def _seeds(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size, tied = 0, False
-
-        def flush():
-            block = fit(_seed_block(*(np.concatenate(x) for x in zip(*held)), length), tied)
-            held.clear()
-            schema = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("seed", pa.int64()), ("context", pa.int64()), ("doc", pa.int64()), *([("tie", pa.int64())] if tied else []), *((c, pa.int32()) for c in "pabrl")])
-            return pa.RecordBatch.from_pandas(block, schema=schema, preserve_index=False)
-
+        keys: list[tuple] = []
+        size, count, own = 0, 0, False
+        high = lambda name: (name >> np.uint64(32)).astype(np.uint32)
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             ids, texts = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
-            tied = "tie" in batch.schema.names
-            tie = batch.column("tie").to_numpy(zero_copy_only=False) if tied else np.zeros(len(ids), np.int64)
+            own = "tie" in batch.schema.names
+            tie = batch.column("tie").to_numpy(zero_copy_only=False) if own else np.zeros(len(ids), np.int64)
             for at, data, first in groups(texts):
-                doc, p, a, b, *names = anchors(data, first, length, seed)
+                doc, p, a, b, name, context, right, left = anchors(data, first, length, seed)
                 base = first[doc]
-                held.append((ids[at + doc], tie[at + doc], p - base, a - base, b - base, *names))
-                size += len(data)
+                n = len(first) - 1
+                keys.append((ids[at : at + n], tie[at : at + n]))
+                held.append(((count + doc).astype(np.int32), *((x - base).astype(np.int32) for x in (p, a, b)), name, context, high(right), high(left)))
+                count, size = count + n, size + len(data)
                 if size >= BLOCK:
-                    yield flush()
-                    size = 0
+                    yield from _seed_block(*gathered(keys), held, length, own)
+                    size = count = 0
         if held:
-            yield flush()
+            yield from _seed_block(*gathered(keys), held, length, own)
         give_back()
 
     return run
@@ -244,6 +266,7 @@ def _settle_seeds(length: int, seed: int):
         if not got:
             return
         t = pd.concat(got, ignore_index=True)
+        got.clear()
         own = "tie" in t
         t["doc"], docs, tied = numbers(t["doc"].to_numpy(), ties(t))
         done = t[t["kind"] == REPEAT]
@@ -293,17 +316,23 @@ def _windows(length: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
+        keys: list[tuple] = []
         size, own = 0, False
 
         def flush():
-            one, two, doc, tie, start = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            doc, docs, tied = numbers(doc, tie)
-            o = np.lexsort((start, doc, two, one))
-            one, two, doc, start = one[o], two[o], doc[o], start[o]
-            first = changes(one, two)
-            yield fit(pd.DataFrame({"first": one[first].view(np.int64), "last": two[first].view(np.int64), "doc": docs[doc[first]], "tie": tied[doc[first]], "start": start[first].astype(np.int32), "end": np.int32(-1)}), own)
-            d, s, e = runs(doc[~first], start[~first], start[~first] + length)
+            number, docs, tied = numbers(*(np.array(x, np.int64) for x in zip(*keys)))
+            keys.clear()
+            x = gathered(held)
+            x[2] = number.astype(np.int32)[x[2]]
+            pick(x, np.lexsort((x[3], x[2], x[1], x[0])))
+            first = changes(x[0], x[1])
+            d, s, e = runs(*(c.astype(np.int64) for c in (x[2][~first], x[3][~first], x[3][~first] + length)))
+            if len(d):
+                pick(x, first)
+            one, two, doc, start = x
+            for at in range(0, len(one), SENT):
+                i = slice(at, at + SENT)
+                yield fit(pd.DataFrame({"first": one[i].view(np.int64), "last": two[i].view(np.int64), "doc": docs[doc[i]], "tie": tied[doc[i]], "start": start[i], "end": np.int32(-1)}), own)
             yield fit(pd.DataFrame({"first": docs[d], "last": 0, "doc": docs[d], "tie": tied[d], "start": s.astype(np.int32), "end": e.astype(np.int32)}), own)
 
         for batch in batches:
@@ -317,13 +346,15 @@ def _windows(length: int):
                 if not len(at):
                     continue
                 names = Names(data)
-                held.append((names.of(at, at + part), names.of(at + length - part, at + length), np.full(len(at), ident), np.full(len(at), tie), at))
+                held.append((names.of(at, at + part), names.of(at + length - part, at + length), np.full(len(at), len(keys), np.int32), at.astype(np.int32)))
+                keys.append((ident, tie))
                 size += len(at)
                 if size >= BLOCK // 16:
                     yield from flush()
                     size = 0
         if held:
             yield from flush()
+        give_back()
 
     return run
 
@@ -334,6 +365,7 @@ def _settle_windows(length: int):
         if not got:
             return
         t = pd.concat(got, ignore_index=True)
+        got.clear()
         own = "tie" in t
         t["doc"], docs, tied = numbers(t["doc"].to_numpy(), ties(t))
         done = t[t["end"] >= 0]

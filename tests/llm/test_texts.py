@@ -136,6 +136,25 @@ def test_repeats_equal_brute_force(spark, monkeypatch, many, block):
     assert got == want
 
 
+def test_a_task_holds_little_more_than_the_anchors_of_its_texts():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    data = np.random.default_rng(3).integers(97, 123, 8 << 20, np.uint8).tobytes()
+    texts = [data[at : at + 4096] for at in range(0, len(data), 4096)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    try:
+        sent = [b.num_rows for b in suffixes._seeds(100, 32)(iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sent) > len(data) / 50 and max(sent) <= suffixes.SENT
+    assert peak < 8 * len(data)
+
+
 def test_repeated_doc_ids_keep_their_first_copy(spark):
     rnd = random.Random(8)
     words = lambda n: "".join(rnd.choice("abcdefgh é") for _ in range(n))
