@@ -20,26 +20,31 @@ counts in a join.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelint.llm.common import slices, written
+from carelint.llm.common import give_back, slices, written
 
 FREQUENT, HEAD, MEMBERS, FORMS = 80_000, 512, 64, 56
 CLASSES = FORMS + HEAD // MEMBERS
 ROWS, HEAD_ROWS, FEATURES = 1 << 13, 1 << 10, 4
 ROUNDS, BATCH, RATE = 3, 2048, 0.3
 CHUNK = 4096
+#: Logits within this have exponentials, and sums of them, that float32 holds.
+SAFE = 60
 #: Bytes of text whose tokens are held at once.
 HELD = 4 << 20
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Distinct words that a task counts before it sends them on; rows that it sends at once.
+DISTINCT, SENT = 400_000, 1 << 15
 END = b""
 
 
@@ -52,11 +57,28 @@ def form_column(word: str) -> Column:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word binary, n) of all tokens; the end of a text is the empty word."""
-    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    words = docs.select(F.explode(F.split(text, r"[ \t\n\x0B\f\r]+")).alias("w")).where("w != ''").groupBy("w").agg(F.count("*").alias("n"))
-    ends = docs.agg(F.count("*").alias("n")).where("n > 0").select(F.lit("").alias("w"), "n")
-    return words.union(ends).select(F.col("w").cast("binary").alias("word"), "n")
+    """(word binary, n) of all tokens; the end of a text is the empty word.  A task sends a word once for each ``DISTINCT`` that it holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+
+        def sent():
+            words, n = list(held), np.fromiter(held.values(), np.int64, len(held))
+            held.clear()
+            for at in range(0, len(words), SENT):
+                yield pa.RecordBatch.from_arrays([pa.array(words[at : at + SENT], pa.binary()), pa.array(n[at : at + SENT])], ["word", "n"])
+
+        for b in batches:
+            held[END] += b.num_rows
+            for text in b.column("text"):
+                held.update(text.as_py().lower().split())
+                if len(held) > DISTINCT:
+                    yield from sent()
+        yield from sent()
+        give_back()
+
+    texts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    return texts.mapInArrow(run, "word binary, n long").where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -160,10 +182,21 @@ def features(starts: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple[np.ndar
     return (out & np.uint64(ROWS - 1)).astype(np.int64), ((out >> np.uint64(20)) & np.uint64(HEAD_ROWS - 1)).astype(np.int64)
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
+def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """exp(x) in place, its sums by row, and what was taken from x before: each row's maximum, or nothing where no row needs it."""
+    ones = np.ones(x.shape[1], x.dtype)
+    if x.size and x.max() < SAFE and x[:, 0].min() > -SAFE:  # no row overflows or vanishes: each has an entry above -SAFE
+        np.exp(x, out=x)
+        return x, x @ ones, 0.0
+    top = x.max(axis=1, initial=-np.inf)
+    x -= top[:, None]
     np.exp(x, out=x)
-    x *= (1 / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
+    return x, x @ ones, top
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    x, total, _ = exponentials(x)
+    x *= (1 / total)[:, None]
     return x
 
 
@@ -329,11 +362,9 @@ class Scorer:
 
 
 def log10_softmax(x: np.ndarray, which: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    own = x[np.arange(len(x)), which] - top
-    x -= top[:, None]
-    np.exp(x, out=x)
-    return (own.astype(np.float64) - np.log(x.sum(axis=1, dtype=np.float64))) / np.log(10)
+    own = x[np.arange(len(x)), which].astype(np.float64)
+    _, total, top = exponentials(x)
+    return (own - top - np.log(total.astype(np.float64))) / np.log(10)
 
 
 def score(docs: DataFrame, train: DataFrame, frequent: int = FREQUENT, rounds: int = ROUNDS) -> DataFrame:

@@ -139,7 +139,6 @@ def test_repeats_equal_brute_force(spark, monkeypatch, many, block):
 def test_a_task_holds_little_more_than_the_anchors_of_its_texts():
     import tracemalloc
 
-    import numpy as np
     import pyarrow as pa
 
     data = np.random.default_rng(3).integers(97, 123, 8 << 20, np.uint8).tobytes()
@@ -254,6 +253,26 @@ def test_lm_is_a_distribution(spark):
     assert np.allclose(mass, 1, atol=1e-5) and abs(p.sum() - 1) < 1e-5
 
 
+def test_lm_counts_words_without_a_row_for_each_token(spark, monkeypatch):
+    texts = ["The THE the", None, "", " \t\x0b\f\r\n", "\u00c9t\u00e9 \u00c9T\u00c9\u00a0x a\x1cb \u2003 end", "a b c d e f a b c d e f"]
+    want = Counter(w for t in texts for w in [*(t or "").encode().lower().split(), b""])
+    monkeypatch.setattr(lm, "DISTINCT", 3)
+    words = lm.word_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {bytes(r["word"]): r["n"] for r in words.collect()} == want
+    assert "Generate" not in words._jdf.queryExecution().executedPlan().toString()
+    assert not lm.word_counts(spark.createDataFrame([], "doc_id long, text string")).collect()
+
+
+def test_lm_softmax_of_logits_of_any_size():
+    x = np.array([[0, 1, 2], [-500, -400, -401], [300, 0, 1], [-80, -90, -100], [-1e30, 0, 59]], np.float32)
+    for rows in (x, x[:1], x[1:2], x[:0]):
+        y = rows.astype(float) - rows.max(axis=1, initial=-np.inf)[:, None]
+        want = np.exp(y) / np.exp(y).sum(axis=1)[:, None]
+        assert np.allclose(lm.softmax(rows.copy()), want, atol=1e-6)
+        which = np.argmax(rows, axis=1) if len(rows) else np.zeros(0, int)
+        assert np.allclose(lm.log10_softmax(rows.copy(), which), np.log10(want[np.arange(len(rows)), which]), atol=1e-6)
+
+
 def test_lm_learns_from_every_token(spark):
     words = [f"w{i}".encode() for i in range(50)]
     train = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(10 * i, 10 * i + 10))) for i in range(5)], "doc_id long, text string")
